@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch
 
-from . import bpe_codec, packing, token_counts, token_store
+from . import bpe_codec, exact_dedup, packing, quality_classifier, quality_rules, token_counts, token_store, url_filter, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,40 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(documents(spark, sf_dir))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_classifier.classify(documents(spark, sf_dir), labels)
+
+
+def op7_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    files = warc.write_archive(pages(spark, sf_dir), path)
+    return warc.read_archive(spark, path, files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: The host and path rules that the query is asked to apply.
+DOMAIN_RULES = [
+    url_filter.DomainRule("allow", "com/"),
+    url_filter.DomainRule("block", "example.com/en/"),
+    url_filter.DomainRule("allow", "www.example.com/en/"),
+    url_filter.DomainRule("block", "net/es/"),
+    url_filter.DomainRule("block", "net/fr/"),
+]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(pages(spark, sf_dir), "page_id", DOMAIN_RULES).select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe_codec.encode_decode(documents(spark, sf_dir))
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
@@ -40,8 +74,70 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op3_packing": op3_packing,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_warc_writer": op7_warc_writer,
+    "op8_url_filter": op8_url_filter,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+OP4_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY norm ORDER BY doc_id) = 1 AS kept, sha256(norm) AS text_sha256
+FROM t WINDOW g AS (PARTITION BY norm)
+"""
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+tri AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 1))) AS i FROM d)),
+dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest([0, 1, 2]) AS k FROM dup) GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, t, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, len(l) AS n_lines, coalesce(cov.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN cov ON d.doc_id = cov.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > 3 * n_words OR word_chars > 20 * n_words OR 2 * n_words > word_chars
+            OR (n_dup_lines > 0 AND 2 * n_dup_lines > n_lines)
+            OR 2 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > word_chars
+            OR 2 * length(regexp_replace(t, '\P{L}+', '', 'g')) < word_chars) AS kept
+FROM b
+"""
+
+_PATTERN_SQL = " UNION ALL ".join("SELECT '{}' AS name, '{}' AS re".format(p.name, p.pattern.replace(r"\Z", "$")) for p in url_filter.PATTERNS)
+_RULE_SQL = " UNION ALL ".join("SELECT '{}' AS action, '{}' AS rule".format(r.action, r.rule) for r in DOMAIN_RULES)
+
+OP8_SQL = rf"""
+WITH p AS ({_PATTERN_SQL}), r AS (SELECT action, rule, split_part(rule, '/', 1) AS rh, substr(rule, strpos(rule, '/')) AS rp FROM ({_RULE_SQL})),
+a AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^([^?#]*)', 1) ELSE '' END AS rest,
+             translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM pages),
+u AS (SELECT page_id, low, translate(regexp_extract(coalesce(rest, ''), '^([^/]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             CASE WHEN strpos(rest, '/') > 0 THEN substr(rest, strpos(rest, '/')) ELSE '' END AS path FROM a),
+f AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action
+      FROM u JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
+x AS (SELECT page_id, min(name) AS pattern FROM u JOIN p ON regexp_matches(low, re) GROUP BY page_id)
+SELECT u.page_id, host, path, f.rule AS rule, CASE WHEN f.rule IS NOT NULL THEN f.action WHEN x.pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict, x.pattern AS pattern
+FROM u LEFT JOIN f ON u.page_id = f.page_id LEFT JOIN x ON u.page_id = x.page_id
+"""
+
+OP7_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+g AS (SELECT page_id, body, max(page_id) OVER (PARTITION BY body) AS top FROM p),
+h AS (SELECT page_id, top, octet_length(encode(body)) AS payload_bytes, sha1(body) AS hex FROM g),
+b AS (SELECT *, list_transform(range(0, 20), lambda i: ('0x' || substr(hex, 2 * i + 1, 2))::BIGINT) AS y FROM h)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((y[(5 * k) // 8 + 1] * 256 + coalesce(y[(5 * k) // 8 + 2], 0)) // (2 ** (11 - (5 * k) % 8))::BIGINT) % 32 + 1)::BIGINT, 1)), '') AS payload_digest,
+       CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < top THEN top END AS refers_to
+FROM b
+"""
+
+ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op5_quality_rules": OP5_SQL, "op7_warc_writer": OP7_SQL, "op8_url_filter": OP8_SQL}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch
 
-from . import bpe_codec, exact_dedup, packing, quality_classifier, quality_rules, token_counts, token_store, url_filter, warc
+from . import bpe_codec, exact_dedup, ngram_join, packing, quality_classifier, quality_rules, token_counts, token_store, url_filter, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, path, parts).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(documents(spark, sf_dir))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
@@ -73,6 +77,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_store": op1_token_store,
+    "op2_ngram_join": op2_ngram_join,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_quality_rules": op5_quality_rules,

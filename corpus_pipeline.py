@@ -1,13 +1,63 @@
-"""Corpus preparation in stages; each is (spark, docs, sf_dir) -> DataFrame."""
+"""Corpus preparation in five stages, from documents to packed sequences.
+
+Each stage is (spark, docs, sf_dir) -> DataFrame: it takes every row that its
+predecessor kept, and all but the last return the columns of documents. A
+stage that drops rows works out the ids to drop as a table of ids, and takes
+them out with one anti join; the rules judge row by row and need none.
+doc_id stands for the row. Rows with a null doc_id are judged by the
+classifier and the rules' metrics alone and are never dropped by id.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import exact_dedup, ngram_join, packing, quality_classifier, quality_rules
+from tidemark.session import materialize
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    return docs.join(materialize(dropped.select("doc_id").distinct(), "dropped"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _without(docs, quality_classifier.classify(docs, labels).filter("NOT kept"))
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    judged = quality_rules.judge(docs)
+    # the id keeps the condition above the metrics, so that they aren't worked out once for each mention
+    return judged.withColumn("_at", F.monotonically_increasing_id()).filter("kept AND _at >= 0").select(*docs.columns)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal text, the one with the smallest doc_id stays."""
+    return _without(docs, exact_dedup.exact_groups(docs).filter("NOT kept AND doc_id <> keep_id"))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that n-gram links connect, the one with the smallest doc_id stays."""
+    return _without(docs, ngram_join.ngram_components(docs).filter("doc_id <> component_id"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents left, as pieces of sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality classifier", classify), ("quality rules", rules), ("exact dedup", exact), ("n-gram Jaccard join", near), ("packing", pack)]
+
+#: The classifier and the packing have no SQL form; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each is written and read again, so lineage stays short and nothing is worked out twice."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

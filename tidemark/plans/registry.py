@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import catalogue
+
+QUERIES: dict = {**catalogue.QUERIES}
+ORACLES: dict = {**catalogue.ORACLES}

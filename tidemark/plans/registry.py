@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalogue
+from . import catalogue, payloads, titles
 
-QUERIES: dict = {**catalogue.QUERIES}
-ORACLES: dict = {**catalogue.ORACLES}
+QUERIES: dict = {**catalogue.QUERIES, **titles.QUERIES, **payloads.QUERIES}
+ORACLES: dict = {**catalogue.ORACLES, **titles.ORACLES, **payloads.ORACLES}

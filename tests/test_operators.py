@@ -128,7 +128,9 @@ def test_source_order(spark):
     sources = spark.createDataFrame([(n, k, True, i) for i, (n, k) in enumerate(selection.REGISTERED)], "name string, type string, enabled boolean, idx int")
     series = spark.createDataFrame([(1, None)], "id long, type string")
     got = [r.name for r in selection.compatible(series, sources).orderBy("position").collect()]
-    assert got == ["MangaKatana", "Weeb Central", "MangaDex", "MangaPark", "Mangapill"]
+    assert got == ["MangaKatana", "Weeb Central", "Mangapill", "MangaPark", "MangaDex"]
+    other = [r.name for r in selection.compatible(series.withColumn("type", F.lit(" Manhua")), sources).orderBy("position").collect()]
+    assert other == [*got, "Asura", "Rokari Comics"]
 
 
 def test_calendar_months_run_over(spark):

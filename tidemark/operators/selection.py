@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 #: The sources in order of registration and their types.
 REGISTERED = (
-    ("Asura Comic", "manhwa"), ("MangaPark", "multiple"), ("MangaDex", "multiple"), ("Mangapill", "manga"),
-    ("Weeb Central", "multiple"), ("MangaKatana", "multiple"), ("Manhwa Galaxy", "manhwa"),
+    ("Asura", "manhwa"), ("MangaDex", "multiple"), ("MangaPark", "multiple"), ("Mangapill", "multiple"),
+    ("Weeb Central", "multiple"), ("MangaKatana", "multiple"), ("Rokari Comics", "manhwa"),
 )
 
 

@@ -1,10 +1,10 @@
 """Byte-level BPE tables and the split of texts into chunks that merge alone.
 
-A chunk is what lies between two single spaces, with the space before it. The
-pre-tokenizer of byte-level BPE always starts a piece at a space unless white
-space stands on both sides of it, so a text without such a space can be encoded
-chunk by chunk, and equal chunks have equal ids. Texts with such a space, or
-with a special token's string, take the whole-text path.
+The pre-tokenizer of byte-level BPE always starts a piece at a single space or
+line feed, unless it stands inside a longer run of white space. So a text
+without runs of three white-space characters, and without two at its end, can
+be encoded chunk by chunk, and equal chunks have equal ids. Other texts, and
+those with a special token's string, take the whole-text path.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Python's \\s holds all that the tokenizers' \\s holds, so this errs to the safe side.
-UNSAFE = re.compile(r"\s \s")
+UNSAFE = re.compile(r"\s\s(?:\s|\Z)")
 
 #: The split pattern of byte-level BPE, as public_tokenizers states it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -82,15 +82,33 @@ def splitter():
 
 
 def chunks(text: str, special: re.Pattern | None) -> list[str] | None:
-    """The text's chunks, without the space before all but the first; None if it can't be cut so."""
+    """The text's chunks; None if it can't be cut so.
+
+    The first begins the text. Of the others, one that begins with a line feed
+    stands for itself, and any other for itself with a space before it.
+    """
     if UNSAFE.search(text) or (special is not None and special.search(text)):
         return None
-    return text.split(" ")
+    return text.replace("\n", " \n").split(" ")
+
+
+def chunk_text(chunk: str) -> str:
+    return chunk if chunk.startswith("\n") else " " + chunk
+
+
+class Cache:
+    """Results by chunk, at most `limit` of chunks of at most `longest` characters.
 
+    Two generations: when `now` is full it becomes `before`, and what is used
+    again moves over; so frequent chunks stay and memory is bounded.
+    """
 
-class Cache(dict):
-    """Results by chunk. At most `limit` entries, of chunks of at most `longest` characters."""
+    def __init__(self, limit: int = 700_000, longest: int = 64):
+        self.half, self.longest = limit // 2, longest
+        self.now: dict = {}
+        self.before: dict = {}
 
-    def __init__(self, limit: int = 400_000, longest: int = 64):
-        super().__init__()
-        self.limit, self.longest = limit, longest
+    def turn(self) -> None:
+        """Makes room if `now` is full."""
+        if len(self.now) > self.half:
+            self.now, self.before = {}, self.now

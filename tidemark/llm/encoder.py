@@ -20,41 +20,49 @@ class ByChunk:
 
     empty: object = b""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 700_000):
         self.special = bpe.tables(path).specials
         self.cache = bpe.Cache(limit)
 
     def run(self, texts: list[str]) -> list:
         raise NotImplementedError
 
+    def run_chunks(self, chunks: list[str]) -> list:
+        return self.run([bpe.chunk_text(k) for k in chunks])
+
     def join(self, first, rest):
         return first + b"".join(rest)
 
     def apply(self, texts: list[str | None]) -> list:
         cut = [bpe.chunks(t, self.special) if t else [] for t in texts]
-        seen: set[str] = set()
+        self.cache.turn()
+        known, get = self.cache.now, self.cache.now.get
+        new: set[str] = set()
         for c in cut:
             if c:
-                seen.update(c[1:])
-        new = [k for k in seen if k not in self.cache]
-        if len(self.cache) + len(new) > self.cache.limit:
-            self.cache.clear()
-            new = list(seen)
-        known: dict = self.cache
-        if len(new) > self.cache.limit:  # more than the cache may hold: this call keeps its results to itself
-            known = {}
+                values = list(map(get, c))
+                if None in values:
+                    new.update([k for k, v in zip(c, values, strict=True) if v is None])
+        todo, before = [], self.cache.before
+        for k in new:
+            v = before.get(k)
+            if v is None:
+                todo.append(k)
+            else:
+                known[k] = v
+        if len(known) + len(todo) > 2 * self.cache.half:  # more than the cache may hold: this call keeps its results to itself
+            known = dict(known)
         aside: dict = {}
-        for a in range(0, len(new), 50_000):
-            part = new[a : a + 50_000]
-            for k, v in zip(part, self.run([" " + k for k in part]), strict=True):
+        for a in range(0, len(todo), 50_000):
+            part = todo[a : a + 50_000]
+            for k, v in zip(part, self.run_chunks(part), strict=True):
                 (known if len(k) <= self.cache.longest else aside)[k] = v
-        if aside:
-            known = _Either(known, aside)
+        get = _Either(known, aside).__getitem__ if aside else known.__getitem__
         heads = [i for i, c in enumerate(cut) if c]
         first = dict(zip(heads, self.run([cut[i][0] for i in heads]), strict=True))
         whole = [i for i, c in enumerate(cut) if c is None]
         full = dict(zip(whole, self.run([texts[i] for i in whole]), strict=True))
-        return [full[i] if c is None else self.join(first[i], map(known.__getitem__, c[1:])) if c else self.empty for i, c in enumerate(cut)]
+        return [full[i] if c is None else self.join(first[i], map(get, c[1:])) if c else self.empty for i, c in enumerate(cut)]
 
 
 class _Either:
@@ -77,10 +85,39 @@ class Encoder(ByChunk):
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
+        self.feed = int(bpe.tables(path).byte_id[10])
 
     def run(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def run_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Chunks without white space go line by line in texts of many lines: a line feed is a piece of its own, and no other piece has its id."""
+        out: list[bytes] = [b""] * len(chunks)
+        lines, feeds, odd = [], [], []
+        for i, k in enumerate(chunks):
+            if k.isalnum():
+                lines.append(i)
+                continue
+            body = k[1:] if k[:1] == "\n" else k
+            if not body or body.split() != [body]:
+                odd.append(i)
+            else:
+                (lines if body is k else feeds).append(i)
+        for places, prefix, head in ((lines, " ", b""), (feeds, "", np.array([self.feed], "<u4").tobytes())):
+            groups = [places[a : a + 100] for a in range(0, len(places), 100)]
+            texts = ["\n".join([prefix + (chunks[i] if not head else chunks[i][1:]) for i in g]) for g in groups]
+            for g, e in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u4")
+                ends = [*(4 * np.flatnonzero(ids == self.feed)).tolist(), 4 * len(ids)]
+                flat = ids.tobytes()
+                p = 0
+                for i, q in zip(g, ends, strict=True):
+                    out[i] = head + flat[p:q]
+                    p = q + 4
+        for i, ids in zip(odd, self.run([bpe.chunk_text(chunks[i]) for i in odd]), strict=True):
+            out[i] = ids
+        return out
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:

@@ -48,7 +48,7 @@ class Counter(ByChunk):
         t = bpe.tables(path)
         self.pair_rank, self.by_rank, self.byte_id = t.pair_rank, t.by_rank.tolist(), t.byte_id.tolist()
         self.pieces = bpe.splitter()
-        self.known = bpe.Cache()
+        self.known: dict[str, int] = {}
 
     def join(self, first: int, rest) -> int:
         return first + sum(rest)
@@ -58,8 +58,8 @@ class Counter(ByChunk):
         if n is None:
             data = w.encode()
             n = len(data) - count_merges([self.byte_id[b] for b in data], self.pair_rank, self.by_rank) if len(data) > 1 else 1
-            if len(w) <= self.known.longest:
-                if len(self.known) >= self.known.limit:
+            if len(w) <= self.cache.longest:
+                if len(self.known) >= self.cache.half:
                     self.known.clear()
                 self.known[w] = n
         return n

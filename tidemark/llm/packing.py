@@ -54,42 +54,48 @@ class Packer:
         self.kinds[m, self.loss(piece[1], m, piece[4])].append(piece)
 
     def flush(self) -> Iterator[tuple[int, int, tuple, int]]:
-        names = sorted(self.kinds)
-        size = np.array([[m, 1, loss] for m, loss in names], np.int64).reshape(-1, 3)
-        count = np.array([len(self.kinds[k]) for k in names], np.int64)
-        share = size / self.limit
-        position = {k: i for i, k in enumerate(names)}
+        """(sequence, offset in it, piece, its loss-bearing ids) of all pieces added."""
+        kinds = sorted(k for k, v in self.kinds.items() if v)
+        limit = self.limit.tolist()
+
+        def arrays():
+            tokens, loss = (np.array([k[i] for k in kinds], np.int64) for i in (0, 1))
+            return tokens, loss, tokens / limit[0], loss / limit[2], np.array([len(self.kinds[k]) for k in kinds], np.int64)
+
+        tokens, loss, share_t, share_l, count = arrays()
         left = int(count.sum())
         while left:
-            room, offset = self.limit.copy(), 0
-            while left:
-                fits = (count > 0) & (size <= room).all(axis=1)
-                if fits.any():
-                    best = int(np.argmax(np.where(fits, share @ (room / self.limit), -1.0)))
-                    piece = self.kinds[names[best]].pop()
+            room_t, room_s, room_l = limit
+            offset = 0
+            while left and room_t and room_s:
+                k = int(np.searchsorted(tokens, room_t, "right"))
+                fits = np.flatnonzero((count[:k] > 0) & (loss[:k] <= room_l))
+                if len(fits):  # one segment each, so that part of the product is the same for all
+                    best = int(fits[np.argmax(share_t[fits] * (room_t / limit[0]) + share_l[fits] * (room_l / limit[2]))])
+                    piece = self.kinds[kinds[best]].pop()
                     count[best] -= 1
                     left -= 1
-                elif room[0] >= self.least and room[1] and room[2] >= room[0]:
-                    best = int(np.flatnonzero(count > 0)[-1])  # the longest: its rest stays useful
-                    doc_id, start, n, ids, prompt = self.kinds[names[best]].pop()
+                elif room_t >= self.least and room_l >= room_t:
+                    best = int(np.flatnonzero(count)[-1])  # the longest: its rest stays useful
+                    doc_id, start, n, ids, prompt = self.kinds[kinds[best]].pop()
                     count[best] -= 1
-                    m = int(room[0])
-                    piece, rest = (doc_id, start, n, ids[: 4 * m], prompt), (doc_id, start + m, n, ids[4 * m :], prompt)
-                    k = (len(rest[3]) // 4, self.loss(rest[1], len(rest[3]) // 4, prompt))
-                    if k not in position:
-                        names.append(k)
-                        position[k] = len(names) - 1
-                        size = np.vstack([size, [k[0], 1, k[1]]])
-                        share = size / self.limit
-                        count = np.append(count, 0)
-                    self.kinds[k].append(rest)
-                    count[position[k]] += 1
+                    piece, rest = (doc_id, start, n, ids[: 4 * room_t], prompt), (doc_id, start + room_t, n, ids[4 * room_t :], prompt)
+                    self.put(rest)
+                    kind = (len(rest[3]) // 4, self.loss(rest[1], len(rest[3]) // 4, prompt))
+                    at = int(np.searchsorted(tokens, kind[0]))
+                    while at < len(kinds) and kinds[at] < kind:
+                        at += 1
+                    if at < len(kinds) and kinds[at] == kind:
+                        count[at] += 1
+                    else:
+                        kinds = sorted(k for k, v in self.kinds.items() if v)
+                        tokens, loss, share_t, share_l, count = arrays()
                 else:
                     break
                 m = len(piece[3]) // 4
-                loss = self.loss(piece[1], m, piece[4])
-                yield self.sequence, offset, piece, loss
-                room -= (m, 1, loss)
+                lossy = self.loss(piece[1], m, piece[4])
+                yield self.sequence, offset, piece, lossy
+                room_t, room_s, room_l = room_t - m, room_s - 1, room_l - lossy
                 offset += m
             self.sequence += 1
         self.kinds.clear()

@@ -113,5 +113,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, order: list[Rule] |
     """
     order = order_rules(docs, rules) if order is None else order
     d = metrics(docs).withColumn("base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words"))
-    d = d.withColumn("rejected_by", F.when(F.col("base_failed"), F.lit("base")).otherwise(verdict(order)))
-    return d.withColumn("kept", F.col("rejected_by").isNull()).drop("t")
+    # a filter on the verdict would be pushed below the metrics and repeat them at each mention; the row number stops it
+    d = d.withColumn("_at", F.monotonically_increasing_id())
+    d = d.withColumn("rejected_by", F.when(F.col("_at") < 0, F.lit(None).cast("string")).when(F.col("base_failed"), F.lit("base")).otherwise(verdict(order)))
+    return d.withColumn("kept", F.col("rejected_by").isNull()).drop("t", "_at")

@@ -11,7 +11,6 @@ classifier and the rules' metrics alone and are never dropped by id.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, ngram_join, packing, quality_classifier, quality_rules
 from tidemark.session import materialize
@@ -29,9 +28,7 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    judged = quality_rules.judge(docs)
-    # the id keeps the condition above the metrics, so that they aren't worked out once for each mention
-    return judged.withColumn("_at", F.monotonically_increasing_id()).filter("kept AND _at >= 0").select(*docs.columns)
+    return quality_rules.judge(docs).filter("kept").select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

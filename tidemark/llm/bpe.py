@@ -103,7 +103,7 @@ class Cache:
     again moves over; so frequent chunks stay and memory is bounded.
     """
 
-    def __init__(self, limit: int = 700_000, longest: int = 64):
+    def __init__(self, limit: int = 1_000_000, longest: int = 64):
         self.half, self.longest = limit // 2, longest
         self.now: dict = {}
         self.before: dict = {}

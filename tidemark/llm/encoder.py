@@ -20,7 +20,7 @@ class ByChunk:
 
     empty: object = b""
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         self.special = bpe.tables(path).specials
         self.cache = bpe.Cache(limit)
 
@@ -52,25 +52,19 @@ class ByChunk:
                 known[k] = v
         if len(known) + len(todo) > 2 * self.cache.half:  # more than the cache may hold: this call keeps its results to itself
             known = dict(known)
-        aside: dict = {}
         for a in range(0, len(todo), 50_000):
             part = todo[a : a + 50_000]
-            for k, v in zip(part, self.run_chunks(part), strict=True):
-                (known if len(k) <= self.cache.longest else aside)[k] = v
-        get = _Either(known, aside).__getitem__ if aside else known.__getitem__
+            known.update(zip(part, self.run_chunks(part), strict=True))
+        get = known.__getitem__
         heads = [i for i, c in enumerate(cut) if c]
         first = dict(zip(heads, self.run([cut[i][0] for i in heads]), strict=True))
         whole = [i for i, c in enumerate(cut) if c is None]
         full = dict(zip(whole, self.run([texts[i] for i in whole]), strict=True))
-        return [full[i] if c is None else self.join(first[i], map(get, c[1:])) if c else self.empty for i, c in enumerate(cut)]
-
-
-class _Either:
-    def __init__(self, known: dict, aside: dict):
-        self.known, self.aside = known, aside
-
-    def __getitem__(self, k: str):
-        return self.aside[k] if k in self.aside else self.known[k]
+        out = [full[i] if c is None else self.join(first[i], map(get, c[1:])) if c else self.empty for i, c in enumerate(cut)]
+        for k in todo:
+            if len(k) > self.cache.longest:
+                del known[k]
+        return out
 
 
 class Encoder(ByChunk):

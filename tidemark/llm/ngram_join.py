@@ -177,6 +177,7 @@ def _first_entries(size: int, percent: int, blocks: int):
                     rows.append((int(docs["lo"][0] % blocks), 1, docs.tobytes()))
                 if rows:
                     yield _packed(rows)
+        words().clear()  # the worker lives on and has other things to hold
 
     return run
 
@@ -214,6 +215,7 @@ def _sets(size: int):
                     if (xxhash.xxh3_128_intdigest(s.tobytes()) & (1 << 64) - 1) - (1 << 63) == lo:  # a repeated doc_id can bring another text
                         out.append((row, len(s), s.tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["row", "n", "entries"])
+        words().clear()
 
     return run
 

@@ -13,7 +13,7 @@ from . import bpe
 class ByChunk:
     """apply(texts) gives run([text])[0] for every text; None counts as empty.
 
-    A subclass gives run(texts) -> list, join(first, rest) for the results of
+    A subclass gives run(texts) -> list, join(values) for the results of
     chunks in order, and empty. Only chunks that aren't in the cache are run,
     many in one call. The cache is bounded.
     """
@@ -30,20 +30,31 @@ class ByChunk:
     def run_chunks(self, chunks: list[str]) -> list:
         return self.run([bpe.chunk_text(k) for k in chunks])
 
-    def join(self, first, rest):
-        return first + b"".join(rest)
+    def join(self, values: list):
+        return b"".join(values)
 
     def apply(self, texts: list[str | None]) -> list:
-        cut = [bpe.chunks(t, self.special) if t else [] for t in texts]
         self.cache.turn()
-        known, get = self.cache.now, self.cache.now.get
-        new: set[str] = set()
-        for c in cut:
-            if c:
-                values = list(map(get, c))
-                if None in values:
-                    new.update([k for k, v in zip(c, values, strict=True) if v is None])
-        todo, before = [], self.cache.before
+        known, before, get = self.cache.now, self.cache.before, self.cache.now.get
+        found: dict[int, list] = {}  # a text's chunk results; of its chunks, only those without a result are held
+        lacking: list[tuple[int, list[int], list[str]]] = []
+        heads, whole, new = [], [], set()
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            c = bpe.chunks(t, self.special)
+            if c is None:
+                whole.append(i)
+                continue
+            heads.append(c[0])
+            values = found[i] = list(map(get, c))
+            values[0] = self.empty
+            if None in values:
+                places = [j for j, v in enumerate(values) if v is None]
+                names = [c[j] for j in places]
+                lacking.append((i, places, names))
+                new.update(names)
+        todo = []
         for k in new:
             v = before.get(k)
             if v is None:
@@ -55,12 +66,17 @@ class ByChunk:
         for a in range(0, len(todo), 50_000):
             part = todo[a : a + 50_000]
             known.update(zip(part, self.run_chunks(part), strict=True))
-        get = known.__getitem__
-        heads = [i for i, c in enumerate(cut) if c]
-        first = dict(zip(heads, self.run([cut[i][0] for i in heads]), strict=True))
-        whole = [i for i, c in enumerate(cut) if c is None]
-        full = dict(zip(whole, self.run([texts[i] for i in whole]), strict=True))
-        out = [full[i] if c is None else self.join(first[i], map(get, c[1:])) if c else self.empty for i, c in enumerate(cut)]
+        for i, places, names in lacking:
+            values = found[i]
+            for j, k in zip(places, names, strict=True):
+                values[j] = known[k]
+        for values, v in zip(found.values(), self.run(heads), strict=True):
+            values[0] = v
+        out = [self.empty] * len(texts)
+        for i, values in found.items():
+            out[i] = self.join(values)
+        for i, v in zip(whole, self.run([texts[i] for i in whole]), strict=True):
+            out[i] = v
         for k in todo:
             if len(k) > self.cache.longest:
                 del known[k]

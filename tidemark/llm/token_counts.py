@@ -50,8 +50,8 @@ class Counter(ByChunk):
         self.pieces = bpe.splitter()
         self.known: dict[str, int] = {}
 
-    def join(self, first: int, rest) -> int:
-        return first + sum(rest)
+    def join(self, values: list[int]) -> int:
+        return sum(values)
 
     def word(self, w: str) -> int:
         n = self.known.get(w)

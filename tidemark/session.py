@@ -29,8 +29,13 @@ def build_session(master: str = "local[8]", app: str = "tidemark", **conf: str)
     return builder.getOrCreate()
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package where it isn't installed."""
+    """Lets Python workers import this package where it isn't installed, and, where the session sets no bound, hands them rows by 8 MB."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(8 << 20))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:

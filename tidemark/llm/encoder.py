@@ -135,6 +135,18 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, for a worker that lives on after a task that held much; where the C library can't, nothing happens."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch, column: str, rows: int = 1000, size: int = 8 << 20):
     """Cuts an Arrow batch into runs of at most `rows` rows and about `size` bytes of `column`, so memory doesn't depend on text lengths."""
     import pyarrow.compute as pc

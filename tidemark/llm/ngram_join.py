@@ -32,7 +32,7 @@ from tidemark.operators.skew import left_join_by_key
 from tidemark.session import materialize, partitions, ship
 
 from .components import components
-from .encoder import slices
+from .encoder import give_back, slices
 
 #: Odd multipliers that tell the places of an n-gram apart.
 MIX = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) & (1 << 64) - 1) for i in range(64)]
@@ -178,6 +178,7 @@ def _first_entries(size: int, percent: int, blocks: int):
                 if rows:
                     yield _packed(rows)
         words().clear()  # the worker lives on and has other things to hold
+        give_back()
 
     return run
 
@@ -216,6 +217,7 @@ def _sets(size: int):
                         out.append((row, len(s), s.tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["row", "n", "entries"])
         words().clear()
+        give_back()
 
     return run
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from tidemark.session import ship
 
 from .bpe import default_tokenizer
-from .encoder import encoder, slices
+from .encoder import encoder, give_back, slices
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, loss_tokens long, ids binary"
 
@@ -123,6 +123,7 @@ def pack(
         import pyarrow as pa
         from pyspark import TaskContext
 
+        give_back()  # of what other tasks held in this worker
         base = TaskContext.get().partitionId() << 33
         tail = np.array([] if end_id is None else [end_id], "<u4").tobytes()
         packer, held, held_bytes = Packer(*limits), 0, 0

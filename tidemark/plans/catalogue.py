@@ -288,7 +288,7 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = t.attempts(spark, sf_dir)
     stats = telemetry.provider_stats(a)
     rows = stats.collect()  # one row a provider
-    totals = telemetry.run_totals(_outcomes(spark, sf_dir), 600_000, 8).first()
+    totals = telemetry.run_totals(telemetry.series_outcome(a), 600_000, 8).first()
     alerts = telemetry.provider_alerts(stats, error_rate=0.3).orderBy("provider").collect()
     tiers = cadence.tier_histogram(cadence.activity(t.activity_rows(spark, sf_dir)), _now()).collect()
     tripped = [r.provider for r in telemetry.breaker(a, 8).filter("tripped_at IS NOT NULL").orderBy("provider").collect()]

@@ -2,28 +2,36 @@
 
 Each stage is (spark, docs, sf_dir) -> DataFrame: it takes every row that its
 predecessor kept, and all but the last return the columns of documents. A
-stage that drops rows works out the ids to drop as a table of ids, and takes
-them out with one anti join; the rules judge row by row and need none.
-doc_id stands for the row. Rows with a null doc_id are judged by the
-classifier and the rules' metrics alone and are never dropped by id.
+stage that drops rows numbers them in a written table, works out the numbers to
+drop, and takes them out with one anti join, so each row goes or stays by its
+own verdict, whatever its doc_id; the rules judge row by row and need none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, ngram_join, packing, quality_classifier, quality_rules
 from tidemark.session import materialize
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    return docs.join(materialize(dropped.select("doc_id").distinct(), "dropped"), "doc_id", "left_anti").select(*docs.columns)
+ROW = "_pipeline_row"
+
+
+def _kept(docs: DataFrame, verdicts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows of docs without those for which verdicts (uid, kept) says that they aren't kept."""
+    rows = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    dropped = materialize(verdicts(rows).filter("NOT kept").select(F.col("uid").alias(ROW)), "dropped")
+    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _without(docs, quality_classifier.classify(docs, labels).filter("NOT kept"))
+    return _kept(docs, lambda rows: quality_classifier.classify(rows, labels, row=ROW))
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +40,13 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal text, the one with the smallest doc_id stays."""
-    return _without(docs, exact_dedup.exact_groups(docs).filter("NOT kept AND doc_id <> keep_id"))
+    """Of documents with equal text, one stays: that with the smallest doc_id."""
+    return _kept(docs, lambda rows: exact_dedup.exact_groups(rows, row=ROW))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that n-gram links connect, the one with the smallest doc_id stays."""
-    return _without(docs, ngram_join.ngram_components(docs).filter("doc_id <> component_id"))
+    """Of documents that n-gram links connect, one stays: that with the smallest doc_id; without doc_id, a document links with nothing."""
+    return _kept(docs, lambda rows: ngram_join.ngram_components(rows, row=ROW))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,6 @@
+import re
+from collections import Counter
+
 import corpus_pipeline
 
 from tidemark.llm import exact_dedup, ngram_join, quality_classifier, quality_rules, queries
@@ -29,3 +32,53 @@ def test_stages_take_odd_rows(spark, odd, none, small):
     for docs in (odd, none):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), small).count() <= 10_000
+
+
+def squeezed(text):
+    return re.sub("[\x20\x09-\x0d]+", " ", text or "")
+
+
+def first_of(groups):
+    """One row of each group of (doc_id, text): the smallest doc_id, none last."""
+    return Counter((d, squeezed(t)) for d, t in (min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in groups))
+
+
+def grams(text):
+    w = squeezed(text).strip().lower().split(" ") if squeezed(text).strip() else []
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_each_row_goes_by_its_own_verdict(spark, odd, tmp_path):
+    clean = "a plain sentence of common words that goes on for a while and then stops near the end of the page"
+    more = [(30, clean + " one"), (30, clean + " one"), (30, "#|! " * 90), (None, "#|! " * 90), (31, "#|! " * 90), (32, " ".join(f"v{i}" for i in range(50))), (32, " ".join(f"v{i}" for i in range(51))), (33, " ".join(f"u{i}" for i in range(50)))]
+    extra = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in [*more, (33, " ".join(f"t{i}" for i in range(50)))]], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars").unionByName(extra).repartition(3)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (16, 0, 0), (31, 0, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+
+    def left(stage):
+        return Counter((r.doc_id, squeezed(r.text)) for r in stage(spark, docs, str(tmp_path)).collect())
+
+    scores = quality_classifier.classify(docs, labels).collect()
+    kept = Counter(r.doc_id for r in scores if r.kept)
+    assert 0 < sum(kept.values()) < len(rows) and any(r.doc_id is None and not r.kept for r in scores)
+    out = Counter()
+    for (d, _), n in left(corpus_pipeline.classify).items():
+        out[d] += n
+    assert out == kept
+
+    assert left(corpus_pipeline.rules) == Counter((r.doc_id, squeezed(r.text)) for r in quality_rules.judge(docs, order=list(quality_rules.RULES)).collect() if r.kept)
+
+    same = {}
+    for d, t in rows:
+        same.setdefault(squeezed(t), []).append((d, t))
+    assert left(corpus_pipeline.exact) == first_of(same.values())
+
+    sets = [grams(t) for _, t in rows]
+    groups = []
+    for i, row in enumerate(rows):
+        near = [g for g in groups if row[0] is not None and any(rows[j][0] is not None and sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) for j in g)]
+        groups = [g for g in groups if g not in near] + [sum(near, [i])]
+    got, want = left(corpus_pipeline.near), first_of([rows[j] for j in g] for g in groups)
+    assert Counter((d, t if d != 32 else "") for d, t in got.elements()) == Counter((d, t if d != 32 else "") for d, t in want.elements())  # either row of 32 may stay

@@ -44,7 +44,7 @@ def _in_filter(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
     return met.filter(f"shiftright({byte}, cast(bit % 8 as int)) & 1 = 1").drop("bucket", "bit", "bits")
 
 
-def exact_groups(docs: DataFrame, hash_: Callable[[Column], Column] = hash128) -> DataFrame:
+def exact_groups(docs: DataFrame, hash_: Callable[[Column], Column] = hash128, row: str | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row of docs (doc_id, text).
 
     Of rows with equal normalised text, the one with the smallest doc_id is
@@ -53,11 +53,13 @@ def exact_groups(docs: DataFrame, hash_: Callable[[Column], Column] = hash128) -
     empty table gives an empty one; other columns aren't read. Shuffled: one
     short row a document, and the texts of documents whose hash repeats, each
     once a task. hash_ maps the normalised text to the group's hash; a weak one
-    only costs time.
+    only costs time. row names a column of stored longs of which each row has
+    its own; the result then has it too, as uid.
     """
-    texts = docs.select("doc_id", normalised(F.col("text")).alias("norm"))
+    uid = [F.col(row).alias("uid")] if row else []
+    texts = docs.select("doc_id", *uid, normalised(F.col("text")).alias("norm"))
     sha = F.sha2(F.encode("norm", "UTF-8"), 256)
-    rows = materialize(texts.select("doc_id", hash_(F.col("norm")).alias("h"), sha.alias("s"), F.monotonically_increasing_id().alias("uid")), "keys")
+    rows = materialize(texts.select("doc_id", hash_(F.col("norm")).alias("h"), sha.alias("s"), F.col("uid") if row else F.monotonically_increasing_id().alias("uid")), "keys")
     total = rows.count()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("first")
     repeated = materialize(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "repeated")
@@ -72,8 +74,9 @@ def exact_groups(docs: DataFrame, hash_: Callable[[Column], Column] = hash128) -
     plain = rows.join(clash, ["h", "s"], "left_anti") if collided else rows
     out = left_join_by_key(plain, groups, ["h", "s"], "group_size", total)
     if collided:
-        out = out.unionByName(_apart(texts.withColumns({"h": hash_(F.col("norm")), "s": sha}), clash).select(*out.columns))
+        out = out.unionByName(_apart(texts.withColumns({"h": hash_(F.col("norm")), "s": sha} | ({} if row else {"uid": -1 - F.monotonically_increasing_id()})), clash).select(*out.columns))
     return out.select(
+        *["uid"] * bool(row),
         "doc_id",
         F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
@@ -85,6 +88,6 @@ def exact_groups(docs: DataFrame, hash_: Callable[[Column], Column] = hash128) -
 def _apart(texts: DataFrame, clash: DataFrame) -> DataFrame:
     """Rows whose hash and digest belong to several texts, grouped by the text itself."""
     same = Window.partitionBy("h", "norm")
-    rows = materialize(texts.join(clash, ["h", "s"], "left_semi").withColumn("uid", -1 - F.monotonically_increasing_id()), "collided")
+    rows = materialize(texts.join(clash, ["h", "s"], "left_semi"), "collided")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).over(same)
     return rows.withColumns({"group_size": F.count(F.lit(1)).over(same), "first": first}).drop("norm")

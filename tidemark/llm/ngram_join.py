@@ -107,7 +107,7 @@ def _packed(rows: list[tuple]):
 
 
 PACKED = "block int, kind tinyint, data binary"
-DOC = np.dtype([("doc", "<i8"), ("n", "<i8"), ("hi", "<i8"), ("lo", "<i8"), ("shared", "<i8")])
+DOC = np.dtype([("doc", "<i8"), ("uid", "<i8"), ("n", "<i8"), ("hi", "<i8"), ("lo", "<i8"), ("shared", "<i8")])
 ENTRY = np.dtype([("row", "<i8"), ("column", "<u8"), ("count", "<i4")])
 SIZE = np.dtype([("row", "<i8"), ("n", "<i8")])
 
@@ -150,12 +150,12 @@ def _first_entries(size: int, percent: int, blocks: int):
                 rows, seen = [], {}
                 sets, owners = [], []
                 docs = np.zeros(piece.num_rows, DOC)
-                for i, (doc, text) in enumerate(zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), strict=True)):
+                for i, (doc, uid, text) in enumerate(zip(piece.column("doc_id").to_pylist(), piece.column("uid").to_pylist(), piece.column("text").to_pylist(), strict=True)):
                     s = ngrams(text, size)
                     n = len(s)
                     h = xxhash.xxh3_128_intdigest(s.tobytes())
                     hi, lo = (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)
-                    docs[i] = (doc, n, hi, lo, 0)
+                    docs[i] = (doc, uid, n, hi, lo, 0)
                     if n and h not in seen:
                         seen[h] = i
                         need = n - least_overlap(n, percent) + extra(n)
@@ -188,17 +188,17 @@ def _count_shared(batches) -> Iterator:
     import pyarrow as pa
 
     parts = _read(batches)
-    names = ["doc_id", "n", "hi", "lo", "shared"]
+    names = ["doc_id", "uid", "n", "hi", "lo", "shared"]
     for data in parts.get(1, []):
         d = np.frombuffer(data, DOC)
-        yield pa.RecordBatch.from_arrays([pa.array(d[c], pa.int64()) for c in ("doc", "n", "hi", "lo", "shared")], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(d[c], pa.int64()) for c in DOC.names], names=names)
     column, owner = _pairs(parts.get(0, []))
     owner = owner[_runs(column) > 1].view(np.int64)
     key, count = np.unique(owner[owner != 0], return_counts=True)
     for a in range(0, len(key), 50_000):
         m = len(key[a : a + 50_000])
         none = pa.nulls(m, pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(key[a : a + m], pa.int64()), pa.array(count[a : a + m], pa.int64())], names=names)
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(key[a : a + m], pa.int64()), pa.array(count[a : a + m], pa.int64())], names=names)
 
 
 def _sets(size: int):
@@ -441,7 +441,7 @@ def _leaders(own: DataFrame) -> DataFrame:
     return own.select("label", "row", "entries").join(chosen, ["label", "row"], "left_semi")
 
 
-def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of docs (doc_id, text).
 
     Two documents link when 100 * |intersection| >= percent * |union| of their
@@ -449,37 +449,41 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataF
     links lead to. A null, empty or blank text has an empty set and links with
     nothing. Rows with a null doc_id have a null component_id and join nothing.
     Rows with the same doc_id are documents of their own. An empty table gives
-    an empty one; other columns aren't read.
+    an empty one; other columns aren't read. row names a column of longs of
+    which each row has its own; the result then has it too, as uid, and kept:
+    true for one row of each component, that with the smallest doc_id and of
+    those with the smallest uid, and for rows that link with nothing.
     """
     if not 0 < percent <= 100 or size < 1:
         raise ValueError("percent must be in 1..100 and size at least 1")
     spark = docs.sparkSession
     ship(spark)
     k = partitions(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col(row) if row else F.lit(0)).cast("long").alias("uid"), "text")
     named = docs.filter("doc_id IS NOT NULL")
-    first = named.mapInArrow(_first_entries(size, percent, k), PACKED).repartition(k, "block").mapInArrow(_count_shared, "doc_id long, n long, hi long, lo long, shared long")
+    first = named.mapInArrow(_first_entries(size, percent, k), PACKED).repartition(k, "block").mapInArrow(_count_shared, "doc_id long, uid long, n long, hi long, lo long, shared long")
     seen = materialize(first, "seen")
     rows = seen.filter("doc_id IS NOT NULL")
     full = rows.filter("n > 0")
-    classes = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.count(F.lit(1)).alias("size"))
+    classes = full.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "uid")).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("size"))
     counts = seen.groupBy("lo").agg(F.sum("shared").alias("shared"))
     need = F.expr(f"(({percent} * n + 99) div 100) * {EXTRA} div 100 + 1")
     classes = materialize(classes.join(counts, "lo").withColumn("left", F.col("shared") >= need).withColumn("row", F.monotonically_increasing_id()), "classes")
-    left = classes.filter("left").select("doc_id", "row", "lo")
+    left = classes.filter("left").select("first.doc_id", "row", "lo")
     sets = materialize(named.join(left, "doc_id").select("row", "lo", "text").mapInArrow(_sets(size), "row long, n long, entries binary"), "sets")
     labels = linked_rows(sets, percent)
     near = classes.join(labels, "row")
-    lowest = near.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("rows"))
-    near = left_join_by_key(near, materialize(lowest, "lowest"), ["label"], "rows", near.count()).select("row", "component_id")
-    known = classes.join(near, "row", "left").select("hi", "lo", "size", F.coalesce("component_id", "doc_id").alias("component_id"), F.col("component_id").isNotNull().alias("joined"))
+    lowest = near.groupBy("label").agg(F.min("first").alias("lowest"), F.count(F.lit(1)).alias("rows"))
+    near = left_join_by_key(near, materialize(lowest, "lowest"), ["label"], "rows", near.count()).select("row", "lowest")
+    known = classes.join(near, "row", "left").select("hi", "lo", "size", F.coalesce("lowest", "first").alias("lowest"), F.col("lowest").isNotNull().alias("joined"))
     known = materialize(known.filter("size > 1 OR joined").drop("joined"), "known")
     out = left_join_by_key(full, known, ["hi", "lo"], "size", full.count())
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    out = out.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
-    if docs.filter("doc_id IS NULL").isEmpty():
-        return out
-    return out.unionByName(docs.filter("doc_id IS NULL").mapInArrow(_nameless(size), "doc_id long, n_shingles long, component_id long"))
+    kept = F.col("lowest").isNull() | (F.col("lowest.uid") == F.col("uid"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("lowest.doc_id", "doc_id").alias("component_id"), "uid", kept.alias("kept"))
+    out = out.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "uid", F.lit(True).alias("kept")))
+    if not docs.filter("doc_id IS NULL").isEmpty():
+        out = out.unionByName(docs.filter("doc_id IS NULL").mapInArrow(_nameless(size), "doc_id long, n_shingles long, component_id long, uid long, kept boolean"))
+    return out if row else out.drop("uid", "kept")
 
 
 def _nameless(size: int):
@@ -489,6 +493,6 @@ def _nameless(size: int):
         for batch in batches:
             n = [len(ngrams(t, size)) for t in batch.column("text").to_pylist()]
             none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, pa.array(n, pa.int64()), none], names=["doc_id", "n_shingles", "component_id"])
+            yield pa.RecordBatch.from_arrays([none, pa.array(n, pa.int64()), none, batch.column("uid"), pa.array([True] * len(n))], names=["doc_id", "n_shingles", "component_id", "uid", "kept"])
 
     return run

@@ -111,21 +111,23 @@ def site_posteriors(scores: DataFrame) -> DataFrame:
     return both.select("host", "path", "n", shift.alias("shift"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, most_shift: float = 2.0, most: int = MOST_LABELS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, most_shift: float = 2.0, most: int = MOST_LABELS, row: str | None = None) -> DataFrame:
     """doc_id, own (log-odds of the text alone), shift (of its site, within +-most_shift), score (probability) and kept of every row.
 
     host and path name the columns that say where a document comes from; nulls
     are a site of their own. A null text counts as empty. Null and repeated
     doc_ids stay rows of their own. An empty table gives an empty one. Site
     posteriors cover all rows; a host with a large share of them meets its
-    documents by a broadcast of bounded size.
+    documents by a broadcast of bounded size. row names a column of longs of
+    which each row has its own; the result then has it too, as uid.
     """
+    uid = ["uid"] * bool(row)
     model = fit(docs, labels, most)
     where = [F.coalesce(F.col(c).cast("string"), F.lit("\x00none")).alias(a) for c, a in ((host, "host"), (path, "path"))]
-    rows = features(docs.select("doc_id", "text", *where)).select("doc_id", "host", "path", model.logit().alias("own")).withColumn("p", 1 / (1 + F.exp(-F.col("own"))))
+    rows = features(docs.select(*[F.col(row).alias("uid")] if row else [], "doc_id", "text", *where)).select(*uid, "doc_id", "host", "path", model.logit().alias("own")).withColumn("p", 1 / (1 + F.exp(-F.col("own"))))
     rows = materialize(rows, "scores")
     sites = materialize(site_posteriors(rows), "sites")
     met = left_join_by_key(rows, sites, ["host", "path"], "n", rows.count())
     shift = F.greatest(F.lit(-most_shift), F.least(F.lit(most_shift), F.coalesce("shift", F.lit(0.0))))
-    out = met.select("doc_id", "own", shift.alias("shift")).withColumn("score", F.round(1 / (1 + F.exp(-(F.col("own") + F.col("shift")))), 9))
+    out = met.select(*uid, "doc_id", "own", shift.alias("shift")).withColumn("score", F.round(1 / (1 + F.exp(-(F.col("own") + F.col("shift")))), 9))
     return out.withColumn("kept", F.col("score") >= threshold)

@@ -198,6 +198,47 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, seed, block, percent,
     assert result(df, percent=percent, size=size) == brute_components(rows(df), size, percent)
 
 
+def brute_links(docs, size=5, percent=80):
+    sets = []
+    for d, t in docs:
+        w = [x.lower() for x in WORD.findall(t or "")]
+        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w and d is not None else set())
+    return Counter((d, sum(1 for j, b in enumerate(sets) if i != j and a & b and 100 * len(a & b) >= percent * len(a | b))) for i, ((d, _), a) in enumerate(zip(docs, sets)))
+
+
+@pytest.mark.parametrize("block", [1024, 4])
+def test_links_equal_brute_force(spark, odd, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    for df in (odd, near_copies(spark, 6)):
+        got = ngram_join.ngram_components(df).collect()
+        assert Counter((r.doc_id, r.n_links) for r in got) == brute_links(rows(df))
+
+
+@pytest.mark.parametrize("common,wide", [(16, 4096), (16, 3), (1, 4096), (2, 5)])
+def test_product_of_a_block(monkeypatch, common, wide):
+    monkeypatch.setattr(ngram_join, "COMMON", common)
+    monkeypatch.setattr(ngram_join, "WIDE", wide)
+    r = np.random.default_rng(9)
+    for m in (1, 2, 60):
+        sets = [np.unique(r.integers(0, 40, int(r.integers(1, 30)))).astype(np.uint64) for _ in range(m)]
+        weight, side = r.integers(1, 5, m), r.integers(0, 2, m) > 0
+        for s in (None, side):
+            linked = [[i != j and (s is None or s[i] != s[j]) and 10 * len(set(a) & set(b)) >= 5 * len(set(a) | set(b)) for j, b in enumerate(sets)] for i, a in enumerate(sets)]
+            root, links = ngram_join.multiply(sets, 50, weight, s)
+            assert links.tolist() == [sum(int(w) for w, x in zip(weight, row) if x) for row in linked]
+            low = list(range(m))
+            for _ in range(m):
+                low = [min([low[i], *(low[j] for j in range(m) if linked[i][j])]) for i in range(m)]
+            assert root.tolist() == low
+
+
+def test_a_chain_is_no_full_group(spark):
+    w = [f"w{i}" for i in range(120)]
+    chain = spark.createDataFrame([(i, " ".join(w[10 * i : 10 * i + 100])) for i in range(3)], "doc_id long, text string")
+    got = {r.doc_id: (r.component_id, r.n_links) for r in ngram_join.ngram_components(chain).collect()}
+    assert got == {0: (0, 1), 1: (0, 2), 2: (0, 1)}
+
+
 def test_limits_of_the_threshold():
     for n in range(1, 60):
         for m in range(n, 60):

@@ -10,11 +10,10 @@ Exact for every pair at or over the threshold. Nothing is emitted pair by pair.
    share each of its columns. Rows whose shared columns don't reach the share
    that a partner must have are discarded; of the others, the rarest columns
    (again a size-derived number) join rows that may be similar into candidates.
-3. Candidate groups are multiplied block by block: overlaps are accumulated and
-   pairs below the bound that follows from their sizes are discarded. A block
-   ends as soon as its rows are all connected. Larger groups are dealt into
-   blocks with some rows in common; only where that doesn't connect them are
-   pairs of blocks multiplied.
+3. Candidate groups are multiplied block by block: all overlaps are accumulated
+   and pairs below the bound that follows from their sizes are discarded.
+   Larger groups are dealt into blocks, and each pair of blocks is multiplied.
+   What leaves a block are each row's number of links and its component there.
 
 Columns are 64-bit hashes of n-grams, sets are told apart by 128-bit hashes.
 """
@@ -38,8 +37,8 @@ from .encoder import give_back, slices
 MIX = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) & (1 << 64) - 1) for i in range(64)]
 #: Per cent of a set that its first blocks hold beyond what one shared entry needs; more means fewer documents in step 2.
 EXTRA = 10
-#: Rows of a block in step 3, and rows that all blocks of a larger group have in common.
-BLOCK, COMMON = 1024, 16
+#: Rows of a block in step 3; columns that more than one in COMMON of them have are multiplied as a dense matrix, WIDE columns at a time.
+BLOCK, COMMON, WIDE = 1024, 16, 4096
 
 
 class Words(dict):
@@ -211,11 +210,11 @@ def _sets(size: int):
         for batch in batches:
             for piece in slices(batch, "text", 2000, 8 << 20):
                 out = []
-                for row, lo, text in zip(piece.column("row").to_pylist(), piece.column("lo").to_pylist(), piece.column("text").to_pylist(), strict=True):
+                for row, lo, weight, text in zip(*(piece.column(c).to_pylist() for c in ("row", "lo", "weight", "text")), strict=True):
                     s = ngrams(text, size)
                     if (xxhash.xxh3_128_intdigest(s.tobytes()) & (1 << 64) - 1) - (1 << 63) == lo:  # a repeated doc_id can bring another text
-                        out.append((row, len(s), s.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["row", "n", "entries"])
+                        out.append((row, len(s), s.tobytes(), weight))
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.int64()))], names=["row", "n", "entries", "weight"])
         words().clear()
         give_back()
 
@@ -322,89 +321,87 @@ def _candidates(batches) -> Iterator:
             yield pa.RecordBatch.from_arrays([pa.array(x[apart][a : a + 50_000], pa.int64()) for x in (ids, root)], names=["a", "b"])
 
 
-def multiply(sets: list[np.ndarray], percent: int, label: np.ndarray | None = None) -> np.ndarray:
-    """The smallest index linked, directly or not, to each of the sets. label: rows with one label are connected already."""
+def multiply(sets: list[np.ndarray], percent: int, weight: np.ndarray, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(smallest index linked, directly or not; weight of all sets linked directly) for each of the sets. side: only pairs with a set on either side count."""
     m = len(sets)
-    root = np.arange(m)
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    parts = m
-    if label is not None:
-        _, first, inverse = np.unique(label, return_index=True, return_inverse=True)
-        root = first[inverse].copy()
-        parts = len(first)
     n = np.array([len(s) for s in sets], np.int64)
-    column = np.concatenate(sets) if m else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(m), n)
+    left = np.arange(m) if side is None else np.flatnonzero(side)
+    right = left if side is None else np.flatnonzero(~side)
+    column, owner = np.concatenate(sets), np.repeat(np.arange(m), n)
     order = np.argsort(column, kind="stable")
-    group = np.cumsum(np.append(True, column[order][1:] != column[order][:-1]))[: len(column)] - 1
-    of = np.empty(len(column), np.int64)
-    of[order] = group  # the column, as a number, of each entry
-    by_column = owner[order]
-    start = np.append(np.searchsorted(group, np.arange(group[-1] + 1)), len(group)) if len(group) else np.zeros(1, np.int64)
-    begins = np.append(0, np.cumsum(n))
-    for i in np.argsort(-n, kind="stable").tolist():
-        if parts == 1:
-            break
-        c = of[begins[i] : begins[i + 1]]
-        lengths = start[c + 1] - start[c]
-        c, lengths = c[lengths > 1], lengths[lengths > 1]
-        if len(c) < least_overlap(n[i], percent):
-            continue
-        at = np.repeat(start[c] - np.append(0, np.cumsum(lengths)[:-1]), lengths) + np.arange(lengths.sum())
-        overlap = np.bincount(by_column[at], minlength=m)
-        for j in np.flatnonzero(linked(overlap, n[i], n, percent) & (overlap > 0)).tolist():
-            a, b = find(i), find(j)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                parts -= 1
-    return np.array([find(i) for i in range(m)], np.int64)
-
-
-def _product(percent: int, known: bool):
-    """Step 3, over rows sorted by block: links (a, b) of each row to the smallest row it is connected to in its block."""
+    column, owner = column[order], owner[order]
+    length = _runs(column)
+    overlap = np.zeros((len(left), len(right)), np.float32)  # whole numbers below 2**24
+    dense = (length > 1) & (length * COMMON > m)
+    new = np.append(True, column[1:] != column[:-1])[: len(column)]
+    number, rows = np.cumsum(new[dense]) - 1, owner[dense]
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, WIDE):
+        a, b = np.searchsorted(number, (first, first + WIDE))
+        tile = np.zeros((m, int(number[b - 1]) - first + 1), np.float32)
+        tile[rows[a:b], number[a:b] - first] = 1
+        overlap += tile @ tile.T if side is None else tile[left] @ tile[right].T
+    light = (length > 1) & ~dense
+    if light.any():
+        rows, length = owner[light], length[light]
+        start = np.maximum.accumulate(np.where(new[light], np.arange(len(rows)), 0))
+        order = np.argsort(rows, kind="stable")
+        begins = np.searchsorted(rows[order], np.arange(m + 1))
+        for k, i in enumerate(left.tolist()):
+            e = order[begins[i] : begins[i + 1]]
+            at = np.repeat(start[e] - np.append(0, np.cumsum(length[e])[:-1])[: len(e)], length[e]) + np.arange(length[e].sum())
+            overlap[k] += np.bincount(rows[at], minlength=m)[right]
+    hit = linked(overlap.astype(np.int64), n[left][:, None], n[right], percent) & (overlap > 0)
+    link = np.zeros((m, m), bool)
+    link[np.ix_(left, right)] = hit
+    if side is None:
+        np.fill_diagonal(link, False)
+    else:
+        link[np.ix_(right, left)] = hit.T
+    root = np.full(m, -1)
+    for i in range(m):
+        reached = np.array([i] if root[i] < 0 else [], np.int64)
+        while len(reached):
+            root[reached] = i
+            reached = np.flatnonzero(link[reached].any(0) & (root < 0))
+    return root, link @ weight
+
+
+def _product(percent: int):
+    """Step 3, over rows sorted by block: of each row with links in its block, the smallest row it is connected to there and how many documents it links with."""
 
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        def close(rows, sets, labels):
-            order = np.argsort(np.array(rows), kind="stable")
-            rows, sets = np.array(rows)[order], [sets[i] for i in order]
-            once = np.append(True, rows[1:] != rows[:-1])
-            sets = [s for s, o in zip(sets, once, strict=True) if o]
-            rows = rows[once]
-            root = multiply(sets, percent, np.array(labels)[order][once] if known else None)
-            return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(rows[root], pa.int64())], names=["a", "b"])
+        def close(block, rows, sets, weights, sides):
+            rows, once = np.unique(np.array(rows, np.int64), return_index=True)
+            side = None if block["i"] == block["j"] else np.array(sides)[once]
+            root, links = multiply([sets[i] for i in once], percent, np.array(weights, np.int64)[once], side)
+            some = links > 0
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (rows[some], rows[root[some]], links[some])], names=["a", "b", "links"])
 
-        now, rows, sets, labels = None, [], [], []
+        now, held = None, ([], [], [], [])
         for batch in batches:
-            for block, row, entries, label in zip(*(batch.column(c).to_pylist() for c in ("block", "row", "entries", "label")), strict=True):
-                if block != now and rows:
-                    yield close(rows, sets, labels)
-                    rows, sets, labels = [], [], []
+            for block, row, entries, weight, side in zip(*(batch.column(c).to_pylist() for c in ("block", "row", "entries", "weight", "side")), strict=True):
+                if block != now and held[0]:
+                    yield close(now, *held)
+                    held = ([], [], [], [])
                 now = block
-                rows.append(row)
-                sets.append(np.frombuffer(entries, "<u8"))
-                labels.append(label)
-        if rows:
-            yield close(rows, sets, labels)
+                for x, value in zip(held, (row, np.frombuffer(entries, "<u8"), weight, side), strict=True):
+                    x.append(value)
+        if held[0]:
+            yield close(now, *held)
 
     return run
 
 
-def _multiplied(blocks: DataFrame, percent: int, known: bool) -> DataFrame:
+def _multiplied(blocks: DataFrame, percent: int) -> DataFrame:
     spark = blocks.sparkSession
-    dealt = blocks.select("block", "row", "entries", "label").repartition(partitions(spark), "block").sortWithinPartitions("block")
-    return dealt.mapInArrow(_product(percent, known), "a long, b long")
+    dealt = blocks.select("block", "row", "entries", "weight", "side").repartition(partitions(spark), "block").sortWithinPartitions("block")
+    return dealt.mapInArrow(_product(percent), "a long, b long, links long")
 
 
 def linked_rows(sets: DataFrame, percent: int) -> DataFrame:
-    """(row, label): the component of each row of sets (row, n, entries) that has a partner; exact."""
+    """(row, label, links): the component of each row of sets (row, n, entries, weight) that has a partner, and the weight of all its partners; exact."""
     spark = sets.sparkSession
     k = partitions(spark)
     met = sets.mapInArrow(_all_entries(k), PACKED).repartition(k, "block").mapInArrow(_shared_entries(k), PACKED)
@@ -412,42 +409,29 @@ def linked_rows(sets: DataFrame, percent: int) -> DataFrame:
     groups = components(rare.repartition(k, "block").mapInArrow(_candidates, "a long, b long"))
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     placed = materialize(sets.join(left_join_by_key(groups, materialize(sizes, "sizes"), ["label"], "size", groups.count()).withColumnRenamed("id", "row"), "row"), "placed")
-    small = placed.filter(f"size <= {BLOCK}").withColumn("block", F.struct("label", F.lit(0).alias("i"), F.lit(0).alias("j")))
-    links = _multiplied(small, percent, False)
+    small = placed.filter(f"size <= {BLOCK}").withColumn("block", F.struct("label", F.lit(0).alias("i"), F.lit(0).alias("j"))).withColumn("side", F.lit(True))
+    links = _multiplied(small, percent)
     large = placed.filter(f"size > {BLOCK}")
     if not large.isEmpty():
-        # blocks by hash, with a few rows of each group in all of its blocks
+        # blocks by hash, and each pair of them
         count = F.expr(f"cast((size + {BLOCK - 1}) div {BLOCK} as int)")
         own = large.withColumn("i", F.pmod(F.xxhash64("row"), count).cast("int"))
-        spread = _leaders(own).join(own.select("label", "size").distinct(), "label").withColumn("i", F.explode(F.expr(f"sequence(0, cast((size + {BLOCK - 1}) div {BLOCK} as int) - 1)")))
-        first = own.select("label", "row", "entries", "i").unionByName(spread.select("label", "row", "entries", "i"))
-        found = _multiplied(first.withColumn("block", F.struct("label", "i", F.col("i").alias("j"))), percent, False)
-        part = components(found)
-        known = own.join(part.select(F.col("id").alias("row"), F.col("label").alias("part")), "row", "left").withColumn("part", F.coalesce("part", "row"))
-        known = materialize(known, "parts")
-        open_ = materialize(known.groupBy("label").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("label"), "open")
-        links = links.unionByName(found)
-        if not open_.isEmpty():
-            again = known.join(open_, "label", "left_semi").withColumn("o", F.explode(F.expr(f"sequence(0, cast((size + {BLOCK - 1}) div {BLOCK} as int) - 1)")))
-            block = F.struct("label", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"))
-            links = links.unionByName(_multiplied(again.select(block.alias("block"), "row", "entries", F.col("part").alias("label")), percent, True))
-    return components(links).withColumnRenamed("id", "row")
-
-
-def _leaders(own: DataFrame) -> DataFrame:
-    """COMMON rows of each group: the smallest by hash within COMMON classes of the hash, by a grouped minimum."""
-    h = F.xxhash64("row", F.lit(1))
-    chosen = own.groupBy("label", F.pmod(h, F.lit(COMMON)).alias("c")).agg(F.min(F.struct(h.alias("h"), "row")).alias("x")).select("label", F.col("x.row").alias("row"))
-    return own.select("label", "row", "entries").join(chosen, ["label", "row"], "left_semi")
+        pairs = own.withColumn("o", F.explode(F.sequence(F.lit(0), count - 1)))
+        block = F.struct("label", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"))
+        links = links.unionByName(_multiplied(pairs.withColumn("block", block).withColumn("side", F.col("i") <= F.col("o")), percent))
+    links = materialize(links, "linked")
+    total = links.groupBy(F.col("a").alias("row")).agg(F.sum("links").alias("links"))
+    return components(links.select("a", "b")).withColumnRenamed("id", "row").join(total, "row")
 
 
 def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of docs (doc_id, text).
+    """doc_id, n_shingles, component_id and n_links of every row of docs (doc_id, text).
 
     Two documents link when 100 * |intersection| >= percent * |union| of their
     sets of n-grams of `size` words; component_id is the smallest doc_id that
-    links lead to. A null, empty or blank text has an empty set and links with
-    nothing. Rows with a null doc_id have a null component_id and join nothing.
+    links lead to, n_links the number of documents it links with itself, equal
+    ones included. A null, empty or blank text has an empty set and links with
+    nothing. Rows with a null doc_id have a null component_id, join nothing and have no links.
     Rows with the same doc_id are documents of their own. An empty table gives
     an empty one; other columns aren't read. row names a column of longs of
     which each row has its own; the result then has it too, as uid, and kept:
@@ -469,20 +453,20 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, row: str
     counts = seen.groupBy("lo").agg(F.sum("shared").alias("shared"))
     need = F.expr(f"(({percent} * n + 99) div 100) * {EXTRA} div 100 + 1")
     classes = materialize(classes.join(counts, "lo").withColumn("left", F.col("shared") >= need).withColumn("row", F.monotonically_increasing_id()), "classes")
-    left = classes.filter("left").select("first.doc_id", "row", "lo")
-    sets = materialize(named.join(left, "doc_id").select("row", "lo", "text").mapInArrow(_sets(size), "row long, n long, entries binary"), "sets")
+    left = classes.filter("left").select("first.doc_id", "row", "lo", F.col("size").alias("weight"))
+    sets = materialize(named.join(left, "doc_id").select("row", "lo", "weight", "text").mapInArrow(_sets(size), "row long, n long, entries binary, weight long"), "sets")
     labels = linked_rows(sets, percent)
     near = classes.join(labels, "row")
     lowest = near.groupBy("label").agg(F.min("first").alias("lowest"), F.count(F.lit(1)).alias("rows"))
-    near = left_join_by_key(near, materialize(lowest, "lowest"), ["label"], "rows", near.count()).select("row", "lowest")
-    known = classes.join(near, "row", "left").select("hi", "lo", "size", F.coalesce("lowest", "first").alias("lowest"), F.col("lowest").isNotNull().alias("joined"))
+    near = left_join_by_key(near, materialize(lowest, "lowest"), ["label"], "rows", near.count()).select("row", "lowest", "links")
+    known = classes.join(near, "row", "left").select("hi", "lo", "size", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("lowest", "first").alias("lowest"), F.col("lowest").isNotNull().alias("joined"))
     known = materialize(known.filter("size > 1 OR joined").drop("joined"), "known")
     out = left_join_by_key(full, known, ["hi", "lo"], "size", full.count())
     kept = F.col("lowest").isNull() | (F.col("lowest.uid") == F.col("uid"))
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("lowest.doc_id", "doc_id").alias("component_id"), "uid", kept.alias("kept"))
-    out = out.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "uid", F.lit(True).alias("kept")))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("lowest.doc_id", "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), "uid", kept.alias("kept"))
+    out = out.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), "uid", F.lit(True).alias("kept")))
     if not docs.filter("doc_id IS NULL").isEmpty():
-        out = out.unionByName(docs.filter("doc_id IS NULL").mapInArrow(_nameless(size), "doc_id long, n_shingles long, component_id long, uid long, kept boolean"))
+        out = out.unionByName(docs.filter("doc_id IS NULL").mapInArrow(_nameless(size), "doc_id long, n_shingles long, component_id long, n_links long, uid long, kept boolean"))
     return out if row else out.drop("uid", "kept")
 
 
@@ -493,6 +477,6 @@ def _nameless(size: int):
         for batch in batches:
             n = [len(ngrams(t, size)) for t in batch.column("text").to_pylist()]
             none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, pa.array(n, pa.int64()), none, batch.column("uid"), pa.array([True] * len(n))], names=["doc_id", "n_shingles", "component_id", "uid", "kept"])
+            yield pa.RecordBatch.from_arrays([none, pa.array(n, pa.int64()), none, pa.array([0] * len(n), pa.int64()), batch.column("uid"), pa.array([True] * len(n))], names=["doc_id", "n_shingles", "component_id", "n_links", "uid", "kept"])
 
     return run

@@ -92,6 +92,21 @@ def test_rarest_token_is_the_key():
     assert list(index.by_token) == ["wp"]
 
 
+SAMPLES = {
+    "paged_listing": ["http://a.b/x?page=2&y", "http://a.b/x?y&page=22&"], "search_results": ["http://a.b/search?q", "http://a.b/search/"], "login": ["http://a.b/login.aspx", "http://a.b/login/x"],
+    "wp_login": ["http://a.b/wp-login.php", "http://a.b/wp-login.php5", "http://a.b/wp-login.phpx?y"], "cart": ["http://a.b/cart/1", "http://a.b/cart?1"], "checkout": ["http://a.b/checkout/1"],
+    "tag_listing": ["http://a.b/tag/x/page/3", "http://a.b/tag/x/page/3x"], "calendar": ["http://a.b/calendar/2024/x"], "session_id": ["http://a.b/?phpsessid=1", "http://a.b/;sessid=1"],
+    "casino": ["http://my-casino.b/", "http://casino"], "xxx": ["http://a.xxx", "http://a.xxx:80/"], "feed": ["http://a.b/feed/atom", "http://a.b/feed/rss?x"],
+}
+
+
+@pytest.mark.parametrize("rule", url_filter.PATTERNS, ids=lambda r: r.name)
+def test_every_token_finds_its_rule(rule):
+    for key in rule.tokens or (None,):
+        index = url_filter.Index([], [rule], {t: 0 if t == key else 9 for t in rule.tokens})
+        assert all(index.judge(u, "allow")[3:5] == ("block", rule.name) for u in SAMPLES[rule.name])
+
+
 def test_no_urls(spark):
     none = spark.createDataFrame([], "page_id long, url string, host int, verdict int")
     assert url_filter.filter_urls(none, "page_id", DOMAIN_RULES).count() == 0

@@ -51,7 +51,7 @@ PATTERNS = (
     PatternRule("paged_listing", r"[?&]page=[0-9]+&", ("page",)),
     PatternRule("search_results", r"/search[/?]", ("search",)),
     PatternRule("login", r"/login[/?.]", ("login",)),
-    PatternRule("wp_login", r"/wp-login\.php", ("wp", "login", "php")),
+    PatternRule("wp_login", r"/wp-login\.php", ("wp", "login")),
     PatternRule("cart", r"/cart[/?]", ("cart",)),
     PatternRule("checkout", r"/checkout[/?]", ("checkout",)),
     PatternRule("tag_listing", r"/tag/[^/]+/page/[0-9]+", ("tag", "page")),

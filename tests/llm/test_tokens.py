@@ -1,6 +1,8 @@
+import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,22 +37,23 @@ def test_random_texts_in_chunks_equal_the_library(library):
     import random
 
     r = random.Random(3)
-    parts = ["a", "b", " ", " ", "\n", "\n", "\t", "\r", "'s", "é", "1", "!", " ", "　", "<|endoftext|>", "日", "\x1c", "\x85"]
+    parts = ["a", "b", "word", "Z9", ".", ",", "?!", ";:", " ", " ", "\n", "\n", "\t", "\r", "'s", "é", "1", "!", " ", "　", "<|endoftext|>", "日", "\x1c", "\x85"]
     texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(4000)] + ["a  ", "a\n\n", "a\n\n\nb", "  ", "\n", " "]
     want = [raw(ids_of(library, t)) for t in texts]
     path = bpe.default_tokenizer()
-    assert encoder(path).apply(texts) == want
-    assert bpe_codec.Codec(path).apply(texts) == want
-    assert token_counts.Counter(path).apply(texts) == [len(w) // 4 for w in want]
+    texts = pa.array([*texts, None])
+    assert encoder(path).apply(texts).to_pylist() == [*want, b""]
+    assert bpe_codec.Codec(path).apply(texts).to_pylist() == [*want, b""]
+    assert token_counts.Counter(path).apply(texts).to_pylist() == [len(w) // 4 for w in [*want, b""]]
 
 
 def test_small_caches_change_nothing(library):
     texts = [" ".join(f"w{i * k % 97}" for i in range(60)) for k in range(1, 40)]
-    e = bpe_codec.Codec(bpe.default_tokenizer())
-    e.cache.half = 5
-    for a in range(0, len(texts), 4):
-        assert e.apply(texts[a : a + 4]) == [raw(ids_of(library, t)) for t in texts[a : a + 4]]
-        assert len(e.cache.now) + len(e.cache.before) < 500
+    for limit in (0, 300, 2000):
+        e = bpe_codec.Codec(bpe.default_tokenizer(), limit)
+        for a in range(0, len(texts), 4):
+            assert e.apply(pa.array(texts[a : a + 4])).to_pylist() == [raw(ids_of(library, t)) for t in texts[a : a + 4]]
+            assert e.keys.nbytes + e.values.nbytes <= limit
 
 
 def test_store_round_trip(spark, odd, library, tmp_path):
@@ -117,7 +120,13 @@ def test_packing_keeps_every_id_within_all_limits(odd, library, most, segments,
 
 def test_packing_pads_little(spark, small, library):
     docs = {d: raw([*ids_of(library, t), 0]) for d, t in pairs(queries.documents(spark, small))}
-    padding = check_packing(packing.pack(queries.documents(spark, small)).collect(), docs, 1024, 128, 1024)
+    rows = packing.pack(queries.documents(spark, small)).collect()
+    padding = check_packing(rows, docs, 1024, 32, 1020)
+    segments, loss = {}, {}
+    for r in rows:
+        segments[r.sequence_id] = segments.get(r.sequence_id, 0) + 1
+        loss[r.sequence_id] = loss.get(r.sequence_id, 0) + r.loss_tokens
+    assert max(loss.values()) == 1020
     assert padding < 0.01 * sum(len(x) // 4 for x in docs.values()) + 1024
 
 
@@ -147,5 +156,38 @@ def test_codec_and_counts(odd, none, library):
 
 def test_decode_of_ids_that_arent_text(library):
     c = bpe_codec.Codec(bpe.default_tokenizer())
-    for ids in ([50256], [220, 50256, 1], [162, 245], [96, 234, 97], [447, 247], [10, 50256, 999]):
-        assert c.decode(raw(ids)) == library.decode(ids, skip_special_tokens=False)
+    many = [[50256], [220, 50256, 1], [162, 245], [96, 234, 97], [447, 247], [], [10, 50256, 999]]
+    want = [library.decode(ids, skip_special_tokens=False) for ids in many]
+    assert c.decode(pa.array(map(raw, many), pa.large_binary())).to_pylist() == want
+    assert c.decode(pa.array(map(raw, many), pa.large_binary())[5:]).to_pylist() == want[5:]
+
+
+def test_packing_limits_bind_each(spark):
+    long, short = " ".join(f"word{i}" for i in range(2000)), "two words"
+    rows = packing.pack(spark.createDataFrame([(i, long if i < 3 else short) for i in range(200)], "doc_id long, text string").coalesce(1)).collect()
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append(r)
+    assert max(map(len, bins.values())) == 32
+    assert any(sum(r.loss_tokens for r in b) == 1020 and sum(r.length for r in b) < 1024 for b in bins.values())
+
+
+def test_registered_queries_on_a_whole_table(spark, small, library):
+    docs = {d: (t or "", ids_of(library, t)) for d, t in pairs(queries.documents(spark, small))}
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    got = {tuple(r) for r in queries.op9_bpe_codec(spark, small).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()}
+    assert got == {(d, len(ids), sha(raw(ids)), sha(library.decode(ids, skip_special_tokens=False).encode())) for d, (_, ids) in docs.items()}
+    got = {tuple(r) for r in queries.op10_token_counts(spark, small).select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()}
+    assert got == {(d, len(t.encode()), len(ids), len(ids) > 1024) for d, (t, ids) in docs.items()}
+    pieces, bins = {}, {}
+    for r in queries.op3_packing(spark, small).collect():
+        ids = [*docs[r.doc_id][1], 0]
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(raw(ids[r.start : r.start + r.length]))
+        pieces.setdefault(r.doc_id, []).append((r.start, r.length))
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for d, (_, ids) in docs.items():
+        have = sorted(pieces[d])
+        assert [a for a, _ in have] == [sum(n for _, n in have[:i]) for i in range(len(have))] and sum(n for _, n in have) == len(ids) + 1
+    for b in bins.values():
+        b.sort()
+        assert [a for a, _ in b] == [sum(n for _, n in b[:i]) for i in range(len(b))] and sum(n for _, n in b) <= 1024

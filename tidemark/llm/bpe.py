@@ -15,8 +15,11 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Python's \\s holds all that the tokenizers' \\s holds, so this errs to the safe side.
-UNSAFE = re.compile(r"\s\s(?:\s|\Z)")
+#: Three white-space characters in a row, or two at the end; the class holds all that the tokenizers' \\s holds and more, so this errs to the safe side.
+UNSAFE = r"[\t-\r\x{1c}-\x{20}\x{85}\pZ]{2}(?:[\t-\r\x{1c}-\x{20}\x{85}\pZ]|\z)"
+
+#: Punctuation that, after an ASCII letter or digit and at the end of a chunk, is a piece of its own.
+TAIL = ".,;:!?"
 
 #: The split pattern of byte-level BPE, as public_tokenizers states it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -81,34 +84,6 @@ def splitter():
     return regex.compile(PATTERN)
 
 
-def chunks(text: str, special: re.Pattern | None) -> list[str] | None:
-    """The text's chunks; None if it can't be cut so.
-
-    The first begins the text. Of the others, one that begins with a line feed
-    stands for itself, and any other for itself with a space before it.
-    """
-    if UNSAFE.search(text) or (special is not None and special.search(text)):
-        return None
-    return text.replace("\n", " \n").split(" ")
-
-
 def chunk_text(chunk: str) -> str:
+    """What a chunk stands for: itself if it begins with a line feed, otherwise itself with a space before it."""
     return chunk if chunk.startswith("\n") else " " + chunk
-
-
-class Cache:
-    """Results by chunk, at most `limit` of chunks of at most `longest` characters.
-
-    Two generations: when `now` is full it becomes `before`, and what is used
-    again moves over; so frequent chunks stay and memory is bounded.
-    """
-
-    def __init__(self, limit: int = 700_000, longest: int = 64):
-        self.half, self.longest = limit // 2, longest
-        self.now: dict = {}
-        self.before: dict = {}
-
-    def turn(self) -> None:
-        """Makes room if `now` is full."""
-        if len(self.now) > self.half:
-            self.now, self.before = {}, self.now

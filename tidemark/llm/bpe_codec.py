@@ -6,12 +6,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.session import ship
 
 from . import bpe
-from .encoder import ByChunk, slices
+from .encoder import CACHE_BYTES, ByChunk, slices
 
 NONE = np.int64(1 << 40)
 
@@ -69,10 +70,11 @@ def merge_rounds(t: bpe.Tables, words: list[bytes]) -> tuple[np.ndarray, np.ndar
 class Codec(ByChunk):
     """encode: ids as little-endian unsigned 32-bit integers; decode: their text."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def __init__(self, path: str, limit: int = CACHE_BYTES):
+        super().__init__(path, limit)
         self.tables = bpe.tables(path)
         self.pieces = bpe.splitter()
+        self.token_bytes = pa.array([self.tables.bytes_of.get(i) for i in range(max(self.tables.bytes_of) + 1)], pa.large_binary())
 
     def run(self, texts: list[str]) -> list[bytes]:
         cut: list[list[bytes | int]] = []
@@ -101,9 +103,15 @@ class Codec(ByChunk):
             a = b
         return [b"".join(known[x] if isinstance(x, bytes) else np.array([x], "<u4").tobytes() for x in parts) for parts in cut]
 
-    def decode(self, ids: bytes) -> str:
-        """Every id's bytes, special tokens included; bytes that aren't UTF-8 become U+FFFD."""
-        return b"".join(map(self.tables.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+    def decode(self, ids: pa.Array) -> pa.Array:
+        """The text of each array of ids: every id's bytes, special tokens included; bytes that aren't UTF-8 become U+FFFD."""
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1]
+        flat = np.frombuffer(ids.buffers()[2] or b"", "<u4")[ends[0] // 4 : ends[-1] // 4]
+        texts = self.gather(self.token_bytes.take(pa.array(flat)), (ends - ends[0]) // 4)
+        try:
+            return texts.cast(pa.large_string())
+        except pa.ArrowInvalid:
+            return pa.array([x.decode("utf-8", "replace") for x in texts.to_pylist()], pa.large_string())
 
 
 @lru_cache(maxsize=2)
@@ -122,12 +130,10 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     tokenizer = tokenizer or bpe.default_tokenizer()
 
     def run(batches) -> Iterator:
-        import pyarrow as pa
-
         for batch in batches:
             for piece in slices(batch, "text"):
                 c = codec(tokenizer)
-                ids = c.apply(piece.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.string())], names=["doc_id", "ids", "decoded"])
+                ids = c.apply(piece.column("text"))
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), ids.cast(pa.binary()), c.decode(ids).cast(pa.string())], names=["doc_id", "ids", "decoded"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, decoded string")

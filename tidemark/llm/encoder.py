@@ -1,28 +1,39 @@
-"""Results of whole texts from results of their chunks, each chunk worked out once."""
+"""Results of whole texts from results of their chunks, each distinct chunk of a batch worked out once."""
 
 from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from . import bpe
 
+#: Bytes of chunks and results that a worker keeps between batches.
+CACHE_BYTES = 48 << 20
 
-class ByChunk:
-    """apply(texts) gives run([text])[0] for every text; None counts as empty.
 
-    A subclass gives run(texts) -> list, join(values) for the results of
-    chunks in order, and empty. Only chunks that aren't in the cache are run,
-    many in one call. The cache is bounded.
+class ByChunk:
+    """apply(texts) gives run([text])[0] for every text of an Arrow array; null counts as empty.
+
+    Texts are split, and equal chunks found, in Arrow. A chunk is a core and a
+    tail of plain punctuation, which the pre-tokenizer always parts. Results
+    of cores are kept in two Arrow arrays of at most CACHE_BYTES; when they are
+    full, only those of the current batch stay. Texts that can't be cut go
+    whole. A subclass gives kind, run(texts), run_chunks(chunks), plus(a, b)
+    for results one after the other and gather(values, ends).
     """
 
-    empty: object = b""
+    kind: pa.DataType = pa.large_binary()
 
-    def __init__(self, path: str, limit: int = 700_000):
-        self.special = bpe.tables(path).specials
-        self.cache = bpe.Cache(limit)
+    def __init__(self, path: str, limit: int = CACHE_BYTES):
+        t = bpe.tables(path)
+        self.special, self.special_strings = t.specials, list(t.special)
+        self.limit = limit
+        self.keys, self.values = pa.array([], pa.string()), pa.array([], self.kind)
 
     def run(self, texts: list[str]) -> list:
         raise NotImplementedError
@@ -30,64 +41,79 @@ class ByChunk:
     def run_chunks(self, chunks: list[str]) -> list:
         return self.run([bpe.chunk_text(k) for k in chunks])
 
-    def join(self, values: list):
-        return b"".join(values)
-
-    def apply(self, texts: list[str | None]) -> list:
-        self.cache.turn()
-        known, before, get = self.cache.now, self.cache.before, self.cache.now.get
-        found: dict[int, list] = {}  # a text's chunk results; of its chunks, only those without a result are held
-        lacking: list[tuple[int, list[int], list[str]]] = []
-        heads, whole, new = [], [], set()
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            c = bpe.chunks(t, self.special)
-            if c is None:
-                whole.append(i)
-                continue
-            heads.append(c[0])
-            values = found[i] = list(map(get, c))
-            values[0] = self.empty
-            if None in values:
-                places = [j for j, v in enumerate(values) if v is None]
-                names = [c[j] for j in places]
-                lacking.append((i, places, names))
-                new.update(names)
-        todo = []
-        for k in new:
-            v = before.get(k)
-            if v is None:
-                todo.append(k)
-            else:
-                known[k] = v
-        if len(known) + len(todo) > 2 * self.cache.half:  # more than the cache may hold: this call keeps its results to itself
-            known = dict(known)
-        for a in range(0, len(todo), 50_000):
-            part = todo[a : a + 50_000]
-            known.update(zip(part, self.run_chunks(part), strict=True))
-        for i, places, names in lacking:
-            values = found[i]
-            for j, k in zip(places, names, strict=True):
-                values[j] = known[k]
-        for values, v in zip(found.values(), self.run(heads), strict=True):
-            values[0] = v
-        out = [self.empty] * len(texts)
-        for i, values in found.items():
-            out[i] = self.join(values)
-        for i, v in zip(whole, self.run([texts[i] for i in whole]), strict=True):
-            out[i] = v
-        for k in todo:
-            if len(k) > self.cache.longest:
-                del known[k]
+    def plus(self, a: pa.Array, b: pa.Array) -> pa.Array:
+        return pc.binary_join_element_wise(a, b, pa.scalar(b"", self.kind))
+
+    def gather(self, values: pa.Array, ends: np.ndarray) -> pa.Array:
+        """One result for each run of values; run i ends before ends[i + 1]."""
+        at = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+        return pa.Array.from_buffers(self.kind, len(ends) - 1, [None, pa.py_buffer(np.ascontiguousarray(at[ends])), values.buffers()[2]])
+
+    def of_cores(self, cores: pa.Array) -> pa.Array:
+        """Results of distinct cores."""
+        at = pc.index_in(cores, value_set=self.keys)
+        if at.null_count:
+            lacking = pc.is_null(at)
+            new = cores.filter(lacking)
+            results = pa.array([r for a in range(0, len(new), 50_000) for r in self.run_chunks(new[a : a + 50_000].to_pylist())], self.kind)
+            where = at.to_numpy(zero_copy_only=False).copy()
+            where[lacking.to_numpy(zero_copy_only=False)] = np.arange(len(self.keys), len(self.keys) + len(new))
+            at = pa.array(where.astype(np.int64))
+            self.keys, self.values = pa.concat_arrays([self.keys, new]), pa.concat_arrays([self.values, results])
+        out = self.values.take(at)
+        if self.keys.nbytes + self.values.nbytes > self.limit:
+            few = cores.nbytes + out.nbytes <= self.limit
+            self.keys, self.values = (cores, out) if few else (cores[:0], out[:0])
         return out
 
+    def of_chunks(self, chunks: pa.Array) -> pa.Array:
+        """Results of distinct chunks."""
+        core = pc.utf8_rtrim(chunks, bpe.TAIL)
+        core = pc.if_else(pc.match_substring_regex(core, r"[A-Za-z0-9]\z"), core, chunks)
+        cut = np.flatnonzero(pc.not_equal(pc.binary_length(core), pc.binary_length(chunks)).to_numpy(zero_copy_only=False))
+        cores = core.dictionary_encode()
+        out = self.of_cores(cores.dictionary).take(cores.indices)
+        if not len(cut):
+            return out
+        tails = pa.array([k[len(c) :] for k, c in zip(chunks.take(pa.array(cut)).to_pylist(), core.take(pa.array(cut)).to_pylist(), strict=True)]).dictionary_encode()
+        tail_values = pa.array([*self.run(tails.dictionary.to_pylist()), self.run([""])[0]], self.kind)
+        which = np.full(len(chunks), len(tail_values) - 1)
+        which[cut] = tails.indices.to_numpy(zero_copy_only=False)
+        return self.plus(out, tail_values.take(pa.array(which)))
+
+    def apply(self, texts: pa.Array) -> pa.Array:
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring_regex(texts, bpe.UNSAFE)
+        for s in self.special_strings:
+            whole = pc.or_(whole, pc.match_substring(texts, s))
+        if not pc.any(whole).as_py():
+            return self.cut(texts)
+        slow = pa.array(self.run(texts.filter(whole).to_pylist()), self.kind)
+        parts = pa.concat_arrays([self.cut(texts.filter(pc.invert(whole))), slow])
+        mask = whole.to_numpy(zero_copy_only=False)
+        order = np.empty(len(texts), np.int64)
+        order[~mask], order[mask] = np.arange(int((~mask).sum())), np.arange(int((~mask).sum()), len(texts))
+        return parts.take(pa.array(order))
+
+    def cut(self, texts: pa.Array) -> pa.Array:
+        """Results of texts that are safe to cut."""
+        if not len(texts):
+            return pa.array([], self.kind)
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        ends = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+        chunks = split.flatten().dictionary_encode()
+        heads = split.flatten().take(pa.array(ends[:-1])).dictionary_encode()  # no space stands before a text's first chunk
+        values = pa.concat_arrays([self.of_chunks(chunks.dictionary), pa.array(self.run(heads.dictionary.to_pylist()), self.kind)])
+        at = chunks.indices.to_numpy(zero_copy_only=False).copy()
+        at[ends[:-1]] = heads.indices.to_numpy(zero_copy_only=False) + len(chunks.dictionary)
+        return self.gather(values.take(pa.array(at)), ends)
+
 
 class Encoder(ByChunk):
     """Ids as little-endian unsigned 32-bit integers, by the tokenizers library, without added special tokens."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def __init__(self, path: str, limit: int = CACHE_BYTES):
+        super().__init__(path, limit)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
@@ -95,35 +121,37 @@ class Encoder(ByChunk):
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.feed = int(bpe.tables(path).byte_id[10])
+        t = bpe.tables(path)
+        self.begins = {b: np.zeros(max(t.bytes_of) + 1, bool) for b in b" \n"}
+        for i, data in t.bytes_of.items():
+            if data[:1] in (b" ", b"\n"):
+                self.begins[data[0]][i] = True
 
     def run(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def run_chunks(self, chunks: list[str]) -> list[bytes]:
-        """Chunks without white space go line by line in texts of many lines: a line feed is a piece of its own, and no other piece has its id."""
+    def run_chunks(self, chunks: list[str], group: int = 500) -> list[bytes]:
+        """Chunks without white space inside go many in one text: of each chunk's ids only the first begins with its space or line feed."""
         out: list[bytes] = [b""] * len(chunks)
-        lines, feeds, odd = [], [], []
+        plain, feeds, odd = [], [], []
         for i, k in enumerate(chunks):
             if k.isalnum():
-                lines.append(i)
+                plain.append(i)
                 continue
             body = k[1:] if k[:1] == "\n" else k
             if not body or body.split() != [body]:
                 odd.append(i)
             else:
-                (lines if body is k else feeds).append(i)
-        for places, prefix, head in ((lines, " ", b""), (feeds, "", np.array([self.feed], "<u4").tobytes())):
-            groups = [places[a : a + 100] for a in range(0, len(places), 100)]
-            texts = ["\n".join([prefix + (chunks[i] if not head else chunks[i][1:]) for i in g]) for g in groups]
+                (plain if body is k else feeds).append(i)
+        for places, byte in ((plain, 32), (feeds, 10)):
+            groups = [places[a : a + group] for a in range(0, len(places), group)]
+            texts = ["".join([bpe.chunk_text(chunks[i]) for i in g]) for g in groups]
             for g, e in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                 ids = np.array(e.ids, "<u4")
-                ends = [*(4 * np.flatnonzero(ids == self.feed)).tolist(), 4 * len(ids)]
+                ends = [*(4 * np.flatnonzero(self.begins[byte][ids])).tolist(), 4 * len(ids)]
                 flat = ids.tobytes()
-                p = 0
-                for i, q in zip(g, ends, strict=True):
-                    out[i] = head + flat[p:q]
-                    p = q + 4
+                for i, (a, b) in zip(g, pairwise(ends), strict=True):
+                    out[i] = flat[a:b]
         for i, ids in zip(odd, self.run([bpe.chunk_text(chunks[i]) for i in odd]), strict=True):
             out[i] = ids
         return out
@@ -139,18 +167,14 @@ def give_back() -> None:
     """Returns freed memory to the system, for a worker that lives on after a task that held much; where the C library can't, nothing happens."""
     import ctypes
 
-    import pyarrow as pa
-
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
 
-def slices(batch, column: str, rows: int = 1000, size: int = 8 << 20):
+def slices(batch, column: str, rows: int = 4000, size: int = 8 << 20):
     """Cuts an Arrow batch into runs of at most `rows` rows and about `size` bytes of `column`, so memory doesn't depend on text lengths."""
-    import pyarrow.compute as pc
-
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     a = total = 0
     for i, n in enumerate(lengths.tolist()):

@@ -40,12 +40,17 @@ class Packer:
     def loss(self, start: int, length: int, prompt: int) -> int:
         return max(0, length - min(length, max(prompt - start, 1)))
 
+    def within(self, start: int, length: int, prompt: int, room: int) -> int:
+        """The most ids, up to length, that bear at most `room` losses."""
+        while (over := self.loss(start, length, prompt) - room) > 0:
+            length -= over
+        return length
+
     def add(self, doc_id, ids: bytes, prompt: int = 0) -> None:
         n, at = len(ids) // 4, 0
         while at < n:
             m = min(n - at, int(self.limit[0]))
-            while self.loss(at, m, prompt) > self.limit[2]:  # a piece must fit a sequence by itself
-                m -= max(1, self.loss(at, m, prompt) - int(self.limit[2]))
+            m = self.within(at, m, prompt, int(self.limit[2]))  # a piece must fit a sequence by itself
             self.put((doc_id, at, n, ids[4 * at : 4 * (at + m)], prompt))
             at += m
 
@@ -75,11 +80,15 @@ class Packer:
                     piece = self.kinds[kinds[best]].pop()
                     count[best] -= 1
                     left -= 1
-                elif room_t >= self.least and room_l >= room_t:
+                else:
                     best = int(np.flatnonzero(count)[-1])  # the longest: its rest stays useful
-                    doc_id, start, n, ids, prompt = self.kinds[kinds[best]].pop()
+                    doc_id, start, n, ids, prompt = self.kinds[kinds[best]][-1]
+                    take = self.within(start, min(room_t, len(ids) // 4 - 1), prompt, room_l)
+                    if take < self.least:
+                        break
+                    self.kinds[kinds[best]].pop()
                     count[best] -= 1
-                    piece, rest = (doc_id, start, n, ids[: 4 * room_t], prompt), (doc_id, start + room_t, n, ids[4 * room_t :], prompt)
+                    piece, rest = (doc_id, start, n, ids[: 4 * take], prompt), (doc_id, start + take, n, ids[4 * take :], prompt)
                     self.put(rest)
                     kind = (len(rest[3]) // 4, self.loss(rest[1], len(rest[3]) // 4, prompt))
                     at = int(np.searchsorted(tokens, kind[0]))
@@ -90,8 +99,6 @@ class Packer:
                     else:
                         kinds = sorted(k for k, v in self.kinds.items() if v)
                         tokens, loss, share_t, share_l, count = arrays()
-                else:
-                    break
                 m = len(piece[3]) // 4
                 lossy = self.loss(piece[1], m, piece[4])
                 yield self.sequence, offset, piece, lossy
@@ -102,11 +109,14 @@ class Packer:
 
 
 def pack(
-    docs: DataFrame, tokenizer: str | None = None, end_id: int | None = 0, max_tokens: int = 1024, max_segments: int = 128,
-    max_loss: int | None = None, least: int = 8, pool: int = 4096, pool_bytes: int = 16 << 20, prompt: str | None = None,
+    docs: DataFrame, tokenizer: str | None = None, end_id: int | None = 0, max_tokens: int = 1024, max_segments: int = 32,
+    max_loss: int | None = 1020, least: int = 8, pool: int = 4096, pool_bytes: int = 16 << 20, prompt: str | None = None,
 ) -> DataFrame:
     """Pieces of doc_id and text in sequences of at most max_tokens ids, max_segments pieces and max_loss loss-bearing ids.
 
+    The limits bind each for some sequences: the first id of a segment bears no
+    loss, so a full sequence of under four segments reaches 1,020 losses first,
+    and one of short documents 32 segments. max_loss=None is no limit of its own.
     prompt names an integer column: so many leading ids of the document bear no
     loss (null: none). A null or empty text is the end id alone; without an end
     id it has no piece. A null doc_id stays null. Rows with the same doc_id are
@@ -115,7 +125,7 @@ def pack(
     """
     ship(docs.sparkSession)
     tokenizer = tokenizer or default_tokenizer()
-    limits = (max_tokens, max_segments, max_tokens if max_loss is None else max_loss, least)
+    limits = (max_tokens, max_segments, max_tokens if max_loss is None else min(max_loss, max_tokens), least)
     if min(limits[:3]) < 1:
         raise ValueError("every limit must be at least 1")
 
@@ -123,7 +133,6 @@ def pack(
         import pyarrow as pa
         from pyspark import TaskContext
 
-        give_back()  # of what other tasks held in this worker
         base = TaskContext.get().partitionId() << 33
         tail = np.array([] if end_id is None else [end_id], "<u4").tobytes()
         packer, held, held_bytes = Packer(*limits), 0, 0
@@ -142,7 +151,7 @@ def pack(
         for batch in batches:
             for piece in slices(batch, "text"):
                 prompts = piece.column("prompt").to_pylist()
-                for doc, ids, k in zip(piece.column("doc_id").to_pylist(), encoder(tokenizer).apply(piece.column("text").to_pylist()), prompts, strict=True):
+                for doc, ids, k in zip(piece.column("doc_id").to_pylist(), encoder(tokenizer).apply(piece.column("text")).to_pylist(), prompts, strict=True):
                     packer.add(doc, ids + tail, k or 0)
                     held += 1
                     held_bytes += len(ids)
@@ -150,6 +159,7 @@ def pack(
                     yield from out()
                     held = held_bytes = 0
         yield from out()
+        give_back()  # the worker lives on
 
     from pyspark.sql import functions as F
 

@@ -6,12 +6,15 @@ from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tidemark.session import ship
 
 from . import bpe
-from .encoder import ByChunk, slices
+from .encoder import CACHE_BYTES, ByChunk, slices
 
 
 def count_merges(symbols: list[int], pair_rank: dict, by_rank: list[int]) -> int:
@@ -41,37 +44,40 @@ def count_merges(symbols: list[int], pair_rank: dict, by_rank: list[int]) -> int
 class Counter(ByChunk):
     """The number of tokens of a text."""
 
-    empty = 0
+    kind = pa.int64()
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def __init__(self, path: str, limit: int = CACHE_BYTES):
+        super().__init__(path, limit)
         t = bpe.tables(path)
         self.pair_rank, self.by_rank, self.byte_id = t.pair_rank, t.by_rank.tolist(), t.byte_id.tolist()
         self.pieces = bpe.splitter()
-        self.known: dict[str, int] = {}
 
-    def join(self, values: list[int]) -> int:
-        return sum(values)
+    def plus(self, a: pa.Array, b: pa.Array) -> pa.Array:
+        return pc.add(a, b)
+
+    def gather(self, values: pa.Array, ends: np.ndarray) -> pa.Array:
+        total = np.append(0, np.cumsum(values.to_numpy()))
+        return pa.array(total[ends[1:]] - total[ends[:-1]])
 
     def word(self, w: str) -> int:
-        n = self.known.get(w)
-        if n is None:
-            data = w.encode()
-            n = len(data) - count_merges([self.byte_id[b] for b in data], self.pair_rank, self.by_rank) if len(data) > 1 else 1
-            if len(w) <= self.cache.longest:
-                if len(self.known) >= self.cache.half:
-                    self.known.clear()
-                self.known[w] = n
-        return n
+        data = w.encode()
+        return len(data) - count_merges([self.byte_id[b] for b in data], self.pair_rank, self.by_rank) if len(data) > 1 else 1
 
     def run(self, texts: list[str]) -> list[int]:
-        out = []
+        out, known = [], {}
+
+        def word(w: str) -> int:
+            n = known.get(w)
+            if n is None:
+                n = known[w] = self.word(w)
+            return n
+
         for text in texts:
             n = at = 0
             for m in self.special.finditer(text) if self.special else ():
-                n += 1 + sum(map(self.word, self.pieces.findall(text[at : m.start()])))
+                n += 1 + sum(map(word, self.pieces.findall(text[at : m.start()])))
                 at = m.end()
-            out.append(n + sum(map(self.word, self.pieces.findall(text[at:] if at else text))))
+            out.append(n + sum(map(word, self.pieces.findall(text[at:] if at else text))))
         return out
 
 
@@ -91,13 +97,10 @@ def count_tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     tokenizer = tokenizer or bpe.default_tokenizer()
 
     def run(batches) -> Iterator:
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
         for batch in batches:
             for piece in slices(batch, "text"):
                 text = piece.column("text")
-                n = counter(tokenizer).apply(text.to_pylist())
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pc.fill_null(pc.binary_length(text), 0).cast(pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+                n = counter(tokenizer).apply(text)
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pc.fill_null(pc.binary_length(text), 0).cast(pa.int64()), n], names=["doc_id", "n_bytes", "n_tokens"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")

@@ -21,6 +21,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,17 +57,18 @@ def _hash(dictionary: bytes) -> bytes:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, width: int, samples: int = 400, sample_ids: int = 4096, size: int = 64 << 10) -> bytes:
-    """A dictionary from a bounded sample: the `samples` documents whose doc_ids hash lowest, `sample_ids` ids of each.
+    """A dictionary from a bounded sample, drawn by hash in one pass: about `samples` documents, twice as many at most, `sample_ids` ids of each.
 
     Too few documents for training give an empty dictionary; frames then stand alone.
     """
     import zstandard
 
-    least = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(samples)
-    ids = [r[0] for r in least.collect()]
-    texts = docs.where(F.col("doc_id").isin(ids)).select(F.substring("text", 1, 8 * sample_ids)).limit(2 * samples).collect() if ids else []
+    share = min(1.0, samples / max(1, docs.count()))
+    drawn = docs.where(F.abs(F.xxhash64("doc_id", "text") % (1 << 40)) < int(share * (1 << 40))) if share < 1 else docs
+    some = drawn.select(F.substring("text", 1, 8 * sample_ids).alias("text")).limit(2 * samples)  # many copies of one row can't swell it
+    texts = pa.array(some.agg(F.collect_list("text").alias("texts")).first().texts, pa.string())
     kind = "<u2" if width == 2 else "<u4"
-    parts = [np.frombuffer(x, "<u4")[:sample_ids].astype(kind).tobytes() for x in encoder(tokenizer).apply([t[0] for t in texts])]
+    parts = [np.frombuffer(x, "<u4")[:sample_ids].astype(kind).tobytes() for x in encoder(tokenizer).apply(texts).to_pylist()]
     parts = sorted(p[a : a + 2048] for p in parts for a in range(0, len(p), 2048))
     try:
         return zstandard.train_dictionary(size, parts).as_bytes() if len(parts) >= 16 else b""
@@ -95,7 +97,7 @@ def _writer(path: str, tokenizer: str, end_id: int | None, width: int, dictionar
                     f.write(head := MAGIC + bytes([width]) + _hash(dictionary))
                     at = len(head)
                 docs += piece.column("doc_id").to_pylist()
-                for ids in encoder(tokenizer).apply(piece.column("text").to_pylist()):
+                for ids in encoder(tokenizer).apply(piece.column("text")).to_pylist():
                     ids += tail
                     frame = zip_.compress(np.frombuffer(ids, "<u4").astype(kind).tobytes())
                     f.write(frame)

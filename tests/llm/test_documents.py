@@ -91,7 +91,38 @@ def test_order_of_rules_changes_no_verdict(spark, small):
     docs = queries.documents(spark, small)
     one, two = (quality_rules.judge(docs, order=o).select("doc_id", "kept").orderBy("doc_id").collect() for o in (list(quality_rules.RULES), list(quality_rules.RULES)[::-1]))
     assert one == two
-    assert {r.name for r in quality_rules.order_rules(docs)} == {r.name for r in quality_rules.RULES}
+    every = quality_rules.BASE + quality_rules.RULES
+    order = quality_rules.order_rules(docs)
+    assert {r.name for r in order} == {r.name for r in every} and order == quality_rules.order_rules(docs.repartition(7))
+    kept = sorted(r.doc_id for r in one if r.kept)
+    for o in (order, list(every), list(every)[::-1]):
+        assert sorted(r.doc_id for r in quality_rules.passing(docs, order=o).select("doc_id").collect()) == kept
+
+
+def test_rules_are_ordered_by_rejections_per_cost(spark):
+    prose = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, t) for i, t in enumerate([prose] * 20 + ["#| " * 80] * 5 + ["few words"] * 3 + [prose.upper()] * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    names = [r.name for r in quality_rules.order_rules(docs)]
+    assert names.index("symbols") < names.index("repeated_words")  # both reject the junk; one costs far less
+    assert [r.name for r in quality_rules.order_rules(docs, known=quality_rules.COUNTS)][0] in ("symbols", "repeated_words", "word_length", "no_letters")
+    assert quality_rules.order_rules(docs.filter("false"))
+
+
+def test_rejected_documents_skip_what_later_rules_need(spark):
+    """A metric that fails when it is evaluated shows that it isn't."""
+    docs = spark.createDataFrame([(1, "few"), (2, "words here")], "doc_id long, text string")
+    bad = quality_rules.Rule("bad", "cast(raise_error('evaluated') as int) + {n_letters} > 0", ("n_letters",))
+    assert quality_rules.passing(docs, order=[quality_rules.BASE[0], bad]).count() == 0
+    with pytest.raises(Exception, match="evaluated"):
+        quality_rules.passing(docs, order=[bad, quality_rules.BASE[0]]).collect()
+
+
+def test_rules_keep_columns_whatever_their_names(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text, 1, 2, 3, True, "r"), (2, "few", 1, 2, 3, True, "r")], "doc_id long, text string, t int, n_words int, _q_t int, kept boolean, _Q_rejected string")
+    assert [tuple(r) for r in quality_rules.passing(docs).collect()] == [(1, text, 1, 2, 3, True, "r")]
+    assert [(r.n_words, r.kept) for r in quality_rules.judge(docs).orderBy("doc_id").collect()] == [(60, True), (1, False)]
 
 
 # ---- quality classifier

@@ -37,8 +37,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality_rules.judge(documents(spark, sf_dir))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_rules.judge(documents(spark, sf_dir)).drop("text", "rejected_by")
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -162,6 +162,73 @@ def test_site_posteriors_equal_a_plain_computation(spark):
         assert got[h, p] == (len(v), pytest.approx(np.log(m / (1 - m)) - np.log(prior / (1 - prior)), abs=1e-9))
 
 
+def test_hashed_features_equal_a_plain_computation():
+    import pyarrow as pa
+    import xxhash
+
+    texts = ["the quick  brown\tfox the", None, "", " \n ", "é日 x" * 50, "a"]
+    bags = quality_classifier.Bags(pa.array(texts))
+    x = bags.vectors()
+    for row, t in zip(x, texts, strict=True):
+        want = np.zeros(quality_classifier.WORDS + quality_classifier.TRIGRAMS)
+        words = (t or "").encode().split()
+        for w in words:
+            want[xxhash.xxh3_64_intdigest(w) % quality_classifier.WORDS] += 1 / len(words)
+            v = b" " + w + b" "
+            for i in range(len(w)):
+                key = int.from_bytes(v[i : i + 3], "little") * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+                want[quality_classifier.WORDS + (key >> 40) % quality_classifier.TRIGRAMS] += 1 / sum(map(len, words))
+        assert row == pytest.approx(want, abs=1e-6)
+    weights = np.random.default_rng(2).normal(size=x.shape[1])
+    assert bags.scores(weights) == pytest.approx(x @ weights, abs=1e-6)
+
+
+def test_whole_verdict_equals_a_plain_computation(spark, small):
+    docs, labels = queries.documents(spark, small), spark.read.parquet(f"{small}/labels.parquet")
+    got = {r.doc_id: r for r in quality_classifier.classify(docs, labels).collect()}
+    model = quality_classifier.fit(docs, labels)
+    import pyarrow as pa
+
+    rows = quality_classifier.features(docs).select("doc_id", "text", "source", "lang", *quality_classifier.FEATURES).collect()
+    own = model.own(pa.array([r.text for r in rows]), np.array([r[4:] for r in rows], float))
+    sites, hosts = {}, {}
+    for r, o in zip(rows, own, strict=True):
+        p = 1 / (1 + np.exp(-o))
+        sites.setdefault((r.source, r.lang), []).append(p)
+        hosts.setdefault(r.source, []).append(p)
+    prior = (sum(map(sum, hosts.values())) + 0.5) / (len(rows) + 1)
+
+    def strength(groups):
+        n = sum(len(v) for v, _ in groups)
+        within = sum(sum(v) * (1 - sum(v) / len(v)) for v, _ in groups) / max(n - len(groups), 1)
+        between = sum(len(v) * (sum(v) / len(v) - m) ** 2 for v, m in groups) / len(groups)
+        return min(1e4, max(1.0, within / max((between - within) / (n / len(groups)), 1e-6)))
+
+    kh = strength([(v, prior) for v in hosts.values()])
+    kp = strength([(v, (sum(hosts[h]) + kh * prior) / (len(hosts[h]) + kh)) for (h, _), v in sites.items()])
+    for r, o in zip(rows, own, strict=True):
+        p = 1 / (1 + np.exp(-o))
+        h, v = hosts[r.source], sites[r.source, r.lang]
+        mean = (sum(h) - p + kh * prior) / (len(h) - 1 + kh)
+        m = (sum(v) - p + kp * mean) / (len(v) - 1 + kp)
+        shift = min(2.0, max(-2.0, np.log(m / (1 - m)) - np.log(prior / (1 - prior))))
+        x = got[r.doc_id]
+        assert (x.own, x.shift) == (pytest.approx(o, abs=1e-9), pytest.approx(shift, abs=1e-7))
+        assert x.score == pytest.approx(1 / (1 + np.exp(-(o + shift))), abs=1e-7) and x.kept == (x.score >= 0.5)
+
+
+def test_a_lone_document_says_nothing_about_itself(spark):
+    docs = spark.createDataFrame([(i, f"words number {i} here", f"host{i}", "en") for i in range(5)], "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    assert all(abs(r["shift"]) < 1e-9 for r in quality_classifier.classify(docs, labels).collect())
+
+
+def test_repeated_ids_count_once_in_the_fit(spark, monkeypatch):
+    docs = spark.createDataFrame([(0, "good words"), (1, "#!# bad")] + [(1, f"#!# bad {i}") for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    assert quality_classifier.fit(docs, labels, most=4).bins.shape == (512,)
+
+
 def test_classifier_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1, 0), (16, 0, 0), (16, 0, 0), (None, 1, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
     assert quality_classifier.classify(odd, labels).count() == odd.count()

@@ -6,7 +6,7 @@ import pytest
 from oracle import same
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, ngram_join, quality_classifier, quality_rules, queries
+from tidemark.llm import bitmaps, exact_dedup, ngram_join, quality_classifier, quality_rules, queries
 from tidemark.llm.components import components
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -312,6 +312,37 @@ def test_links_equal_brute_force(spark, odd, monkeypatch, block):
         assert Counter((r.doc_id, r.n_links) for r in got) == brute_links(rows(df))
 
 
+@pytest.mark.parametrize("least,entries", [(1, 64), (40, 1000), (10**6, 500)])
+def test_hot_columns_and_small_blocks_change_nothing(spark, monkeypatch, least, entries):
+    """One passage in all rows, one large open group, some near copies; hot columns from few rows on, and several blocks."""
+    monkeypatch.setattr(ngram_join, "HOT_LEAST", least)
+    monkeypatch.setattr(ngram_join, "HOT", 40)
+    monkeypatch.setattr(ngram_join, "BLOCK_TEXT", 5000)
+    monkeypatch.setattr(ngram_join, "BLOCK_ENTRIES", entries)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    passage = " ".join(f"p{i}" for i in range(6))
+    r = np.random.default_rng(11)
+    texts = []
+    for i in range(120):
+        w = [f"w{x}" for x in range(60)]
+        for _ in range(int(r.integers(0, 4))):
+            w[int(r.integers(0, 60))] = f"e{i}"
+        texts.append(" ".join(w if i % 3 else [f"u{i}-{x}" for x in range(30)]) + " " + passage)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(near_copies(spark, 7, 60).selectExpr("doc_id + 1000 AS doc_id", "text")).repartition(6)
+    got = ngram_join.ngram_components(df).collect()
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in got) == brute_components(rows(df))
+    assert Counter((x.doc_id, x.n_links) for x in got) == brute_links(rows(df))
+
+
+@pytest.mark.parametrize("keys", [0, 5, 3000])
+def test_bitmaps_lose_no_row(spark, keys):
+    rows = spark.range(10_000)
+    some = rows.filter(f"id < {keys}")
+    bits = bitmaps.bits_for(keys)
+    got = bitmaps.may_have(rows, "id", bitmaps.bitmaps(some, "id", bits), bits)
+    assert got.columns == ["id"] and got.join(some, "id").count() == keys and keys <= got.count() <= keys + 1200
+
+
 @pytest.mark.parametrize("common,wide", [(16, 4096), (16, 3), (1, 4096), (2, 5)])
 def test_product_of_a_block(monkeypatch, common, wide):
     monkeypatch.setattr(ngram_join, "COMMON", common)

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from tidemark.operators.skew import left_join_by_key
 from tidemark.session import materialize
 
+from .bitmaps import bitmaps, bits_for, may_have
+
 WHITE = r"[\x20\x09-\x0D]+"
-#: Bits of the filter that picks the rows for the byte comparison: 4 MB are broadcast at most, whatever the input.
-FILTER_BITS = 1 << 25
 
 
 def normalised(text: Column) -> Column:
@@ -30,20 +30,6 @@ def hash128(text: Column) -> Column:
     return F.unhex(F.md5(F.encode(text, "UTF-8")))
 
 
-def _filter(keys: DataFrame) -> DataFrame:
-    """Bitmaps (bucket, bits) with a bit for each key; FILTER_BITS / 32768 rows at most."""
-    at = F.pmod(F.xxhash64("h"), F.lit(FILTER_BITS)) + 1
-    return keys.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
-
-
-def _in_filter(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Rows whose bit is set: all with a key of the filter, and a few others."""
-    at = F.pmod(F.xxhash64("h"), F.lit(FILTER_BITS)) + 1
-    met = rows.withColumns({"bucket": F.bitmap_bucket_number(at), "bit": F.bitmap_bit_position(at)}).join(F.broadcast(bitmaps), "bucket")
-    byte = "cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)"
-    return met.filter(f"shiftright({byte}, cast(bit % 8 as int)) & 1 = 1").drop("bucket", "bit", "bits")
-
-
 def exact_groups(docs: DataFrame, hash_: Callable[[Column], Column] = hash128, row: str | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row of docs (doc_id, text).
 
@@ -64,7 +50,8 @@ def exact_groups(docs: DataFrame, hash_: Callable[[Column], Column] = hash128, r
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("first")
     repeated = materialize(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "repeated")
     # bytes: one row for each (hash, text); two rows for one (hash, digest) are a collision
-    meet = _in_filter(texts.withColumn("h", hash_(F.col("norm"))), _filter(repeated)).groupBy("h", "norm").agg(F.count(F.lit(1)).alias("n"))
+    bits = bits_for(repeated.count())
+    meet = may_have(texts.withColumn("h", hash_(F.col("norm"))), "h", bitmaps(repeated, "h", bits), bits).groupBy("h", "norm").agg(F.count(F.lit(1)).alias("n"))
     clash = materialize(meet.groupBy("h", sha.alias("s")).agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("h", "s"), "clash")
     groups = rows.groupBy("h", "s").agg(F.count(F.lit(1)).alias("group_size"), first).filter("group_size > 1")
     collided = not clash.isEmpty()

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.skew import left_join_by_key
 from tidemark.session import materialize, partitions, ship
 
+from .bitmaps import bitmaps, bits_for, may_have
 from .components import components
 from .encoder import give_back, slices
 
@@ -37,6 +38,10 @@ from .encoder import give_back, slices
 MIX = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) & (1 << 64) - 1) for i in range(64)]
 #: Per cent of a set that its first blocks hold beyond what one shared entry needs; more means fewer documents in step 2.
 EXTRA = 10
+#: Bytes of text whose first entries make up one column block in step 1; entries that make up one in step 2.
+BLOCK_TEXT, BLOCK_ENTRIES = 128 << 20, 4 << 20
+#: A column with over HOT_LEAST and over one in HOT of all entries of step 2 doesn't go to a column block; there are 2 * HOT of them at most.
+HOT, HOT_LEAST = 50_000, 4096
 #: Rows of a block in step 3; columns that more than one in COMMON of them have are multiplied as a dense matrix, WIDE columns at a time.
 BLOCK, COMMON, WIDE = 1024, 16, 4096
 
@@ -221,7 +226,40 @@ def _sets(size: int):
     return run
 
 
-def _all_entries(blocks: int):
+def _frequent():
+    """Step 2: columns that hold one in 2 * HOT of a batch's entries, with their number in it."""
+
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for piece in slices(batch, "entries", 4000, 16 << 20):
+                column = np.sort(np.concatenate([np.frombuffer(x, "<u8") for x in piece.column("entries").to_pylist()]))
+                first = np.flatnonzero(np.append(True, column[1:] != column[:-1])[: len(column)])
+                count = np.diff(np.append(first, len(column)))
+                many = count * 2 * HOT > max(len(column), 4 * HOT)
+                yield pa.RecordBatch.from_arrays([pa.array(column[first[many]].view(np.int64)), pa.array(count[many])], names=["column", "n"])
+
+    return run
+
+
+def hot_columns(sets: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
+    """All columns with more than one in HOT of the entries, and perhaps some with half as many, sorted, and about how many rows have each; 2 * HOT of them at most.
+
+    A column that no batch reports where it stays below half its share lacks
+    less than half of its entries here, so none is missed. Columns of two
+    entries a batch or under HOT_LEAST in all are never hot.
+    """
+    found = sets.select("entries").mapInArrow(_frequent(), "column long, n long").groupBy("column").agg(F.sum("n").alias("n")).filter(F.col("n") > max(HOT_LEAST, entries / (2 * HOT))).collect()
+    column, count = (np.array([r[i] for r in found], np.int64) for i in (0, 1))
+    column = column.view(np.uint64)
+    order = np.argsort(column)
+    return column[order], np.minimum(count[order], 1 << 30)
+
+
+def _all_entries(blocks: int, hot: np.ndarray, often: np.ndarray):
+    """Step 2, by row: entries to column blocks (kind 0), those of hot columns to blocks of rows (kind 1), sizes likewise (kind 2)."""
+
     def run(batches) -> Iterator:
         for batch in batches:
             for piece in slices(batch, "entries", 4000, 16 << 20):
@@ -229,9 +267,16 @@ def _all_entries(blocks: int):
                 row = np.array(piece.column("row").to_pylist(), np.int64)
                 column = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
                 owner = np.repeat(row, [len(s) for s in sets])
+                at = np.minimum(np.searchsorted(hot, column), max(0, len(hot) - 1))
+                known = hot[at] == column if len(hot) else np.zeros(len(column), bool)
+                e = np.zeros(int(known.sum()), ENTRY)
+                e["row"], e["column"], e["count"] = owner[known], column[known], often[at[known]]  # the same for all, so all rows order columns alike
+                e = e[np.argsort(e["row"] % blocks, kind="stable")]
+                column, owner = column[~known], owner[~known]
                 order = np.argsort(column, kind="stable")
                 column, owner = column[order], owner[order]
                 rows = [(b, 0, data) for b, data in _cut(_blocks(column, blocks), column, owner)]
+                rows += [(b, 1, data) for b, data in _cut(e["row"] % blocks, e)]
                 sizes = np.zeros(len(row), SIZE)
                 sizes["row"], sizes["n"] = row, piece.column("n").to_pylist()
                 sizes = sizes[np.argsort(row % blocks, kind="stable")]
@@ -248,8 +293,8 @@ def _shared_entries(blocks: int):
     def run(batches) -> Iterator:
         parts = _read(batches)
         rows = []
-        for data in parts.get(2, []):
-            rows.append((int(np.frombuffer(data, SIZE)["row"][0] % blocks), 2, data))
+        for kind, form in ((1, ENTRY), (2, SIZE)):
+            rows += [(int(np.frombuffer(data, form)["row"][0] % blocks), kind, data) for data in parts.get(kind, [])]
         column, owner = _pairs(parts.get(0, []))
         count = _runs(column)
         keep = count > 1
@@ -279,14 +324,30 @@ def _rarest(blocks: int, percent: int):
         first = np.append(True, e["row"][1:] != e["row"][:-1])
         rank = np.arange(len(e)) - np.maximum.accumulate(np.where(first, np.arange(len(e)), 0))
         e = e[rank < shared - least_overlap(n, percent) + 1]
-        e = e[np.argsort(e["column"], kind="stable")]
-        rows = [(b, 0, data) for b, data in _cut(_blocks(e["column"], blocks), e["column"], e["row"])]
+        if not len(e):
+            return
+        # rows that meet in a column here are linked here; of them only the smallest goes on, so a column block gets a row for each row block at most
+        e = e[np.lexsort((e["row"], e["column"]))]
+        first = np.append(True, e["column"][1:] != e["column"][:-1])
+        low = e["row"][np.flatnonzero(first)][np.cumsum(first) - 1]
+        met = _forest(e["row"], low)
+        rows = [(b, 0, data) for b, data in _cut(_blocks(e["column"][first], blocks), e["column"][first], e["row"][first].view(np.uint64))]
+        rows += [(int(met[0][a] % blocks), 3, np.concatenate([x[a : a + 50_000] for x in met]).tobytes()) for a in range(0, len(met[0]), 50_000)]
         for a in range(0, len(rows), 256):
             yield _packed(rows[a : a + 256])
 
     return run
 
 
+def _forest(owner: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (id, smallest id connected to it) for links owner - low."""
+    far = low != owner
+    if not far.any():
+        return owner[:0], owner[:0]
+    ids, root = _roots(owner[far], low[far])
+    return ids[ids != root], root[ids != root]
+
+
 def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ids, smallest id connected to each) for links a - b."""
     ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -309,16 +370,16 @@ def _candidates(batches) -> Iterator:
     """Step 2, by column block: rows that meet in an entry, as links to the smallest row they are connected to here."""
     import pyarrow as pa
 
-    column, owner = _pairs(_read(batches).get(0, []))
+    parts = _read(batches)
+    column, owner = _pairs(parts.get(0, []))
     owner = owner.view(np.int64)
+    links = [tuple(np.frombuffer(x, "<i8").reshape(2, -1)) for x in parts.get(3, [])]
     if len(column):
         first = np.append(True, column[1:] != column[:-1])
-        low = np.minimum.reduceat(owner, np.flatnonzero(first))[np.cumsum(first) - 1]
-        far = low != owner
-        ids, root = _roots(owner[far], low[far])
-        apart = ids != root
-        for a in range(0, int(apart.sum()), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[apart][a : a + 50_000], pa.int64()) for x in (ids, root)], names=["a", "b"])
+        links.append(_forest(owner, owner[np.flatnonzero(first)][np.cumsum(first) - 1]))
+    for ids, root in links:
+        for a in range(0, len(ids), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 50_000], pa.int64()) for x in (ids, root)], names=["a", "b"])
 
 
 def multiply(sets: list[np.ndarray], percent: int, weight: np.ndarray, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -403,10 +464,11 @@ def _multiplied(blocks: DataFrame, percent: int) -> DataFrame:
 def linked_rows(sets: DataFrame, percent: int) -> DataFrame:
     """(row, label, links): the component of each row of sets (row, n, entries, weight) that has a partner, and the weight of all its partners; exact."""
     spark = sets.sparkSession
-    k = partitions(spark)
-    met = sets.mapInArrow(_all_entries(k), PACKED).repartition(k, "block").mapInArrow(_shared_entries(k), PACKED)
-    rare = met.repartition(k, "block").mapInArrow(_rarest(k, percent), PACKED)
-    groups = components(rare.repartition(k, "block").mapInArrow(_candidates, "a long, b long"))
+    entries = sets.agg(F.sum("n")).first()[0] or 0
+    k = max(partitions(spark), entries // BLOCK_ENTRIES + 1)
+    met = sets.mapInArrow(_all_entries(k, *hot_columns(sets, entries)), PACKED).repartitionById(k, F.col("block")).mapInArrow(_shared_entries(k), PACKED)
+    rare = met.repartitionById(k, F.col("block")).mapInArrow(_rarest(k, percent), PACKED)
+    groups = components(rare.repartitionById(k, F.col("block")).mapInArrow(_candidates, "a long, b long"))
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     placed = materialize(sets.join(left_join_by_key(groups, materialize(sizes, "sizes"), ["label"], "size", groups.count()).withColumnRenamed("id", "row"), "row"), "placed")
     small = placed.filter(f"size <= {BLOCK}").withColumn("block", F.struct("label", F.lit(0).alias("i"), F.lit(0).alias("j"))).withColumn("side", F.lit(True))
@@ -445,7 +507,8 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, row: str
     k = partitions(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col(row) if row else F.lit(0)).cast("long").alias("uid"), "text")
     named = docs.filter("doc_id IS NOT NULL")
-    first = named.mapInArrow(_first_entries(size, percent, k), PACKED).repartition(k, "block").mapInArrow(_count_shared, "doc_id long, uid long, n long, hi long, lo long, shared long")
+    k = max(k, (named.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_TEXT + 1)
+    first = named.mapInArrow(_first_entries(size, percent, k), PACKED).repartitionById(k, F.col("block")).mapInArrow(_count_shared, "doc_id long, uid long, n long, hi long, lo long, shared long")
     seen = materialize(first, "seen")
     rows = seen.filter("doc_id IS NOT NULL")
     full = rows.filter("n > 0")
@@ -454,7 +517,9 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, row: str
     need = F.expr(f"(({percent} * n + 99) div 100) * {EXTRA} div 100 + 1")
     classes = materialize(classes.join(counts, "lo").withColumn("left", F.col("shared") >= need).withColumn("row", F.monotonically_increasing_id()), "classes")
     left = classes.filter("left").select("first.doc_id", "row", "lo", F.col("size").alias("weight"))
-    sets = materialize(named.join(left, "doc_id").select("row", "lo", "weight", "text").mapInArrow(_sets(size), "row long, n long, entries binary, weight long"), "sets")
+    bits = bits_for(left.count())
+    some = may_have(named.select("doc_id", "text"), "doc_id", bitmaps(left, "doc_id", bits), bits)  # so only texts of candidates and few others are shuffled
+    sets = materialize(some.join(left, "doc_id").select("row", "lo", "weight", "text").mapInArrow(_sets(size), "row long, n long, entries binary, weight long"), "sets")
     labels = linked_rows(sets, percent)
     near = classes.join(labels, "row")
     lowest = near.groupBy("label").agg(F.min("first").alias("lowest"), F.count(F.lit(1)).alias("rows"))

@@ -30,7 +30,7 @@ FEATURES = ("symbols", "pipes", "shouts", "capitals", "digits", "word_length", "
 #: Bins of words and of character trigrams.
 WORDS, TRIGRAMS = 256, 256
 #: Labelled documents to fit on, at most: those whose doc_ids hash lowest.
-MOST_LABELS = 20_000
+MOST_LABELS = 10_000
 
 
 def features(docs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from . import bpe
 
 #: Bytes of chunks and results that a worker keeps between batches.
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 40 << 20
 
 
 class ByChunk:
@@ -173,7 +173,7 @@ def give_back() -> None:
         trim(0)
 
 
-def slices(batch, column: str, rows: int = 4000, size: int = 8 << 20):
+def slices(batch, column: str, rows: int = 4000, size: int = 4 << 20):
     """Cuts an Arrow batch into runs of at most `rows` rows and about `size` bytes of `column`, so memory doesn't depend on text lengths."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     a = total = 0

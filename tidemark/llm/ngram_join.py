@@ -52,7 +52,7 @@ class Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 500_000:
+        if len(self) >= 300_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -150,7 +150,7 @@ def _first_entries(size: int, percent: int, blocks: int):
         import xxhash
 
         for batch in batches:
-            for piece in slices(batch, "text", 8000, 16 << 20):
+            for piece in slices(batch, "text", 8000, 8 << 20):
                 rows, seen = [], {}
                 sets, owners = [], []
                 docs = np.zeros(piece.num_rows, DOC)
@@ -233,7 +233,7 @@ def _frequent():
         import pyarrow as pa
 
         for batch in batches:
-            for piece in slices(batch, "entries", 4000, 16 << 20):
+            for piece in slices(batch, "entries", 4000, 8 << 20):
                 column = np.sort(np.concatenate([np.frombuffer(x, "<u8") for x in piece.column("entries").to_pylist()]))
                 first = np.flatnonzero(np.append(True, column[1:] != column[:-1])[: len(column)])
                 count = np.diff(np.append(first, len(column)))
@@ -262,7 +262,7 @@ def _all_entries(blocks: int, hot: np.ndarray, often: np.ndarray):
 
     def run(batches) -> Iterator:
         for batch in batches:
-            for piece in slices(batch, "entries", 4000, 16 << 20):
+            for piece in slices(batch, "entries", 4000, 8 << 20):
                 sets = [np.frombuffer(x, "<u8") for x in piece.column("entries").to_pylist()]
                 row = np.array(piece.column("row").to_pylist(), np.int64)
                 column = np.concatenate(sets) if sets else np.zeros(0, np.uint64)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, ngram_join, packing, quality_classifier, quality_rules
-from tidemark.session import materialize
+from tidemark.session import materialize, tidy
 
 
 ROW = "_pipeline_row"
@@ -24,7 +24,8 @@ ROW = "_pipeline_row"
 def _kept(docs: DataFrame, verdicts: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Rows of docs without those for which verdicts (uid, kept) says that they aren't kept."""
     rows = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    dropped = materialize(verdicts(rows).filter("NOT kept").select(F.col("uid").alias(ROW)), "dropped")
+    with tidy(docs.sparkSession, "dropped"):
+        dropped = materialize(verdicts(rows).filter("NOT kept").select(F.col("uid").alias(ROW)), "dropped")
     return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import materialize, tidied
 
 
+@tidied("labels")
 def components(links: DataFrame, most: int = 60) -> DataFrame:
     """(id, label) for every id of links (a, b): label is the smallest id of its component.
 

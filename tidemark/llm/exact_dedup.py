@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import left_join_by_key
-from tidemark.session import materialize
+from tidemark.session import materialize, tidied
 
 from .bitmaps import bitmaps, bits_for, may_have
 
@@ -30,6 +30,7 @@ def hash128(text: Column) -> Column:
     return F.unhex(F.md5(F.encode(text, "UTF-8")))
 
 
+@tidied("keys", "clash", "groups", "collided")
 def exact_groups(docs: DataFrame, hash_: Callable[[Column], Column] = hash128, row: str | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row of docs (doc_id, text).
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import left_join_by_key
-from tidemark.session import materialize, partitions, ship
+from tidemark.session import materialize, partitions, ship, tidied
 
 from .bitmaps import bitmaps, bits_for, may_have
 from .components import components
@@ -181,6 +181,7 @@ def _first_entries(size: int, percent: int, blocks: int):
                     rows.append((int(docs["lo"][0] % blocks), 1, docs.tobytes()))
                 if rows:
                     yield _packed(rows)
+                give_back()
         words().clear()  # the worker lives on and has other things to hold
         give_back()
 
@@ -203,6 +204,7 @@ def _count_shared(batches) -> Iterator:
         m = len(key[a : a + 50_000])
         none = pa.nulls(m, pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(key[a : a + m], pa.int64()), pa.array(count[a : a + m], pa.int64())], names=names)
+    give_back()
 
 
 def _sets(size: int):
@@ -304,6 +306,7 @@ def _shared_entries(blocks: int):
         rows += [(b, 1, data) for b, data in _cut(e["row"] % blocks, e)]
         for a in range(0, len(rows), 256):
             yield _packed(rows[a : a + 256])
+        give_back()
 
     return run
 
@@ -451,6 +454,7 @@ def _product(percent: int):
                     x.append(value)
         if held[0]:
             yield close(now, *held)
+        give_back()
 
     return run
 
@@ -486,6 +490,7 @@ def linked_rows(sets: DataFrame, percent: int) -> DataFrame:
     return components(links.select("a", "b")).withColumnRenamed("id", "row").join(total, "row")
 
 
+@tidied("seen", "known")
 def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links of every row of docs (doc_id, text).
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import left_join_by_key
-from tidemark.session import materialize, ship
+from tidemark.session import materialize, ship, tidied
 
 from .encoder import give_back, slices
 
@@ -209,6 +209,7 @@ def site_posteriors(scores: DataFrame) -> DataFrame:
     return both.select("host", "path", "n", site_shift(k).alias("shift"))
 
 
+@tidied("scores", "sites")
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", threshold: float = 0.5, most_shift: float = 2.0, most: int = MOST_LABELS, row: str | None = None) -> DataFrame:
     """doc_id, own (log-odds of the text alone), shift (of its site without itself, within +-most_shift), score (probability) and kept of every row.
 

@@ -155,3 +155,50 @@ def test_similarities_are_symmetric_and_bounded(spark):
 @pytest.mark.parametrize("t,want", [("Aishiteru Game wo OwarasetaiI Want", ["Aishiteru Game wo Owarasetai", "I Want"]), ("plain", ["plain"])])
 def test_split_joined(spark, t, want):
     assert spark.createDataFrame([(t,)], "t string").select(text.split_joined(F.col("t"))).first()[0] == want
+
+
+def test_admission_of_a_million_rows_with_all_columns(spark):
+    due = spark.range(1_000_000).select("id", (F.col("id") * 7919 % 1_000_003).alias("at"), F.lit(1.0).alias("cost"), F.concat(F.lit("t"), "id").alias("title"))
+    got = cadence.admitted(due, F.col("cost"), 500_000, [F.col("at"), F.col("id")])
+    taken = got.filter("admitted").agg(F.count(F.lit(1)).alias("n"), F.max("at").alias("last"), F.max("title").alias("t")).first()
+    left = got.filter("NOT admitted").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.max("title").alias("t")).first()
+    assert (taken.n, left.n) == (500_000, 500_000) and taken["last"] < left["first"]
+
+
+def test_batches_of_many_ids(spark):
+    out = notify.batches(spark.range(200_000).select((F.col("id") * 3).alias("manga_id")), 500).select("batch_id", F.size("manga_ids").alias("n"), F.array_min("manga_ids").alias("a"), F.array_max("manga_ids").alias("b")).collect()
+    assert sorted((r.batch_id, r.n, r.a, r.b) for r in out) == [(i, 500, 1500 * i, 1500 * i + 1497) for i in range(400)]
+
+
+@pytest.mark.parametrize("ms,want", [(840, "840ms"), (999.6, "1000ms"), (1450, "1.4s"), (2950, "3.0s"), (2850, "2.9s"), (8250, "8.3s"), (8750, "8.8s"), (59999, "60.0s"), (60500, "1m01s"), (64000, "1m04s")])
+def test_durations(spark, ms, want):
+    assert spark.range(1).select(telemetry.format_ms(F.lit(float(ms))).alias("t")).first().t == want
+
+
+def test_upsert_keeps_what_it_does_not_know(spark):
+    now, old = dt.datetime(2024, 2, 1), dt.datetime(2024, 1, 1)
+    s = spark.createDataFrame([(7, 1, "p", 1.0, "a", old, old, old, "x"), (8, 1, "p", 2.0, "b", old, old, old, "y")], "id long, manga_id long, provider_id string, chapter_number double, link string, release_date timestamp_ntz, created_at timestamp_ntz, updated_at timestamp_ntz, note string")
+    i = spark.createDataFrame([(1, "p", 1.0, "a2", None, "z"), (1, "p", 3.0, "c", now, "w")], "manga_id long, provider_id string, chapter_number double, link string, release_date timestamp_ntz, note string")
+    got = {r.chapter_number: tuple(r) for r in delta.upsert(s, i, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")).collect()}
+    assert got == {
+        1.0: (7, 1, "p", 1.0, "a2", None, old, now, "x"),
+        2.0: (8, 1, "p", 2.0, "b", old, old, old, "y"),
+        3.0: (None, 1, "p", 3.0, "c", now, now, now, "w"),
+    }
+
+
+def test_a_lost_writer_leaves_a_table_that_comes_back(spark, tmp_path):
+    path = f"file://{tmp_path}/table"
+    spark.range(3).write.parquet(path)
+    (tmp_path / "table").rename(tmp_path / "table.old")
+    delta.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    delta.write_staged(spark.read.parquet(path).selectExpr("id + 1 AS id"), path)
+    delta.recover(spark, path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
+def test_outcomes_of_failing_and_missing_series(spark):
+    a = spark.createDataFrame([(1, "error", 0, 5.0, 1.0), (1, "error", 0, 9.0, 0.0), (2, "error", 0, 1.0, 0.0), (2, "empty", 0, 1.0, 0.0), (3, "skipped", 0, None, None), (4, "chapters", 3, 2.0, 0.0)], "series long, outcome string, chapters long, ms double, waited_ms double")
+    got = {r.series: (r.attempted, r.errors, r.skipped, r.results, r.busy_ms, r.success) for r in telemetry.series_outcome(a).collect()}
+    assert got == {1: (2, 2, 0, 0, 9.0, False), 2: (2, 1, 0, 0, 1.0, True), 3: (0, 0, 1, 0, 0.0, False), 4: (1, 0, 0, 1, 2.0, True)}

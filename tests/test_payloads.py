@@ -115,3 +115,12 @@ def test_json_helpers():
 def test_api_numbers_default_to_zero(spark):
     df = spark.createDataFrame([(1, "1/chapter-10-5", "Oneshot", None), (1, "1/x", "Oneshot", None), (1, "1/y", "Chapter: 3", None)], "page_id long, id string, title string, release_date string")
     assert [(r.chapter_number, r.defaulted) for r in extract.api_chapters(df, "https://a.example").collect()] == [(10.5, False), (0.0, True), (3.0, False)]
+
+
+def test_a_price_beside_the_link_outside_a_list_is_seen(spark):
+    def box(n, price):
+        return f'<div class="chbox"><div class="eph-num"><a href="/s-chapter-{n}/"><span class="chapternum">Chapter {n}</span></a></div>{price}</div>'
+
+    page = "<div>" + box(4, "") + box(5, '<span class="text-gold">10</span>') + box(6, "") + '<div class="eph-num"><a href="/s-chapter-7/">Chapter 7</a><i class="fa-lock"></i></div></div>'
+    got = [r.chapter_number for r in extract.theme_pages(pages(spark, page), "https://r.example", NOW()).collect()]
+    assert sorted(got) == [4.0, 6.0]

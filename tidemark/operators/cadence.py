@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize, partitions
+
 
 @dataclass(frozen=True)
 class Tier:
@@ -75,10 +77,13 @@ def admitted(due: DataFrame, cost: Column, budget: float, order: list[Column], b
     """due with `admitted`: items are taken in order until the cost of those before reaches the budget.
 
     A running sum in two levels, so no task sees all rows: rows are dealt into
-    ranges of the order, sums of whole ranges are added by a join.
+    ranges of the order and written with their range, as another run of the
+    same plan may sample other borders; sums of whole ranges are added by a
+    join. A null cost is none.
     """
-    ranged = due.withColumn("_cost", cost.cast("double")).repartitionByRange(blocks, *order).sortWithinPartitions(*order)
-    ranged = ranged.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at"))
+    blocks = max(blocks, partitions(due.sparkSession))
+    ranged = due.withColumn("_cost", F.coalesce(cost.cast("double"), F.lit(0.0))).repartitionByRange(blocks, *order).sortWithinPartitions(*order)
+    ranged = materialize(ranged.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")), "ranged")
     sums = ranged.groupBy("_part").agg(F.sum("_cost").alias("_sum"))
     before = sums.alias("a").join(sums.alias("b"), F.col("b._part") < F.col("a._part"), "left").groupBy("a._part").agg(F.coalesce(F.sum("b._sum"), F.lit(0.0)).alias("_before"))
     within = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 KEY = ["manga_id", "provider_id", "chapter_number"]
@@ -42,19 +42,29 @@ def counters(flagged: DataFrame) -> DataFrame:
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, now: Column) -> DataFrame:
-    """stored after an upsert of incoming (KEY, link): found rows take the link and keep created_at, others begin now; nothing is deleted.
+    """stored after an upsert of incoming, with stored's columns: found rows take the link and release_date, others begin now; nothing is deleted.
 
-    One full outer join on the key. incoming must have one row a key: see first_by_key().
+    created_at and any other column of a found row stay; a new row has
+    incoming's value there, or null. One full outer join on the key. incoming
+    must have one row a key: see first_by_key().
     """
-    s = stored.select(*KEY, F.col("link").alias("_old"), F.col("created_at").alias("_created"), F.col("updated_at").alias("_updated"), F.lit(True).alias("_s"))
-    i = incoming.select(*KEY, F.col("link").alias("_new"), F.lit(True).alias("_i"))
-    met = s.join(i, KEY, "full")
-    return met.select(
-        *KEY,
-        F.when(F.col("_i"), F.col("_new")).otherwise(F.col("_old")).alias("link"),
-        F.when(F.col("_s"), F.col("_created")).otherwise(now).alias("created_at"),
-        F.when(F.col("_i"), now).otherwise(F.col("_updated")).alias("updated_at"),
-    )
+    rest = [c for c in stored.columns if c not in (*KEY, "created_at", "updated_at")]
+    taken = [c for c in rest if c in incoming.columns]
+    s = stored.select(*KEY, F.struct(*[c for c in stored.columns if c not in KEY]).alias("_s"))
+    i = incoming.select(*KEY, F.struct(F.lit(True).alias("_"), *taken).alias("_i"))
+    new, old = F.col("_i").isNotNull(), F.col("_s").isNotNull()
+
+    def value(c: str) -> Column:
+        if c == "created_at":
+            return F.when(old, F.col("_s.created_at")).otherwise(now)
+        if c == "updated_at":
+            return F.when(new, now).otherwise(F.col("_s.updated_at"))
+        if c not in taken:
+            return F.col(f"_s.{c}")
+        first = new if c in ("link", "release_date") else ~old
+        return F.when(first, F.col(f"_i.{c}")).otherwise(F.col(f"_s.{c}"))
+
+    return s.join(i, KEY, "full").select(*[c if c in KEY else value(c).alias(c) for c in stored.columns])
 
 
 def missing_names(names: DataFrame, stored: DataFrame) -> DataFrame:
@@ -62,12 +72,25 @@ def missing_names(names: DataFrame, stored: DataFrame) -> DataFrame:
     return names.select("name").distinct().join(stored.select("name"), "name", "left_anti")
 
 
+def _places(spark: SparkSession, path: str):
+    places = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.staged", f"{path}.old")]
+    return places[0].getFileSystem(spark._jsc.hadoopConfiguration()), *places
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Puts the table at path back if a writer was lost between its two moves. Call it before the table is read."""
+    fs, target, _, old = _places(spark, path)
+    if not fs.exists(target) and fs.exists(old) and not fs.rename(old, target):
+        raise OSError(f"{path} can't be put back")
+
+
 def write_staged(df: DataFrame, path: str) -> None:
-    """Replaces the table at path, which df may read: written beside it first, then moved over it."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    target, staged, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.staged", f"{path}.old"))
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Replaces the table at path, which df may read: written beside it first, then moved over it.
+
+    Between the two moves the table is only under its .old name; recover()
+    brings it back if the writer is lost just there.
+    """
+    fs, target, staged, old = _places(df.sparkSession, path)
     df.write.mode("overwrite").parquet(f"{path}.staged")
     fs.delete(old, True)
     if fs.exists(target) and not fs.rename(target, old):

@@ -12,14 +12,18 @@ ALERT_MIN_ATTEMPTS, ALERT_ERROR_RATE, ALERT_EMPTY_RATE = 50, 0.8, 0.98
 def nearest_rank(column: str, percent: int, key: list[str], rows: DataFrame) -> DataFrame:
     """(key, value): the value at index round(percent / 100 * (n - 1)), halves up, of the sorted values of each key.
 
-    Values are counted before they are ranked, so a key's window holds its
-    distinct values, not its rows.
+    Whole parts are counted first, and only the values of the one that holds
+    the index are ranked, by distinct value; so a key's windows hold its
+    distinct whole parts and the distinct values of one of them, not its rows.
     """
-    distinct = rows.groupBy(*key, column).agg(F.count(F.lit(1)).alias("_n"))
-    up = Window.partitionBy(*key).orderBy(column)
-    ranked = distinct.withColumns({"_to": F.sum("_n").over(up), "_all": F.sum("_n").over(Window.partitionBy(*key))})
+    distinct = rows.filter(F.col(column).isNotNull()).groupBy(*key, column).agg(F.count(F.lit(1)).alias("_n")).withColumn("_whole", F.floor(column))
+    parts = distinct.groupBy(*key, "_whole").agg(F.sum("_n").alias("_m"))
+    up = Window.partitionBy(*key).orderBy("_whole")
+    parts = parts.withColumns({"_to": F.sum("_m").over(up), "_all": F.sum("_m").over(Window.partitionBy(*key))})
     at = F.floor(F.lit(percent / 100.0) * (F.col("_all") - 1) + 0.5)
-    return ranked.filter((F.col("_to") > at) & (F.col("_to") - F.col("_n") <= at)).select(*key, F.col(column).alias(f"p{percent}"))
+    parts = parts.withColumn("_at", at - (F.col("_to") - F.col("_m"))).filter("_at >= 0 AND _at < _m").select(*key, "_whole", "_at")
+    inside = distinct.join(parts, [*key, "_whole"]).withColumn("_upto", F.sum("_n").over(Window.partitionBy(*key).orderBy(column)))
+    return inside.filter((F.col("_upto") > F.col("_at")) & (F.col("_upto") - F.col("_n") <= F.col("_at"))).select(*key, F.col(column).alias(f"p{percent}"))
 
 
 def provider_stats(attempts: DataFrame) -> DataFrame:
@@ -63,7 +67,7 @@ def breaker(attempts: DataFrame, threshold: int) -> DataFrame:
     block = F.sum(F.when(F.col("ok") > 0, 1).otherwise(0)).over(order)
     tail = ends.withColumn("_block", block).withColumn("carry", F.sum(F.when(F.col("ok") > 0, F.col("last.run")).otherwise(F.col("n"))).over(Window.partitionBy("provider", "_block").orderBy("_range")))
     into = tail.withColumn("before", F.coalesce(F.lag("carry").over(order), F.lit(0))).select("provider", "_range", "before")
-    full = counted.join(F.broadcast(into), ["provider", "_range"]).withColumn("run", F.when(F.col("bad") & (F.col("_island") == 0), F.col("run") + F.col("before")).when(F.col("bad"), F.col("run")).otherwise(0))
+    full = counted.join(into, ["provider", "_range"]).withColumn("run", F.when(F.col("bad") & (F.col("_island") == 0), F.col("run") + F.col("before")).when(F.col("bad"), F.col("run")).otherwise(0))
     return full.groupBy("provider").agg(F.min(F.when(F.col("run") >= threshold, F.col("seq"))).alias("tripped_at"), F.max("run").alias("longest"))
 
 
@@ -101,11 +105,13 @@ def run_totals(outcomes: DataFrame, total_ms: float, concurrency: int) -> DataFr
 
 
 def format_ms(ms: Column) -> Column:
-    """840ms, 2.9s, 1m04s."""
-    seconds = F.floor(ms / 1000 + 0.5)
+    """840ms, 2.9s, 1m04s. Tenths are rounded on the exact binary value, ties up: 1450 is 1.4s, 8250 is 8.3s."""
+    seconds, exact = F.floor(ms / 1000 + 0.5), ms.cast("double") / 1000
+    tie = (exact * 4) % 2 == 1  # .25 and .75 are the only exact ties
+    tenths = F.format_number(F.when(tie, F.floor(exact * 10 + 0.5) / 10).otherwise(exact), 1)
     return (
         F.when(ms < 1000, F.concat(F.floor(ms + 0.5).cast("string"), F.lit("ms")))
-        .when(ms < 60_000, F.concat(F.format_string("%.1f", F.floor(ms / 100 + 0.5) / 10), F.lit("s")))
+        .when(ms < 60_000, F.concat(tenths, F.lit("s")))
         .otherwise(F.concat(F.floor(seconds / 60).cast("string"), F.lit("m"), F.lpad((seconds % 60).cast("string"), 2, "0"), F.lit("s")))
     )
 

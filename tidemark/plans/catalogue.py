@@ -153,7 +153,7 @@ def mark_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cadence.mark_updated(s, s.filter("mal_id % 3 = 0"), _now()).select("mal_id", "title", "status", "last_chapters_update")
 
 
-_FLAGS = f"""{t.DELTA}, f AS (SELECT s.manga_id, s.provider_id, s.chapter_number, s.link, o.chapter_number IS NOT NULL AS found, o.link AS stored_link,
+_FLAGS = f"""{t.DELTA}, f AS (SELECT s.manga_id, s.provider_id, s.chapter_number, s.link, s.release_date, o.chapter_number IS NOT NULL AS found, o.link AS stored_link,
   rank() OVER (PARTITION BY s.manga_id, s.provider_id ORDER BY s.chapter_number DESC) <= 5 AS in_window
   FROM scraped s LEFT JOIN stored o ON s.manga_id = o.manga_id AND s.provider_id = o.provider_id AND s.chapter_number = o.chapter_number),
 flags AS (SELECT *, NOT found AS inserted, found AND link IS DISTINCT FROM stored_link AS changed, found AND link IS DISTINCT FROM stored_link AND NOT in_window AS relinked,
@@ -177,7 +177,7 @@ def delta_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_FLAGS}, u AS (SELECT * FROM flags WHERE upsert)
 SELECT coalesce(o.manga_id, u.manga_id) AS manga_id, coalesce(o.provider_id, u.provider_id) AS provider_id, coalesce(o.chapter_number, u.chapter_number) AS chapter_number,
-  CASE WHEN u.manga_id IS NOT NULL THEN u.link ELSE o.link END AS link, coalesce(o.created_at, TIMESTAMP '2024-02-01') AS created_at,
+  CASE WHEN u.manga_id IS NOT NULL THEN u.link ELSE o.link END AS link, CASE WHEN u.manga_id IS NOT NULL THEN u.release_date ELSE o.release_date END AS release_date, o.id AS id, coalesce(o.created_at, TIMESTAMP '2024-02-01') AS created_at,
   CASE WHEN u.manga_id IS NOT NULL THEN TIMESTAMP '2024-02-01' ELSE o.created_at END AS updated_at
 FROM stored o FULL JOIN u ON o.manga_id = u.manga_id AND o.provider_id = u.provider_id AND o.chapter_number = u.chapter_number""")
 def upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,11 +216,11 @@ def breaker_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _OUTCOME = f"""{t.ATTEMPTS}, o AS (SELECT series, count(*) FILTER (outcome <> 'skipped') AS attempted, count(*) FILTER (outcome = 'error') AS errors, count(*) FILTER (outcome = 'skipped') AS skipped,
-count(*) FILTER (outcome = 'chapters') AS results, CAST(sum(chapters) AS BIGINT) AS found, max(ms) AS busy_ms, max(waited_ms) AS waited_ms FROM attempts WHERE seq % 3 = 0 GROUP BY series)"""
+count(*) FILTER (outcome = 'chapters') AS results, CAST(sum(chapters) AS BIGINT) AS found, max(ms) AS busy_ms, max(waited_ms) AS waited_ms FROM attempts GROUP BY series)"""
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry.series_outcome(t.attempts(spark, sf_dir).filter("seq % 3 = 0"))
+    return telemetry.series_outcome(t.attempts(spark, sf_dir))
 
 
 @query(f"WITH {_OUTCOME} SELECT *, attempted > errors OR (attempted = 0 AND skipped = 0) AS success FROM o")
@@ -270,17 +270,21 @@ def source_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("mal_id", "name", F.row_number().over(Window.partitionBy("mal_id").orderBy("position")).cast("long").alias("rank"))
 
 
-@query(f"""WITH {t.ATTEMPTS}, o(provider, position) AS (VALUES ('view', 0), ('click', 1), ('purchase', 2), ('signup', 3)),
-r AS (SELECT series, a.provider, chapters, row_number() OVER (PARTITION BY series ORDER BY position, seq) AS rn FROM attempts a JOIN o ON a.provider = o.provider WHERE outcome = 'chapters' AND seq % 11 = 0)
+@query(f"""WITH {t.ATTEMPTS}, o AS (SELECT event_type AS provider, row_number() OVER (ORDER BY event_type) AS position FROM (SELECT DISTINCT event_type FROM events)),
+r AS (SELECT series, a.provider, chapters, row_number() OVER (PARTITION BY series ORDER BY position, seq) AS rn FROM attempts a JOIN o ON a.provider = o.provider WHERE outcome = 'chapters')
 SELECT series, provider, chapters FROM r WHERE rn = 1""")
 def first_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = spark.createDataFrame([("view", 0), ("click", 1), ("purchase", 2), ("signup", 3)], "provider string, position int")
-    return selection.first_hit(t.attempts(spark, sf_dir).filter("seq % 11 = 0"), order)
+    names = sorted(r.id for r in t.providers(spark, sf_dir).collect())  # configuration: one row a source
+    order = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "provider string, position int")
+    return selection.first_hit(t.attempts(spark, sf_dir), order)
 
 
-@query(f"""WITH {t.ATTEMPTS} SELECT seq, CASE WHEN ms < 1000 THEN CAST(CAST(floor(ms + 0.5) AS BIGINT) AS VARCHAR) || 'ms' END AS text FROM attempts""")
+@query("""WITH x AS (SELECT event_id AS seq, CAST((event_id * 37) % 200000 AS DOUBLE) AS ms FROM events), y AS (SELECT *, CAST(floor(ms / 1000 + 0.5) AS BIGINT) AS s FROM x)
+SELECT seq, CASE WHEN ms < 1000 THEN CAST(CAST(ms AS BIGINT) AS VARCHAR) || 'ms'
+  WHEN ms < 60000 THEN printf('%.1f', CASE WHEN (ms / 1000 * 4) % 2 = 1 THEN floor(ms / 100 + 0.5) / 10 ELSE ms / 1000 END) || 's'
+  ELSE (s // 60) || 'm' || lpad(CAST(s % 60 AS VARCHAR), 2, '0') || 's' END AS text FROM y""")
 def durations_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.attempts(spark, sf_dir).select("seq", telemetry.format_ms(F.col("ms")).alias("text"))
+    return t.attempts(spark, sf_dir).select("seq", telemetry.format_ms((F.col("seq") * 37 % 200000).cast("double")).alias("text"))
 
 
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, numbers, text
+from tidemark.session import materialize
 
 from . import html as h
 
@@ -43,15 +44,15 @@ def islands(pages: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def divided_list(pages: DataFrame, base: str, now: Column) -> DataFrame:
-    """Links to /chapter/N inside a divided list, without locked chapters (where the lock list can't be read nothing is held back)."""
+    """Links to /chapter/N inside a divided list, without locked chapters; locks_known is false where the lock list can't be read, and then nothing is held back."""
     e = h.elements(pages, ("a", "div"))
     listed = e.filter(F.col("path").rlike(r"\.divide-y\b") & (F.col("tag") == "a") & F.contains(F.coalesce(F.col("attrs")["href"], F.lit("")), F.lit("/chapter/")))
     href = F.col("attrs")["href"]
     link = F.when(F.startswith(href, F.lit("http")), href).when(F.startswith(href, F.lit("/")), F.concat(F.lit(base), href)).otherwise(F.concat("url", F.lit("/"), href))
     rows = listed.join(pages.select("page_id", "url"), "page_id").select("page_id", "pos", numbers.from_path(href).alias("chapter_number"), link.alias("link"), dates.absolute(F.regexp_extract("text", r"([A-Z][a-z]+ \d+(?:st|nd|rd|th)?,? \d{4})", 1)).alias("release_date"))
-    locked, _ = islands(pages, now)
-    rows = rows.filter("chapter_number IS NOT NULL").join(locked, ["page_id", "chapter_number"], "left_anti")
-    return first_by(rows, "chapter_number").select(*ROW)
+    locked, readable = islands(pages, now)
+    rows = first_by(rows.filter("chapter_number IS NOT NULL").join(locked, ["page_id", "chapter_number"], "left_anti"), "chapter_number").select(*ROW)
+    return rows.join(readable.withColumn("_known", F.lit(True)), "page_id", "left").select(*ROW, F.coalesce("_known", F.lit(False)).alias("locks_known"))
 
 
 def inside(e: DataFrame, boxes: DataFrame) -> DataFrame:
@@ -98,16 +99,29 @@ def fragment_list(pages: DataFrame, base: str) -> DataFrame:
 LOCKED = r"(?:^|\s)(?:text-gold|fa-coins|fa-coin|fa-lock)(?:\s|$)|coin|locked|premium"
 
 
+def _price_scopes(e: DataFrame) -> DataFrame:
+    """Where a chapter's price may stand: an item of the chapter list, or around another .eph-num its nearest item or .chbox (itself without one)."""
+    item = (F.col("tag") == "li") & F.col("path").rlike(r"#chapterlist\.")
+    number = e.filter(h.has_class(F.col("class"), "eph-num") & ~F.col("path").rlike(r"#chapterlist\.[^>]*(?: > [^>]*)* > li#")).select("page_id", "pos", "path")
+    around = e.filter((F.col("tag") == "li") | h.has_class(F.col("class"), "chbox")).select("page_id", F.col("pos").alias("o_pos"), F.col("path").alias("o_path"))
+    # paths of siblings can be equal; of those before, the last whose path leads here is the nearest ancestor
+    near = number.join(around, "page_id").filter((F.col("o_pos") < F.col("pos")) & F.startswith(F.col("path"), F.concat("o_path", F.lit(" > ")))).groupBy("page_id", "pos").agg(F.max("o_pos").alias("scope"))
+    wide = number.join(near, ["page_id", "pos"], "left").select("page_id", F.coalesce("scope", "pos").alias("pos"))
+    return e.filter(item).select("page_id", "pos").unionByName(wide).distinct().join(e.select("page_id", "pos", "path"), ["page_id", "pos"]).select("page_id", F.col("pos").alias("box"), F.col("path").alias("box_path"))
+
+
 def theme_pages(pages: DataFrame, base: str, now: Column) -> DataFrame:
     """Three ways at once: JSON-LD, the theme's list, any link to a chapter. Paid links go before all; a number is filled by the first way, then by document order."""
-    e = h.elements(pages)
+    e = materialize(h.elements(pages), "elements")  # each page is parsed once
     key = lambda c: F.lower(F.regexp_replace(c, "/+$", ""))
     full = lambda c: text.absolute(c, F.lit(base), False)
     boxes = e.filter(((F.col("tag") == "li") & F.col("path").rlike(r"#chapterlist\.")) | h.has_class(F.col("class"), "eph-num"))
     boxes = boxes.filter(~((F.col("tag") != "li") & F.col("path").rlike(r"#chapterlist\.[^>]*(?: > [^>]*)* > li#"))).select("page_id", F.col("pos").alias("box"), F.col("path").alias("box_path"), F.col("attrs")["data-num"].alias("num"))
     parts = inside(e, boxes)
     links = parts.filter((F.col("tag") == "a") & F.col("attrs")["href"].isNotNull()).groupBy("page_id", "box").agg(F.min(F.struct("pos", F.col("attrs")["href"].alias("href"))).alias("a"))
-    paid = parts.filter((F.col("pos") != F.col("box")) & F.coalesce("class", F.lit("")).rlike(LOCKED)).select("page_id", "box").distinct().join(links, ["page_id", "box"]).select("page_id", key(full(F.col("a.href"))).alias("key")).distinct()
+    priced = inside(e, _price_scopes(e))
+    first = priced.filter((F.col("tag") == "a") & (F.col("pos") != F.col("box")) & (F.coalesce(F.col("attrs")["href"], F.lit("")) != "")).groupBy("page_id", "box").agg(F.min(F.struct("pos", F.col("attrs")["href"].alias("href"))).alias("a"))
+    paid = priced.filter((F.col("pos") != F.col("box")) & F.coalesce("class", F.lit("")).rlike(LOCKED)).select("page_id", "box").distinct().join(first, ["page_id", "box"]).select("page_id", key(full(F.col("a.href"))).alias("key")).distinct()
     one = lambda c, a: parts.filter(h.has_class(F.col("class"), c)).groupBy("page_id", "box").agg(F.min(F.struct("pos", F.trim("text").alias("t"))).alias(a))
     theme = boxes.join(links, ["page_id", "box"]).join(one("chapternum", "n"), ["page_id", "box"], "left").join(one("chapterdate", "d"), ["page_id", "box"], "left")
     theme = theme.select("page_id", F.lit(2).alias("way"), F.col("box").alias("pos"), F.lit(0).alias("at"), F.col("a.href").alias("href"), F.coalesce(F.nullif("num", F.lit("")), "n.t").alias("raw"), F.col("d.t").alias("date"))

@@ -58,17 +58,19 @@ def activity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chapters(spark, sf_dir).filter(F.col("created_at") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))
+    """Rows of chapters before the cut, with id and release_date."""
+    old = chapters(spark, sf_dir).filter(F.col("created_at") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))
+    return old.withColumns({"id": F.col("event_id"), "release_date": F.col("created_at")}).drop("event_id")
 
 
 def scraped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole of chapters; every 17th link has changed."""
-    return chapters(spark, sf_dir).withColumn("link", F.when(F.col("event_id") % 17 == 0, F.concat("link", F.lit("?v=2"))).otherwise(F.col("link")))
+    """The whole of chapters; every 17th link has changed, and each release_date is an hour later."""
+    return chapters(spark, sf_dir).withColumn("release_date", F.col("created_at") + F.expr("INTERVAL 1 HOUR")).withColumn("link", F.when(F.col("event_id") % 17 == 0, F.concat("link", F.lit("?v=2"))).otherwise(F.col("link")))
 
 
 DELTA = f"""{CHAPTERS},
-stored AS (SELECT * FROM chapters WHERE created_at < TIMESTAMP '{STORED_BEFORE}'),
-scraped AS (SELECT manga_id, provider_id, chapter_number, CASE WHEN event_id % 17 = 0 THEN link || '?v=2' ELSE link END AS link, created_at FROM chapters)"""
+stored AS (SELECT *, event_id AS id, created_at AS release_date FROM chapters WHERE created_at < TIMESTAMP '{STORED_BEFORE}'),
+scraped AS (SELECT manga_id, provider_id, chapter_number, CASE WHEN event_id % 17 = 0 THEN link || '?v=2' ELSE link END AS link, created_at, created_at + INTERVAL 1 HOUR AS release_date FROM chapters)"""
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:

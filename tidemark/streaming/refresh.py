@@ -12,12 +12,17 @@ def apply_batches(scraped: DataFrame, path: str, now: Column, checkpoint: str, w
     """Starts a query that upserts each micro-batch's delta into the Parquet table at path.
 
     A batch that is run again finds its rows stored and changes nothing but
-    updated_at: the upsert is idempotent by key, so a retry is safe.
+    updated_at: the upsert is idempotent by key, so a retry is safe. Of rows
+    with one key the first by pos, the place in the document, counts (without
+    that column, the smallest link).
     """
 
+    order = [c for c in ("pos",) if c in scraped.columns] + ["link"]
+
     def merge(batch: DataFrame, _: int) -> None:
+        delta.recover(batch.sparkSession, path)
         stored = batch.sparkSession.read.parquet(path)
-        new = delta.first_by_key(batch, delta.KEY, ["link"])
+        new = delta.first_by_key(batch, delta.KEY, order)
         due = delta.flags(new, stored, window).filter("upsert")
         delta.write_staged(delta.upsert(stored, due, now), path)
 

@@ -93,6 +93,12 @@ def series_outcome(attempts: DataFrame) -> DataFrame:
     return out.withColumn("success", (F.col("attempted") > F.col("errors")) | ((F.col("attempted") == 0) & (F.col("skipped") == 0)))
 
 
+def series_totals(attempts: DataFrame) -> DataFrame:
+    """By series: rows found over all sources, the number of sources that had some, and errors."""
+    had = F.when(F.col("outcome") == "chapters", F.col("provider"))
+    return attempts.groupBy("series").agg(F.coalesce(F.sum("chapters"), F.lit(0)).cast("long").alias("found"), F.count_distinct(had).alias("sources"), F.count_if(F.col("outcome") == "error").alias("errors"))
+
+
 def run_totals(outcomes: DataFrame, total_ms: float, concurrency: int) -> DataFrame:
     """One row: processed, updated, found, busy and queued per cent of the pool, failed (something was processed and nothing updated)."""
     capacity = total_ms * concurrency

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalogue, payloads, titles
+from . import captures, catalogue, payloads, titles
 
-QUERIES: dict = {**catalogue.QUERIES, **titles.QUERIES, **payloads.QUERIES}
-ORACLES: dict = {**catalogue.ORACLES, **titles.ORACLES, **payloads.ORACLES}
+QUERIES: dict = {**catalogue.QUERIES, **titles.QUERIES, **payloads.QUERIES, **captures.QUERIES}
+ORACLES: dict = {**catalogue.ORACLES, **titles.ORACLES, **payloads.ORACLES, **captures.ORACLES}

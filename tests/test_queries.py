@@ -20,7 +20,7 @@ def test_report_counts_every_attempt(spark, small):
         outcomes.setdefault(e.user_id, []).append(e.value > 30)
         found += 0 if e.value > 30 or e.value < 5 else e.event_id % 9 + 1
     text = [r.text for r in registry.QUERIES["run_report"](spark, small).orderBy("line").collect()]
-    assert f"| Processed | {len(outcomes)} |" in text
+    assert f"| Processed | {len(outcomes)} (3 left for the next run: deadline) |" in text
     assert f"| Updated | {sum(not all(v) for v in outcomes.values())} / {len(outcomes)} |" in text
     assert f"| Rows found | {found} |" in text
 

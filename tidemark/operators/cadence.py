@@ -61,7 +61,8 @@ def activity(rows: DataFrame, complete: bool = True) -> DataFrame:
 def tier_histogram(active: DataFrame, now: Column, tiers: tuple[Tier, ...] = DEFAULT_TIERS) -> DataFrame:
     """Candidates by tier, before the staleness filter; empty tiers don't show. position keeps the tiers' order."""
     position = F.array_position(F.array(*[F.lit(t.label) for t in tiers]), F.col("tier")).cast("long")
-    return active.groupBy(tier_of(F.col("last_chapter_at"), now, tiers).alias("tier")).agg(F.count(F.lit(1)).alias("candidates")).withColumn("position", position)
+    hours = F.element_at(F.array(*[F.lit(float(t.interval_hours)) for t in tiers]), F.col("position").cast("int"))
+    return active.groupBy(tier_of(F.col("last_chapter_at"), now, tiers).alias("tier")).agg(F.count(F.lit(1)).alias("candidates")).withColumn("position", position).withColumn("interval_hours", hours)
 
 
 def stale(active: DataFrame, series: DataFrame, now: Column, tiers: tuple[Tier, ...] = DEFAULT_TIERS) -> DataFrame:

@@ -43,6 +43,29 @@ def title_for(provider: Column, title: Column, english: Column, overridden: tupl
     return F.when(provider.isin(*overridden), F.coalesce(F.nullif(english, F.lit("")), title)).otherwise(title)
 
 
+def ladder_steps(series: DataFrame) -> DataFrame:
+    """(series, step, query, keywords): what to search for in turn, from (series, title, english, synonyms).
+
+    0 the title; 1 the English title if it is another; 2 the first synonym;
+    3 the title again, by its key words. Steps without a title are left out.
+    """
+    first = F.get("synonyms", F.lit(0))
+    steps = F.array(
+        F.struct(F.lit(0).alias("step"), F.col("title").alias("query"), F.lit(False).alias("keywords")),
+        F.struct(F.lit(1).alias("step"), F.when(F.col("english") != F.col("title"), F.col("english")).alias("query"), F.lit(False).alias("keywords")),
+        F.struct(F.lit(2).alias("step"), first.alias("query"), F.lit(False).alias("keywords")),
+        F.struct(F.lit(3).alias("step"), F.col("title").alias("query"), F.lit(True).alias("keywords")),
+    )
+    return series.select("series", F.explode(steps).alias("s")).select("series", "s.step", "s.query", "s.keywords").filter("coalesce(query, '') <> ''")
+
+
+def ladder_outcome(tries: DataFrame) -> DataFrame:
+    """(series, outcome, step, match) from tries (series, step, match or null, error or null): the first step that matched; without one `error` if any try failed, else `empty`."""
+    hit = F.col("match").isNotNull()
+    out = tries.groupBy("series").agg(F.min(F.when(hit, F.struct("step", "match"))).alias("b"), F.count_if(F.col("error").isNotNull()).alias("n"))
+    return out.select("series", F.when(F.col("b").isNotNull(), "match").when(F.col("n") > 0, "error").otherwise("empty").alias("outcome"), "b.step", "b.match")
+
+
 def ladder(found: DataFrame) -> DataFrame:
     """(series, step, match) of the first step with a match, from rows (series, step, match or null)."""
     return found.filter("match IS NOT NULL").groupBy("series").agg(F.min(F.struct("step", "match")).alias("b")).select("series", "b.step", "b.match")

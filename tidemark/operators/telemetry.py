@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -122,22 +126,101 @@ def format_ms(ms: Column) -> Column:
     )
 
 
-def report(totals: Row, stats: list[Row], alerts: list[Row], tiers: list[Row], tripped: list[str]) -> list[str]:
+def ms_text(ms: float) -> str:
+    """format_ms() of one number."""
+    if ms < 1000:
+        return f"{math.floor(ms + 0.5)}ms"
+    if ms < 60_000:
+        return f"{Decimal(ms / 1000).quantize(Decimal('0.1'), ROUND_HALF_UP)}s"
+    seconds = math.floor(ms / 1000 + 0.5)
+    return f"{seconds // 60}m{seconds % 60:02d}s"
+
+
+def whole(x: float) -> str:
+    """A number without decimals, halves up on the exact binary value."""
+    return str(Decimal(x).quantize(Decimal(1), ROUND_HALF_UP))
+
+
+def series_times(outcomes: DataFrame) -> Row:
+    """One row over all series: median, p95 and max of busy_ms, median and p95 of waited_ms; 0 without series."""
+    one = outcomes.withColumn("_run", F.lit(1))
+    out = outcomes.agg(F.coalesce(F.max("busy_ms"), F.lit(0.0)).alias("max_ms"))
+    for column, percent, name in (("busy_ms", 50, "median_ms"), ("busy_ms", 95, "p95_ms"), ("waited_ms", 50, "wait_median_ms"), ("waited_ms", 95, "wait_p95_ms")):
+        value = nearest_rank(column, percent, ["_run"], one).agg(F.coalesce(F.max(f"p{percent}"), F.lit(0.0)).alias(name))
+        out = out.crossJoin(F.broadcast(value))  # one row each
+    return out.first()
+
+
+@dataclass(frozen=True)
+class Run:
+    """What a report says of a run besides its attempts."""
+
+    total_ms: float
+    concurrency: int
+    with_chapters: int = 0
+    due: int = 0
+    left: int = 0
+    written: int = 0
+    new: int = 0
+    interval_hours: float = 2
+    source_concurrency: int = 0
+    delay_ms: int = 0
+
+
+def report(totals: Row, stats: list[Row], alerts: list[Row], tiers: list[Row], tripped: list[str], run: Run | None = None, times: Row | None = None) -> list[str]:
     """The run's report in Markdown, from rows that are few whatever the input: one run, a row a provider or tier."""
     lines = ["## Catalogue refresh", ""]
     if alerts:
         lines += ["> **Alerts**", *[f"> - {a.alert}" for a in alerts], ""]
     if tripped:
         lines += [f"> **Circuit breaker opened** for: {', '.join(tripped)}", ""]
-    lines += ["| Metric | Value |", "|---|---|", f"| Processed | {totals.processed} |", f"| Updated | {totals.updated} / {totals.processed} |", f"| Rows found | {totals.found} |"]
-    lines += [f"| Pool time scraping | {totals.busy_pct:.0f}% |", f"| Pool time queued | {totals.queued_pct:.0f}% |", ""]
+    lines += ["| Metric | Value |", "|---|---|"]
+    if run:
+        lines += [f"| Series with chapters | {run.with_chapters} |", f"| Due ({'cadence by tier' if tiers else f'>{run.interval_hours:g}h'}) | {run.due} |"]
+    rest = f" ({run.left} left for the next run: deadline)" if run and run.left else ""
+    lines += [f"| Processed | {totals.processed}{rest} |", f"| Updated | {totals.updated} / {totals.processed} |", f"| Rows found | {totals.found} |"]
+    if run:
+        each = f", {run.source_concurrency} a source" if run.source_concurrency else ""
+        lines += [f"| Rows written | {run.written} ({run.new} new) |", f"| Duration | {ms_text(run.total_ms)} |", f"| Concurrency | {run.concurrency} series{each}, {run.delay_ms}ms apart |"]
+    lines += [f"| Pool time scraping | {whole(totals.busy_pct)}% |"]
+    if not run or run.source_concurrency:
+        lines += [f"| Pool time queued | {whole(totals.queued_pct)}% |"]
+    lines += [""]
     if tiers:
-        lines += ["| Tier | Candidates |", "|---|---:|", *[f"| {t.tier} | {t.candidates} |" for t in sorted(tiers, key=lambda t: t.position)], ""]
+        lines += ["| Tier | Interval | Candidates |", "|---|---:|---:|", *[f"| {t.tier} | {t.interval_hours:g}h | {t.candidates} |" for t in sorted(tiers, key=lambda t: t.position)], ""]
+    if times:
+        lines += [f"Series: median {ms_text(times.median_ms)}, p95 {ms_text(times.p95_ms)}, max {ms_text(times.max_ms)}", ""]
+        if not run or run.source_concurrency:
+            lines += [f"Queued: median {ms_text(times.wait_median_ms)}, p95 {ms_text(times.wait_p95_ms)}", ""]
     lines += ["| Provider | Attempts | With chapters | Empty | Errors | Median | p95 | Max |", "|---|---:|---:|---:|---:|---:|---:|---:|"]
-    lines += [f"| {s.provider} | {s.attempts} | {s.with_chapters} | {s.empty} | {s.errors} | {s.median_ms:.0f} | {s.p95_ms:.0f} | {s.max_ms:.0f} |" for s in stats]
+    lines += [f"| {s.provider} | {s.attempts} | {s.with_chapters} | {s.empty} | {s.errors} | {ms_text(s.median_ms)} | {ms_text(s.p95_ms)} | {ms_text(s.max_ms)} |" for s in stats]
     return lines
 
 
+#: Fixed value: failures that are named; the rest are counted.
+NAMED_FAILURES = 20
+
+
+def failure_lines(failures: DataFrame, most: int = NAMED_FAILURES) -> list[str]:
+    """The first failures by series (title, series, error), and how many more there are; nothing without failures. What reaches the driver are `most` rows and a count."""
+    n = failures.count()
+    if not n:
+        return []
+    first = failures.orderBy("series").select("title", "series", "error").limit(most).collect()
+    return [f"{n} series failed:", *[f"  - {r.title} ({r.series}): {r.error}" for r in first], *([f"  and {n - most} more"] if n > most else [])]
+
+
+def tripped_alerts(trips: DataFrame) -> DataFrame:
+    """(provider, kind, alert) of each source that its breaker has cut off."""
+    alert = F.concat("provider", F.lit(": circuit breaker opened, left out for the rest of the run"))
+    return trips.filter("tripped_at IS NOT NULL").select("provider", F.lit("tripped").alias("kind"), alert.alias("alert"))
+
+
+def annotations(alerts: list[str], title: str = "Catalogue refresh") -> list[str]:
+    """Alerts as warning annotations of a job's log."""
+    return [f"::warning title={title}::{a}" for a in alerts]
+
+
 def append_report(lines: list[str], path: str | None) -> bool:
     """Prints the report and appends it to the file at path. A file that can't be written is never an error."""
     text = "\n".join(lines)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import selection, telemetry
 from tidemark.functions import text
-from tidemark.sources import extract
+from tidemark.sources import extract, plugin
 from tidemark.sources import html as h
 from tidemark.sources import tables as t
 
@@ -107,6 +107,51 @@ def api_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.api_chapters(rows, BASE)
 
 
+@query(f"""WITH {KEYS} SELECT page_id, 'found' AS kind, 's' || page_id AS id, 'Title ' || n AS title, CAST(NULL AS DOUBLE) AS chapter_number, CAST(NULL AS TIMESTAMP) AS release_date FROM k WHERE page_id % 6 > 0
+UNION ALL SELECT page_id, 'chapter', '{BASE}/chapters/c' || n, NULL, CAST(n AS DOUBLE), CASE WHEN page_id % 2 = 0 THEN TIMESTAMP '2024-05-01 10:00:00' END FROM k""")
+def api_search_and_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An API's search answers (one in six has no results) and series answers."""
+    keys = _keys(spark, sf_dir)
+    search = F.when(F.col("page_id") % 6 == 0, "{}").otherwise(_write('{"results":[{"id":"s{k}","title":"Title {n}"}]}'))
+    found = extract.results_search(keys.select("page_id", search.alias("body")))
+    info = _write('{"id":"s","chapters":[{"id":"c{n}","title":"Chapter {n}","releasedDate":"', _of(0, 2, "2024-05-01T10:00:00Z", "soon"), '"}]}')
+    rows = extract.info_chapters(keys.select("page_id", info.alias("body")), BASE)
+    none = F.lit(None)
+    return found.select("page_id", F.lit("found").alias("kind"), "id", "title", none.cast("double").alias("chapter_number"), none.cast("timestamp_ntz").alias("release_date")).unionByName(
+        rows.select("page_id", F.lit("chapter").alias("kind"), F.col("link").alias("id"), none.cast("string").alias("title"), "chapter_number", "release_date")
+    )
+
+
+@query(f"""WITH {t.ATTEMPTS}, s AS (SELECT CAST(c_custkey AS BIGINT) AS series, c_custkey % 3 AS k FROM customer),
+x AS (SELECT series, 0 AS step, 'Main ' || series AS query, false AS keywords FROM s UNION ALL SELECT series, 1, 'English', false FROM s WHERE k = 1 UNION ALL SELECT series, 2, 'One', false FROM s WHERE k > 0 UNION ALL SELECT series, 3, 'Main ' || series, true FROM s)
+SELECT series, CAST(step AS INTEGER) AS step, query, keywords FROM x""")
+def ladder_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey").cast("long")
+    main = F.concat(F.lit("Main "), k.cast("string"))
+    english = F.when(k % 3 == 1, "English").when(k % 3 == 2, main)
+    synonyms = F.when(k % 3 > 0, F.array(F.lit("One"), F.lit("Two"))).otherwise(F.array().cast("array<string>"))
+    return selection.ladder_steps(t.table(spark, sf_dir, "customer").select(k.alias("series"), main.alias("title"), english.alias("english"), synonyms.alias("synonyms")))
+
+
+@query(f"""WITH {t.ATTEMPTS}, f AS (SELECT series, provider, CAST(seq % 4 AS INTEGER) AS step, CASE WHEN ms > 20 AND ms < 22 THEN 'r' || (seq % 9) END AS match, outcome = 'error' AS bad FROM attempts),
+m AS (SELECT series, min(step * 1000 + CAST(substr(match, 2) AS INTEGER)) AS b, bool_or(bad) AS bad FROM f GROUP BY series)
+SELECT series, CASE WHEN b IS NOT NULL THEN 'match' WHEN bad THEN 'error' ELSE 'empty' END AS outcome, CAST(b // 1000 AS INTEGER) AS step, 'r' || (b % 1000) AS match FROM m""")
+def ladder_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = t.attempts(spark, sf_dir)
+    match = F.when((F.col("ms") > 20) & (F.col("ms") < 22), F.concat(F.lit("r"), (F.col("seq") % 9).cast("string")))
+    error = F.when(F.col("outcome") == "error", "HTTP 500")
+    return selection.ladder_outcome(a.select("series", (F.col("seq") % 4).cast("int").alias("step"), match.alias("match"), error.alias("error")))
+
+
+@query(f"""WITH {KEYS} SELECT page_id, 'Site' AS provider, CASE WHEN page_id % 4 = 0 THEN 'error' WHEN page_id % 4 = 1 THEN 'empty' ELSE 'chapters' END AS outcome, CAST(CASE WHEN page_id % 4 > 1 THEN 2 ELSE 0 END AS BIGINT) AS chapters FROM k""")
+def source_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A configured site over all captures: every page has an outcome, and rows of a failed one don't count."""
+    links = '<a href="/s-chapter-{n}/">x</a><a href="/s-chapter-{n+1}/">y</a>'
+    pages = _pages(spark, sf_dir, F.when(F.col("page_id") % 4 == 1, "<p></p>").otherwise(links)).withColumn("status", F.when(F.col("page_id") % 4 == 0, 500).otherwise(200))
+    attempts, _ = plugin.scrape(plugin.theme_site("Site", BASE), pages, _now())
+    return attempts.select("page_id", "provider", "outcome", "chapters")
+
+
 @query(f"""WITH {KEYS} SELECT page_id, CAST(NULL AS DOUBLE) AS chapter_number, CASE page_id % 4 WHEN 3 THEN 'chapters' WHEN 2 THEN 'empty' ELSE 'error' END AS link, CAST(NULL AS TIMESTAMP) AS release_date FROM k
 UNION ALL SELECT page_id, n, '{BASE}/chapter/b', TIMESTAMP '2024-01-01' FROM k WHERE page_id % 4 = 3 UNION ALL SELECT page_id, n + 1, '{BASE}/chapter/c', TIMESTAMP '2024-01-01' FROM k WHERE page_id % 4 = 3""")
 def chapter_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

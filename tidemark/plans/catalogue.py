@@ -123,7 +123,7 @@ g AS (SELECT id, CASE WHEN d > TIMESTAMP '{t.NOW}' OR epoch_us(TIMESTAMP '{t.NOW
 
 @query(f"WITH {_TIER} SELECT tier, count(*) AS candidates, CASE tier WHEN 'active' THEN 1 WHEN 'slow' THEN 2 ELSE 3 END AS position FROM g GROUP BY tier")
 def tier_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cadence.tier_histogram(cadence.activity(t.activity_rows(spark, sf_dir)), _now())
+    return cadence.tier_histogram(cadence.activity(t.activity_rows(spark, sf_dir)), _now()).select("tier", "candidates", "position")
 
 
 _STALE = f"""{t.SERIES}, {_TIER}, due AS (SELECT mal_id, title, tier, last_chapters_update FROM mangas JOIN g ON id = mal_id
@@ -287,17 +287,52 @@ def durations_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.attempts(spark, sf_dir).select("seq", telemetry.format_ms((F.col("seq") * 37 % 200000).cast("double")).alias("text"))
 
 
+def _ms_sql(x: str) -> str:
+    tenths = f"printf('%.1f', CASE WHEN ({x} / 1000 * 4) % 2 = 1 THEN floor({x} / 100 + 0.5) / 10 ELSE {x} / 1000 END) || 's'"
+    seconds = f"CAST(floor({x} / 1000 + 0.5) AS BIGINT)"
+    return f"CASE WHEN {x} < 1000 THEN CAST(floor({x} + 0.5) AS BIGINT) || 'ms' WHEN {x} < 60000 THEN {tenths} ELSE ({seconds} // 60) || 'm' || lpad(CAST({seconds} % 60 AS VARCHAR), 2, '0') || 's' END"
+
+
+def _rank_sql(x: str, p: float) -> str:
+    return _ms_sql(f"list_sort(list({x}))[CAST(floor({p} * (count(*) - 1) + 0.5) AS BIGINT) + 1]")
+
+
+_ALERT = "provider || ': ' || CAST(floor(100 * (errors / attempts) + 0.5) AS BIGINT) || '% errors over ' || attempts || ' attempts'"
+_TRIPPED = """i AS (SELECT *, sum(CASE WHEN outcome = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY provider ORDER BY seq) AS island FROM attempts),
+u AS (SELECT provider, sum(CASE WHEN outcome = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY provider, island ORDER BY seq) AS run FROM i), b AS (SELECT provider FROM u GROUP BY provider HAVING max(run) >= 8)"""
+
+
+@query(f"""WITH {_STATS}, {_OUTCOME.removeprefix(t.ATTEMPTS + ", ")}, {_TIER}, {_TRIPPED},
+s AS (SELECT *, attempted > errors AS success FROM o),
+y AS (SELECT count(*) AS n, count(*) FILTER (success) AS ok, CAST(sum(found) AS BIGINT) AS found, 100 * sum(busy_ms) / 4800000 AS busy, 100 * sum(waited_ms) / 4800000 AS queued FROM s),
+al AS (SELECT provider, {_ALERT} AS alert FROM stats WHERE attempts >= 50 AND errors / attempts > 0.3),
+tier AS (SELECT tier, count(*) AS n, CASE tier WHEN 'active' THEN 1 WHEN 'slow' THEN 2 ELSE 3 END AS p FROM g GROUP BY tier),
+l(sec, sub, text) AS (
+  SELECT 0, 0, '## Catalogue refresh' UNION ALL SELECT 0, 1, ''
+  UNION ALL SELECT 1, 0, '> **Alerts**' WHERE (SELECT count(*) FROM al) > 0 UNION ALL SELECT 1, row_number() OVER (ORDER BY provider), '> - ' || alert FROM al UNION ALL SELECT 1, 999, '' WHERE (SELECT count(*) FROM al) > 0
+  UNION ALL SELECT 2, 0, '> **Circuit breaker opened** for: ' || string_agg(provider, ', ' ORDER BY provider) FROM b HAVING count(*) > 0 UNION ALL SELECT 2, 1, '' WHERE (SELECT count(*) FROM b) > 0
+  UNION ALL SELECT 3, 0, '| Metric | Value |' UNION ALL SELECT 3, 1, '|---|---|' UNION ALL SELECT 3, 2, '| Series with chapters | ' || count(DISTINCT o_custkey) || ' |' FROM orders
+  UNION ALL SELECT 3, 3, '| Due (cadence by tier) | ' || n || ' |' FROM y UNION ALL SELECT 3, 4, '| Processed | ' || n || ' (3 left for the next run: deadline) |' FROM y
+  UNION ALL SELECT 3, 5, '| Updated | ' || ok || ' / ' || n || ' |' FROM y UNION ALL SELECT 3, 6, '| Rows found | ' || found || ' |' FROM y UNION ALL SELECT 3, 7, '| Rows written | ' || found || ' (7 new) |' FROM y
+  UNION ALL SELECT 3, 8, '| Duration | 10m00s |' UNION ALL SELECT 3, 9, '| Concurrency | 8 series, 4 a source, 300ms apart |'
+  UNION ALL SELECT 3, 10, '| Pool time scraping | ' || CAST(floor(busy + 0.5) AS BIGINT) || '% |' FROM y UNION ALL SELECT 3, 11, '| Pool time queued | ' || CAST(floor(queued + 0.5) AS BIGINT) || '% |' FROM y UNION ALL SELECT 3, 12, ''
+  UNION ALL SELECT 4, 0, '| Tier | Interval | Candidates |' UNION ALL SELECT 4, 1, '|---|---:|---:|' UNION ALL SELECT 4, 1 + p, '| ' || tier || ' | ' || CASE p WHEN 1 THEN 2 WHEN 2 THEN 6 ELSE 24 END || 'h | ' || n || ' |' FROM tier UNION ALL SELECT 4, 9, ''
+  UNION ALL SELECT 5, 0, 'Series: median ' || {_rank_sql("busy_ms", 0.5)} || ', p95 ' || {_rank_sql("busy_ms", 0.95)} || ', max ' || {_ms_sql("max(busy_ms)")} FROM o UNION ALL SELECT 5, 1, ''
+  UNION ALL SELECT 5, 2, 'Queued: median ' || {_rank_sql("waited_ms", 0.5)} || ', p95 ' || {_rank_sql("waited_ms", 0.95)} FROM o UNION ALL SELECT 5, 3, ''
+  UNION ALL SELECT 6, 0, '| Provider | Attempts | With chapters | Empty | Errors | Median | p95 | Max |' UNION ALL SELECT 6, 1, '|---|---:|---:|---:|---:|---:|---:|---:|'
+  UNION ALL SELECT 6, 1 + row_number() OVER (ORDER BY median_ms * attempts DESC, provider), '| ' || provider || ' | ' || attempts || ' | ' || with_chapters || ' | ' || empty || ' | ' || errors || ' | ' || {_ms_sql("median_ms")} || ' | ' || {_ms_sql("p95_ms")} || ' | ' || {_ms_sql("max_ms")} || ' |' FROM stats)
+SELECT CAST(row_number() OVER (ORDER BY sec, sub) - 1 AS INTEGER) AS line, text FROM l""")
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report's lines with their numbers."""
     a = t.attempts(spark, sf_dir)
     stats = telemetry.provider_stats(a)
     rows = stats.collect()  # one row a provider
-    totals = telemetry.run_totals(telemetry.series_outcome(a), 600_000, 8).first()
+    outcomes = telemetry.series_outcome(a)
+    totals = telemetry.run_totals(outcomes, 600_000, 8).first()
     alerts = telemetry.provider_alerts(stats, error_rate=0.3).orderBy("provider").collect()
-    tiers = cadence.tier_histogram(cadence.activity(t.activity_rows(spark, sf_dir)), _now()).collect()
+    active = cadence.activity(t.activity_rows(spark, sf_dir))
+    tiers = cadence.tier_histogram(active, _now()).collect()
     tripped = [r.provider for r in telemetry.breaker(a, 8).filter("tripped_at IS NOT NULL").orderBy("provider").collect()]
-    lines = telemetry.report(totals, rows, alerts, tiers, tripped)
+    run = telemetry.Run(600_000, 8, with_chapters=active.count(), due=totals.processed, left=3, written=totals.found, new=7, source_concurrency=4, delay_ms=300)
+    lines = telemetry.report(totals, rows, alerts, tiers, tripped, run, telemetry.series_times(outcomes))
     return spark.createDataFrame(list(enumerate(lines)), "line int, text string")
-
-
-QUERIES["run_report"] = run_report

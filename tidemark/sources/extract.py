@@ -140,6 +140,18 @@ def api_chapters(rows: DataFrame, base: str) -> DataFrame:
     return rows.select("page_id", n.alias("chapter_number"), F.concat(F.lit(f"{base}/chapters/"), "id").alias("link"), "release_date", (n == 0).alias("defaulted"))
 
 
+def results_search(bodies: DataFrame) -> DataFrame:
+    """Series of an API's search answer (page_id, body): pos, id, title; an answer without results has none."""
+    rows = bodies.select("page_id", F.posexplode(F.from_json("body", "struct<results:array<struct<id:string,title:string>>>")["results"]).alias("pos", "s"))
+    return rows.select("page_id", "pos", F.col("s.id").alias("id"), F.col("s.title").alias("title"))
+
+
+def info_chapters(bodies: DataFrame, base: str) -> DataFrame:
+    """Chapters of an API's series answer (page_id, body), as api_chapters() makes them; a date that can't be read is null."""
+    rows = bodies.select("page_id", F.explode(F.from_json("body", "struct<chapters:array<struct<id:string,title:string,releasedDate:string>>>")["chapters"]).alias("c"))
+    return api_chapters(rows.select("page_id", "c.id", "c.title", F.col("c.releasedDate").try_cast("timestamp").cast("timestamp_ntz").alias("release_date")), base)
+
+
 #: One page of a chapter feed as it is captured.
 FEED = "struct<data:array<struct<id:string,attributes:struct<chapter:string,publishAt:string,externalUrl:string,pages:int>>>>"
 

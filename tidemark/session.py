@@ -37,9 +37,9 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package where it isn't installed, and, where the session sets no bound, hands them rows by 8 MB."""
+    """Lets Python workers import this package where it isn't installed, and, where the session sets no bound, hands them rows by 4 MB."""
     if spark.conf.get(BATCH_BYTES, None) is None:
-        spark.conf.set(BATCH_BYTES, str(8 << 20))
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
@@ -116,7 +116,7 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts lineage, and survives a lost executor."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -62,16 +62,22 @@ class Tables:
         order = np.argsort(keys, kind="stable")
         self.keys, self.rank, self.merged = keys[order], np.arange(len(keys), dtype=np.int64)[order], merged[order]
         self.by_rank = merged  # id of the merge of each rank
-        self.pair_rank = {(int(a), int(b)): i for i, (a, b) in enumerate(zip(left, right, strict=True))}
         # a merge uses only bytes and results of earlier merges; then all places of the lowest pair can merge in one round
         made = {int(x): -1 for x in self.byte_id}
         for i, (a, b, c) in enumerate(zip(left.tolist(), right.tolist(), merged.tolist(), strict=True)):
             if made.get(a, i) >= i or made.get(b, i) >= i:
                 raise ValueError(f"{path}: merge {i} uses a later token")
             made.setdefault(c, i)
+        self.pairs = left.astype(np.uint32), right.astype(np.uint32)
         self.specials = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
 
+    @cached_property
+    def pair_rank(self) -> dict[tuple[int, int], int]:
+        """The rank of each pair, for those who look pairs up one by one."""
+        return {p: i for i, p in enumerate(zip(*(x.tolist() for x in self.pairs), strict=True))}
+
+
 @lru_cache(maxsize=4)
 def tables(path: str) -> Tables:
     return Tables(path)

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from . import bpe
 
 #: Bytes of chunks and results that a worker keeps between batches.
-CACHE_BYTES = 40 << 20
+CACHE_BYTES = 32 << 20
 
 
 class ByChunk:
@@ -126,6 +126,7 @@ class Encoder(ByChunk):
         for i, data in t.bytes_of.items():
             if data[:1] in (b" ", b"\n"):
                 self.begins[data[0]][i] = True
+        give_back()  # what reading the two files took
 
     def run(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]

@@ -110,7 +110,7 @@ class Packer:
 
 def pack(
     docs: DataFrame, tokenizer: str | None = None, end_id: int | None = 0, max_tokens: int = 1024, max_segments: int = 32,
-    max_loss: int | None = 1020, least: int = 8, pool: int = 4096, pool_bytes: int = 8 << 20, prompt: str | None = None,
+    max_loss: int | None = 1020, least: int = 8, pool: int = 4096, pool_bytes: int = 6 << 20, prompt: str | None = None,
 ) -> DataFrame:
     """Pieces of doc_id and text in sequences of at most max_tokens ids, max_segments pieces and max_loss loss-bearing ids.
 

@@ -95,6 +95,12 @@ def test_search_answers(spark):
     assert [(r.link, r.title) for r in extract.rest_search(spark.createDataFrame([(1, wp)], "page_id long, body string")).collect()] == [("l", "A & B’s")]
 
 
+def test_a_box_ends_where_its_element_ends(spark):
+    other = '<a href="/other"><span class="grow"><span>Chapter 99</span></span><time datetime="2024-01-02T03:04:05Z"></time></a>'
+    (row,) = extract.fragment_list(pages(spark, '<a href="/chapters/7x"></a>' + other), "https://w.example").collect()
+    assert (row.chapter_number, row.release_date) == (7.0, None)
+
+
 def test_search_links(spark):
     page = "".join(f'<a href="https://s.example/series/t{i}/"> T  {i} </a>' for i in range(12)) + '<a href="https://s.example/series/t1/">again</a><a href="https://s.example/series/t1/chapter-2">c</a><a href="https://s.example/series/pic"><img alt="Pic"></a>'
     got = extract.search_links(pages(spark, page), "https://s.example/series/").orderBy("rank").collect()

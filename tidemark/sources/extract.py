@@ -56,11 +56,17 @@ def divided_list(pages: DataFrame, base: str, now: Column) -> DataFrame:
 
 
 def inside(e: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Descendants (and the element itself) of boxes (page_id, box, box_path): those whose path goes through the box, up to the next of its kind."""
-    nearest = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    """Descendants (and the element itself) of boxes (page_id, box, box_path), up to the next of its kind: a box ends at the first element after it that lies no deeper.
+
+    e must hold all elements of its pages, or the end of a box isn't seen.
+    """
+    before = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    opens = F.col("box_path").isNotNull()
     marked = e.join(boxes.select("page_id", F.col("box").alias("pos"), "box_path"), ["page_id", "pos"], "left")
-    marked = marked.withColumns({"box": F.last(F.when(F.col("box_path").isNotNull(), F.col("pos")), True).over(nearest), "within": F.last("box_path", True).over(nearest)})
-    return marked.filter((F.col("path") == F.col("within")) | F.startswith(F.col("path"), F.concat("within", F.lit(" > "))))
+    marked = marked.withColumns({"box": F.last(F.when(opens, F.col("pos")), True).over(before), "_level": F.last(F.when(opens, F.col("depth")), True).over(before)})
+    after = F.when((F.col("pos") > F.col("box")) & (F.col("depth") <= F.col("_level")), F.col("pos"))
+    marked = marked.withColumn("_end", F.min(after).over(Window.partitionBy("page_id", "box")))
+    return marked.filter("box IS NOT NULL AND (_end IS NULL OR pos < _end)").drop("_level", "_end")
 
 
 def boxed_list(pages: DataFrame, base: str, source: str, box: Column, link_part: str, now: Column, fallback: bool = False) -> DataFrame:

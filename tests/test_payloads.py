@@ -3,7 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tidemark.sources import extract
+from tidemark.sources import extract, searches
 from tidemark.sources import html as h
 
 def NOW():
@@ -130,3 +130,10 @@ def test_a_price_beside_the_link_outside_a_list_is_seen(spark):
     page = "<div>" + box(4, "") + box(5, '<span class="text-gold">10</span>') + box(6, "") + '<div class="eph-num"><a href="/s-chapter-7/">Chapter 7</a><i class="fa-lock"></i></div></div>'
     got = [r.chapter_number for r in extract.theme_pages(pages(spark, page), "https://r.example", NOW()).collect()]
     assert sorted(got) == [4.0, 6.0]
+
+
+def test_searches_of_empty_and_null_pages(spark):
+    none = pages(spark, "", None, "<p>nothing</p>", '<a>no link</a><article class="bg-base-300"></article><div class="grid"></div>')
+    base = "https://s.example"
+    found = [searches.theme_search(none, base, ("/manga/",)), searches.grid_search(none, base), searches.row_search(none, base), searches.list_search(none, base), searches.card_search(none)]
+    assert [f.count() for f in found] == [0] * 5

@@ -100,6 +100,17 @@ def slug_title(s: Column) -> Column:
     return F.regexp_replace(s, "-", " ")
 
 
+def decoded(t: Column) -> Column:
+    """Percent-decoded, a plus left as it is; null where that can't be."""
+    return F.try_url_decode(F.replace(t, F.lit("+"), F.lit("%2B")))
+
+
+def url_slug(url: Column, part: str, stop: str = "/?#") -> Column:
+    """What follows /part/ in a URL up to a character of `stop`, decoded, hyphens and underscores as spaces; null without such a part, or where it can't be decoded."""
+    raw = F.regexp_extract(url, rf"(?i)/{part}/([^{stop}]+)", 1)
+    return F.regexp_replace(decoded(F.nullif(raw, F.lit(""))), "[-_]+", " ")
+
+
 def jaccard(a: Column, b: Column, empty_is_word: bool = True) -> Column:
     """Of the words of two normalised titles. empty_is_word: an empty title has one empty word; otherwise none, and scores 0."""
     x, y = (F.array_distinct(F.split(t, " ") if empty_is_word else words(t)) for t in (a, b))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import selection, telemetry
 from tidemark.functions import text
-from tidemark.sources import extract, plugin
+from tidemark.sources import extract, plugin, searches
 from tidemark.sources import html as h
 from tidemark.sources import tables as t
 
@@ -232,3 +232,70 @@ def breaker_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def series_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What all sources of a series brought together."""
     return telemetry.series_totals(t.attempts(spark, sf_dir))
+
+
+@query(f"""WITH {KEYS} SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'Given' WHEN 1 THEN 'Picture' WHEN 2 THEN 'Text ' || n ELSE 'a ' || page_id END AS title, 'a-' || page_id AS slug, '{BASE}/manga/a-' || page_id || '/' AS link FROM k
+UNION ALL SELECT page_id, 'b', 'b', '{BASE}/series/b/' FROM k""")
+def theme_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 4
+    given = F.when(k == 0, ' title=" Given "').otherwise("")
+    inner = F.when(k == 1, '<i><img src="x" alt="Picture "></i>').when(k == 2, " Text  {n} ").otherwise("")
+    link = F.concat(F.lit('<a href="/manga/a-{k}/"'), given, F.lit(">"), inner, F.lit("</a>"))
+    rest = f'<a href="/manga/a-{{k}}/chapter-1">Later</a><a href="/manga/">Index</a><a href="https://o.example/manga/c/">Other</a><a href="/about"><img alt="No"></a><a href="{BASE}/series/"></a><a href="{BASE}/series/b/"></a>'
+    found = searches.theme_search(_pages(spark, sf_dir, link, rest), BASE, ("/manga/", "/series/"))
+    return found.select("page_id", "title", "slug", "link")
+
+
+@query(f"""WITH {KEYS}, r AS (SELECT page_id, 'Bold ' || n AS title, '{BASE}/comics/s' || page_id AS link FROM k UNION ALL SELECT page_id, 'Picture', '{BASE}/comics/p' FROM k
+UNION ALL SELECT page_id, 'Outside', '{BASE}/comics/o' FROM k WHERE page_id % 4 > 1) SELECT * FROM r
+UNION ALL SELECT page_id, 'Title ' || i, '{BASE}/comics/n' || i FROM k, range(0, 20) t(i) WHERE i < CASE WHEN page_id % 4 > 1 THEN 7 ELSE 8 END""")
+def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 4
+    kind = F.when(k == 0, "x grid grid-cols-2").when(k == 1, "grid").when(k == 2, "plain").otherwise("none")
+    inner = '<a href="/comics/s{k}"><span class="block font-bold"> Bold  {n} </span><span>more</span></a><a href="/comics/s{k}/chapter/1">Chapter</a><a href="comics/p"><img alt="Picture"></a><a href="/comics/s{k}" title="Again"></a><a href="/comics/e"> </a>'
+    outside = F.concat(F.when(k == 0, F.lit('<div class="grid">')).otherwise(F.lit("<div>")), F.lit('<a href="/comics/o">Outside</a></div>'))
+    tail = "".join(f'<a href="/comics/n{i}" title="Title {i}"><img alt="x"></a>' for i in range(12))
+    pages = _pages(spark, sf_dir, outside, '<div class="', kind, f'"><p>{inner}{tail}</p></div>')
+    return searches.grid_search(pages, BASE).select("page_id", "title", "link")
+
+
+@query(f"""WITH {KEYS} SELECT page_id, CASE WHEN page_id % 3 = 2 THEN 'Text' WHEN page_id % 3 = 1 THEN 'Heading ' || n ELSE 'Linked ' || n END AS title, '{BASE}/title/a' || page_id AS link FROM k
+UNION ALL SELECT page_id, 'Given', '{BASE}/title/b' FROM k""")
+def row_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 3
+    row = '<div class="flex border-b border-b-base-200 pb-5 x">'
+    first = F.when(k == 0, F.lit(f'{row}<a href="/title/a{{k}}"> Linked {{n}} </a><h3>No</h3></div>')).when(k == 1, F.lit(f'{row}<a href="/title/a{{k}}"><img></a><b class="name">Heading {{n}}</b><h3>No</h3></div>')).otherwise(F.lit('<a href="/title/a{k}">Text</a>'))
+    second = F.when(k == 2, F.lit('<a href="title/b" title="Lost"></a><a href="/title/b" title="Given"></a>')).otherwise(F.lit(f'{row}<a href="/title/b" title="Given"></a></div>{row}<a href="/title/b">Repeat</a></div>{row}<p>none</p></div>'))
+    bare = F.when(k == 2, F.lit('<a href="/title/c"></a><a href="/title/c">Too late</a>')).otherwise(F.lit('<a href="/title/c">Outside</a>'))
+    found = searches.row_search(_pages(spark, sf_dir, first, second, bare), BASE)
+    return found.select("page_id", "title", "link")
+
+
+@query(f"""WITH {KEYS} SELECT page_id, 'Title ' || n AS title, '{BASE}/manga/a.' || page_id AS link FROM k UNION ALL SELECT page_id, 'Far', 'https://o.example/manga/b' FROM k WHERE page_id % 2 = 0""")
+def list_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def item(link: str) -> str:
+        return f'<div class="item"><a href="/manga/cover">Cover</a><h3 class="title">{link}</h3></div>'
+
+    far = F.when(F.col("page_id") % 2 == 0, F.lit(item('<a href="https://o.example/manga/b">Far</a>'))).otherwise(F.lit(item("<a>No link</a>")))
+    listed = item('<a href="/manga/a.{k}"> Title {n} </a><a href="/manga/z">Second</a>') + item('<a href="manga/a.{k}">Repeat</a>') + item('<a href="/manga/e"></a>') + item('<a href="/manga/e">Late</a>')
+    found = searches.list_search(_pages(spark, sf_dir, '<div id="book_list">', listed, far, "</div>", item('<a href="/manga/o">Outside</a>')), BASE)
+    return found.select("page_id", "title", "link")
+
+
+@query(f"""WITH {KEYS} SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'Wide ' || n ELSE 'Short' END AS title, page_id || '/slug' AS id FROM k UNION ALL SELECT page_id, 'Short', 'two' FROM k UNION ALL SELECT page_id, 'Short', 'two' FROM k""")
+def card_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def card(ident: str, wide: str | Column = "") -> tuple:
+        return f'<article class="x bg-base-300"><section><a href="{BASE}/series/{ident}"><div class="text-ellipsis"> Short </div></a></section>', wide, "</article>"
+
+    wide = F.when(F.col("page_id") % 2 == 0, F.lit('<section class="hidden lg:block"><span class="tooltip"><a href="x"> Wide {n}</a></span></section>')).otherwise(F.lit('<section class="hidden"><span class="tooltip"><a href="x">Narrow</a></span></section>'))
+    found = searches.card_search(_pages(spark, sf_dir, *card("{k}/slug", wide), *card("two"), *card("two"), *card(""), '<article><section><a href="/series/o"><b class="text-ellipsis">Outside</b></a></section></article>'))
+    return found.select("page_id", "title", "id")
+
+
+@query(f"""WITH {KEYS} SELECT page_id, CASE WHEN page_id % 4 = 1 THEN 'Query' WHEN page_id % 4 = 2 THEN 'é a+' || n ELSE 'one two' END AS title, CASE WHEN page_id % 4 = 1 THEN '{BASE}/x' WHEN page_id % 4 = 2 THEN '{BASE}/manga/%C3%A9-a+' || n || '.' || page_id || '/c1' ELSE 'https://o.example/manga/one-two.5' END AS link,
+CASE WHEN page_id % 4 = 2 THEN 'é a+' || n WHEN page_id % 4 = 3 THEN 'one two' END AS slug FROM k WHERE page_id % 4 > 0""")
+def redirected_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 4
+    location = F.when(k == 1, F.lit("x")).when(k == 2, _write("/manga/%C3%A9-a+{n}.{k}/c1")).otherwise("https://o.example/manga/one-two.5")
+    answers = _keys(spark, sf_dir).select("page_id", F.lit(" Query ").alias("query"), F.when(k == 0, 200).otherwise(302).alias("status"), location.alias("location"))
+    return searches.redirected(answers, BASE).withColumn("slug", text.url_slug(F.col("link"), "manga", "/?#."))

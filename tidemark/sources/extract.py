@@ -55,48 +55,63 @@ def divided_list(pages: DataFrame, base: str, now: Column) -> DataFrame:
     return rows.join(readable.withColumn("_known", F.lit(True)), "page_id", "left").select(*ROW, F.coalesce("_known", F.lit(False)).alias("locks_known"))
 
 
-def inside(e: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Descendants (and the element itself) of boxes (page_id, box, box_path), up to the next of its kind: a box ends at the first element after it that lies no deeper.
+def boxed(e: DataFrame, opens: Column) -> DataFrame:
+    """Elements that meet a condition (pos = box) and their descendants, up to the next such element: a box ends at the first element after it that lies no deeper.
 
-    e must hold all elements of its pages, or the end of a box isn't seen.
+    e must hold all elements of its pages, or the end of a box isn't seen. All
+    windows are by page: one exchange.
     """
     before = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    opens = F.col("box_path").isNotNull()
-    marked = e.join(boxes.select("page_id", F.col("box").alias("pos"), "box_path"), ["page_id", "pos"], "left")
-    marked = marked.withColumns({"box": F.last(F.when(opens, F.col("pos")), True).over(before), "_level": F.last(F.when(opens, F.col("depth")), True).over(before)})
+    marked = e.withColumns({"box": F.last(F.when(opens, F.col("pos")), True).over(before), "_level": F.last(F.when(opens, F.col("depth")), True).over(before)})
     after = F.when((F.col("pos") > F.col("box")) & (F.col("depth") <= F.col("_level")), F.col("pos"))
     marked = marked.withColumn("_end", F.min(after).over(Window.partitionBy("page_id", "box")))
     return marked.filter("box IS NOT NULL AND (_end IS NULL OR pos < _end)").drop("_level", "_end")
 
 
+def inside(e: DataFrame, boxes: DataFrame) -> DataFrame:
+    """boxed() for elements named by a table (page_id, box, box_path)."""
+    return boxed(e.join(boxes.select("page_id", F.col("box").alias("pos"), "box_path"), ["page_id", "pos"], "left"), F.col("box_path").isNotNull())
+
+
+def first_in(where: Column, *values: Column | str) -> Column:
+    """The values of a box's first element that meets the condition, as a struct; null without one."""
+    return F.min_by(F.struct(*values), F.when(where, F.col("pos")))
+
+
+def own(*values: Column | str) -> Column:
+    """The values of the element that is the box itself."""
+    return first_in(F.col("pos") == F.col("box"), *values)
+
+
+def by_box(e: DataFrame, opens: Column, **values: Column) -> DataFrame:
+    """One row a box: page_id, pos, and aggregates over boxed()."""
+    return boxed(e, opens).groupBy("page_id", F.col("box").alias("pos")).agg(*[v.alias(k) for k, v in values.items()])
+
+
 def boxed_list(pages: DataFrame, base: str, source: str, box: Column, link_part: str, now: Column, fallback: bool = False) -> DataFrame:
     """Boxes with a first link each: number by the source's patterns, date from the box. Without any box on a page, with fallback, every link to a chapter is a box."""
-    e = h.elements(pages)
-    boxes = e.filter(box)
+    e, href = h.elements(pages), F.coalesce(F.col("attrs")["href"], F.lit(""))
+    opens = box
     if fallback:
-        links = e.filter((F.col("tag") == "a") & F.contains(F.coalesce(F.col("attrs")["href"], F.lit("")), F.lit("/chapter/"))).join(boxes.select("page_id").distinct(), "page_id", "left_anti")
-        boxes = boxes.unionByName(links)
-    boxes = boxes.select("page_id", F.col("pos").alias("box"), F.col("path").alias("box_path"), F.col("text").alias("box_text"))
-    parts = inside(e, boxes)
-    links = parts.filter((F.col("tag") == "a") & F.contains(F.coalesce(F.col("attrs")["href"], F.lit("")), F.lit(link_part))).groupBy("page_id", "box").agg(F.min(F.struct("pos", F.col("attrs")["href"].alias("href"), "text")).alias("a"))
-    dated = parts.filter((F.col("tag") == "time") | F.col("attrs")["datetime"].isNotNull() | F.coalesce("class", F.lit("")).rlike(r"(?:^|\s)(?:date|time|release-date|update_time)(?:\s|$)"))
-    dated = dated.groupBy("page_id", "box").agg(F.min(F.struct("pos", F.col("attrs")["datetime"].alias("at"), F.trim("text").alias("text"))).alias("d"))
-    rows = boxes.join(links, ["page_id", "box"]).join(dated, ["page_id", "box"], "left")
-    title = F.when(F.trim("a.text") != "", F.col("a.text")).otherwise(F.col("box_text"))
+        e = e.withColumn("_listed", F.max(box).over(Window.partitionBy("page_id")))
+        opens = F.when(F.col("_listed"), box).otherwise((F.col("tag") == "a") & F.contains(href, F.lit("/chapter/")))
+    a = first_in((F.col("tag") == "a") & F.contains(href, F.lit(link_part)), F.col("attrs")["href"].alias("href"), "text")
+    dated = (F.col("tag") == "time") | F.col("attrs")["datetime"].isNotNull() | F.coalesce("class", F.lit("")).rlike(r"(?:^|\s)(?:date|time|release-date|update_time)(?:\s|$)")
+    d = first_in(dated, F.col("attrs")["datetime"].alias("at"), F.trim("text").alias("text"))
+    rows = by_box(e, opens, a=a, d=d, box=own("text")).filter("a IS NOT NULL")
+    title = F.when(F.trim("a.text") != "", F.col("a.text")).otherwise(F.col("box.text"))
     n = numbers.by_patterns(source, title, F.col("a.href"))
-    rows = rows.select("page_id", F.col("box").alias("pos"), text.absolute(F.col("a.href"), F.lit(base)).alias("link"), n.alias("chapter_number"), dates.attribute_or_text(F.col("d.at"), F.col("d.text"), now).alias("release_date"))
+    rows = rows.select("page_id", "pos", text.absolute(F.col("a.href"), F.lit(base)).alias("link"), n.alias("chapter_number"), dates.attribute_or_text(F.col("d.at"), F.col("d.text"), now).alias("release_date"))
     return url_then_number(rows.filter("chapter_number IS NOT NULL")).select(*ROW)
 
 
 def fragment_list(pages: DataFrame, base: str) -> DataFrame:
     """Links to /chapters/ID; number from the first inner span's text, else from the id. Repeats stay: see the upsert's first_by_key()."""
-    e = h.elements(pages)
-    link = (F.col("tag") == "a") & F.contains(F.coalesce(F.col("attrs")["href"], F.lit("")), F.lit("/chapters/"))
-    boxes = e.filter(link).select("page_id", F.col("pos").alias("box"), F.col("path").alias("box_path"), F.split(F.col("attrs")["href"], "/chapters/")[1].alias("id"))
-    parts = inside(e, boxes)
-    titles = parts.filter((F.col("tag") == "span") & F.col("path").rlike(r"span#[^>]*\.grow\b.* > span#")).groupBy("page_id", "box").agg(F.min(F.struct("pos", F.trim("text").alias("t"))).alias("s"))
-    times = parts.filter("tag = 'time'").groupBy("page_id", "box").agg(F.min(F.struct("pos", F.col("attrs")["datetime"].alias("t"))).alias("d"))
-    rows = boxes.filter("id <> ''").join(titles, ["page_id", "box"], "left").join(times, ["page_id", "box"], "left")
+    href = F.coalesce(F.col("attrs")["href"], F.lit(""))
+    link = (F.col("tag") == "a") & F.contains(href, F.lit("/chapters/"))
+    title = first_in((F.col("tag") == "span") & F.col("path").rlike(r"span#[^>]*\.grow\b.* > span#"), F.trim("text").alias("t"))
+    time = first_in(F.col("tag") == "time", F.col("attrs")["datetime"].alias("t"))
+    rows = by_box(h.elements(pages), link, a=own(F.split(href, "/chapters/")[1].alias("id")), s=title, d=time).select("page_id", "a.id", "s", "d").filter("id <> ''")
     n = numbers.by_patterns("weeb", F.coalesce("s.t", F.lit("")), F.col("id"))
     return rows.select("page_id", n.alias("chapter_number"), F.concat(F.lit(f"{base}/chapters/"), "id").alias("link"), F.col("d.t").try_cast("timestamp").cast("timestamp_ntz").alias("release_date")).filter("chapter_number IS NOT NULL")
 

@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from tidemark.operators import delta
-from tidemark.sources.snapshot import Snapshots
+from tidemark.sources.snapshot import Memo, Snapshots
 from tidemark.streaming import breaker, refresh
 
 
@@ -33,6 +33,57 @@ def test_refresh_applies_batches(spark, tmp_path):
     assert delta.KEY == ["manga_id", "provider_id", "chapter_number"]
 
 
+def test_refresh_rewrites_only_the_buckets_of_a_batch(spark, tmp_path):
+    now = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    schema = "manga_id long, provider_id string, chapter_number double, link string"
+    base = spark.createDataFrame([(i, "p", 1.0, "a") for i in range(40)], schema).withColumns({"created_at": now, "updated_at": now})
+    path = f"file://{tmp_path}/t"
+    delta.write_buckets(delta.bucketed(base, 8), path)
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+
+    before = files()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text("\n".join(json.dumps({"manga_id": 3, "provider_id": "p", "chapter_number": n, "link": f"b{n}"}) for n in (1, 2)))
+    # a writer was lost after it had moved a bucket aside
+    one = sorted((tmp_path / "t").glob("bucket=*"))[0]
+    (tmp_path / "t.old").mkdir(exist_ok=True)
+    one.rename(tmp_path / "t.old" / one.name)
+    refresh.apply_batches(spark.readStream.schema(schema).json(str(tmp_path / "in")), path, now, str(tmp_path / "c"), buckets=8).awaitTermination(120)
+    rows = spark.read.parquet(path)
+    assert sorted((r.manga_id, r.chapter_number, r.link) for r in rows.collect()) == sorted([(i, 1.0, "a") for i in range(40) if i != 3] + [(3, 1.0, "b1"), (3, 2.0, "b2")])
+    after = files()
+    assert len(set(before) - set(after)) == 1 and all(before[f] == after[f] for f in set(before) & set(after))
+    assert rows.filter("manga_id = 3").select("bucket").distinct().count() == 1
+
+
+def test_snapshots_are_capped_and_old_files_go(spark, tmp_path):
+    s = Snapshots(spark, f"file://{tmp_path}", ttl=1, most=2)
+    for at in (0, 10, 20):
+        last = s.fresh("a", lambda: spark.range(3), at)
+    assert len(list(tmp_path.glob("a-*"))) == 2 and last.count() == 3
+    s.fresh("b", lambda: spark.range(1), 30)
+    s.fresh("c", lambda: spark.range(1), 31)
+    assert set(s.made) == {"b", "c"} and not list(tmp_path.glob("a-*"))
+    assert s.fresh("a", lambda: spark.range(2), 32).count() == 2
+
+
+def test_memo_waits_after_a_failure():
+    tries = []
+
+    def make():
+        tries.append(1)
+        if len(tries) < 3:
+            raise OSError("down")
+        return "made"
+
+    m = Memo(make, "default")
+    assert [m.get(t) for t in (0, 30, 59.9)] == ["default"] * 3 and len(tries) == 1
+    assert m.get(60) == "default" and m.get(100) == "default" and len(tries) == 2
+    assert m.get(120) == "made" and m.get(121) == "made" and len(tries) == 3
+
+
 def test_last_good_snapshot_serves_when_a_read_fails(spark, tmp_path):
     s = Snapshots(spark, f"file://{tmp_path}")
     assert s.fresh("x", lambda: spark.range(3), 0).count() == 3

@@ -99,3 +99,54 @@ def write_staged(df: DataFrame, path: str) -> None:
         fs.rename(old, target)
         raise OSError(f"{path} can't be replaced")
     fs.delete(old, True)
+
+
+BUCKET = "bucket"
+
+
+def bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """df with the bucket of its series: all rows of a series lie in one."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64("manga_id"), F.lit(buckets)).cast("int"))
+
+
+def _folders(fs, place) -> list[str]:
+    return [s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory()] if fs.exists(place) else []
+
+
+def recover_buckets(spark: SparkSession, path: str) -> None:
+    """recover() for each bucket of the table at path. Call it before the table is read."""
+    fs, _, _, old = _places(spark, path)
+    for name in _folders(fs, old):
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.old/{name}")
+        if not fs.exists(target):
+            if not fs.rename(aside, target):
+                raise OSError(f"{path}/{name} can't be put back")
+        else:
+            fs.delete(aside, True)
+
+
+def write_buckets(df: DataFrame, path: str) -> None:
+    """Replaces those buckets of the table at path that df has rows of, and no others; df may read the table.
+
+    All are written beside it first, one file or so a bucket, then moved over
+    it one by one. A writer lost in between leaves each bucket old, new, or
+    under its .old name, from where recover_buckets() brings it back; the same
+    batch again then makes all of them new.
+    """
+    spark = df.sparkSession
+    fs, target, staged, old = _places(spark, path)
+    df.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}.staged")
+    fs.mkdirs(target)
+    fs.mkdirs(old)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    for name in _folders(fs, staged):
+        now, aside = place(f"{path}/{name}"), place(f"{path}.old/{name}")
+        fs.delete(aside, True)
+        if fs.exists(now) and not fs.rename(now, aside):
+            raise OSError(f"{path}/{name} can't be moved aside")
+        if not fs.rename(place(f"{path}.staged/{name}"), now):
+            fs.rename(aside, now)
+            raise OSError(f"{path}/{name} can't be replaced")
+        fs.delete(aside, True)
+    fs.delete(staged, True)

@@ -6,19 +6,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import delta
+from tidemark.session import materialize, tidy
 
 
-def apply_batches(scraped: DataFrame, path: str, now: Column, checkpoint: str, window: int = 5, source: str | None = None):
+def apply_batches(scraped: DataFrame, path: str, now: Column, checkpoint: str, window: int = 5, buckets: int | None = None):
     """Starts a query that upserts each micro-batch's delta into the Parquet table at path.
 
     A batch that is run again finds its rows stored and changes nothing but
     updated_at: the upsert is idempotent by key, so a retry is safe. Of rows
     with one key the first by pos, the place in the document, counts (without
     that column, the smallest link).
+
+    buckets: the table at path is laid out by delta.bucketed() with that
+    number; a batch then reads and rewrites only the buckets of its series.
+    Without it, each batch rewrites the whole table.
     """
 
     order = [c for c in ("pos",) if c in scraped.columns] + ["link"]
 
+    def merge_buckets(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        delta.recover_buckets(spark, path)
+        with tidy(spark):
+            new = materialize(delta.first_by_key(delta.bucketed(batch, buckets), delta.KEY, order), "batch")
+            met = [r[0] for r in new.select(delta.BUCKET).distinct().collect()]  # at most `buckets` numbers
+            if not met:
+                return
+            stored = spark.read.parquet(path).filter(F.col(delta.BUCKET).isin(met))
+            due = delta.flags(new, stored, window).filter("upsert")
+            delta.write_buckets(delta.upsert(stored, due, now), path)
+
     def merge(batch: DataFrame, _: int) -> None:
         delta.recover(batch.sparkSession, path)
         stored = batch.sparkSession.read.parquet(path)
@@ -26,7 +43,7 @@ def apply_batches(scraped: DataFrame, path: str, now: Column, checkpoint: str, w
         due = delta.flags(new, stored, window).filter("upsert")
         delta.write_staged(delta.upsert(stored, due, now), path)
 
-    return scraped.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return scraped.writeStream.foreachBatch(merge if buckets is None else merge_buckets).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def activity(rows: DataFrame, late: str = "1 day") -> DataFrame:

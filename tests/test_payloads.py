@@ -137,3 +137,9 @@ def test_searches_of_empty_and_null_pages(spark):
     base = "https://s.example"
     found = [searches.theme_search(none, base, ("/manga/",)), searches.grid_search(none, base), searches.row_search(none, base), searches.list_search(none, base), searches.card_search(none)]
     assert [f.count() for f in found] == [0] * 5
+
+
+def test_rendered_titles(spark):
+    wp = json.dumps([{"link": "l", "slug": str(i), "title": {"rendered": t}} for i, t in enumerate(["&hearts; <em>A</em> &#x26; &eacute;&nbsp;", "1 < 2 &amp;lt;", "", "&unknown; &copy"])] + [{"link": "l", "slug": "4", "title": None}])
+    got = extract.rest_search(spark.createDataFrame([(1, wp)], "page_id long, body string")).orderBy("pos").collect()
+    assert [r.title for r in got] == ["\u2665 A & \u00e9", "1 < 2 &lt;", "", "&unknown; \u00a9", ""]

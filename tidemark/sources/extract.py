@@ -206,13 +206,10 @@ def search_titles(bodies: DataFrame) -> DataFrame:
 
 
 def rest_search(bodies: DataFrame) -> DataFrame:
-    """Series of a REST search answer (page_id, body): (pos, link, slug, title), without rows that lack a link or slug; common entities decoded."""
+    """Series of a REST search answer (page_id, body): (pos, link, slug, title), without rows that lack a link or slug; the title as text."""
     kind = "array<struct<link:string,slug:string,title:struct<rendered:string>>>"
     rows = bodies.select("page_id", F.posexplode(F.from_json("body", kind)).alias("pos", "s")).filter("s.link IS NOT NULL AND s.slug IS NOT NULL")
-    t = F.coalesce("s.title.rendered", F.lit(""))
-    for entity, mark in (("&#8217;", "’"), ("&#8211;", "–"), ("&quot;", '"'), ("&#039;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(entity), F.lit(mark))
-    return rows.select("page_id", "pos", F.col("s.link").alias("link"), F.col("s.slug").alias("slug"), t.alias("title"))
+    return rows.select("page_id", "pos", F.col("s.link").alias("link"), F.col("s.slug").alias("slug"), text.rendered(F.coalesce("s.title.rendered", F.lit(""))).alias("title"))
 
 
 def search_links(pages: DataFrame, prefix: str, most: int = 10) -> DataFrame:

@@ -154,6 +154,32 @@ def test_codec_and_counts(odd, none, library):
     assert bpe_codec.encode_decode(none).count() == token_counts.count_tokens(none).count() == 0
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_counts_by_other_files_equal_the_library(spark, odd, small, name):
+    import random
+
+    import public_tokenizers
+
+    path = public_tokenizers.path(name)
+    if name.endswith(".json"):
+        from tokenizers import Tokenizer
+
+        other = Tokenizer.from_file(path)
+        want = lambda t: len(other.encode(t or "", add_special_tokens=False).ids)
+    else:
+        from sentencepiece import SentencePieceProcessor
+
+        other = SentencePieceProcessor(model_file=path)
+        want = lambda t: len(other.encode(t or ""))
+    r = random.Random(5)
+    parts = ["a", "b", "Word", "Z9", ".", "?!", " ", " ", " ", "\n", "\t", "'s", "É", "e\u0301", "İ", "ΑΣ", "1", "　", "▁", "<|endoftext|>", "<s>", "<unk>", "<0x41>", "日", "🙂", "\x00", "\u200d"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(4000)] + [" " * k + "x" + " " * k for k in range(20)] + ["", " ", None]
+    assert token_counts.counter(path).apply(pa.array(texts)).to_pylist() == [want(t) for t in texts]
+    for docs in (odd, queries.documents(spark, small)):
+        got = token_counts.count_tokens(docs, path).collect()
+        assert sorted((tuple(x) for x in got), key=key) == sorted(((d, len((t or "").encode()), want(t)) for d, t in pairs(docs)), key=key)
+
+
 def test_decode_of_ids_that_arent_text(library):
     c = bpe_codec.Codec(bpe.default_tokenizer())
     many = [[50256], [220, 50256, 1], [162, 245], [96, 234, 97], [447, 247], [], [10, 50256, 999]]

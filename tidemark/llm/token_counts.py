@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -15,6 +16,7 @@ from tidemark.session import ship
 
 from . import bpe
 from .encoder import CACHE_BYTES, ByChunk, slices
+from .piece_counts import SentencePieces, WordEnds
 
 
 def count_merges(symbols: list[int], pair_rank: dict, by_rank: list[int]) -> int:
@@ -82,8 +84,13 @@ class Counter(ByChunk):
 
 
 @lru_cache(maxsize=2)
-def counter(path: str) -> Counter:
-    return Counter(path)
+def counter(path: str):
+    """What counts by the file's kind: SentencePiece BPE (.model), BPE with word ends or byte-level BPE (.json)."""
+    if path.endswith(".model"):
+        return SentencePieces(path)
+    with open(path, encoding="utf-8") as f:
+        ends = json.load(f)["model"].get("end_of_word_suffix")
+    return WordEnds(path) if ends else Counter(path)
 
 
 def count_tokens(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:

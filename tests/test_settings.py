@@ -53,3 +53,13 @@ def test_names_of_sources_stand_once():
     assert plugin.registered([site, plugin.fragment_site("B", "https://b")]) == [("A", "manhwa", True, 0), ("B", "multiple", True, 1)]
     with pytest.raises(ValueError):
         plugin.registered([site, site])
+
+
+def test_registry_by_name():
+    sources = [plugin.theme_site("Some Site", "https://a"), plugin.fragment_site("B", "https://b")]
+    assert plugin.lookup(sources, "somesite") is sources[0] and plugin.lookup(sources, "SOME  SITE") is sources[0] and plugin.lookup(sources, "c") is None
+    assert [s.enabled for s in plugin.switched(sources, "b", False)] == [True, False]
+    assert plugin.switched(sources, "c", False) == sources
+    bare = plugin.boxed_site("C", "https://c", "katana", lambda: None)
+    with pytest.raises(ValueError, match="no search"):
+        plugin.find(bare, None)

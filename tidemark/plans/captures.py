@@ -299,3 +299,14 @@ def redirected_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = F.when(k == 1, F.lit("x")).when(k == 2, _write("/manga/%C3%A9-a+{n}.{k}/c1")).otherwise("https://o.example/manga/one-two.5")
     answers = _keys(spark, sf_dir).select("page_id", F.lit(" Query ").alias("query"), F.when(k == 0, 200).otherwise(302).alias("status"), location.alias("location"))
     return searches.redirected(answers, BASE).withColumn("slug", text.url_slug(F.col("link"), "manga", "/?#."))
+
+
+@query(f"""WITH {KEYS} SELECT page_id, 'Site' AS provider, CASE WHEN page_id % 4 = 0 THEN 'error' WHEN page_id % 4 = 1 THEN 'empty' ELSE 'found' END AS outcome, CAST(CASE WHEN page_id % 4 > 1 THEN 2 ELSE 0 END AS BIGINT) AS found, page_id % 4 = 1 AS blank,
+CASE WHEN page_id % 4 > 1 THEN 'One,s ' || n END AS titles FROM k""")
+def source_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A configured site over all its search pages: every page has an outcome, and candidates of a failed one don't count."""
+    links = '<a href="/manga/one/" title="One">x</a><a href="/manga/s-{n}/"></a><a href="/manga/one/">again</a>'
+    pages = _pages(spark, sf_dir, F.when(F.col("page_id") % 4 == 1, "<p></p>").otherwise(links)).withColumn("status", F.when(F.col("page_id") % 4 == 0, 500).otherwise(200))
+    answers, met = plugin.find(plugin.theme_site("Site", BASE), pages)
+    titles = met.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "title"))), lambda x: x["title"]), ",").alias("titles"))
+    return answers.join(titles, "page_id", "left").select("page_id", "provider", "outcome", "found", "blank", "titles")

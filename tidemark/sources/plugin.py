@@ -11,42 +11,44 @@ reads columns, so what it can't read is null, not an exception.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import extract
+from . import extract, searches
 from . import html as h
 
 Extract = Callable[[DataFrame, Column], DataFrame]
+Search = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
 class Source:
-    """extract: (pages (page_id, url, html), now) -> rows with page_id, chapter_number, link, release_date."""
+    """extract: (pages (page_id, url, html), now) -> rows with page_id, chapter_number, link, release_date. search: search pages (page_id, url, html) -> rows with page_id, pos, title and a link or id."""
 
     name: str
     type: str
     extract: Extract
     enabled: bool = True
+    search: Search | None = None
 
 
-def theme_site(name: str, base: str, type: str = "manhwa", enabled: bool = True) -> Source:
+def theme_site(name: str, base: str, type: str = "manhwa", enabled: bool = True, prefixes: tuple[str, ...] = ("/manga/",)) -> Source:
     """A site of the common theme: configuration is all that it needs."""
-    return Source(name, type, lambda pages, now: extract.theme_pages(pages, base, now), enabled)
+    return Source(name, type, lambda pages, now: extract.theme_pages(pages, base, now), enabled, lambda pages: searches.theme_search(pages, base, prefixes))
 
 
 def divided_site(name: str, base: str, type: str = "manhwa", enabled: bool = True) -> Source:
-    return Source(name, type, lambda pages, now: extract.divided_list(pages, base, now).select(*extract.ROW), enabled)
+    return Source(name, type, lambda pages, now: extract.divided_list(pages, base, now).select(*extract.ROW), enabled, lambda pages: searches.grid_search(pages, base))
 
 
-def boxed_site(name: str, base: str, patterns: str, box: Callable[[], Column], fallback: bool = False, type: str = "multiple", enabled: bool = True) -> Source:
-    return Source(name, type, lambda pages, now: extract.boxed_list(pages, base, patterns, box(), "/chapter/", now, fallback), enabled)
+def boxed_site(name: str, base: str, patterns: str, box: Callable[[], Column], fallback: bool = False, type: str = "multiple", enabled: bool = True, search: Search | None = None) -> Source:
+    return Source(name, type, lambda pages, now: extract.boxed_list(pages, base, patterns, box(), "/chapter/", now, fallback), enabled, search)
 
 
 def fragment_site(name: str, base: str, type: str = "multiple", enabled: bool = True) -> Source:
-    return Source(name, type, lambda pages, now: extract.fragment_list(pages, base), enabled)
+    return Source(name, type, lambda pages, now: extract.fragment_list(pages, base), enabled, searches.card_search)
 
 
 def registered(sources: list[Source]) -> list[tuple[str, str, bool, int]]:
@@ -56,6 +58,36 @@ def registered(sources: list[Source]) -> list[tuple[str, str, bool, int]]:
     return [(s.name, s.type, s.enabled, i) for i, s in enumerate(sources)]
 
 
+def _key(name: str) -> str:
+    return "".join(name.lower().split())
+
+
+def lookup(sources: list[Source], name: str) -> Source | None:
+    """The source of that name, whatever its case and spaces; the last of several."""
+    return next((s for s in reversed(sources) if _key(s.name) == _key(name)), None)
+
+
+def switched(sources: list[Source], name: str, enabled: bool) -> list[Source]:
+    """The sources with that one on or off; an unknown name changes nothing."""
+    return [replace(s, enabled=enabled) if _key(s.name) == _key(name) else s for s in sources]
+
+
+def find(source: Source, captures: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(answers (page_id, provider, outcome, found, blank), candidates) of captured search pages (page_id, url, status, html).
+
+    outcome is `found`, `empty` or `error`, one row a page; blank marks an
+    answer too short to be one, which is worth another try. Candidates of
+    pages with outcome error don't count.
+    """
+    if source.search is None:
+        raise ValueError(f"{source.name} has no search")
+    met = source.search(captures.select("page_id", "url", "html"))
+    state = h.outcomes(captures, met).withColumn("outcome", F.when(F.col("outcome") == "chapters", "found").otherwise(F.col("outcome")))
+    hit = F.col("outcome") == "found"
+    answers = state.select("page_id", F.lit(source.name).alias("provider"), "outcome", F.when(hit, F.col("rows")).otherwise(0).alias("found"), "blank")
+    return answers, met.join(state.filter(hit).select("page_id"), "page_id", "left_semi").withColumn("provider", F.lit(source.name))
+
+
 def scrape(source: Source, captures: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
     """(attempts (page_id, provider, outcome, chapters, blank), rows) of captures (page_id, url, status, html). Rows of pages with outcome error don't count."""
     found = source.extract(captures.select("page_id", "url", "html"), now)

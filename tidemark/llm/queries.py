@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch
 
-from . import bpe_codec, exact_dedup, ngram_join, packing, quality_classifier, quality_rules, token_counts, token_store, url_filter, warc
+from . import bpe_codec, exact_dedup, ngram_join, packing, quality_classifier, quality_rules, source_divergence, token_counts, token_store, url_filter, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +74,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir)).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_ngram_join": op2_ngram_join,
@@ -85,6 +89,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_token_counts": op10_token_counts,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 OP4_SQL = r"""
@@ -144,4 +149,25 @@ SELECT page_id, payload_bytes,
 FROM b
 """
 
-ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op5_quality_rules": OP5_SQL, "op7_warc_writer": OP7_SQL, "op8_url_filter": OP8_SQL}
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+c AS (SELECT o.lang, o.source, o.term, count(*) AS n FROM o JOIN k ON o.lang = k.lang AND o.term = k.term GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT g.lang, coalesce((SELECT sum(n) FROM c WHERE c.lang = g.lang), 0)::HUGEINT AS total, (SELECT count(*) FROM k WHERE k.lang = g.lang)::HUGEINT AS v FROM (SELECT DISTINCT lang FROM g) g),
+t AS (SELECT g.lang, g.source, coalesce((SELECT sum(n) FROM c WHERE c.lang = g.lang AND c.source = g.source), 0)::HUGEINT AS total FROM g),
+p AS (SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n, (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (t.total + 5 * l.v))::BIGINT AS p
+      FROM t JOIN k ON t.lang = k.lang JOIN l ON t.lang = l.lang LEFT JOIN c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term),
+q AS (SELECT k.lang, k.term, (1 + (1000000000::HUGEINT * (s.n + 5)) // (l.total + 5 * l.v))::BIGINT AS q
+      FROM k JOIN l ON k.lang = l.lang JOIN (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL) s ON s.lang = k.lang AND s.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT p.lang, p.source, 'term', p.term, p.p - q.q FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q),
+w AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INT AS rank FROM u)
+SELECT * FROM w WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op5_quality_rules": OP5_SQL, "op7_warc_writer": OP7_SQL, "op8_url_filter": OP8_SQL, "op11_source_divergence": OP11_SQL}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch
 
-from . import bpe_codec, exact_dedup, ngram_join, packing, quality_classifier, quality_rules, source_divergence, token_counts, token_store, url_filter, warc
+from . import bpe_codec, conversation_repair, exact_dedup, ngram_join, packing, quality_classifier, quality_rules, source_divergence, token_counts, token_store, url_filter, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +78,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.divergence(documents(spark, sf_dir))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_repair.repair(conversation_repair.damage(rows), rows)
+
+
 QUERIES = {
     "op1_token_store": op1_token_store,
     "op2_ngram_join": op2_ngram_join,
@@ -90,6 +95,7 @@ QUERIES = {
     "op9_bpe_codec": op9_bpe_codec,
     "op10_token_counts": op10_token_counts,
     "op11_source_divergence": op11_source_divergence,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 OP4_SQL = r"""
@@ -170,4 +176,47 @@ w AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY val
 SELECT * FROM w WHERE part = 'pair' OR rank <= 50
 """
 
-ORACLES: dict[str, str] = {"op4_exact_dedup": OP4_SQL, "op5_quality_rules": OP5_SQL, "op7_warc_writer": OP7_SQL, "op8_url_filter": OP8_SQL, "op11_source_divergence": OP11_SQL}
+OP13_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END)) AS t),
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+crc AS (SELECT src.*, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 20 AS kind FROM src, tab),
+conv AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+dam AS (SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM crc JOIN conv ON crc.conv_id IS NOT DISTINCT FROM conv.conv_id),
+num AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, role[1] AS ini FROM dam),
+bad AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'd'
+                       WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault, lag(ini) OVER (PARTITION BY c ORDER BY i) || ini AS pair FROM num),
+ins(st, st2, letters, turns) AS (VALUES (0, 0, '', ''), (1, 1, '', ''), (2, 2, '', ''), (3, 3, '', ''), (0, 2, 'I', chr(10) || 'user:'), (1, 2, 'I', chr(10) || 'user:'), (3, 2, 'I', chr(10) || 'user:'),
+  (2, 3, 'I', chr(10) || 'assistant:'), (0, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+keep(st, ini, st2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+fill(st, name, st2) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+edit AS (
+  SELECT c, i, st, st AS st2, 2 AS price, 'D' AS letter, '' AS turns FROM bad, fill
+  UNION ALL SELECT c, i, st, st2, CASE fault WHEN 't' THEN 5 ELSE 0 END, 'K', chr(10) || role || ':' || text FROM bad JOIN keep ON bad.ini = keep.ini WHERE fault IN ('', 't')
+  UNION ALL SELECT c, i, st, st2, CASE fault WHEN 't' THEN 6 ELSE 1 END, 'R', chr(10) || name || ':' || text FROM bad, fill WHERE fault IN ('', 't')),
+dp AS (
+  SELECT c, 0::BIGINT AS i, 0 AS st, 0 AS cost, '' AS audit, '' AS turns FROM conv
+  UNION ALL
+  SELECT c, i, st, cost, audit, turns FROM (
+    SELECT dp.c, e.i, e.st2 AS st, dp.cost + 5 * length(ins.letters) + e.price AS cost, dp.audit || ins.letters || e.letter AS audit, dp.turns || ins.turns || e.turns AS turns
+    FROM dp JOIN ins ON ins.st = dp.st JOIN edit e ON e.c = dp.c AND e.i = dp.i + 1 AND e.st = ins.st2)
+  QUALIFY row_number() OVER (PARTITION BY c, st ORDER BY cost, audit) = 1),
+num_rows AS (SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+                    count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM bad GROUP BY c),
+best AS (
+  SELECT conv.conv_id, coalesce(r.gaps, 0) AS gaps, coalesce(r.blank, 0) AS blank, coalesce(r.duplicate, 0) AS duplicate, coalesce(r.truncated, 0) AS truncated, coalesce(r.illegal, 0) AS illegal,
+         (dp.cost + 5 * length(ins.letters))::BIGINT AS cost, dp.audit || ins.letters AS audit, sha256(substr(dp.turns || ins.turns, 2)) AS repaired_sha256
+  FROM conv LEFT JOIN num_rows r ON r.c = conv.c JOIN dp ON dp.c = conv.c AND dp.i = coalesce(r.n, 0) JOIN ins ON ins.st = dp.st AND ins.st2 IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY conv.c ORDER BY dp.cost + 5 * length(ins.letters), dp.audit || ins.letters) = 1)
+SELECT * FROM best
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_exact_dedup": OP4_SQL,
+    "op5_quality_rules": OP5_SQL,
+    "op7_warc_writer": OP7_SQL,
+    "op8_url_filter": OP8_SQL,
+    "op11_source_divergence": OP11_SQL,
+    "op13_conversation_repair": OP13_SQL,
+}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch
 
-from . import bpe_codec, conversation_repair, exact_dedup, ngram_join, packing, quality_classifier, quality_rules, source_divergence, token_counts, token_store, url_filter, warc
+from . import bpe_codec, conversation_repair, exact_dedup, ngram_join, packing, quality_classifier, quality_rules, source_divergence, substring_dedup, token_counts, token_store, url_filter, warc
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +78,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.divergence(documents(spark, sf_dir))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return conversation_repair.repair(conversation_repair.damage(rows), rows)
@@ -95,6 +99,7 @@ QUERIES = {
     "op9_bpe_codec": op9_bpe_codec,
     "op10_token_counts": op10_token_counts,
     "op11_source_divergence": op11_source_divergence,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -176,6 +181,17 @@ w AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY val
 SELECT * FROM w WHERE part = 'pair' OR rank <= 50
 """
 
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+m AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY g) AS low FROM x) WHERE low < doc_id),
+c AS (SELECT DISTINCT r, i + k AS i FROM (SELECT r, i, unnest(range(0, 13)) AS k FROM m)),
+k AS (SELECT r, list(i) AS gone, count(*) AS n FROM c GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(list_filter(w, lambda x, i: NOT list_contains(gone, i)), ' ') END) AS kept_sha256
+FROM d LEFT JOIN k ON d.r = k.r
+"""
+
 OP13_SQL = r"""
 WITH RECURSIVE tab AS (
   SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END)) AS t),
@@ -218,5 +234,6 @@ ORACLES: dict[str, str] = {
     "op7_warc_writer": OP7_SQL,
     "op8_url_filter": OP8_SQL,
     "op11_source_divergence": OP11_SQL,
+    "op12_substring_dedup": OP12_SQL,
     "op13_conversation_repair": OP13_SQL,
 }

@@ -9,28 +9,50 @@ is made for them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, partitions, tidied
+from tidemark.session import materialize, partitions, ship, tidied
+
+from .encoder import slices
 
-#: What a term is, the letters lowered, the least number of documents, the added count, the scale of shares, terms reported.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The least number of documents, the added count, the scale of shares, terms reported.
 LEAST_DOCS, ADDED, SCALE, TOP = 30, 5, 1_000_000_000, 50
 #: Sources (over all languages) up to which their names and totals are broadcast; beyond, they meet the terms in a salted join.
 BROADCAST_SOURCES = 100_000
 
 
+def _counts(batches) -> Iterator:
+    """(lang, source, term, n, df) summed over a batch: texts become words in bytes, as all that parts terms is ASCII."""
+    import pyarrow as pa
+
+    plain = bytes(c if c > 127 else c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 else 32 for c in range(256))
+    names = ["lang", "source", "term", "n", "df"]
+    for batch in batches:
+        for piece in slices(batch, "text"):
+            words = [t.encode().translate(plain).split() for t in piece.column("text").to_pylist()]
+            places: dict[tuple[str, str], int] = {}
+            group = np.array([places.setdefault(g, len(places)) for g in zip(piece.column("lang").to_pylist(), piece.column("source").to_pylist(), strict=True)])
+            langs, sources = (pa.array(x, pa.string()) for x in zip(*places, strict=True))
+            yield pa.RecordBatch.from_arrays([langs, sources, pa.nulls(len(places), pa.string()), *[pa.array(np.zeros(len(places), np.int64))] * 2], names=names)
+            terms = pa.array([w for d in words for w in d], pa.binary()).dictionary_encode()
+            if len(terms):
+                v = len(terms.dictionary)
+                of_doc, n = np.unique(np.repeat(np.arange(len(words)), [len(d) for d in words]) * v + terms.indices.to_numpy(), return_counts=True)
+                of_group, back = np.unique(group[of_doc // v] * v + of_doc % v, return_inverse=True)
+                which, term = pa.array(of_group // v), terms.dictionary.take(pa.array(of_group % v)).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([langs.take(which), sources.take(which), term, pa.array(np.bincount(back, n).astype(np.int64)), pa.array(np.bincount(back))], names=names)
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, df) summed over docs; a group without terms has one row whose term is null."""
+    """(lang, source, term, n, df) summed over docs; each group has a row whose term is null, too."""
+    ship(docs.sparkSession)
     plain = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    words = plain.select("lang", "source", F.sort_array(F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(TERM), F.lit(0))).alias("w"))
-    # equal terms stand side by side: the places where a run of them begins, counted from 1
-    starts = words.select("lang", "source", "w", F.expr("CASE WHEN size(w) = 0 THEN array() ELSE filter(sequence(1, size(w)), i -> NOT get(w, i - 1) <=> get(w, i - 2)) END").alias("s"))
-    runs = starts.select("lang", "source", F.expr("transform(s, (a, k) -> struct(get(w, a - 1) AS term, coalesce(get(s, k + 1), size(w) + 1) - a AS n))").alias("runs"))
-    cells = runs.select("lang", "source", F.inline_outer("runs"))
-    return cells.groupBy("lang", "source", "term").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.count("term").alias("df"))
+    cells = plain.mapInArrow(_counts, "lang string, source string, term string, n long, df long")
+    return cells.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
 def _share(count: str, total: str) -> str:
@@ -51,6 +73,7 @@ def _with_language(rows: DataFrame, langs: DataFrame, sources: int, spread: Colu
 def divergence(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP) -> DataFrame:
     """lang, source, part, item, value, rank from docs (lang, source, text).
 
+    Terms are runs of ASCII letters, lowered, and of characters beyond ASCII.
     A lang keeps the V terms that at least `least` of its rows have. A group
     (lang, source) and each lang give each kept term the share p of count +
     ADDED in its total, in units of 1 / SCALE, rounded down, plus 1. Part

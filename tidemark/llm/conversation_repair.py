@@ -38,6 +38,7 @@ LEGAL = {"su", "ua", "au"}
 NOT_WHITE, ENDED = r"[^\x20\x09-\x0D]", r"[.!?][\x20\x09-\x0D]*\z"
 #: Rows of a search.
 BLOCK = 512
+TURNS = "conv_id long, place long, role string, text string, edit string"
 OUT = "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
 MOST_LONG = 2**63 - 1
 
@@ -92,7 +93,9 @@ class Conversation:
         self.settled: list[str] = []  # what all carried audits begin with
         self.carried: list[tuple[int, str, int]] = [(0, "", START)]
         self.letters: Iterator[str] | None = None
-        self.sha, self.some, self.state = hashlib.sha256(), False, START
+        self.sha, self.state = hashlib.sha256(), START
+        self.made: list[tuple] | None = None  # the repaired turns, for who asks for them
+        self.place = 0
 
     def code(self, turn: int | None, initial: str, blank: bool, truncated: bool, digest: bytes) -> None:
         if len(self.rows) == self.block:
@@ -131,9 +134,12 @@ class Conversation:
             self.letters = iter(self.audit)
             self.seen.clear()
 
-    def put(self, role: str, text: str) -> None:
-        self.sha.update(f"{chr(10) if self.some else ''}{role}:{text}".encode())
-        self.some = True
+    def put(self, role: str, text: str, edit: str) -> None:
+        if self.made is not None:
+            self.made.append((self.id, self.place, role, text, edit))
+        else:
+            self.sha.update(f"{chr(10) if self.place else ''}{role}:{text}".encode())
+        self.place += 1
 
     def fill(self) -> str:
         self.state = FILL[self.state]
@@ -142,17 +148,17 @@ class Conversation:
     def text(self, role: str, text: str) -> None:
         self.finish()
         while (letter := next(self.letters)) == "I":
-            self.put(self.fill(), "")
+            self.put(self.fill(), "", "I")
         if letter == "K":
             self.state = KEEP[self.state][role[:1]]
-            self.put(role, text)
+            self.put(role, text, letter)
         elif letter == "R":
-            self.put(self.fill(), text)
+            self.put(self.fill(), text, letter)
 
     def result(self) -> tuple:
         self.finish()
         for _ in self.letters:
-            self.put(self.fill(), "")
+            self.put(self.fill(), "", "I")
         gaps = 0 if self.low is None else min(self.high - self.low + 1 - self.turns, MOST_LONG)
         return (self.id, gaps, self.faults["b"], self.faults["d"], self.faults["t"], self.illegal, self.cost, self.audit, self.sha.hexdigest())
 
@@ -160,37 +166,45 @@ class Conversation:
 COLUMNS = ("conv_id", "pass", "turn", "role", "initial", "blank", "truncated", "digest", "text")
 
 
-def _repaired(block: int):
+def _streamed(block: int, turns: bool):
+    """Of rows sorted by conversation, pass and order: one row of OUT a conversation, or its repaired turns."""
+
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        kinds = [pa.int64()] * 7 + [pa.string()] * 2
-        names = [c.split()[0] for c in OUT.split(", ")]
+        kinds = [pa.int64()] * 2 + [pa.string()] * 3 if turns else [pa.int64()] * 7 + [pa.string()] * 2
+        names = [c.split()[0] for c in (TURNS if turns else OUT).split(", ")]
         done: list[tuple] = []
         now: Conversation | None = None
+        size = 0
 
         def batch_of():
             out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], names=names)
             done.clear()
             return out
 
-        size = 0
+        def ended():
+            if now is not None:
+                row = now.result()
+                if not turns:
+                    done.append(row)
+
         for batch in batches:
             for conv_id, step, turn, role, initial, blank, truncated, digest, text in zip(*(batch.column(c).to_pylist() for c in COLUMNS), strict=True):
                 if step == 0:
-                    if now is not None:
-                        done.append(now.result())
-                        size += len(now.audit)
+                    ended()
+                    size += len(now.audit) if now is not None else 0
                     now = Conversation(conv_id, block)
-                    if len(done) >= 2000 or size > 4 << 20:
-                        yield batch_of()
-                        size = 0
+                    now.made = done if turns else None
                 elif step == 1:
                     now.code(turn, initial, blank, truncated, digest)
                 else:
                     now.text(role, text)
-        if now is not None:
-            done.append(now.result())
+                    size += len(text) if turns else 0
+                if done and (len(done) >= 2000 or size > 4 << 20):
+                    yield batch_of()
+                    size = 0
+        ended()
         if done:
             yield batch_of()
 
@@ -211,6 +225,11 @@ def damage(rows: DataFrame) -> DataFrame:
     return plain.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.array_repeat(F.lit(0), copies))).drop("col")
 
 
+def repaired_turns(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The repaired conversations, a row of TURNS each: place counts from 0, edit is K, R or I; see repair()."""
+    return _sorted(rows, rows).mapInArrow(_streamed(block, True), TURNS)
+
+
 def repair(rows: DataFrame, ids: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """One row of OUT for each conv_id of rows (conv_id, turn, role, text) and of ids (conv_id).
 
@@ -230,8 +249,13 @@ def repair(rows: DataFrame, ids: DataFrame | None = None, block: int = BLOCK) ->
     an empty result; other columns aren't read. A conversation is one task's
     work, as its digest is one sequence of bytes; its texts stream through.
     """
-    spark = rows.sparkSession
-    ship(spark)
+    heads = rows.select("conv_id") if ids is None else rows.select("conv_id").union(ids.select("conv_id"))
+    return _sorted(rows, heads).mapInArrow(_streamed(block, False), OUT)
+
+
+def _sorted(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """For each conversation of ids a row of pass 0, then a code for each of its rows in pass 1, then their texts in pass 2; each conversation in one partition."""
+    ship(rows.sparkSession)
     space = F.lit(" ")
     plain = rows.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"))
     digest = F.unhex(F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text")), 256))
@@ -243,7 +267,7 @@ def repair(rows: DataFrame, ids: DataFrame | None = None, block: int = BLOCK) ->
         F.struct(F.lit(2).alias("pass"), none.cast("string").alias("initial"), none.cast("boolean").alias("blank"), none.cast("boolean").alias("truncated"), none.cast("binary").alias("digest"), "text"),
     )
     twice = filled.select("conv_id", "turn", "role", "by", F.inline(steps))
-    heads = (rows if ids is None else rows.select("conv_id").union(ids.select("conv_id"))).select("conv_id").distinct()
+    heads = ids.select("conv_id").distinct()
     all_ = twice.unionByName(heads.withColumn("pass", F.lit(0)), allowMissingColumns=True)
     order = ["conv_id", "pass", F.asc_nulls_first("turn"), "role", "by"]
-    return all_.repartition("conv_id").sortWithinPartitions(*order).select(*COLUMNS).mapInArrow(_repaired(block), OUT)
+    return all_.repartition("conv_id").sortWithinPartitions(*order).select(*COLUMNS)

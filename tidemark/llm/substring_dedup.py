@@ -7,9 +7,10 @@
    back the merged count of each of its buckets. That is never less than the
    number of times that the window stands in the corpus, so a window counted
    once is nobody's copy, and none that repeats is lost.
-3. Neighbouring windows with one count of two or more form a segment. Segments
-   are grouped by their words' SHA-256. If a segment occurs as often as the
-   sketch counts its windows, these occur nowhere else, and its first document
+3. Neighbouring windows counted twice or more form segments, which end where the
+   counts change much, and at windows that their own hash picks. Segments are
+   grouped by their words' SHA-256. If a segment occurs as often as the sketch
+   counts its windows at most, these occur nowhere else, and its first document
    settles them all.
 4. The windows of each other segment, once for each distinct segment, are
    grouped by their words.
@@ -38,6 +39,8 @@ WIDTH = 13
 CHUNK_WINDOWS, CHUNK_BYTES, CHUNK_ROWS = 1 << 18, 4 << 20, 1 << 18
 #: Buckets of the sketch for each window of the corpus, and windows of a range of buckets.
 BUCKETS_A_WINDOW, RANGE_WINDOWS = 1024, 2 << 20
+#: One window in CUT begins a new segment, by its hash: so an edit in one copy of a passage changes few of its segments.
+CUT = 32
 PIECE = 1 << 20
 PACKED = "chunk long, windows long, doc_ids array<long>, body binary"
 SKETCH = "range int, chunk long, counts binary"
@@ -212,11 +215,14 @@ def _mark(bits: int):
             count = sums[np.unique(hashes >> np.uint64(64 - bits), return_inverse=True)[1]] if len(hashes) else sums
             again = np.flatnonzero(count > 1)
             at, count = first[again], count[again]
-            head = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(count) != 0)])) if len(at) else at
+            size = np.frexp(count.astype(np.float64))[1]  # counts up to the next power of two go together
+            cut = (hashes[again][1:] >> np.uint64(20)) % np.uint64(CUT) == 0
+            head = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(size) != 0) | cut])) if len(at) else at
             lengths = np.diff(np.concatenate([head, [len(at)]]))
+            most = np.maximum.reduceat(count, head) if len(at) else count
             base = np.searchsorted(doc, np.arange(len(ids) + 1))  # first word of each document
             segments: list[list] = [[] for _ in ids]
-            for a, n, c in zip(at[head].tolist(), lengths.tolist(), count[head].tolist(), strict=True):
+            for a, n, c in zip(at[head].tolist(), lengths.tolist(), most.tolist(), strict=True):
                 key = hashlib.sha256(body[starts[a] : ends[a + n + WIDTH - 2]]).digest()
                 segments[doc[a]].append({"start": int(a - base[doc[a]]), "n": n, "count": c, "key": key})
             rows = {"uid": [chunk << 19 | k for k in range(len(ids))], "doc_id": ids, "n_words": np.diff(base).tolist(), "words": body.split(b"\n"), "segments": segments}

@@ -60,6 +60,6 @@ def test_registry_by_name():
     assert plugin.lookup(sources, "somesite") is sources[0] and plugin.lookup(sources, "SOME  SITE") is sources[0] and plugin.lookup(sources, "c") is None
     assert [s.enabled for s in plugin.switched(sources, "b", False)] == [True, False]
     assert plugin.switched(sources, "c", False) == sources
-    bare = plugin.boxed_site("C", "https://c", "katana", lambda: None)
+    bare = plugin.boxed_site("C", "https://c", "katana", ".x")
     with pytest.raises(ValueError, match="no search"):
         plugin.find(bare, None)

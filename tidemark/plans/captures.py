@@ -41,8 +41,13 @@ def _write(*parts: str | Column) -> Column:
     return out
 
 
+#: What stands around the payload of each page: a comment with a link, tags in capitals, elements that nothing closes.
+BEFORE = '<!-- <a href="/chapter/9">9</a> --><DIV CLASS=top><P>one<p>two<UL><LI>x<li>y</UL>'
+AFTER = "<p>end<b><i>of<P>page"
+
+
 def _pages(spark: SparkSession, sf_dir: str, *parts: str | Column) -> DataFrame:
-    return _keys(spark, sf_dir).select("page_id", "n", F.lit(f"{BASE}/page").alias("url"), _write(*parts).alias("html"))
+    return _keys(spark, sf_dir).select("page_id", "n", F.lit(f"{BASE}/page").alias("url"), _write(BEFORE, *parts, AFTER).alias("html"))
 
 
 def _now() -> Column:
@@ -73,7 +78,7 @@ def boxed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     link = '<a href="/title/1/chapter/{n}">Chapter {n}</a>'
     boxes = F.concat(F.lit(f'<div class="row x">{link}'), when, F.lit(f'</div><div class="row">{link}</div><div class="row"><a href="/title/2/chapter/{{n}}">Chapter {{n}}</a></div><p><a href="/title/3/chapter/77">Chapter 77</a></p>'))
     pages = _pages(spark, sf_dir, F.when(F.col("page_id") % 4 == 0, F.lit(f"<p>{link}</p>")).otherwise(boxes))
-    return extract.boxed_list(pages, BASE, "park", h.has_class(F.col("class"), "row"), "/chapter/", _now(), fallback=True)
+    return extract.boxed_list(pages, BASE, "park", ".row", "/chapter/", _now(), fallback=True)
 
 
 @query(f"""WITH {KEYS} SELECT page_id, CAST(n AS DOUBLE) AS chapter_number, '{BASE}/chapters/ID' || page_id AS link, TIMESTAMP '2024-01-02 03:04:05' AS release_date FROM k
@@ -92,7 +97,7 @@ def theme_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def item(n: str, price: str | Column):
         start = f'<li data-num="{n}"><div class="chbox"><div class="eph-num"><a href="{BASE}/s-chapter-{n}/"><span class="chapternum">Chapter {n}</span><span class="chapterdate">August 24, 2026</span></a></div>'
-        return start, price, "</div></li>"
+        return start, price, "</div>"  # the next item ends this one
 
     price = _of(0, 3, '<span class="text-gold">10</span>')
     parts = (script, _of(0, 5, "", "}"), '</script><div id="chapterlist"><ul>', *item("{n+1}", price), *item("{n}", ""), '</ul></div><a href="/s-chapter-{n+2}/">x</a><a href="/s-chapter-{n+1}/">y</a>')

@@ -45,8 +45,7 @@ def islands(pages: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
 
 def divided_list(pages: DataFrame, base: str, now: Column) -> DataFrame:
     """Links to /chapter/N inside a divided list, without locked chapters; locks_known is false where the lock list can't be read, and then nothing is held back."""
-    e = h.elements(pages, ("a", "div"))
-    listed = e.filter(F.col("path").rlike(r"\.divide-y\b") & (F.col("tag") == "a") & F.contains(F.coalesce(F.col("attrs")["href"], F.lit("")), F.lit("/chapter/")))
+    listed = h.elements(pages, marks={"link": ".divide-y a[href*='/chapter/']"})
     href = F.col("attrs")["href"]
     link = F.when(F.startswith(href, F.lit("http")), href).when(F.startswith(href, F.lit("/")), F.concat(F.lit(base), href)).otherwise(F.concat("url", F.lit("/"), href))
     rows = listed.join(pages.select("page_id", "url"), "page_id").select("page_id", "pos", numbers.from_path(href).alias("chapter_number"), link.alias("link"), dates.absolute(F.regexp_extract("text", r"([A-Z][a-z]+ \d+(?:st|nd|rd|th)?,? \d{4})", 1)).alias("release_date"))
@@ -56,21 +55,10 @@ def divided_list(pages: DataFrame, base: str, now: Column) -> DataFrame:
 
 
 def boxed(e: DataFrame, opens: Column) -> DataFrame:
-    """Elements that meet a condition (pos = box) and their descendants, up to the next such element: a box ends at the first element after it that lies no deeper.
-
-    e must hold all elements of its pages, or the end of a box isn't seen. All
-    windows are by page: one exchange.
-    """
+    """Elements that meet a condition (pos = box) and those inside them, up to the next such element. All windows are by page: one exchange."""
     before = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    marked = e.withColumns({"box": F.last(F.when(opens, F.col("pos")), True).over(before), "_level": F.last(F.when(opens, F.col("depth")), True).over(before)})
-    after = F.when((F.col("pos") > F.col("box")) & (F.col("depth") <= F.col("_level")), F.col("pos"))
-    marked = marked.withColumn("_end", F.min(after).over(Window.partitionBy("page_id", "box")))
-    return marked.filter("box IS NOT NULL AND (_end IS NULL OR pos < _end)").drop("_level", "_end")
-
-
-def inside(e: DataFrame, boxes: DataFrame) -> DataFrame:
-    """boxed() for elements named by a table (page_id, box, box_path)."""
-    return boxed(e.join(boxes.select("page_id", F.col("box").alias("pos"), "box_path"), ["page_id", "pos"], "left"), F.col("box_path").isNotNull())
+    marked = e.withColumn("_box", F.last(F.when(opens, F.struct("pos", "end")), True).over(before))
+    return marked.filter(F.col("pos") < F.col("_box.end")).withColumn("box", F.col("_box.pos")).drop("_box")
 
 
 def first_in(where: Column, *values: Column | str) -> Column:
@@ -88,16 +76,19 @@ def by_box(e: DataFrame, opens: Column, **values: Column) -> DataFrame:
     return boxed(e, opens).groupBy("page_id", F.col("box").alias("pos")).agg(*[v.alias(k) for k, v in values.items()])
 
 
-def boxed_list(pages: DataFrame, base: str, source: str, box: Column, link_part: str, now: Column, fallback: bool = False) -> DataFrame:
-    """Boxes with a first link each: number by the source's patterns, date from the box. Without any box on a page, with fallback, every link to a chapter is a box."""
-    e, href = h.elements(pages), F.coalesce(F.col("attrs")["href"], F.lit(""))
-    opens = box
+#: Where a chapter's date stands in its box.
+DATED = "time, [datetime], .date, .time, .release-date, .update_time"
+
+
+def boxed_list(pages: DataFrame, base: str, source: str, box: str, link_part: str, now: Column, fallback: bool = False) -> DataFrame:
+    """Boxes (a selector) with a first link each: number by the source's patterns, date from the box. Without any box on a page, with fallback, every link to a chapter is a box."""
+    marks = {"box": box, "link": f"a[href*='{link_part}']" if link_part else "a", "date": DATED} | ({"alone": "a[href*='/chapter/']"} if fallback else {})
+    e, opens = h.elements(pages, marks=marks), h.marked("box")
     if fallback:
-        e = e.withColumn("_listed", F.max(box).over(Window.partitionBy("page_id")))
-        opens = F.when(F.col("_listed"), box).otherwise((F.col("tag") == "a") & F.contains(href, F.lit("/chapter/")))
-    a = first_in((F.col("tag") == "a") & F.contains(href, F.lit(link_part)), F.col("attrs")["href"].alias("href"), "text")
-    dated = (F.col("tag") == "time") | F.col("attrs")["datetime"].isNotNull() | F.coalesce("class", F.lit("")).rlike(r"(?:^|\s)(?:date|time|release-date|update_time)(?:\s|$)")
-    d = first_in(dated, F.col("attrs")["datetime"].alias("at"), F.trim("text").alias("text"))
+        e = e.withColumn("_listed", F.max(h.marked("box")).over(Window.partitionBy("page_id")))
+        opens = F.when(F.col("_listed"), opens).otherwise(h.marked("alone"))
+    a = first_in(h.marked("link"), F.col("attrs")["href"].alias("href"), "text")
+    d = first_in(h.marked("date"), F.col("attrs")["datetime"].alias("at"), F.trim("text").alias("text"))
     rows = by_box(e, opens, a=a, d=d, box=own("text")).filter("a IS NOT NULL")
     title = F.when(F.trim("a.text") != "", F.col("a.text")).otherwise(F.col("box.text"))
     n = numbers.by_patterns(source, title, F.col("a.href"))
@@ -107,49 +98,54 @@ def boxed_list(pages: DataFrame, base: str, source: str, box: Column, link_part:
 
 def fragment_list(pages: DataFrame, base: str) -> DataFrame:
     """Links to /chapters/ID; number from the first inner span's text, else from the id. Repeats stay: see the upsert's first_by_key()."""
-    href = F.coalesce(F.col("attrs")["href"], F.lit(""))
-    link = (F.col("tag") == "a") & F.contains(href, F.lit("/chapters/"))
-    title = first_in((F.col("tag") == "span") & F.col("path").rlike(r"span#[^>]*\.grow\b.* > span#"), F.trim("text").alias("t"))
-    time = first_in(F.col("tag") == "time", F.col("attrs")["datetime"].alias("t"))
-    rows = by_box(h.elements(pages), link, a=own(F.split(href, "/chapters/")[1].alias("id")), s=title, d=time).select("page_id", "a.id", "s", "d").filter("id <> ''")
+    e = h.elements(pages, marks={"link": "a[href*='/chapters/']", "title": "span.grow span", "time": "time"}, texts=("title",))
+    title = first_in(h.marked("title"), F.trim("text").alias("t"))
+    time = first_in(h.marked("time"), F.col("attrs")["datetime"].alias("t"))
+    rows = by_box(e, h.marked("link"), a=own(F.split(F.col("attrs")["href"], "/chapters/")[1].alias("id")), s=title, d=time).select("page_id", "a.id", "s", "d").filter("id <> ''")
     n = numbers.by_patterns("weeb", F.coalesce("s.t", F.lit("")), F.col("id"))
     return rows.select("page_id", n.alias("chapter_number"), F.concat(F.lit(f"{base}/chapters/"), "id").alias("link"), F.col("d.t").try_cast("timestamp").cast("timestamp_ntz").alias("release_date")).filter("chapter_number IS NOT NULL")
 
 
-#: Classes that mark a paid chapter.
-LOCKED = r"(?:^|\s)(?:text-gold|fa-coins|fa-coin|fa-lock)(?:\s|$)|coin|locked|premium"
+#: What marks a paid chapter, and the parts of the theme.
+THEME = {
+    "item": "#chapterlist li",
+    "number": ".eph-num",
+    "listed": "#chapterlist li .eph-num",
+    "around": "li, .chbox",
+    "link": "a[href]",
+    "paid": ".text-gold, .fa-coins, .fa-coin, .fa-lock, [class*='coin'], [class*='locked'], [class*='premium']",
+    "name": ".chapternum",
+    "date": ".chapterdate",
+    "data": "script[type='application/ld+json']",
+}
 
 
-def _price_scopes(e: DataFrame) -> DataFrame:
-    """Where a chapter's price may stand: an item of the chapter list, or around another .eph-num its nearest item or .chbox (itself without one)."""
-    item = (F.col("tag") == "li") & F.col("path").rlike(r"#chapterlist\.")
-    number = e.filter(h.has_class(F.col("class"), "eph-num") & ~F.col("path").rlike(r"#chapterlist\.[^>]*(?: > [^>]*)* > li#")).select("page_id", "pos", "path")
-    around = e.filter((F.col("tag") == "li") | h.has_class(F.col("class"), "chbox")).select("page_id", F.col("pos").alias("o_pos"), F.col("path").alias("o_path"))
-    # paths of siblings can be equal; of those before, the last whose path leads here is the nearest ancestor
-    near = number.join(around, "page_id").filter((F.col("o_pos") < F.col("pos")) & F.startswith(F.col("path"), F.concat("o_path", F.lit(" > ")))).groupBy("page_id", "pos").agg(F.max("o_pos").alias("scope"))
-    wide = number.join(near, ["page_id", "pos"], "left").select("page_id", F.coalesce("scope", "pos").alias("pos"))
-    return e.filter(item).select("page_id", "pos").unionByName(wide).distinct().join(e.select("page_id", "pos", "path"), ["page_id", "pos"]).select("page_id", F.col("pos").alias("box"), F.col("path").alias("box_path"))
+def _paid(e: DataFrame, full) -> DataFrame:
+    """(page_id, link) of paid chapters: a price stands in an item of the chapter list, or around another .eph-num in its nearest item or .chbox (in itself without one)."""
+    alone = h.marked("number") & ~h.marked("listed")
+    scopes = e.filter(h.marked("item")).select("page_id", "pos").unionByName(e.filter(alone).select("page_id", F.when(F.col("up") >= 0, F.col("up")).otherwise(F.col("pos")).alias("pos"))).distinct()
+    opened = e.join(scopes.withColumn("_scope", F.lit(True)), ["page_id", "pos"], "left")
+    inner = F.col("pos") != F.col("box")
+    first = first_in(inner & h.marked("link") & (F.col("attrs")["href"] != ""), F.col("attrs")["href"].alias("href"))
+    priced = by_box(opened, F.col("_scope").isNotNull(), a=first, paid=F.max(inner & h.marked("paid"))).filter("paid AND a IS NOT NULL")
+    return priced.select("page_id", full(F.col("a.href")).alias("link")).distinct()
 
 
 def theme_pages(pages: DataFrame, base: str, now: Column) -> DataFrame:
     """Three ways at once: JSON-LD, the theme's list, any link to a chapter. Paid links go before all; a number is filled by the first way, then by document order."""
-    e = materialize(h.elements(pages), "elements")  # each page is parsed once
+    e = materialize(h.elements(pages, marks=THEME, texts=("name", "date", "data"), up="around"), "elements")  # each page is parsed once
     key = lambda c: F.lower(F.regexp_replace(c, "/+$", ""))
     full = lambda c: text.absolute(c, F.lit(base), False)
-    boxes = e.filter(((F.col("tag") == "li") & F.col("path").rlike(r"#chapterlist\.")) | h.has_class(F.col("class"), "eph-num"))
-    boxes = boxes.filter(~((F.col("tag") != "li") & F.col("path").rlike(r"#chapterlist\.[^>]*(?: > [^>]*)* > li#"))).select("page_id", F.col("pos").alias("box"), F.col("path").alias("box_path"), F.col("attrs")["data-num"].alias("num"))
-    parts = inside(e, boxes)
-    links = parts.filter((F.col("tag") == "a") & F.col("attrs")["href"].isNotNull()).groupBy("page_id", "box").agg(F.min(F.struct("pos", F.col("attrs")["href"].alias("href"))).alias("a"))
-    priced = inside(e, _price_scopes(e))
-    first = priced.filter((F.col("tag") == "a") & (F.col("pos") != F.col("box")) & (F.coalesce(F.col("attrs")["href"], F.lit("")) != "")).groupBy("page_id", "box").agg(F.min(F.struct("pos", F.col("attrs")["href"].alias("href"))).alias("a"))
-    paid = priced.filter((F.col("pos") != F.col("box")) & F.coalesce("class", F.lit("")).rlike(LOCKED)).select("page_id", "box").distinct().join(first, ["page_id", "box"]).select("page_id", key(full(F.col("a.href"))).alias("key")).distinct()
-    one = lambda c, a: parts.filter(h.has_class(F.col("class"), c)).groupBy("page_id", "box").agg(F.min(F.struct("pos", F.trim("text").alias("t"))).alias(a))
-    theme = boxes.join(links, ["page_id", "box"]).join(one("chapternum", "n"), ["page_id", "box"], "left").join(one("chapterdate", "d"), ["page_id", "box"], "left")
-    theme = theme.select("page_id", F.lit(2).alias("way"), F.col("box").alias("pos"), F.lit(0).alias("at"), F.col("a.href").alias("href"), F.coalesce(F.nullif("num", F.lit("")), "n.t").alias("raw"), F.col("d.t").alias("date"))
-    scripts = e.filter((F.col("tag") == "script") & (F.col("attrs")["type"] == "application/ld+json")).select("page_id", "pos", "text")
+    href = F.col("attrs")["href"]
+    paid = _paid(e, full).select("page_id", key(F.col("link")).alias("key")).distinct()
+    one = lambda c: first_in(h.marked(c), F.trim("text").alias("t"))
+    opens = h.marked("item") | (h.marked("number") & ~h.marked("listed"))
+    theme = by_box(e, opens, a=first_in(h.marked("link"), href.alias("href")), n=one("name"), d=one("date"), own=own(F.col("attrs")["data-num"].alias("num"))).filter("a IS NOT NULL")
+    theme = theme.select("page_id", F.lit(2).alias("way"), "pos", F.lit(0).alias("at"), F.col("a.href").alias("href"), F.coalesce(F.nullif("own.num", F.lit("")), "n.t").alias("raw"), F.col("d.t").alias("date"))
+    scripts = e.filter(h.marked("data")).select("page_id", "pos", "text")
     ld = h.json_ld(scripts).filter("type = 'Chapter' AND url IS NOT NULL").select("page_id", F.lit(1).alias("way"), "pos", "at", F.col("url").alias("href"), F.coalesce("position", "name").alias("raw"), F.col("date_published").alias("date"))
-    any_ = e.filter((F.col("tag") == "a") & F.coalesce(F.col("attrs")["href"], F.lit("")).rlike(r"(?i)chapter[-_/]?\d") & (F.startswith(F.col("attrs")["href"], F.lit("/")) | F.startswith(F.col("attrs")["href"], F.lit(base))))
-    any_ = any_.select("page_id", F.lit(3).alias("way"), "pos", F.lit(0).alias("at"), F.col("attrs")["href"].alias("href"), F.lit(None).cast("string").alias("raw"), F.lit(None).cast("string").alias("date"))
+    any_ = e.filter(h.marked("link") & href.rlike(r"(?i)chapter[-_/]?\d") & (F.startswith(href, F.lit("/")) | F.startswith(href, F.lit(base))))
+    any_ = any_.select("page_id", F.lit(3).alias("way"), "pos", F.lit(0).alias("at"), href.alias("href"), F.lit(None).cast("string").alias("raw"), F.lit(None).cast("string").alias("date"))
     rows = ld.unionByName(theme).unionByName(any_).withColumn("link", full(F.col("href"))).withColumn("key", key(F.col("link"))).join(paid, ["page_id", "key"], "left_anti")
     rows = rows.withColumn("chapter_number", numbers.from_markup(F.col("raw"), F.col("href"))).filter("chapter_number IS NOT NULL").withColumn("release_date", dates.fixed_units(F.col("date"), now))
     return first_by(rows, "chapter_number", order=("way", "pos", "at")).select(*ROW)

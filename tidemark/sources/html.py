@@ -1,98 +1,356 @@
-"""HTML payloads as rows of elements: one pass of the standard library's parser over a page.
+"""HTML payloads as rows of elements: one pass over a page builds its tree and finds the elements that named selectors want.
 
 The parser runs in mapInArrow, a batch of pages at a time; everything after it
-(which links, numbers, dates, locks, duplicates) is column expressions. A page
-that can't be read has no rows; see outcomes() for what that means.
+(which links, numbers, dates, locks, duplicates) is column expressions. An
+element is an interval: its descendants are the elements with pos < x < end, and
+its text is a slice of the page's text. Pages are read as browsers read them:
+tags that may be left out are implied, and nothing makes the parser fail. Its
+work grows with the length of a page, however its elements nest; only texts of
+wanted elements are copied.
 """
 
 from __future__ import annotations
 
 import json
+import re
+from collections import defaultdict
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from functools import lru_cache
+from html import unescape
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import ship
 
-VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
-ELEMENTS = "page_id long, pos int, parent int, depth int, tag string, id string, class string, attrs map<string,string>, text string, path string"
-
-
-class Tree(HTMLParser):
-    """Elements in document order, each with its own and its descendants' text."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.elements: list[dict] = []
-        self.open: list[int] = []
-
-    def handle_starttag(self, tag, attrs):
-        a = {k: v or "" for k, v in reversed(attrs)}
-        parent = self.open[-1] if self.open else -1
-        step = f"{tag}#{a.get('id', '')}." + ".".join(a.get("class", "").split())
-        path = (self.elements[parent]["path"] + " > " if parent >= 0 else "") + step
-        self.elements.append({"parent": parent, "depth": len(self.open), "tag": tag, "attrs": a, "text": [], "path": path})
-        if tag not in VOID:
-            self.open.append(len(self.elements) - 1)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.open.pop()
-
-    def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.elements[self.open[i]]["tag"] == tag:
-                del self.open[i:]
-                return
-
-    def handle_data(self, data):
-        if self.open:
-            self.elements[self.open[-1]]["text"].append((len(self.elements), data))
-
-
-def parse(html: str | None) -> list[tuple]:
-    """(pos, parent, depth, tag, id, class, attrs, text, path) of each element."""
-    tree = Tree()
-    tree.feed(html or "")
-    tree.close()
-    full: list[list] = [[(at, t) for at, t in e["text"]] for e in tree.elements]
-    for i in range(len(tree.elements) - 1, -1, -1):
-        p = tree.elements[i]["parent"]
-        if p >= 0 and tree.elements[p]["tag"] not in ("html", "body", "head"):
-            full[p] += [(max(i + 1, at), t) for at, t in full[i]]
+#: Fixed values, from the HTML standard: which elements have no end tag, close an open paragraph, and bound the search for an open element.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+CLOSES_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li dd dt listing main menu nav ol p plaintext pre search section summary table ul xmp".split()
+)
+SCOPE = frozenset("applet caption html table td th marquee object template".split())
+P_SCOPE = SCOPE | {"button"}
+SPECIAL = frozenset(
+    "applet area article aside base basefont bgsound blockquote body br button caption center col colgroup dd details dir dl dt embed fieldset figcaption figure footer form frame frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html "
+    "iframe img input keygen li link listing main marquee menu meta nav noembed noframes noscript object ol param plaintext pre script search section select source style summary table tbody td template textarea tfoot th thead title tr track ul wbr xmp".split()
+)
+TABLE_PARTS = {"tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")} | {t: ("tbody", "thead", "tfoot", "tr", "td", "th", "caption", "colgroup") for t in ("tbody", "thead", "tfoot")}
+IN_TABLE = frozenset("table tbody thead tfoot tr td th caption colgroup".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+FOREIGN = ("svg", "math")
+ELEMENTS = "page_id long, pos int, end int, parent int, depth int, tag string, id string, class string, attrs map<string,string>, marks array<string>, text string, up int"
+
+_SIMPLE = re.compile(r"(?P<tag>\*|[A-Za-z][\w-]*)|#(?P<id>[\w-]+)|\.(?P<cls>(?:[\w-]|\\.)+)|\[(?P<attr>[\w-]+)(?:(?P<op>[*^$~]?=)(?P<q>['\"])(?P<value>.*?)(?P=q))?\]")
+
+_WHITE = " \t\n\r\f"
+_NAME = re.compile(r"[^\s/>]+")
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/>][^\s/>=]*)(?:\s*=\s*(?:(?P<q>['\"])|([^\s>]*)))?")
+_TAG_END = re.compile(r"[\s/]*>")
+_COMMENT_END = re.compile("--!?>")
+_REFERENCE = re.compile(r"&(?:#\w+|[A-Za-z][A-Za-z0-9]*);?")
+#: Fixed values, from the HTML standard: elements whose content is text up to their end tag, and those of them in which references count.
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.IGNORECASE) for t in ("script", "style", "xmp", "iframe", "noembed", "noframes", "textarea", "title")}
+DECODED = frozenset(("textarea", "title"))
+
+
+def _value(raw: str) -> str:
+    """An attribute's value: a name without its semicolon isn't a reference where it goes on, as in ?a=1&copy=2."""
+
+    def one(m):
+        name = m[0]
+        if not name.endswith(";") and name[1] != "#" and (name[1:] not in html5 or raw[m.end() : m.end() + 1] == "="):
+            return name
+        return unescape(name)
+
+    return _REFERENCE.sub(one, raw) if "&" in raw else raw
+
+
+@lru_cache(maxsize=256)
+def _compiled(selector: str) -> list[list[tuple[str, str | None, str | None, tuple, tuple]]]:
+    """Alternatives of steps (combinator, tag, id, classes, attributes) of `a.b #c > d[e*='f'], g`."""
     out = []
-    for i, e in enumerate(tree.elements):
-        text = "".join(t for _, t in sorted(full[i], key=lambda x: x[0]))
-        out.append((i, e["parent"], e["depth"], e["tag"], e["attrs"].get("id"), e["attrs"].get("class"), e["attrs"], text, e["path"]))
+    for group in re.split(r",(?![^\[]*\])", selector):
+        steps, combinator = [], " "
+        for part in re.findall(r"(?:\[[^\]]*\]|[^\s>\[])+|>|\[", group):
+            if part == ">":
+                combinator = ">"
+                continue
+            tag = ident = None
+            classes, attrs, at = [], [], 0
+            while at < len(part):
+                m = _SIMPLE.match(part, at)
+                if m is None:
+                    raise ValueError(f"not a selector: {selector}")
+                at = m.end()
+                if m["tag"]:
+                    tag = None if m["tag"] == "*" else m["tag"].lower()
+                elif m["id"]:
+                    ident = m["id"]
+                elif m["cls"]:
+                    classes.append(m["cls"].replace("\\", ""))
+                else:
+                    attrs.append((m["attr"].lower(), m["op"], m["value"]))
+            steps.append((combinator, tag, ident, tuple(classes), tuple(attrs)))
+            combinator = " "
+        if not steps or combinator == ">":
+            raise ValueError(f"not a selector: {selector}")
+        out.append(steps)
     return out
 
 
-def elements(pages: DataFrame, tags: tuple[str, ...] | None = None) -> DataFrame:
-    """Elements of pages (page_id, html), only of the given tags if named; a null html has none."""
+def _holds(value: str | None, op: str | None, wanted: str | None) -> bool:
+    if value is None:
+        return False
+    if op is None:
+        return True
+    return {"=": value == wanted, "*=": wanted in value, "^=": value.startswith(wanted), "$=": value.endswith(wanted), "~=": wanted in value.split()}[op]
+
+
+class Tree:
+    """Wanted elements in document order, from one walk over the page that never goes back.
+
+    marks: name -> selector; an element that meets one is wanted. Without
+    marks, all are, or those of the tags. texts: the marks whose elements' texts
+    are wanted, if not all. up: a mark; each element gets the place of its
+    nearest ancestor with it. What is known of the open elements (nearest list
+    item, paragraph, scope, matched steps) is carried down from parent to child,
+    so no tag looks through the stack.
+    """
+
+    def __init__(self, marks: dict[str, str] | None = None, tags: frozenset[str] | None = None, texts: tuple[str, ...] | None = None, up: str | None = None):
+        self.tags, self.all, self.texts, self.up = tags, marks is None and tags is None, None if texts is None else frozenset(texts), up
+        self.steps: list[tuple] = []  # (bit, bit of the step before or 0, combinator, tag, id, classes, attrs, name if it is the last)
+        for name, selector in (marks or {}).items():
+            for group in _compiled(selector):
+                for k, step in enumerate(group):
+                    bit = 1 << len(self.steps)
+                    self.steps.append((bit, bit >> 1 if k else 0, *step, name if k == len(group) - 1 else None))
+        self.nodes: list[list] = []
+        self.parts: list[str] = []
+        self.length = self.count = self.foreign = 0
+        self.stack: list[tuple] = []
+        self.places: dict[str, list[int]] = defaultdict(list)  # of each tag, where it stands in the stack
+        self.met: set[str] = set()
+
+    # (tag, node, pos, li, dd, p, scope, table, matched here, matched here or above, nearest for what is inside)
+    TOP = ("", None, -1, -1, -1, -1, -1, -1, 0, 0, -1)
+
+    def _close(self, at: int) -> None:
+        while len(self.stack) > at:
+            tag, node, *_ = self.stack.pop()
+            self.places[tag].pop()
+            if tag in FOREIGN:
+                self.foreign -= 1
+            if node is not None:
+                node[1], node[10] = self.count, self.length
+
+    def _nearest(self, tags: tuple[str, ...], limit: int) -> int:
+        """The outermost of the innermost open elements of the tags, not outside the limit; -1 without any."""
+        found = [self.places[t][-1] for t in tags if self.places[t] and self.places[t][-1] >= limit]
+        return min(found, default=-1)
+
+    def _imply(self, tag: str) -> None:
+        """Ends what this start tag ends."""
+        top = self.stack[-1] if self.stack else self.TOP
+        if self.places["head"] and (tag == "body" or (top[0] == "head" and tag not in HEAD)):
+            self._close(self.places["head"][-1])
+            top = self.stack[-1] if self.stack else self.TOP
+        if tag in CLOSES_P and top[5] >= 0:
+            self._close(top[5])
+            top = self.stack[-1] if self.stack else self.TOP
+        at = -1
+        if tag == "li":
+            at = top[3]
+        elif tag in ("dt", "dd"):
+            at = top[4]
+        elif tag in ("option", "optgroup"):
+            if top[0] == "option":
+                at = len(self.stack) - 1
+                if tag == "optgroup" and at and self.stack[at - 1][0] == "optgroup":
+                    at -= 1
+            elif tag == top[0] == "optgroup":
+                at = len(self.stack) - 1
+        elif tag in TABLE_PARTS:
+            at = self._nearest(TABLE_PARTS[tag], top[7] + 1)
+        elif tag in ("a", "button"):
+            at = self._nearest((tag,), top[6] + 1)
+        elif tag in HEADINGS and top[0] in HEADINGS:
+            at = len(self.stack) - 1
+        if at >= 0:
+            self._close(at)
+
+    def _matched(self, tag: str, attrs: dict[str, str], here: int, above: int) -> tuple[int, list[str]]:
+        bits, names = 0, []
+        classes = None
+        for bit, before, combinator, want, ident, cls, conditions, name in self.steps:
+            if (want is not None and want != tag) or (before and not before & (here if combinator == ">" else above)) or (ident is not None and attrs.get("id") != ident):
+                continue
+            if cls:
+                classes = attrs.get("class", "").split() if classes is None else classes
+                if not all(c in classes for c in cls):
+                    continue
+            if all(_holds(attrs.get(a), op, value) for a, op, value in conditions):
+                bits |= bit
+                if name is not None and name not in names:
+                    names.append(name)
+        return bits, names
+
+    def start(self, tag: str, attrs: dict[str, str], closed: bool) -> None:
+        if tag in ("html", "body") and tag in self.met:
+            return
+        self.met.add(tag)
+        if not self.foreign:
+            self._imply(tag)
+        top = self.stack[-1] if self.stack else self.TOP
+        bits, names = self._matched(tag, attrs, top[8], top[9]) if self.steps else (0, [])
+        node = None
+        if names or self.all or (self.tags is not None and tag in self.tags):
+            node = [self.count, self.count + 1, top[2], len(self.stack), tag, attrs, names, "", top[10], self.length, self.length]
+            self.nodes.append(node)
+        i, special = len(self.stack), tag in SPECIAL and tag not in ("address", "div", "p")  # a list item sees through those
+        self.stack.append((
+            tag, node, self.count,
+            i if tag == "li" else -1 if special else top[3], i if tag in ("dt", "dd") else -1 if special else top[4], i if tag == "p" else -1 if tag in P_SCOPE else top[5],
+            i if tag in SCOPE else top[6], i if tag in ("table", "template") else top[7], bits, bits | top[9], self.count if self.up in names else top[10],
+        ))
+        self.places[tag].append(i)
+        self.count += 1
+        if tag in FOREIGN:
+            self.foreign += 1
+        if tag in VOID or (closed and self.foreign):
+            self._close(i)
+
+    def end(self, tag: str) -> None:
+        if tag in VOID or tag in ("html", "body") or not self.stack:
+            return
+        top = self.stack[-1]
+        limit = top[7] if tag in IN_TABLE else top[6]
+        if tag in HEADINGS:
+            at = max((self.places[t][-1] for t in HEADINGS if self.places[t] and self.places[t][-1] >= limit), default=-1)
+        else:
+            at = self._nearest((tag,), limit)
+        if at >= 0:
+            self._close(at)
+
+    def data(self, text: str) -> None:
+        if text:
+            self.parts.append(text)
+            self.length += len(text)
+
+    def _tag(self, html: str, i: int) -> tuple[dict[str, str], bool, int] | None:
+        """Attributes, whether it closes itself, and the end of a tag whose name ends at i; None if the page ends first."""
+        attrs: dict[str, str] = {}
+        while True:
+            if end := _TAG_END.match(html, i):
+                return attrs, html[end.end() - 2] == "/", end.end()
+            m = _ATTRIBUTE.match(html, i)
+            if m is None:
+                return None
+            i, value = m.end(), m[3]
+            if m["q"]:
+                close = html.find(m["q"], i)
+                if close < 0:
+                    return None
+                value, i = html[i:close], close + 1
+            attrs.setdefault(m[1].lower(), _value(value or ""))
+
+    def read(self, html: str) -> list[list]:
+        """Nodes (pos, end, parent, depth, tag, attrs, marks, text, up, ...)."""
+        i, n = 0, len(html)
+        while i < n:
+            at = html.find("<", i)
+            if at < 0 or at == n - 1:
+                self.data(unescape(html[i:]))
+                break
+            after = html[at + 1]
+            if not (after.isascii() and after.isalpha()) and after not in "/!?":
+                self.data(unescape(html[i : at + 1]))
+                i = at + 1
+                continue
+            self.data(unescape(html[i:at]))
+            closing = after == "/"
+            begin = at + 1 + closing
+            if not (html[begin : begin + 1].isascii() and html[begin : begin + 1].isalpha()):
+                i = self._declared(html, at)
+                continue
+            name = _NAME.match(html, begin)
+            found = self._tag(html, name.end())
+            if found is None:  # the page ends inside the tag
+                break
+            attrs, closed, i = found
+            tag = name[0].lower()
+            if closing:
+                self.end(tag)
+                continue
+            self.start(tag, attrs, closed)
+            if tag in RAW and not self.foreign:
+                stop = RAW[tag].search(html, i)
+                text = html[i : stop.start() if stop else n]
+                self.data(unescape(text) if tag in DECODED else text)
+                i += len(text)
+        self._close(0)
+        text = "".join(self.parts)
+        for node in self.nodes:
+            if self.texts is None or not self.texts.isdisjoint(node[6]):
+                node[7] = text[node[9] : node[10]]
+        return self.nodes
+
+    def _declared(self, html: str, at: int) -> int:
+        """The end of a comment, a declaration or what counts as one; without an end it takes the rest of the page."""
+        if html.startswith("<!--", at):
+            if short := re.match("-?>", html[at + 4 : at + 6]):
+                return at + 4 + short.end()
+            end = _COMMENT_END.search(html, at + 4)
+            return end.end() if end else len(html)
+        if self.foreign and html.startswith("<![CDATA[", at):
+            end = html.find("]]>", at)
+            self.data(html[at + 9 : end if end >= 0 else len(html)])
+            return end + 3 if end >= 0 else len(html)
+        end = html.find(">", at)
+        return end + 1 if end >= 0 else len(html)
+
+
+def parse(html: str | None, marks: dict[str, str] | None = None, tags: frozenset[str] | None = None, texts: tuple[str, ...] | None = None, up: str | None = None) -> list[list]:
+    """(pos, end, parent, depth, tag, attrs, marks, text, up, ...) of each wanted element."""
+    return Tree(marks, tags, texts, up).read(html or "")
+
+
+def elements(pages: DataFrame, tags: tuple[str, ...] | None = None, marks: dict[str, str] | None = None, texts: tuple[str, ...] | None = None, up: str | None = None) -> DataFrame:
+    """Elements of pages (page_id, html): those that a selector in marks wants, with the names of all that do; or those of the tags; or all. A null html has none. texts and up: see Tree."""
     ship(pages.sparkSession)
     wanted = frozenset(tags) if tags else None
 
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.string()]
+        kinds = [pa.int64(), *[pa.int32()] * 4, *[pa.string()] * 3, pa.map_(pa.string(), pa.string()), pa.list_(pa.string()), pa.string(), pa.int32()]
         names = [c.split()[0] for c in ELEMENTS.split(", ")]
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
         for batch in batches:
-            rows = []
+            rows, size = [], 0
             for page, html in zip(batch.column("page_id").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                rows += [(page, *e[:6], list(e[6].items()), *e[7:]) for e in parse(html) if wanted is None or e[3] in wanted]
-                if len(rows) > 5000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-                    rows = []
+                for pos, end, parent, depth, tag, attrs, met, text, above, *_ in parse(html, marks, wanted, texts, up):
+                    rows.append((page, pos, end, parent, depth, tag, attrs.get("id"), attrs.get("class"), list(attrs.items()), met, text, above))
+                    size += len(text) + 100
+                    if size > 4 << 20:
+                        yield batch_of(rows)
+                        rows, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                yield batch_of(rows)
 
     return pages.select("page_id", "html").mapInArrow(run, ELEMENTS)
 
 
+def marked(name: str) -> Column:
+    """Whether the selector of that name wants the element."""
+    return F.array_contains("marks", name)
+
+
 def has_class(column: Column, name: str) -> Column:
     return F.array_contains(F.split(F.coalesce(column, F.lit("")), r"\s+"), name)
 

@@ -43,8 +43,8 @@ def divided_site(name: str, base: str, type: str = "manhwa", enabled: bool = Tru
     return Source(name, type, lambda pages, now: extract.divided_list(pages, base, now).select(*extract.ROW), enabled, lambda pages: searches.grid_search(pages, base))
 
 
-def boxed_site(name: str, base: str, patterns: str, box: Callable[[], Column], fallback: bool = False, type: str = "multiple", enabled: bool = True, search: Search | None = None) -> Source:
-    return Source(name, type, lambda pages, now: extract.boxed_list(pages, base, patterns, box(), "/chapter/", now, fallback), enabled, search)
+def boxed_site(name: str, base: str, patterns: str, box: str, fallback: bool = False, type: str = "multiple", enabled: bool = True, search: Search | None = None) -> Source:
+    return Source(name, type, lambda pages, now: extract.boxed_list(pages, base, patterns, box, "/chapter/", now, fallback), enabled, search)
 
 
 def fragment_site(name: str, base: str, type: str = "multiple", enabled: bool = True) -> Source:

@@ -16,17 +16,6 @@ from . import html as h
 from .extract import by_box, first_by, first_in, own
 
 
-def _step(tag: str = "", ident: str = "", *classes: str) -> str:
-    """Pattern of one step of an element's path."""
-    need = "".join(rf"(?=\S*\.{c}(?:\.|\s|$))" for c in classes)
-    return rf"{tag or '[^ #]*'}#{rf'(?={ident}\.)' if ident else ''}{need}\S*"
-
-
-def _path(*steps: str) -> str:
-    """Pattern of a path that leads through the steps, others between them allowed, and ends at the last."""
-    return "(?:^| > )" + r" > (?:\S+ > )*".join(steps) + "$"
-
-
 def _attr(name: str) -> Column:
     return F.coalesce(F.col("attrs")[name], F.lit(""))
 
@@ -58,8 +47,8 @@ def _joined(where: Column) -> Column:
 
 def theme_search(pages: DataFrame, base: str, prefixes: tuple[str, ...]) -> DataFrame:
     """Sites of the common theme: links below one of the prefixes, the first of each slug; title from the link's title, its image, its text or the slug."""
-    img = _first(F.col("tag") == "img", F.col("attrs")["alt"].alias("alt"))
-    a = by_box(h.elements(pages), F.col("tag") == "a", a=own(_attr("href").alias("href"), _attr("title").alias("given"), "text"), img=img)
+    img = _first(h.marked("img"), F.col("attrs")["alt"].alias("alt"))
+    a = by_box(h.elements(pages, marks={"a": "a", "img": "img"}), h.marked("a"), a=own(_attr("href").alias("href"), _attr("title").alias("given"), "text"), img=img)
     full = text.absolute(F.col("a.href"), F.lit(base))
     a = a.filter("a.href <> ''").withColumn("_path", F.when(F.startswith(full, F.lit(base)), F.substring(full, len(base) + 1, F.length(full))))
     a = a.withColumn("_prefix", F.coalesce(*[F.when(F.startswith("_path", F.lit(p)), F.lit(p)) for p in prefixes]))
@@ -70,17 +59,19 @@ def theme_search(pages: DataFrame, base: str, prefixes: tuple[str, ...]) -> Data
 
 def grid_search(pages: DataFrame, base: str, most: int = 10) -> DataFrame:
     """Links to comics, not to chapters, inside the page's grid: two columns wide if there is such, else any grid, else the whole page. Titles have 1 to 199 characters; the first of each link, at most `most` a page."""
-    levels = (_step("", "", "grid", "grid-cols-2"), _step("", "", "grid"), r"[^ #]*#[^ .]*\.\S*grid\S*")
+    grids = (".grid.grid-cols-2", ".grid", "[class*='grid']")
+    marks = {"link": "a[href*='comics/']", "bold": "span.block.font-bold", "img": "img"} | {f"grid{i}": g for i, g in enumerate(grids)} | {f"in{i}": f"{g} a[href*='comics/']" for i, g in enumerate(grids)}
+    e = h.elements(pages, marks=marks, texts=("link", "bold"))
     page = Window.partitionBy("page_id")
-    level = F.coalesce(*[F.when(F.max(F.col("path").rlike(_path(s))).over(page), i) for i, s in enumerate(levels)], F.lit(len(levels)))
-    e = h.elements(pages).withColumn("_level", level)
-    within = F.col("_level") == len(levels)
-    for i, s in enumerate(levels):
-        within = within | ((F.col("_level") == i) & F.col("path").rlike(_path(s, _step())))
+    level = F.coalesce(*[F.when(F.max(h.marked(f"grid{i}")).over(page), i) for i in range(len(grids))], F.lit(len(grids)))
+    e = e.withColumn("_level", level)
+    within = F.col("_level") == len(grids)
+    for i in range(len(grids)):
+        within = within | ((F.col("_level") == i) & h.marked(f"in{i}"))
     href = _attr("href")
-    link = (F.col("tag") == "a") & F.contains(href, F.lit("comics/")) & ~F.contains(href, F.lit("/chapter/")) & within
-    bold = _joined((F.col("tag") == "span") & h.has_class(F.col("class"), "block") & h.has_class(F.col("class"), "font-bold"))
-    img = _first(F.col("tag") == "img", F.col("attrs")["alt"].alias("alt"), F.col("attrs")["title"].alias("given"))
+    link = h.marked("link") & ~F.contains(href, F.lit("/chapter/")) & within
+    bold = _joined(h.marked("bold"))
+    img = _first(h.marked("img"), F.col("attrs")["alt"].alias("alt"), F.col("attrs")["title"].alias("given"))
     a = by_box(e, link, a=own(href.alias("href"), _attr("title").alias("given"), "text"), bold=bold, img=img)
     given = [F.nullif(F.col(c), F.lit("")) for c in ("a.given", "bold", "img.alt", "img.given")]
     title = _trimmed(_squeezed(F.coalesce(*given, F.col("a.text"))))
@@ -91,13 +82,12 @@ def grid_search(pages: DataFrame, base: str, most: int = 10) -> DataFrame:
 
 def row_search(pages: DataFrame, base: str) -> DataFrame:
     """Rows of a result list with their first link to a title; without any row, every such link. The first of each link counts, even if it has no title and goes."""
-    row = (F.col("tag") == "div") & F.contains(F.coalesce("class", F.lit("")), F.lit("flex border-b border-b-base-200 pb-5"))
-    link = (F.col("tag") == "a") & F.contains(_attr("href"), F.lit("/title/"))
-    e = h.elements(pages).withColumn("_listed", F.max(row).over(Window.partitionBy("page_id")))
+    row, link = h.marked("row"), h.marked("link")
+    marks = {"row": "div[class*='flex border-b border-b-base-200 pb-5']", "link": "a[href*='/title/']", "named": "h3, h4, .title, .name"}
+    e = h.elements(pages, marks=marks, texts=("link", "named")).withColumn("_listed", F.max(row).over(Window.partitionBy("page_id")))
     values = (_attr("href").alias("href"), F.col("text"), _attr("title").alias("given"))
     a = first_in(link, *values)  # the box itself, where links are boxes
-    named = F.col("tag").isin("h3", "h4") | h.has_class(F.col("class"), "title") | h.has_class(F.col("class"), "name")
-    rows = by_box(e, F.when(F.col("_listed"), row).otherwise(link), a=a, named=_first(named, F.col("text"))).filter("a IS NOT NULL")
+    rows = by_box(e, F.when(F.col("_listed"), row).otherwise(link), a=a, named=_first(h.marked("named"), F.col("text"))).filter("a IS NOT NULL")
     title = F.coalesce(_trimmed(F.col("a.text")), _trimmed(F.col("named.text")), F.nullif("a.given", F.lit("")))
     rows = rows.select("page_id", "pos", title.alias("title"), text.absolute(F.col("a.href"), F.lit(base)).alias("link"))
     return first_by(rows, "link").filter("title IS NOT NULL")
@@ -105,20 +95,19 @@ def row_search(pages: DataFrame, base: str) -> DataFrame:
 
 def list_search(pages: DataFrame, base: str) -> DataFrame:
     """Items of the book list with the first link of their title. The first of each link counts, even if it has no text and goes."""
-    item = F.col("path").rlike(_path(_step("", "book_list"), _step("", "", "item")))
-    a = _first(F.col("path").rlike(_path(_step("", "", "title"), _step("a"))), _attr("href").alias("href"), F.col("text"))
-    rows = by_box(h.elements(pages), item, a=a).filter("a.href <> ''")
+    e = h.elements(pages, marks={"item": "#book_list .item", "link": ".title a"}, texts=("link",))
+    a = _first(h.marked("link"), _attr("href").alias("href"), F.col("text"))
+    rows = by_box(e, h.marked("item"), a=a).filter("a.href <> ''")
     rows = rows.select("page_id", "pos", _trimmed(F.col("a.text")).alias("title"), text.absolute(F.col("a.href"), F.lit(base)).alias("link"))
     return first_by(rows, "link").filter("title IS NOT NULL")
 
 
 def card_search(pages: DataFrame) -> DataFrame:
     """Cards with an id after /series/ in their first link, and a title from the wide layout's tooltip, else from the shortened text. Repeats stay."""
-    card = (F.col("tag") == "article") & h.has_class(F.col("class"), "bg-base-300")
-    a = _first(F.col("path").rlike(_path(_step("section"), _step("a"))), _attr("href").alias("href"))
-    wide = _joined(F.col("path").rlike(_path(_step("section", "", "hidden", "lg:block"), _step("", "", "tooltip"), _step("a"))))
-    short = _joined(F.col("path").rlike(_path(_step("section"), _step("a"), _step("", "", "text-ellipsis"))))
-    rows = by_box(h.elements(pages), card, a=a, wide=wide, short=short)
+    marks = {"card": "article.bg-base-300", "link": "section a", "wide": "section.hidden.lg\\:block .tooltip a", "short": "section a .text-ellipsis"}
+    e = h.elements(pages, marks=marks, texts=("wide", "short"))
+    a = _first(h.marked("link"), _attr("href").alias("href"))
+    rows = by_box(e, h.marked("card"), a=a, wide=_joined(h.marked("wide")), short=_joined(h.marked("short")))
     ident = F.get(F.split("a.href", "/series/"), F.lit(1))
     return rows.select("page_id", "pos", F.coalesce("wide", "short").alias("title"), ident.alias("id")).filter("id <> '' AND title IS NOT NULL")
 

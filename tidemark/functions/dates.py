@@ -1,4 +1,7 @@
-"""Release dates: relative, ordinal and absolute texts. `now` is always given."""
+"""Release dates: relative, ordinal and absolute texts. `now` is always given.
+
+What lies outside the years 1 to 9999 is null, however large the number in a text.
+"""
 
 from __future__ import annotations
 
@@ -9,14 +12,22 @@ from pyspark.sql import functions as F
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800, "month": 2592000, "year": 31536000}
 RELATIVE = r"(?i)(\d+)\s*(second|minute|hour|day|week|month|year)s?\s*ago"
 FORMATS = ("MMMM d, yyyy", "MMMM d yyyy", "MMM d, yyyy", "MMM d yyyy", "d MMMM yyyy", "yyyy/MM/dd", "MM/dd/yyyy")
+#: Microseconds of the first and the last instant that a date can be.
+FIRST, LAST = -62_135_596_800_000_000, 253_402_300_799_999_999
+MOST_MONTHS = 9999 * 12
 
 
 def _parts(t: Column) -> tuple[Column, Column]:
     return F.nullif(F.regexp_extract(t, RELATIVE, 1), F.lit("")).try_cast("bigint"), F.lower(F.regexp_extract(t, RELATIVE, 2))
 
 
-def _minus(now: Column, seconds: Column) -> Column:
-    return F.timestamp_micros(F.unix_micros(now.cast("timestamp")) - seconds * 1_000_000).cast("timestamp_ntz")
+def _instant(micros: Column) -> Column:
+    return F.timestamp_micros(F.when(micros.between(FIRST, LAST), micros)).cast("timestamp_ntz")
+
+
+def _minus(now: Column, value: Column, seconds: Column) -> Column:
+    """now less value times seconds."""
+    return _instant(F.try_subtract(F.unix_micros(now.cast("timestamp")), F.try_multiply(value, seconds.cast("bigint") * 1_000_000)))
 
 
 def absolute(t: Column) -> Column:
@@ -30,23 +41,24 @@ def fixed_units(t: Column, now: Column) -> Column:
     """`2 days ago` in fixed units, else an absolute date."""
     value, unit = _parts(t)
     seconds = F.create_map(*[F.lit(x) for kv in UNIT_SECONDS.items() for x in kv])[unit]
-    return F.when(value.isNotNull(), _minus(now, value * seconds)).otherwise(absolute(t))
+    return F.when(value.isNotNull(), _minus(now, value, seconds)).otherwise(absolute(t))
 
 
 def months_back(now: Column, months: Column) -> Column:
     """The same day and time of an earlier month; a day that month lacks runs over into the next (31 March less one month is 3 March, or 2)."""
     first = F.date_trunc("month", now)
     into = now.cast("timestamp").cast("double") - first.cast("timestamp").cast("double")
-    base = F.add_months(first.cast("date"), -months).cast("timestamp")
-    return F.timestamp_micros(F.unix_micros(base) + F.round(into * 1_000_000).cast("bigint")).cast("timestamp_ntz")
+    base = F.add_months(first.cast("date"), -F.when(months <= MOST_MONTHS, months).cast("int")).cast("timestamp")
+    return _instant(F.unix_micros(base) + F.round(into * 1_000_000).cast("bigint"))
 
 
 def calendar_units(t: Column, now: Column) -> Column:
     """`2 months ago` by the calendar, else an absolute date."""
     value, unit = _parts(t)
     seconds = F.create_map(*[F.lit(x) for kv in UNIT_SECONDS.items() if kv[0] not in ("month", "year") for x in kv])[unit]
-    months = F.when(unit == "month", value).when(unit == "year", 12 * value).cast("int")
-    return F.when(months.isNotNull(), months_back(now, months)).when(value.isNotNull(), _minus(now, value * seconds)).otherwise(absolute(t))
+    by_month = unit.isin("month", "year") & value.isNotNull()
+    months = F.when(unit == "month", value).when(unit == "year", F.try_multiply(value, F.lit(12)))
+    return F.when(by_month, months_back(now, months)).when(value.isNotNull(), _minus(now, value, seconds)).otherwise(absolute(t))
 
 
 def attribute_or_text(attribute: Column, t: Column, now: Column) -> Column:

@@ -31,13 +31,20 @@ def nearest_rank(column: str, percent: int, key: list[str], rows: DataFrame) ->
 
 
 def provider_stats(attempts: DataFrame) -> DataFrame:
-    """attempts, with_chapters, empty, errors, chapters, median_ms, p95_ms, max_ms by provider; the pace-setter has the largest median x attempts."""
-    counts = attempts.groupBy("provider").agg(
+    """attempts, with_chapters, empty, errors, chapters, median_ms, p95_ms, max_ms by provider; the pace-setter has the largest median x attempts.
+
+    Sources that were skipped weren't attempted. A provider none of whose
+    attempts has a time has times of 0.
+    """
+    tried = attempts.filter("outcome <> 'skipped'")
+    counts = tried.groupBy("provider").agg(
         F.count(F.lit(1)).alias("attempts"), F.count_if(F.expr("outcome = 'chapters'")).alias("with_chapters"), F.count_if(F.expr("outcome = 'empty'")).alias("empty"),
-        F.count_if(F.expr("outcome = 'error'")).alias("errors"), F.sum("chapters").alias("chapters"), F.max("ms").alias("max_ms"),
+        F.count_if(F.expr("outcome = 'error'")).alias("errors"), F.coalesce(F.sum("chapters"), F.lit(0)).cast("long").alias("chapters"), F.coalesce(F.max("ms"), F.lit(0.0)).alias("max_ms"),
     )
-    median, p95 = (nearest_rank("ms", p, ["provider"], attempts) for p in (50, 95))
-    out = counts.join(median.withColumnRenamed("p50", "median_ms"), "provider").join(p95.withColumnRenamed("p95", "p95_ms"), "provider")
+    out = counts
+    for percent, name in ((50, "median_ms"), (95, "p95_ms")):
+        out = out.join(nearest_rank("ms", percent, ["provider"], tried).withColumnRenamed(f"p{percent}", name), "provider", "left")
+    out = out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("median_ms", "p95_ms")})
     return out.orderBy(F.desc(F.col("median_ms") * F.col("attempts")), "provider")
 
 
@@ -57,11 +64,12 @@ def provider_alerts(stats: DataFrame, min_attempts: int = ALERT_MIN_ATTEMPTS, er
 def breaker(attempts: DataFrame, threshold: int) -> DataFrame:
     """(provider, tripped_at, longest): the seq at which consecutive errors first reach the threshold (null: never) and the longest run.
 
-    Runs are counted within ranges of each provider's log and stitched by
-    their ends, so no task holds a provider's whole log.
+    A skipped source neither adds to a run nor ends it. Runs are counted within
+    ranges of each provider's log and stitched by their ends, so no task holds
+    a provider's whole log.
     """
     span = Window.partitionBy("provider", "_range").orderBy("seq")
-    dealt = attempts.select("provider", "seq", (F.col("outcome") == "error").alias("bad")).withColumn("_range", F.floor(F.col("seq") / 4096))
+    dealt = attempts.filter("outcome <> 'skipped'").select("provider", "seq", (F.col("outcome") == "error").alias("bad")).withColumn("_range", F.floor(F.col("seq") / 4096))
     marked = dealt.withColumn("_island", F.sum(F.when(F.col("bad"), 0).otherwise(1)).over(span))
     run = F.sum(F.col("bad").cast("long")).over(Window.partitionBy("provider", "_range", "_island").orderBy("seq"))
     counted = marked.withColumn("run", run)

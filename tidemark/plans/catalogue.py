@@ -190,29 +190,31 @@ def new_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.missing_names(t.table(spark, sf_dir, "part").select(F.col("p_brand").alias("name")), t.providers(spark, sf_dir))
 
 
-_RANK = "list_sort(list(ms))[CAST(floor({p} * (count(*) - 1) + 0.5) AS BIGINT) + 1]"
-_STATS = f"""{t.ATTEMPTS}, stats AS (SELECT provider, count(*) AS attempts, count(*) FILTER (outcome = 'chapters') AS with_chapters, count(*) FILTER (outcome = 'empty') AS empty,
-count(*) FILTER (outcome = 'error') AS errors, CAST(sum(chapters) AS BIGINT) AS chapters, max(ms) AS max_ms, {_RANK.format(p=0.5)} AS median_ms, {_RANK.format(p=0.95)} AS p95_ms FROM attempts GROUP BY provider)"""
+_RANK = "coalesce(list_sort(list(ms) FILTER (ms IS NOT NULL))[CAST(floor({p} * (count(ms) - 1) + 0.5) AS BIGINT) + 1], 0)"
+_BY_PROVIDER = f"""stats AS (SELECT provider, count(*) AS attempts, count(*) FILTER (outcome = 'chapters') AS with_chapters, count(*) FILTER (outcome = 'empty') AS empty,
+count(*) FILTER (outcome = 'error') AS errors, CAST(sum(chapters) AS BIGINT) AS chapters, coalesce(max(ms), 0) AS max_ms, {_RANK.format(p=0.5)} AS median_ms, {_RANK.format(p=0.95)} AS p95_ms FROM attempts WHERE outcome <> 'skipped' GROUP BY provider)"""
+_STATS = f"{t.ATTEMPTS}, {_BY_PROVIDER}"
+_GAPPED = f"{t.GAPPED}, {_BY_PROVIDER}"
 
 
-@query(f"WITH {_STATS} SELECT * FROM stats")
+@query(f"WITH {_GAPPED} SELECT * FROM stats")
 def provider_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry.provider_stats(t.attempts(spark, sf_dir))
+    return telemetry.provider_stats(t.gapped(spark, sf_dir))
 
 
-@query(f"""WITH {_STATS} SELECT provider, CASE WHEN errors / attempts > 0.3 THEN 'errors' ELSE 'empty' END AS kind,
+@query(f"""WITH {_GAPPED} SELECT provider, CASE WHEN errors / attempts > 0.3 THEN 'errors' ELSE 'empty' END AS kind,
 CASE WHEN errors / attempts > 0.3 THEN provider || ': ' || CAST(floor(100 * (errors / attempts) + 0.5) AS BIGINT) || '% errors over ' || attempts || ' attempts'
 ELSE provider || ': ' || CAST(floor(100 * (empty / attempts) + 0.5) AS BIGINT) || '% empty over ' || attempts || ' attempts — likely a silent breakage' END AS alert
 FROM stats WHERE attempts >= 50 AND (errors / attempts > 0.3 OR empty / attempts > 0.1)""")
 def provider_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry.provider_alerts(telemetry.provider_stats(t.attempts(spark, sf_dir)), error_rate=0.3, empty_rate=0.1)
+    return telemetry.provider_alerts(telemetry.provider_stats(t.gapped(spark, sf_dir)), error_rate=0.3, empty_rate=0.1)
 
 
-@query(f"""WITH {t.ATTEMPTS}, i AS (SELECT *, sum(CASE WHEN outcome = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY provider ORDER BY seq) AS island FROM attempts),
+@query(f"""WITH {t.GAPPED}, i AS (SELECT *, sum(CASE WHEN outcome = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY provider ORDER BY seq) AS island FROM attempts WHERE outcome <> 'skipped'),
 r AS (SELECT *, sum(CASE WHEN outcome = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY provider, island ORDER BY seq) AS run FROM i)
 SELECT provider, min(seq) FILTER (run >= 8) AS tripped_at, CAST(max(run) AS BIGINT) AS longest FROM r GROUP BY provider""")
 def breaker_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry.breaker(t.attempts(spark, sf_dir), 8)
+    return telemetry.breaker(t.gapped(spark, sf_dir), 8)
 
 
 _OUTCOME = f"""{t.ATTEMPTS}, o AS (SELECT series, count(*) FILTER (outcome <> 'skipped') AS attempted, count(*) FILTER (outcome = 'error') AS errors, count(*) FILTER (outcome = 'skipped') AS skipped,

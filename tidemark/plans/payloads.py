@@ -79,14 +79,19 @@ _UNIT = "CASE event_id % 7 " + " ".join(f"WHEN {i} THEN '{u}'" for i, u in enume
 _SECONDS = "CASE event_id % 7 WHEN 0 THEN 1 WHEN 1 THEN 60 WHEN 2 THEN 3600 WHEN 3 THEN 86400 WHEN 4 THEN 604800 WHEN 5 THEN 2592000 ELSE 31536000 END"
 
 
-@query(f"""WITH x AS (SELECT event_id, event_id % 40 AS n, {_SECONDS} AS s, event_id % 7 AS k FROM events)
-SELECT event_id, TIMESTAMP '{_NOW}' - to_microseconds(n * s * 1000000) AS fixed,
-  CASE WHEN k = 5 THEN date_trunc('month', TIMESTAMP '{_NOW}') - to_months(CAST(n AS INTEGER)) + (TIMESTAMP '{_NOW}' - date_trunc('month', TIMESTAMP '{_NOW}'))
-       WHEN k = 6 THEN date_trunc('month', TIMESTAMP '{_NOW}') - to_months(CAST(12 * n AS INTEGER)) + (TIMESTAMP '{_NOW}' - date_trunc('month', TIMESTAMP '{_NOW}'))
-       ELSE TIMESTAMP '{_NOW}' - to_microseconds(n * s * 1000000) END AS calendar FROM x""")
+_MANY = "CASE event_id % 97 WHEN 0 THEN 10000 WHEN 1 THEN 1000000 WHEN 2 THEN 10000000000 ELSE event_id % 40 END"
+
+
+@query(f"""WITH x AS (SELECT event_id, CAST({_MANY} AS HUGEINT) AS n, {_SECONDS} AS s, event_id % 7 AS k FROM events),
+y AS (SELECT event_id, k, n * s * 1000000 AS us, CASE k WHEN 5 THEN n WHEN 6 THEN 12 * n END AS m, TIMESTAMP '{_NOW}' AS now FROM x),
+z AS (SELECT *, CASE WHEN us <= epoch_us(now) - epoch_us(TIMESTAMP '0001-01-01') THEN us END AS back, CASE WHEN m <= 2023 * 12 + 2 THEN m END AS months FROM y)
+SELECT event_id, now - to_microseconds(CAST(back AS BIGINT)) AS fixed,
+  CASE WHEN k IN (5, 6) THEN date_trunc('month', now) - to_months(CAST(months AS INTEGER)) + (now - date_trunc('month', now)) ELSE now - to_microseconds(CAST(back AS BIGINT)) END AS calendar FROM z""")
 def relative_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit = F.element_at(F.array(*[F.lit(u) for u in _UNITS]), (F.col("event_id") % 7 + 1).cast("int"))
-    t = F.concat((F.col("event_id") % 40).cast("string"), F.lit(" "), unit, F.lit(" ago"))
+    rest = F.col("event_id") % 97
+    many = F.when(rest == 0, 10_000).when(rest == 1, 1_000_000).when(rest == 2, 10_000_000_000).otherwise(F.col("event_id") % 40)
+    t = F.concat(many.cast("string"), F.lit(" "), unit, F.lit(" ago"))
     now = F.lit(_NOW).cast("timestamp_ntz")
     return table(spark, sf_dir, "events").select("event_id", dates.fixed_units(t, now).alias("fixed"), dates.calendar_units(t, now).alias("calendar"))
 

@@ -86,3 +86,14 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 ATTEMPTS = """attempts AS (SELECT event_id AS seq, user_id AS series, event_type AS provider,
   CASE WHEN value > 30 THEN 'error' WHEN value < 5 THEN 'empty' ELSE 'chapters' END AS outcome, value AS ms, CAST(event_id % 50 AS DOUBLE) AS waited_ms,
   CASE WHEN value > 30 OR value < 5 THEN 0 ELSE event_id % 9 + 1 END AS chapters, ts FROM events)"""
+
+
+def gapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """attempts in which each seventh source was skipped, and one provider's have no time."""
+    out = F.col("seq") % 7 == 3
+    rows = attempts(spark, sf_dir).withColumn("outcome", F.when(out, "skipped").otherwise(F.col("outcome")))
+    return rows.withColumns({"chapters": F.when(out, 0).otherwise(F.col("chapters")), "ms": F.when(~out & (F.col("provider") != "signup"), F.col("ms"))})
+
+
+GAPPED = f"""{ATTEMPTS.replace("attempts AS", "base AS", 1)}, attempts AS (SELECT * REPLACE (CASE WHEN seq % 7 = 3 THEN 'skipped' ELSE outcome END AS outcome,
+  CASE WHEN seq % 7 = 3 THEN 0 ELSE chapters END AS chapters, CASE WHEN seq % 7 <> 3 AND provider <> 'signup' THEN ms END AS ms) FROM base)"""

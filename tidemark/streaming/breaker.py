@@ -14,8 +14,8 @@ STATE = "run long, tripped boolean"
 def trips(attempts: DataFrame, threshold: int) -> DataFrame:
     """(provider, tripped_at) once for each provider whose consecutive errors reach the threshold; sticky from then on.
 
-    attempts (seq, provider, outcome) is a streaming DataFrame. Rows of one
-    micro-batch are taken in order of seq; state never grows beyond one row a
+    attempts (seq, provider, outcome) is a streaming DataFrame. A skipped source
+    neither adds to a run nor ends it. Rows of one micro-batch are taken in order of seq; state never grows beyond one row a
     provider.
     """
     import pandas as pd
@@ -34,5 +34,5 @@ def trips(attempts: DataFrame, threshold: int) -> DataFrame:
         if at is not None:
             yield pd.DataFrame({"provider": [key[0]], "tripped_at": [at]})
 
-    grouped = attempts.select("provider", F.col("seq").cast("long").alias("seq"), "outcome").groupBy("provider")
+    grouped = attempts.select("provider", F.col("seq").cast("long").alias("seq"), "outcome").filter("outcome <> 'skipped'").groupBy("provider")
     return grouped.applyInPandasWithState(step, OUT, STATE, "append", "NoTimeout")

@@ -110,3 +110,37 @@ def test_every_token_finds_its_rule(rule):
 def test_no_urls(spark):
     none = spark.createDataFrame([], "page_id long, url string, host int, verdict int")
     assert url_filter.filter_urls(none, "page_id", DOMAIN_RULES).count() == 0
+
+
+def dictionary_of(path):
+    data = path.read_bytes()
+    return data[8 : 8 + int.from_bytes(data[4:8], "little")]
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 15])
+@pytest.mark.parametrize("length", [0, 40, 300_000, 1_500_000])
+def test_few_and_large_records_have_a_dictionary_too(spark, tmp_path, n, length):
+    pages = spark.range(n).selectExpr("id AS page_id", "concat('http://x/', id) AS url", f"CASE WHEN {length} > 0 THEN left(repeat(concat('row ', id, ' of ', uuid()), {length} div 30 + 1), {length}) END AS html").cache().coalesce(1)
+    files = warc.write_archive(pages, f"file://{tmp_path}/a")
+    assert [k for _, k in files] == [n] and len(dictionary_of(tmp_path / "a" / files[0][0])) > 100
+    got = warc.read_archive(spark, f"file://{tmp_path}/a", files)
+    assert sorted((r.page_id, r.payload_bytes) for r in got.collect()) == [(i, length) for i in range(n)]
+
+
+def test_nothing_is_left_of_an_archive_but_its_files(spark, some, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.session.shared_dir", lambda s: f"file://{tmp_path}/shared")
+    warc.write_archive(some, f"file://{tmp_path}/a")
+    assert not list((tmp_path / "shared").glob("*")) if (tmp_path / "shared").exists() else True
+
+
+def test_dictionaries_of_anything():
+    import zstandard
+
+    from tidemark.llm import dictionaries
+
+    for samples in ([b"x"], [b"ab" * 4], [b"same"] * 1000, [bytes(range(256)) * 9000], [dictionaries.MAGIC + b"y" * 100], [b"", b"q" * 70_000], [hashlib.sha256(bytes([i])).digest() for i in range(40)]):
+        d = dictionaries.train(samples)
+        assert 0 < len(d) <= dictionaries.SIZE
+        data = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d)).compress(samples[-1] * 2)
+        assert zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(d)).decompress(data) == samples[-1] * 2
+    assert dictionaries.train([]) == dictionaries.train([b"", b""]) == b""

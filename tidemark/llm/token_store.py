@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import partitions, ship
 
+from . import dictionaries
 from .bpe import default_tokenizer
 from .encoder import encoder, slices
 
@@ -59,10 +60,8 @@ def _hash(dictionary: bytes) -> bytes:
 def train_dictionary(docs: DataFrame, tokenizer: str, width: int, samples: int = 400, sample_ids: int = 4096, size: int = 64 << 10) -> bytes:
     """A dictionary from a bounded sample, drawn by hash in one pass: about `samples` documents, twice as many at most, `sample_ids` ids of each.
 
-    Too few documents for training give an empty dictionary; frames then stand alone.
+    Of a corpus without documents it is empty.
     """
-    import zstandard
-
     share = min(1.0, samples / max(1, docs.count()))
     drawn = docs.where(F.abs(F.xxhash64("doc_id", "text") % (1 << 40)) < int(share * (1 << 40))) if share < 1 else docs
     some = drawn.select(F.substring("text", 1, 8 * sample_ids).alias("text")).limit(2 * samples)  # many copies of one row can't swell it
@@ -70,10 +69,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, width: int, samples: int =
     kind = "<u2" if width == 2 else "<u4"
     parts = [np.frombuffer(x, "<u4")[:sample_ids].astype(kind).tobytes() for x in encoder(tokenizer).apply(texts).to_pylist()]
     parts = sorted(p[a : a + 2048] for p in parts for a in range(0, len(p), 2048))
-    try:
-        return zstandard.train_dictionary(size, parts).as_bytes() if len(parts) >= 16 else b""
-    except zstandard.ZstdError:
-        return b""
+    return dictionaries.train(parts, size)
 
 
 def _writer(path: str, tokenizer: str, end_id: int | None, width: int, dictionary: bytes, level: int):

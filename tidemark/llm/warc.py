@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import left_join_by_key
-from tidemark.session import materialize, ship
+from tidemark.session import materialize, ship, tidied
 
+from .dictionaries import train
 from .encoder import slices
 
 #: The skippable frame of a WARC dictionary and the revisit profile.
 DICTIONARY_FRAME = 0x184D2A5D
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-TRAIN_BYTES, DICTIONARY_BYTES = 4 << 20, 64 << 10
+TRAIN_BYTES = 4 << 20
 SCHEMA = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 
 
@@ -45,15 +46,6 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def train(records: list[bytes]) -> bytes:
-    import zstandard
-
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, [r[:64_000] for r in records]).as_bytes() if len(records) >= 16 else b""
-    except zstandard.ZstdError:
-        return b""
-
-
 def _writer(path: str, date: str, level: int):
     def write(batches) -> Iterator:
         import pyarrow as pa
@@ -111,6 +103,7 @@ def revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     return materialize(met.filter("page_id < refers_to").select("page_id", "digest", "refers_to").distinct(), "revisits")
 
 
+@tidied()
 def write_archive(pages: DataFrame, path: str, least: int = 0, date: str = "2024-01-01T00:00:00Z", level: int = 3) -> list[tuple[str, int]]:
     """Writes page_id, url and html of pages as WARC files at path; (file, records) of each.
 
@@ -119,7 +112,8 @@ def write_archive(pages: DataFrame, path: str, least: int = 0, date: str = "2024
     ones are responses. A null html is an empty payload. Rows with a null
     page_id are responses that nothing refers to. Rows with the same page_id
     are records of their own. An empty table has no file. Each file's
-    dictionary is trained on its own first records (4 MB at most).
+    dictionary is trained on its own first records (4 MB, or one record, cut
+    into short samples), however few or large they are.
     """
     spark = pages.sparkSession
     ship(spark)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, ngram_join, packing, quality_classifier, quality_rules
-from tidemark.session import materialize, tidy
+from tidemark.session import materialize, remove, scratch, tidy
 
 
 ROW = "_pipeline_row"
@@ -62,8 +62,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each is written and read again, so lineage stays short and nothing is worked out twice."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents; each is written and read again, so lineage stays short and nothing is worked out twice.
+
+    What a stage leaves goes as soon as its result is written, and that as soon
+    as the next stage's is; in the end there is only what packing reads.
+    """
+    docs, former = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        label = name.replace(" ", "-")
+        with tidy(spark, label):
+            path = scratch(spark, label)
+            kept = stage(spark, docs, sf_dir)
+            kept.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if former is not None:
+            remove(spark, former)
+        former = path.rpartition("/")[0]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline
+import pytest
 
 from tidemark.llm import exact_dedup, ngram_join, quality_classifier, quality_rules, queries
 
@@ -82,3 +83,27 @@ def test_each_row_goes_by_its_own_verdict(spark, odd, tmp_path):
         groups = [g for g in groups if g not in near] + [sum(near, [i])]
     got, want = left(corpus_pipeline.near), first_of([rows[j] for j in g] for g in groups)
     assert Counter((d, t if d != 32 else "") for d, t in got.elements()) == Counter((d, t if d != 32 else "") for d, t in want.elements())  # either row of 32 may stay
+
+
+def left_behind(spark, tmp_path, monkeypatch, query, sf_dir):
+    """Names of what lies in the shared folder once a query's rows are read."""
+    shared = tmp_path / "shared"
+    shared.mkdir()
+    monkeypatch.setattr("tidemark.session.shared_dir", lambda s: f"file://{shared}")
+    assert query(spark, sf_dir).count() >= 0
+    return sorted(p.name for folder in shared.iterdir() for p in folder.iterdir())
+
+
+def test_the_pipeline_leaves_only_what_its_result_reads(spark, small, tmp_path, monkeypatch):
+    assert left_behind(spark, tmp_path, monkeypatch, corpus_pipeline.run, small) == ["n-gram-Jaccard-join"]
+
+
+LEFT = {
+    "op1_token_store": {"tokens"}, "op4_exact_dedup": {"keys", "groups", "clash", "collided"}, "op6_quality_classifier": {"scores", "sites"}, "op7_warc_writer": {"warc"},
+    "op11_source_divergence": {"langs", "vectors"}, "op12_substring_dedup": {"marked", "spans"}, "op13_conversation_repair": set(),
+}
+
+
+@pytest.mark.parametrize("name", LEFT)
+def test_a_query_leaves_only_what_its_result_reads(spark, small, tmp_path, monkeypatch, name):
+    assert set(left_behind(spark, tmp_path, monkeypatch, queries.QUERIES[name], small)) <= LEFT[name]

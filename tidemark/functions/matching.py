@@ -1,7 +1,7 @@
 """Entity resolution: which search result is the series that was looked for.
 
 Rows are pairs of a query and one of its search results, with pos, the
-result's place. Every rule scores pairs natively and keeps the best with a
+result's place; open_...() find the pairs of two whole tables themselves. Every rule scores pairs natively and keeps the best with a
 grouped maximum, so a query's results never meet in one task but as a maximum.
 """
 
@@ -11,13 +11,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text
+from .similar import Likeness, pairs as alike
 
 
 def search_hits(queries: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Pairs that share a word, by an equi-join on words: queries (query, title), candidates (cand_title, pos, ...)."""
-    q = queries.withColumn("_w", F.explode(F.array_distinct(text.words(text.spaced(F.col("title"))))))
-    c = candidates.withColumn("_w", F.explode(F.array_distinct(text.words(text.spaced(F.col("cand_title"))))))
-    return q.join(c, "_w").drop("_w").distinct()
+    """Pairs that share a word: queries (query, title), candidates (cand_title, pos, ...)."""
+    return alike(queries, candidates, text.words(text.spaced(F.col("title"))), text.words(text.spaced(F.col("cand_title"))), Likeness("any", 0.0)).drop("score")
+
+
+def _same_form(queries: DataFrame, candidates: DataFrame, form: Column, forms: Column) -> DataFrame:
+    """Pairs of queries of a single word with candidates one of whose forms equals it."""
+    q = queries.withColumn("_f", form).filter((F.size(F.split("_f", " ")) == 1) & (F.col("_f") != ""))
+    c = candidates.withColumn("_f", F.explode(F.array_distinct(forms)))
+    return q.join(c, "_f").drop("_f")
+
+
+def open_dice_match(queries: DataFrame, candidates: DataFrame, least: float = 0.4) -> DataFrame:
+    """dice_match() of all queries (query, title) with all candidates (cand_title, pos, slug), however many: only pairs that can reach `least` meet."""
+    q, c = text.spaced(F.col("title")), text.spaced(F.col("cand_title"))
+    near = alike(queries.filter(F.size(F.split(q, " ")) > 1), candidates, text.bigrams(q), text.bigrams(c), Likeness("dice", least)).drop("score")
+    same = _same_form(queries, candidates, q, F.array(c, text.spaced(text.slug_title(F.col("slug")))))
+    return dice_match(near.unionByName(same), least)
+
+
+def open_jaccard_match(queries: DataFrame, candidates: DataFrame, least: float = 0.4) -> DataFrame:
+    """jaccard_match() of all queries with all candidates; each form of a candidate is matched by itself, and the rule takes the best."""
+    q = text.stripped(F.col("title"))
+    forms = F.transform(F.concat(text.split_joined(F.col("cand_title")), F.array(text.slug_title(F.col("slug")))), text.stripped)
+    each = candidates.withColumn("_form", F.explode(F.array_distinct(forms)))
+    near = alike(queries.filter(F.size(F.split(q, " ")) > 1), each, F.split(q, " "), F.split("_form", " "), Likeness("jaccard", least)).drop("score", "_form")
+    return jaccard_match(near.unionByName(_same_form(queries, candidates, q, forms)), least)
 
 
 def best(pairs: DataFrame, score: Column, least: Column | float, order: Column | None = None) -> DataFrame:

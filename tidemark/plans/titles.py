@@ -99,12 +99,7 @@ pairs AS (SELECT title AS query, title, cand_title, pos, slug FROM q, c WHERE li
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
-    q = part.select(F.col("p_name").alias("title")).union(spark.createDataFrame([(x,) for x in _EXTRA_Q], "title string")).distinct()
-    c = part.select(F.concat("p_name", F.lit(" "), "p_type").alias("cand_title")).union(spark.createDataFrame([(x,) for x in _EXTRA_C], "cand_title string")).distinct()
-    c = c.withColumn("pos", F.row_number().over(Window.orderBy("cand_title")).cast("long"))  # a few hundred distinct names: the fixture's result order
-    c = c.withColumn("slug", F.lower(F.replace(F.col("cand_title"), F.lit(" "), F.lit("-"))))
-    return matching.search_hits(q.withColumn("query", F.col("title")), c)
+    return matching.search_hits(*_sides(spark, sf_dir))
 
 
 def _dice(a: str, b: str) -> str:
@@ -164,6 +159,31 @@ def title_ladder_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.titles_match(p.withColumn("z", steps).withColumn("title", F.col("z.t")).withColumn("step", F.col("z.step")))
 
 
+_OPEN = _PAIRS[: _PAIRS.rindex(" WHERE list_has_any")] + ")"
+
+
+def _sides(spark: SparkSession, sf_dir: str) -> tuple:
+    p = table(spark, sf_dir, "part")
+    q = p.select(F.col("p_name").alias("title")).union(spark.createDataFrame([(x,) for x in _EXTRA_Q], "title string")).distinct().withColumn("query", F.col("title"))
+    c = p.select(F.concat("p_name", F.lit(" "), "p_type").alias("cand_title")).union(spark.createDataFrame([(x,) for x in _EXTRA_C], "cand_title string")).distinct()
+    c = c.withColumn("pos", F.row_number().over(Window.orderBy("cand_title")).cast("long"))  # a few hundred distinct names: the fixture's result order
+    return q, c.withColumn("slug", F.lower(F.replace(F.col("cand_title"), F.lit(" "), F.lit("-"))))
+
+
+@query(f"""WITH {_OPEN}, n AS (SELECT *, {_spaced('title')} AS a, {_spaced('cand_title')} AS b, {_spaced("replace(slug, '-', ' ')")} AS z FROM pairs),
+s AS (SELECT query, cand_title, pos, 0.55 AS least, CASE WHEN len(string_split(a, ' ')) = 1 THEN CASE WHEN a = b OR a = z THEN 1.0 ELSE 0.0 END ELSE {_dice('a', 'b')} END AS score FROM n WHERE a <> '') {_BEST}""")
+def open_dice_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All names against all candidates, whether they share a word or not."""
+    return matching.open_dice_match(*_sides(spark, sf_dir), 0.55)
+
+
+@query(f"""WITH {_OPEN}, n AS (SELECT *, {_stripped('title')} AS a, unnest(list_append({_SPLIT}, replace(slug, '-', ' '))) AS f FROM pairs), m AS (SELECT *, {_stripped('f')} AS b FROM n WHERE a <> ''),
+t AS (SELECT query, cand_title, pos, CASE WHEN len(string_split(a, ' ')) = 1 THEN CASE WHEN a = b THEN 1.0 ELSE 0.0 END ELSE {_jaccard('a', 'b')} END AS score FROM m),
+s AS (SELECT query, cand_title, pos, 0.4 AS least, max(score) AS score FROM t GROUP BY ALL) {_BEST}""")
+def open_jaccard_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.open_jaccard_match(*_sides(spark, sf_dir), 0.4)
+
+
 @query("""WITH x AS (SELECT p_partkey AS mal_id, p_name AS query, p_size AS pos, p_brand AS cand_title, CAST((p_partkey // 2) * 2 AS VARCHAR) AS cand_mal FROM part),
 r AS (SELECT query, cand_title, row_number() OVER (PARTITION BY query ORDER BY pos, cand_title) AS rn FROM x WHERE mal_id <> 0 AND CAST(mal_id AS VARCHAR) = cand_mal) SELECT query, cand_title, CAST(1 AS DOUBLE) AS score FROM r WHERE rn = 1""")
 def external_id_match(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,14 +52,6 @@ def test_upsert_twice_changes_nothing_more(spark):
     assert count(delta.flags(new, once, 0)) == (0, 0, 2, 0)
 
 
-def test_staged_write_reads_the_table_that_it_replaces(spark, tmp_path):
-    path = f"file://{tmp_path}/t"
-    rows(spark, [1]).write.parquet(path)
-    delta.write_staged(spark.read.parquet(path).union(rows(spark, [2])), path)
-    assert spark.read.parquet(path).count() == 2
-    assert not (tmp_path / "t.old").exists() and not (tmp_path / "t.staged").exists()
-
-
 @pytest.mark.parametrize("age,want", [(1, "active"), (9, "active"), (10, "slow"), (15, "slow"), (30, "slow"), (730, "dormant"), (-5, "active"), (None, "active")])
 def test_tier(spark, age, want):
     now = dt.datetime(2026, 8, 30)
@@ -187,17 +179,6 @@ def test_upsert_keeps_what_it_does_not_know(spark):
     }
 
 
-def test_a_lost_writer_leaves_a_table_that_comes_back(spark, tmp_path):
-    path = f"file://{tmp_path}/table"
-    spark.range(3).write.parquet(path)
-    (tmp_path / "table").rename(tmp_path / "table.old")
-    delta.recover(spark, path)
-    assert spark.read.parquet(path).count() == 3
-    delta.write_staged(spark.read.parquet(path).selectExpr("id + 1 AS id"), path)
-    delta.recover(spark, path)
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3]
-
-
 def test_outcomes_of_failing_and_missing_series(spark):
     a = spark.createDataFrame([(1, "error", 0, 5.0, 1.0), (1, "error", 0, 9.0, 0.0), (2, "error", 0, 1.0, 0.0), (2, "empty", 0, 1.0, 0.0), (3, "skipped", 0, None, None), (4, "chapters", 3, 2.0, 0.0)], "series long, outcome string, chapters long, ms double, waited_ms double")
     got = {r.series: (r.attempted, r.errors, r.skipped, r.results, r.busy_ms, r.success) for r in telemetry.series_outcome(a).collect()}

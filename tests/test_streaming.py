@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import delta
+from tidemark.operators.versions import Table
 from tidemark.sources.snapshot import Memo, Snapshots
 from tidemark.streaming import breaker, refresh
 
@@ -19,43 +19,63 @@ def test_breaker_keeps_its_run_between_batches(spark, tmp_path):
     assert [tuple(r) for r in spark.sql("SELECT * FROM trips").collect()] == [("p", 11)]
 
 
-def test_refresh_applies_batches(spark, tmp_path):
-    now = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
-    schema = "manga_id long, provider_id string, chapter_number double, link string"
-    base = spark.createDataFrame([(1, "p", 1.0, "a")], schema).withColumns({"created_at": now, "updated_at": now})
-    path = f"file://{tmp_path}/t"
-    base.write.parquet(path)
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "1.json").write_text('{"manga_id": 1, "provider_id": "p", "chapter_number": 1, "link": "b"}\n{"manga_id": 1, "provider_id": "p", "chapter_number": 2, "link": "c"}')
-    q = refresh.apply_batches(spark.readStream.schema(schema).json(str(tmp_path / "in")), path, now, str(tmp_path / "c"))
-    q.awaitTermination(120)
-    assert sorted((r.chapter_number, r.link) for r in spark.read.parquet(path).collect()) == [(1.0, "b"), (2.0, "c")]
-    assert delta.KEY == ["manga_id", "provider_id", "chapter_number"]
-
-
-def test_refresh_rewrites_only_the_buckets_of_a_batch(spark, tmp_path):
-    now = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
-    schema = "manga_id long, provider_id string, chapter_number double, link string"
-    base = spark.createDataFrame([(i, "p", 1.0, "a") for i in range(40)], schema).withColumns({"created_at": now, "updated_at": now})
-    path = f"file://{tmp_path}/t"
-    delta.write_buckets(delta.bucketed(base, 8), path)
-
-    def files():
-        return {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
-
-    before = files()
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "1.json").write_text("\n".join(json.dumps({"manga_id": 3, "provider_id": "p", "chapter_number": n, "link": f"b{n}"}) for n in (1, 2)))
-    # a writer was lost after it had moved a bucket aside
-    one = sorted((tmp_path / "t").glob("bucket=*"))[0]
-    (tmp_path / "t.old").mkdir(exist_ok=True)
-    one.rename(tmp_path / "t.old" / one.name)
-    refresh.apply_batches(spark.readStream.schema(schema).json(str(tmp_path / "in")), path, now, str(tmp_path / "c"), buckets=8).awaitTermination(120)
-    rows = spark.read.parquet(path)
-    assert sorted((r.manga_id, r.chapter_number, r.link) for r in rows.collect()) == sorted([(i, 1.0, "a") for i in range(40) if i != 3] + [(3, 1.0, "b1"), (3, 2.0, "b2")])
-    after = files()
-    assert len(set(before) - set(after)) == 1 and all(before[f] == after[f] for f in set(before) & set(after))
-    assert rows.filter("manga_id = 3").select("bucket").distinct().count() == 1
+SCHEMA = "manga_id long, provider_id string, chapter_number double, link string, pos int"
+
+
+def put(folder, k, rows):
+    folder.mkdir(exist_ok=True)
+    (folder / f"{k}.json").write_text("\n".join(json.dumps(dict(zip(("manga_id", "provider_id", "chapter_number", "link", "pos"), r, strict=True))) for r in rows))
+    os.utime(folder / f"{k}.json", (1_700_000_000 + 60 * k,) * 2)  # files are read by age
+
+
+def now(day=2):
+    return F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp_ntz")
+
+
+def run(spark, tmp_path, table, folder="in", checkpoint="c"):
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(str(tmp_path / folder))
+    refresh.apply_batches(stream, table, now(), str(tmp_path / checkpoint)).awaitTermination(180)
+
+
+def test_refresh_creates_the_table_and_a_version_a_batch(spark, tmp_path):
+    table = Table(spark, f"file://{tmp_path}/t", ["manga_id"], 4)
+    put(tmp_path / "in", 0, [(1, "p", 1.0, "b", 2), (1, "p", 1.0, "a", 1), (2, "p", 1.0, "x", 1)])
+    put(tmp_path / "in", 1, [(1, "p", 1.0, "c", 1), (1, "p", 2.0, "d", 2)])
+    run(spark, tmp_path, table)
+    assert table.versions() == [1, 2]
+    assert sorted((r.manga_id, r.chapter_number, r.link) for r in table.read(1).collect()) == [(1, 1.0, "a"), (2, 1.0, "x")]
+    assert sorted((r.manga_id, r.chapter_number, r.link) for r in table.read().collect()) == [(1, 1.0, "c"), (1, 2.0, "d"), (2, 1.0, "x")]
+    assert "pos" not in table.read().columns
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    table = Table(spark, f"file://{tmp_path}/t", ["manga_id"], 4)
+    put(tmp_path / "in", 0, [(1, "p", 1.0, "a", 1)])
+    run(spark, tmp_path, table)
+    run(spark, tmp_path, table, checkpoint="lost")  # the checkpoint was lost: batch 0 comes again
+    assert table.versions() == [1]
+
+
+def test_a_batch_reads_and_writes_only_its_buckets(spark, tmp_path):
+    table = Table(spark, f"file://{tmp_path}/t", ["manga_id"], 8)
+    base = spark.createDataFrame([(i, "p", 1.0, "a") for i in range(40)], "manga_id long, provider_id string, chapter_number double, link string").withColumns({"created_at": now(1), "updated_at": now(1)})
+    table.update(base, lambda old, new: new)
+    before = table.manifest()["buckets"]
+    put(tmp_path / "in", 0, [(3, "p", float(n), f"b{n}", n) for n in (1, 2)])
+    run(spark, tmp_path, table)
+    after = table.manifest()["buckets"]
+    assert sum(before[b] != after[b] for b in before) == 1 and len(before) > 4
+    assert sorted((r.manga_id, r.chapter_number, r.link) for r in table.read().collect()) == sorted([(i, 1.0, "a") for i in range(40) if i != 3] + [(3, 1.0, "b1"), (3, 2.0, "b2")])
+
+
+def test_marks_are_flushed_in_steps_and_a_lost_run_goes_on(spark, tmp_path):
+    table = Table(spark, f"file://{tmp_path}/s", ["mal_id"], 4)
+    table.update(spark.range(50).selectExpr("id AS mal_id", "CAST(NULL AS timestamp_ntz) AS last_chapters_update"), lambda old, new: new)
+    done = spark.range(25).selectExpr("id AS mal_id")
+    assert refresh.flush_marks(table, done.filter("mal_id < 20"), now(), "run", every=10) == 2  # the run was lost after 20
+    assert refresh.flush_marks(table, done, now(), "run", every=10) == 1
+    assert table.versions() == [1, 2, 3, 4] and table.read().filter("last_chapters_update IS NOT NULL").count() == 25
+    assert refresh.flush_marks(table, done, now(3), "next", every=1, most=2) == 2
 
 
 def test_snapshots_are_capped_and_old_files_go(spark, tmp_path):

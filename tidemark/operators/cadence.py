@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, partitions
+from .ranges import numbered
 
 
 @dataclass(frozen=True)
@@ -77,19 +77,11 @@ def stale(active: DataFrame, series: DataFrame, now: Column, tiers: tuple[Tier,
 def admitted(due: DataFrame, cost: Column, budget: float, order: list[Column], blocks: int = 64) -> DataFrame:
     """due with `admitted`: items are taken in order until the cost of those before reaches the budget.
 
-    A running sum in two levels, so no task sees all rows: rows are dealt into
-    ranges of the order and written with their range, as another run of the
-    same plan may sample other borders; sums of whole ranges are added by a
-    join. A null cost is none.
+    The running sum is made by ranges, so no task sees all rows. A null cost is
+    none.
     """
-    blocks = max(blocks, partitions(due.sparkSession))
-    ranged = due.withColumn("_cost", F.coalesce(cost.cast("double"), F.lit(0.0))).repartitionByRange(blocks, *order).sortWithinPartitions(*order)
-    ranged = materialize(ranged.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")), "ranged")
-    sums = ranged.groupBy("_part").agg(F.sum("_cost").alias("_sum"))
-    before = sums.alias("a").join(sums.alias("b"), F.col("b._part") < F.col("a._part"), "left").groupBy("a._part").agg(F.coalesce(F.sum("b._sum"), F.lit(0.0)).alias("_before"))
-    within = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    met = ranged.withColumn("_own", F.coalesce(F.sum("_cost").over(within), F.lit(0.0))).join(F.broadcast(before), "_part")
-    return met.withColumn("admitted", F.col("_own") + F.col("_before") < budget).drop("_cost", "_part", "_at", "_own", "_before")
+    met = numbered(due.withColumn("_cost", cost), order, blocks, F.col("_cost"))
+    return met.withColumn("admitted", F.col("_at") < budget).drop("_cost", "_at")
 
 
 def mark_updated(series: DataFrame, ids: DataFrame, now: Column) -> DataFrame:

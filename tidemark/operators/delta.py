@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize, tidy
+
+from .ranges import numbered
+from .reads import key_of
+from .versions import PLACE, Conflict, Table
+
 KEY = ["manga_id", "provider_id", "chapter_number"]
 SOURCE = ["manga_id", "provider_id"]
 
@@ -41,13 +47,15 @@ def counters(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy(*SOURCE).agg(*[F.count_if(F.expr(c)).alias(n) for n, c in counts.items()])
 
 
-def upsert(stored: DataFrame, incoming: DataFrame, now: Column) -> DataFrame:
-    """stored after an upsert of incoming, with stored's columns: found rows take the link and release_date, others begin now; nothing is deleted.
+def upsert(stored: DataFrame | None, incoming: DataFrame, now: Column) -> DataFrame:
+    """stored after an upsert of incoming, with stored's columns: found rows take the link and release_date, others begin now; nothing is deleted. Without stored rows (None) it is incoming, beginning now.
 
     created_at and any other column of a found row stay; a new row has
     incoming's value there, or null. One full outer join on the key. incoming
     must have one row a key: see first_by_key().
     """
+    if stored is None:
+        return incoming.withColumns({"created_at": now, "updated_at": now})
     rest = [c for c in stored.columns if c not in (*KEY, "created_at", "updated_at")]
     taken = [c for c in rest if c in incoming.columns]
     s = stored.select(*KEY, F.struct(*[c for c in stored.columns if c not in KEY]).alias("_s"))
@@ -72,81 +80,38 @@ def missing_names(names: DataFrame, stored: DataFrame) -> DataFrame:
     return names.select("name").distinct().join(stored.select("name"), "name", "left_anti")
 
 
-def _places(spark: SparkSession, path: str):
-    places = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.staged", f"{path}.old")]
-    return places[0].getFileSystem(spark._jsc.hadoopConfiguration()), *places
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """Puts the table at path back if a writer was lost between its two moves. Call it before the table is read."""
-    fs, target, _, old = _places(spark, path)
-    if not fs.exists(target) and fs.exists(old) and not fs.rename(old, target):
-        raise OSError(f"{path} can't be put back")
+def get_or_create(table: Table, names: DataFrame, tries: int = 20) -> DataFrame:
+    """(name, key, id) of every row of names (name, base_url): names that agree but for case and white space are one provider.
 
-
-def write_staged(df: DataFrame, path: str) -> None:
-    """Replaces the table at path, which df may read: written beside it first, then moved over it.
-
-    Between the two moves the table is only under its .old name; recover()
-    brings it back if the writer is lost just there.
+    table (Table with key "key") holds key, id, name, base_url. A key without a
+    row gets the next free id; new keys are numbered without gaps in order of
+    key, by ranges, and of names with one key the smallest is stored. Rows that
+    are there stay as they are. A second call finds the same ids; of two
+    writers at once one is first, and the other takes its ids over. Null names
+    have no key and come back with null.
     """
-    fs, target, staged, old = _places(df.sparkSession, path)
-    df.write.mode("overwrite").parquet(f"{path}.staged")
-    fs.delete(old, True)
-    if fs.exists(target) and not fs.rename(target, old):
-        raise OSError(f"{path} can't be moved aside")
-    if not fs.rename(staged, target):
-        fs.rename(old, target)
-        raise OSError(f"{path} can't be replaced")
-    fs.delete(old, True)
-
-
-BUCKET = "bucket"
-
-
-def bucketed(df: DataFrame, buckets: int) -> DataFrame:
-    """df with the bucket of its series: all rows of a series lie in one."""
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64("manga_id"), F.lit(buckets)).cast("int"))
-
-
-def _folders(fs, place) -> list[str]:
-    return [s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory()] if fs.exists(place) else []
-
-
-def recover_buckets(spark: SparkSession, path: str) -> None:
-    """recover() for each bucket of the table at path. Call it before the table is read."""
-    fs, _, _, old = _places(spark, path)
-    for name in _folders(fs, old):
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-        aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.old/{name}")
-        if not fs.exists(target):
-            if not fs.rename(aside, target):
-                raise OSError(f"{path}/{name} can't be put back")
+    spark = names.sparkSession
+    named = names.select("name", "base_url", key_of(F.col("name")).alias("key"))
+    with tidy(spark):
+        wanted = materialize(named.filter("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("name", "base_url")).alias("n")).select("key", "n.*"), "wanted")
+        for _ in range(tries):
+            base = table.manifest()
+            stored = table.read(base["version"])
+            lacking = wanted if stored is None else wanted.join(stored.select("key"), "key", "left_anti")
+            top = (stored.agg(F.max("id")).first()[0] if stored is not None else None) or 0
+            new = materialize(numbered(lacking, ["key"]).select("key", (F.col("_at") + 1 + top).alias("id"), "name", "base_url"), "new")
+            placed = table.placed(new)
+            met = [r[0] for r in placed.select(PLACE).distinct().collect()]  # at most as many numbers as there are buckets
+            if not met:
+                break
+            old = table.read(base["version"], met)
+            try:
+                table.commit(placed if old is None else table.placed(old.select(*new.columns)).unionByName(placed), base, met)
+                break
+            except Conflict:
+                continue
         else:
-            fs.delete(aside, True)
-
-
-def write_buckets(df: DataFrame, path: str) -> None:
-    """Replaces those buckets of the table at path that df has rows of, and no others; df may read the table.
-
-    All are written beside it first, one file or so a bucket, then moved over
-    it one by one. A writer lost in between leaves each bucket old, new, or
-    under its .old name, from where recover_buckets() brings it back; the same
-    batch again then makes all of them new.
-    """
-    spark = df.sparkSession
-    fs, target, staged, old = _places(spark, path)
-    df.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}.staged")
-    fs.mkdirs(target)
-    fs.mkdirs(old)
-    place = spark._jvm.org.apache.hadoop.fs.Path
-    for name in _folders(fs, staged):
-        now, aside = place(f"{path}/{name}"), place(f"{path}.old/{name}")
-        fs.delete(aside, True)
-        if fs.exists(now) and not fs.rename(now, aside):
-            raise OSError(f"{path}/{name} can't be moved aside")
-        if not fs.rename(place(f"{path}.staged/{name}"), now):
-            fs.rename(aside, now)
-            raise OSError(f"{path}/{name} can't be replaced")
-        fs.delete(aside, True)
-    fs.delete(staged, True)
+            raise Conflict(f"{table.path}: other writers were first {tries} times")
+    stored = table.read()
+    ids = stored.select("key", "id") if stored is not None else spark.createDataFrame([], "key string, id long")
+    return named.select("name", "key").join(ids, "key", "left").select("name", "key", "id")

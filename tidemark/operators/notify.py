@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, partitions
+from .ranges import numbered
 
 #: Fixed value: ids in one request, at most.
 BATCH = 500
@@ -19,17 +19,10 @@ def notifiable(results: DataFrame) -> DataFrame:
 def batches(ids: DataFrame, size: int = BATCH, ranges: int = 64) -> DataFrame:
     """(batch_id, manga_ids): the ids in order, `size` to a batch, from 0.
 
-    Positions come from ranges of ids numbered apart and shifted by the sizes
-    of the ranges before, so no task sorts all ids. The ranges are written, as
-    another run of the same plan may sample other borders.
+    Positions come from ranges, so no task sorts all ids.
     """
-    ranges = max(ranges, partitions(ids.sparkSession))
-    ranged = materialize(ids.select("manga_id").repartitionByRange(ranges, "manga_id").withColumn("_part", F.spark_partition_id()), "ranged")
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b._part") < F.col("a._part"), "left").groupBy("a._part").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("_before"))
-    at = F.row_number().over(Window.partitionBy("_part").orderBy("manga_id")) - 1
-    numbered = ranged.withColumn("_own", at).join(F.broadcast(before), "_part").withColumn("batch_id", F.floor((F.col("_own") + F.col("_before")) / size))
-    return numbered.groupBy("batch_id").agg(F.array_sort(F.collect_list("manga_id")).alias("manga_ids"))
+    at = numbered(ids.select("manga_id"), ["manga_id"], ranges)
+    return at.withColumn("batch_id", F.floor(F.col("_at") / size)).groupBy("batch_id").agg(F.array_sort(F.collect_list("manga_id")).alias("manga_ids"))
 
 
 def outcome(sent: DataFrame) -> DataFrame:

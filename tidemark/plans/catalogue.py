@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import cadence, delta, notify, reads, selection, telemetry
+from tidemark.operators.versions import Table
+from tidemark.session import materialize, scratch
 from tidemark.sources import tables as t
 
 QUERIES: dict = {}
@@ -190,6 +192,39 @@ def new_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.missing_names(t.table(spark, sf_dir, "part").select(F.col("p_brand").alias("name")), t.providers(spark, sf_dir))
 
 
+@query(f"""WITH {_FLAGS}, u AS (SELECT * FROM flags WHERE upsert)
+SELECT coalesce(o.manga_id, u.manga_id) AS manga_id, coalesce(o.provider_id, u.provider_id) AS provider_id, coalesce(o.chapter_number, u.chapter_number) AS chapter_number,
+  CASE WHEN u.manga_id IS NOT NULL THEN u.link ELSE o.link END AS link, coalesce(o.created_at, TIMESTAMP '2024-02-02') AS created_at
+FROM stored o FULL JOIN u ON o.manga_id = u.manga_id AND o.provider_id = u.provider_id AND o.chapter_number = u.chapter_number""")
+def versioned_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored rows as the first version of a table, and the scraped ones as the batch that makes the second."""
+    table = Table(spark, scratch(spark, "table"), ["manga_id"])
+    table.update(t.stored(spark, sf_dir).select(*delta.KEY, "link", "created_at").withColumn("updated_at", F.col("created_at")), lambda old, new: new)
+
+    def merge(stored: DataFrame | None, new: DataFrame) -> DataFrame:
+        due = delta.flags(new, stored).filter("upsert").select(*new.columns)
+        return delta.upsert(stored, due, F.lit("2024-02-02 00:00:00").cast("timestamp_ntz"))
+
+    new = materialize(t.scraped(spark, sf_dir).select(*delta.KEY, "link"), "batch")
+    for _ in range(2):  # the second time, the batch is known
+        table.update(new, merge, ("refresh", 0))
+    return table.read().select(*delta.KEY, "link", "created_at")
+
+
+@query("""WITH n AS (SELECT DISTINCT p_brand AS name FROM part UNION SELECT DISTINCT upper(replace(p_brand, '#', ' # ')) FROM part), k AS (SELECT name, lower(replace(name, ' ', '')) AS key FROM n),
+o AS (SELECT key, row_number() OVER (ORDER BY key) AS id FROM k WHERE key LIKE '%1' GROUP BY key),
+r AS (SELECT key, (SELECT count(*) FROM o) + row_number() OVER (ORDER BY key) AS id FROM (SELECT DISTINCT key FROM k WHERE key NOT IN (SELECT key FROM o)))
+SELECT name, k.key, coalesce(o.id, r.id) AS id FROM k LEFT JOIN o ON o.key = k.key LEFT JOIN r ON r.key = k.key""")
+def provider_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of brands spelt in two ways; some had theirs before."""
+    brand = F.col("p_brand")
+    names = t.table(spark, sf_dir, "part").select(F.explode(F.array(brand, F.upper(F.replace(brand, F.lit("#"), F.lit(" # "))))).alias("name")).distinct()
+    names = names.withColumn("base_url", F.concat(F.lit("https://"), F.lower("name")))
+    table = Table(spark, scratch(spark, "providers"), ["key"], 4)
+    delta.get_or_create(table, names.filter("lower(name) LIKE '%1'"))
+    return delta.get_or_create(table, names)
+
+
 _RANK = "coalesce(list_sort(list(ms) FILTER (ms IS NOT NULL))[CAST(floor({p} * (count(ms) - 1) + 0.5) AS BIGINT) + 1], 0)"
 _BY_PROVIDER = f"""stats AS (SELECT provider, count(*) AS attempts, count(*) FILTER (outcome = 'chapters') AS with_chapters, count(*) FILTER (outcome = 'empty') AS empty,
 count(*) FILTER (outcome = 'error') AS errors, CAST(sum(chapters) AS BIGINT) AS chapters, coalesce(max(ms), 0) AS max_ms, {_RANK.format(p=0.5)} AS median_ms, {_RANK.format(p=0.95)} AS p95_ms FROM attempts WHERE outcome <> 'skipped' GROUP BY provider)"""

@@ -5,45 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import delta
+from tidemark.operators import cadence, delta
+from tidemark.operators.ranges import numbered
+from tidemark.operators.versions import Table
 from tidemark.session import materialize, tidy
+from tidemark.settings import Settings
 
 
-def apply_batches(scraped: DataFrame, path: str, now: Column, checkpoint: str, window: int = 5, buckets: int | None = None):
-    """Starts a query that upserts each micro-batch's delta into the Parquet table at path.
+def apply_batches(scraped: DataFrame, table: Table, now: Column, checkpoint: str, name: str = "refresh", window: int = 5):
+    """Starts a query that upserts each micro-batch's delta into a versioned table, dealt out by manga_id; an absent table is created.
 
-    A batch that is run again finds its rows stored and changes nothing but
-    updated_at: the upsert is idempotent by key, so a retry is safe. Of rows
-    with one key the first by pos, the place in the document, counts (without
-    that column, the smallest link).
+    A micro-batch is one version: readers see all of it or nothing. Its number
+    is committed with it under the query's name, so one that is run again after
+    a failure changes nothing. Only the buckets of its series are read and
+    written. Of rows with one key the first by pos, the place in the document,
+    counts (without that column, the smallest link).
+    """
+    order = [c for c in ("pos",) if c in scraped.columns] + ["link"]
+
+    def merge(stored: DataFrame | None, new: DataFrame) -> DataFrame:
+        due = delta.flags(new, stored, window).filter("upsert").select(*new.columns)
+        return delta.upsert(stored, due.drop("pos"), now)
+
+    def step(batch: DataFrame, number: int) -> None:
+        with tidy(batch.sparkSession):
+            table.update(materialize(delta.first_by_key(batch, delta.KEY, order), "batch"), merge, (name, number))
 
-    buckets: the table at path is laid out by delta.bucketed() with that
-    number; a batch then reads and rewrites only the buckets of its series.
-    Without it, each batch rewrites the whole table.
+    return scraped.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def flush_marks(table: Table, done: DataFrame, now: Column, run: str, every: int = int(Settings.flush_every), most: int = 1000) -> int:
+    """Sets last_chapters_update of the series in done (mal_id) to now, `every` series a version and the rest in a last one; the number of versions.
+
+    A run that is lost keeps what it has flushed, and the same run again (the
+    same name and the same series) goes on from there. With over `most` x
+    `every` series, as many more go into a version.
     """
+    with tidy(done.sparkSession):
+        ids = numbered(done.select("mal_id").distinct(), ["mal_id"])
+        n = ids.count()
+        every = max(every, -(-n // most))
 
-    order = [c for c in ("pos",) if c in scraped.columns] + ["link"]
+        def merge(stored: DataFrame | None, ids: DataFrame) -> DataFrame:
+            return cadence.mark_updated(stored, ids, now)
 
-    def merge_buckets(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        delta.recover_buckets(spark, path)
-        with tidy(spark):
-            new = materialize(delta.first_by_key(delta.bucketed(batch, buckets), delta.KEY, order), "batch")
-            met = [r[0] for r in new.select(delta.BUCKET).distinct().collect()]  # at most `buckets` numbers
-            if not met:
-                return
-            stored = spark.read.parquet(path).filter(F.col(delta.BUCKET).isin(met))
-            due = delta.flags(new, stored, window).filter("upsert")
-            delta.write_buckets(delta.upsert(stored, due, now), path)
-
-    def merge(batch: DataFrame, _: int) -> None:
-        delta.recover(batch.sparkSession, path)
-        stored = batch.sparkSession.read.parquet(path)
-        new = delta.first_by_key(batch, delta.KEY, order)
-        due = delta.flags(new, stored, window).filter("upsert")
-        delta.write_staged(delta.upsert(stored, due, now), path)
-
-    return scraped.writeStream.foreachBatch(merge if buckets is None else merge_buckets).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        if table.read() is None:
+            raise ValueError(f"{table.path} has no series to mark")
+        return sum(table.update(ids.filter(F.floor(F.col("_at") / every) == k).select("mal_id"), merge, (run, k)) is not None for k in range(-(-n // every)))
 
 
 def activity(rows: DataFrame, late: str = "1 day") -> DataFrame:

@@ -12,7 +12,11 @@ COMMON_WORDS = (
     "been", "being", "have", "has", "had", "do", "does", "did", "will",
     "would", "should", "could", "may", "might", "must", "can",
 )
-STOP_WORDS = COMMON_WORDS[:29]
+STOP_WORDS = (
+    "the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for",
+    "of", "with", "by", "from", "as", "is", "was", "are", "were", "be",
+    "been", "being", "have", "has", "had", "do", "does", "did",
+)
 
 #: White space beyond ASCII, which a JavaScript \\s matches and Java's doesn't.
 WIDE_SPACES = "                 　﻿"
@@ -166,12 +170,13 @@ def url_component(t: Column) -> Column:
     return out
 
 
-def variants(titles: Column, most: int = 3) -> Column:
-    """The first titles of an array whose normalised forms are new, not empty and hold a Latin letter."""
+def variants(titles: Column, most: int | None = 3) -> Column:
+    """The first titles (None: all) of an array whose normalised forms are new, not empty and hold a Latin letter."""
     forms = F.transform(titles, lambda t, i: F.struct(spaced(t).alias("f"), i.alias("i"), t.alias("t")))
     good = F.filter(forms, lambda x: x["f"].rlike("[a-z]"))
     new = F.filter(good, lambda x: ~F.exists(good, lambda y: (y["f"] == x["f"]) & (y["i"] < x["i"])))
-    return F.slice(F.transform(new, lambda x: x["t"]), 1, most)
+    kept = F.transform(new, lambda x: x["t"])
+    return kept if most is None else F.slice(kept, 1, most)
 
 
 def alternatives(main: Column, listed: Column) -> Column:

@@ -45,7 +45,7 @@ def totals(chapters: DataFrame, providers: DataFrame) -> DataFrame:
 
 
 def boundaries(chapters: DataFrame, providers: DataFrame) -> DataFrame:
-    """First and last chapter of every series with all rows at each, by one window over the series."""
+    """First and last chapter of every series with all rows at each, by an aggregate over the series joined back."""
     rows = enabled_chapters(chapters, providers)
     ends = rows.groupBy("manga_id").agg(F.min("chapter_number").alias("lo"), F.max("chapter_number").alias("hi"))
     met = rows.join(ends, "manga_id").filter("chapter_number = lo OR chapter_number = hi")

@@ -105,18 +105,31 @@ def series_outcome(attempts: DataFrame) -> DataFrame:
     return out.withColumn("success", (F.col("attempted") > F.col("errors")) | ((F.col("attempted") == 0) & (F.col("skipped") == 0)))
 
 
-def series_totals(attempts: DataFrame) -> DataFrame:
-    """By series: rows found over all sources, the number of sources that had some, and errors."""
+def rows_by_series(counters: DataFrame) -> DataFrame:
+    """(series, written, new) from delta.counters(): rows upserted and rows inserted, over all sources of a series."""
+    return counters.groupBy(F.col("manga_id").alias("series")).agg(F.sum("upserted").alias("written"), F.sum("inserted").alias("new"))
+
+
+def with_rows(outcomes: DataFrame, counters: DataFrame) -> DataFrame:
+    """series_outcome() with written and new; 0 where a series has no counters."""
+    met = outcomes.join(rows_by_series(counters), "series", "left")
+    return met.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("written", "new")})
+
+
+def series_totals(attempts: DataFrame, counters: DataFrame) -> DataFrame:
+    """By series: rows found over all sources, the number of sources that had some, errors, rows written, and new ones among them."""
     had = F.when(F.col("outcome") == "chapters", F.col("provider"))
-    return attempts.groupBy("series").agg(F.coalesce(F.sum("chapters"), F.lit(0)).cast("long").alias("found"), F.count_distinct(had).alias("sources"), F.count_if(F.col("outcome") == "error").alias("errors"))
+    out = attempts.groupBy("series").agg(F.coalesce(F.sum("chapters"), F.lit(0)).cast("long").alias("found"), F.count_distinct(had).alias("sources"), F.count_if(F.col("outcome") == "error").alias("errors"))
+    return with_rows(out, counters)
 
 
 def run_totals(outcomes: DataFrame, total_ms: float, concurrency: int) -> DataFrame:
-    """One row: processed, updated, found, busy and queued per cent of the pool, failed (something was processed and nothing updated)."""
+    """One row: processed, updated, found, written and new rows (0 if outcomes has no such columns), busy and queued per cent of the pool, failed (something was processed and nothing updated)."""
     capacity = total_ms * concurrency
     share = {"busy_pct": "busy_ms", "queued_pct": "waited_ms"}
+    rows = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) if c in outcomes.columns else F.lit(0).cast("long").alias(c) for c in ("found", "written", "new")]
     out = outcomes.agg(
-        F.count(F.lit(1)).alias("processed"), F.count_if("success").alias("updated"), F.coalesce(F.sum("found"), F.lit(0)).alias("found"),
+        F.count(F.lit(1)).alias("processed"), F.count_if("success").alias("updated"), *rows,
         *[(F.round(100 * F.coalesce(F.sum(c), F.lit(0.0)) / capacity, 6) if capacity else F.lit(0.0)).alias(n) for n, c in share.items()],
     )
     return out.withColumn("failed", (F.col("processed") > 0) & (F.col("updated") == 0))
@@ -168,8 +181,6 @@ class Run:
     with_chapters: int = 0
     due: int = 0
     left: int = 0
-    written: int = 0
-    new: int = 0
     interval_hours: float = 2
     source_concurrency: int = 0
     delay_ms: int = 0
@@ -189,7 +200,7 @@ def report(totals: Row, stats: list[Row], alerts: list[Row], tiers: list[Row], t
     lines += [f"| Processed | {totals.processed}{rest} |", f"| Updated | {totals.updated} / {totals.processed} |", f"| Rows found | {totals.found} |"]
     if run:
         each = f", {run.source_concurrency} a source" if run.source_concurrency else ""
-        lines += [f"| Rows written | {run.written} ({run.new} new) |", f"| Duration | {ms_text(run.total_ms)} |", f"| Concurrency | {run.concurrency} series{each}, {run.delay_ms}ms apart |"]
+        lines += [f"| Rows written | {totals.written} ({totals.new} new) |", f"| Duration | {ms_text(run.total_ms)} |", f"| Concurrency | {run.concurrency} series{each}, {run.delay_ms}ms apart |"]
     lines += [f"| Pool time scraping | {whole(totals.busy_pct)}% |"]
     if not run or run.source_concurrency:
         lines += [f"| Pool time queued | {whole(totals.queued_pct)}% |"]

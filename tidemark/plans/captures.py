@@ -138,6 +138,45 @@ def ladder_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.ladder_steps(t.table(spark, sf_dir, "customer").select(k.alias("series"), main.alias("title"), english.alias("english"), synonyms.alias("synonyms")))
 
 
+_LADDER = """s AS (SELECT CAST(c_custkey AS BIGINT) AS series, 'Main ' || c_custkey AS title, CASE c_custkey % 4 WHEN 1 THEN 'English' WHEN 2 THEN 'Main ' || c_custkey END AS english,
+CASE c_custkey % 3 WHEN 1 THEN ['One', '漫画', 'one!', 'Two'] WHEN 2 THEN ['Main ' || c_custkey] ELSE CAST([] AS VARCHAR[]) END AS synonyms FROM customer)"""
+
+
+def _ladder_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey").cast("long")
+    main = F.concat(F.lit("Main "), k.cast("string"))
+    synonyms = F.when(k % 3 == 1, F.array(*map(F.lit, ("One", "漫画", "one!", "Two")))).when(k % 3 == 2, F.array(main)).otherwise(F.array().cast("array<string>"))
+    return t.table(spark, sf_dir, "customer").select(k.alias("series"), main.alias("title"), F.when(k % 4 == 1, "English").when(k % 4 == 2, main).alias("english"), synonyms.alias("synonyms"))
+
+
+@query(f"""WITH {_LADDER} SELECT series, 0 AS step, title AS query FROM s UNION ALL SELECT series, 1, CASE WHEN english <> title THEN english ELSE synonyms[1] END FROM s WHERE english <> title OR synonyms[1] <> title""")
+def fallback_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return selection.fallback_steps(_ladder_series(spark, sf_dir))
+
+
+@query(f"""WITH {_LADDER} SELECT series, CAST(i - 1 AS INTEGER) AS step, v[i] AS query, array_to_string(v, '|') AS variants FROM (SELECT series, v, unnest(range(1, 4)) AS i FROM
+(SELECT series, list_concat([title], CASE WHEN english <> title THEN [english] ELSE CAST([] AS VARCHAR[]) END, CASE WHEN len(synonyms) > 1 THEN ['One', 'Two'] ELSE CAST([] AS VARCHAR[]) END) AS v FROM s)) WHERE i <= len(v)""")
+def variant_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return selection.variant_steps(_ladder_series(spark, sf_dir)).withColumn("variants", F.array_join("variants", "|"))
+
+
+@query(f"""WITH {t.ATTEMPTS}, f AS (SELECT series, provider, seq % 2 AS step, chapters % 3 AS results, seq % 5 = 0 AS blank, CASE WHEN chapters % 3 > 0 AND ms < 20 THEN 'r' || seq END AS match, CASE WHEN outcome = 'error' THEN 'HTTP 500' END AS error, seq,
+row_number() OVER (PARTITION BY series, provider, seq % 2 ORDER BY seq) AS rn FROM attempts), a AS (SELECT * FROM f WHERE rn = 1 AND step = 0), b AS (SELECT * FROM f WHERE rn = 1 AND step = 1),
+m AS (SELECT a.series, a.provider, b.series IS NOT NULL AND a.error IS NULL AND a.results = 0 AS second, a, b FROM a LEFT JOIN b ON a.series = b.series AND a.provider = b.provider),
+x AS (SELECT series || ':' || provider AS series, CASE WHEN second THEN 1 ELSE 0 END AS step, CASE WHEN second THEN b.error ELSE a.error END AS error, CASE WHEN second THEN b.match ELSE a.match END AS match, second AND a.blank AS waits FROM m)
+SELECT series, step, CASE WHEN error IS NOT NULL THEN 'error' WHEN match IS NOT NULL THEN 'match' ELSE 'empty' END AS outcome, CASE WHEN error IS NULL THEN match END AS match, waits FROM x""")
+def fallback_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first attempts of even and odd number of each series and source, as its two tries; those without a first one are left out."""
+    a = t.attempts(spark, sf_dir).withColumns({"step": (F.col("seq") % 2).cast("int"), "results": F.col("chapters") % 3, "blank": F.col("seq") % 5 == 0})
+    first = a.groupBy("series", "provider", "step").agg(F.min(F.struct("seq", "results", "blank", "ms", "outcome")).alias("f")).select("series", "provider", "step", "f.*")
+    tries = first.select(
+        F.concat(F.col("series").cast("string"), F.lit(":"), "provider").alias("series"), "step", "results", "blank",
+        F.when((F.col("results") > 0) & (F.col("ms") < 20), F.concat(F.lit("r"), F.col("seq").cast("string"))).alias("match"), F.when(F.col("outcome") == "error", "HTTP 500").alias("error"),
+    )
+    began = tries.filter("step = 0").select("series")
+    return selection.fallback_outcome(tries.join(began, "series", "left_semi"))
+
+
 @query(f"""WITH {t.ATTEMPTS}, f AS (SELECT series, provider, CAST(seq % 4 AS INTEGER) AS step, CASE WHEN ms > 20 AND ms < 22 THEN 'r' || (seq % 9) END AS match, outcome = 'error' AS bad FROM attempts),
 m AS (SELECT series, min(step * 1000 + CAST(substr(match, 2) AS INTEGER)) AS b, bool_or(bad) AS bad FROM f GROUP BY series)
 SELECT series, CASE WHEN b IS NOT NULL THEN 'match' WHEN bad THEN 'error' ELSE 'empty' END AS outcome, CAST(b // 1000 AS INTEGER) AS step, 'r' || (b % 1000) AS match FROM m""")
@@ -233,12 +272,6 @@ def breaker_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.after_breaker(a, telemetry.breaker(a, 4)).select("seq", "provider", "outcome")
 
 
-@query(f"""WITH {t.ATTEMPTS} SELECT series, CAST(sum(chapters) AS BIGINT) AS found, count(DISTINCT provider) FILTER (outcome = 'chapters') AS sources, count(*) FILTER (outcome = 'error') AS errors FROM attempts GROUP BY series""")
-def series_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What all sources of a series brought together."""
-    return telemetry.series_totals(t.attempts(spark, sf_dir))
-
-
 @query(f"""WITH {KEYS} SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'Given' WHEN 1 THEN 'Picture' WHEN 2 THEN 'Text ' || n ELSE 'a ' || page_id END AS title, 'a-' || page_id AS slug, '{BASE}/manga/a-' || page_id || '/' AS link FROM k
 UNION ALL SELECT page_id, 'b', 'b', '{BASE}/series/b/' FROM k""")
 def theme_search(spark: SparkSession, sf_dir: str) -> DataFrame:

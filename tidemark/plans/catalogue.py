@@ -265,30 +265,57 @@ def series_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _outcomes(spark, sf_dir)
 
 
-@query(f"""WITH {_OUTCOME}, s AS (SELECT *, attempted > errors AS success FROM o)
-SELECT count(*) AS processed, count(*) FILTER (success) AS updated, CAST(sum(found) AS BIGINT) AS found, round(100 * sum(busy_ms) / 4800000, 6) AS busy_pct,
-round(100 * sum(waited_ms) / 4800000, 6) AS queued_pct, count(*) > 0 AND count(*) FILTER (success) = 0 AS failed FROM s""")
+#: The same events as the attempts: what each series' sources brought is what the delta counts.
+_ROWS = f"""{_FLAGS}, rows_of AS (SELECT manga_id AS series, count(*) FILTER (upsert) AS written, count(*) FILTER (inserted) AS new FROM flags GROUP BY 1)"""
+
+
+def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta.counters(_flags(spark, sf_dir))
+
+
+@query(f"""WITH {_ROWS}, {t.ATTEMPTS} SELECT a.series, CAST(sum(chapters) AS BIGINT) AS found, count(DISTINCT provider) FILTER (outcome = 'chapters') AS sources, count(*) FILTER (outcome = 'error') AS errors, any_value(written) AS written, any_value(new) AS new
+FROM attempts a LEFT JOIN rows_of r ON r.series = a.series GROUP BY a.series""")
+def series_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all sources of a series brought together, and what of it was written."""
+    return telemetry.series_totals(t.attempts(spark, sf_dir), _counters(spark, sf_dir))
+
+
+@query(f"""WITH {_ROWS}, {_OUTCOME}, s AS (SELECT *, attempted > errors AS success FROM o)
+SELECT count(*) AS processed, count(*) FILTER (success) AS updated, CAST(sum(found) AS BIGINT) AS found, CAST(coalesce(sum(written), 0) AS BIGINT) AS written, CAST(coalesce(sum(new), 0) AS BIGINT) AS new, round(100 * sum(busy_ms) / 4800000, 6) AS busy_pct,
+round(100 * sum(waited_ms) / 4800000, 6) AS queued_pct, count(*) > 0 AND count(*) FILTER (success) = 0 AS failed FROM s LEFT JOIN rows_of r ON r.series = s.series""")
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry.run_totals(_outcomes(spark, sf_dir), 600_000, 8)
+    return telemetry.run_totals(telemetry.with_rows(_outcomes(spark, sf_dir), _counters(spark, sf_dir)), 600_000, 8)
 
 
-@query(f"""WITH {t.ATTEMPTS}, n AS (SELECT DISTINCT series AS id FROM attempts WHERE outcome = 'chapters' AND seq % 2 = 0),
+@query(f"""WITH {_ROWS}, {_OUTCOME}, n AS (SELECT o.series AS id FROM o JOIN rows_of r ON r.series = o.series WHERE attempted > errors AND new > 0),
 r AS (SELECT id, (row_number() OVER (ORDER BY id) - 1) // 40 AS batch_id FROM n)
 SELECT batch_id, count(*) AS size, min(id) AS first_id, max(id) AS last_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM r GROUP BY batch_id""")
 def notifiable_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = t.attempts(spark, sf_dir)
-    results = a.select(F.col("series").alias("manga_id"), (F.col("outcome") == "chapters").alias("success"), F.when(F.col("seq") % 2 == 0, F.col("chapters")).alias("chapters_new"))
+    """Series whose delta has new rows; what a series without any delta has isn't known."""
+    rows = telemetry.rows_by_series(_counters(spark, sf_dir))
+    results = _outcomes(spark, sf_dir).join(rows, "series", "left").select(F.col("series").alias("manga_id"), "success", F.col("new").alias("chapters_new"))
     out = notify.batches(notify.notifiable(results), size=40)
     return out.select("batch_id", F.size("manga_ids").cast("long").alias("size"), F.array_min("manga_ids").alias("first_id"), F.array_max("manga_ids").alias("last_id"), F.array_join(F.col("manga_ids").cast("array<string>"), ",").alias("ids"))
 
 
-@query(f"""WITH {t.ATTEMPTS}, b AS (SELECT seq AS batch_id, chapters + 1 AS size, CASE WHEN outcome = 'error' THEN 'HTTP ' || CAST(500 + seq % 3 AS VARCHAR) END AS error FROM attempts),
-e AS (SELECT error, min(batch_id) AS seen FROM b WHERE error IS NOT NULL GROUP BY 1)
-SELECT CAST(sum(size) AS BIGINT) AS ids, CAST(sum(size) FILTER (error IS NULL) AS BIGINT) AS sent_ids, count(*) AS batches, count(*) FILTER (error IS NULL) AS sent_batches, 'partial' AS status, (SELECT string_agg(error, ', ' ORDER BY seen) FROM e) AS reason FROM b""")
+_RUNS = {"all": "true", "good": "outcome <> 'error'", "bad": "outcome = 'error'", "none": "false"}
+
+
+@query(f"""WITH {t.ATTEMPTS}, b AS (SELECT seq AS batch_id, outcome, chapters + 1 AS size, CASE WHEN outcome = 'error' THEN 'HTTP ' || CAST(500 + seq % 3 AS VARCHAR) END AS error FROM attempts),
+k AS ({" UNION ALL ".join(f"SELECT '{name}' AS run, * FROM b WHERE {which}" for name, which in _RUNS.items())}), n AS (SELECT unnest({list(_RUNS)!r}) AS run),
+e AS (SELECT run, string_agg(error, ', ' ORDER BY seen) AS reason FROM (SELECT run, error, min(batch_id) AS seen FROM k WHERE error IS NOT NULL GROUP BY ALL) GROUP BY run),
+c AS (SELECT n.run, CAST(coalesce(sum(size), 0) AS BIGINT) AS ids, CAST(coalesce(sum(size) FILTER (error IS NULL), 0) AS BIGINT) AS sent_ids, count(size) AS batches, count(size) FILTER (error IS NULL) AS sent_batches FROM n LEFT JOIN k ON k.run = n.run GROUP BY n.run),
+s AS (SELECT *, CASE WHEN batches = 0 THEN 'skipped' WHEN sent_batches = batches THEN 'sent' WHEN sent_batches > 0 THEN 'partial' ELSE 'failed' END AS status FROM c)
+SELECT s.*, CASE WHEN status = 'skipped' THEN 'no chapter written this run' WHEN status <> 'sent' THEN reason END AS reason FROM s LEFT JOIN e ON e.run = s.run""")
 def webhook_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All batches, those that went well, those that didn't, and none."""
     a = t.attempts(spark, sf_dir)
     error = F.when(F.col("outcome") == "error", F.concat(F.lit("HTTP "), (500 + F.col("seq") % 3).cast("string")))
-    return notify.outcome(a.select(F.col("seq").alias("batch_id"), (F.col("chapters") + 1).alias("size"), error.alias("error")))
+    out = None
+    for name, which in _RUNS.items():
+        one = notify.outcome(a.filter(which).select(F.col("seq").alias("batch_id"), (F.col("chapters") + 1).alias("size"), error.alias("error"))).withColumn("run", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 _SOURCES = "src AS (SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{k}', {i})" for i, (n, k) in enumerate(selection.REGISTERED)) + ") s(name, type, idx))"
@@ -334,14 +361,16 @@ def _rank_sql(x: str, p: float) -> str:
     return _ms_sql(f"list_sort(list({x}))[CAST(floor({p} * (count(*) - 1) + 0.5) AS BIGINT) + 1]")
 
 
+#: Milliseconds after which no other series is begun.
+_BUDGET = 20_000
 _ALERT = "provider || ': ' || CAST(floor(100 * (errors / attempts) + 0.5) AS BIGINT) || '% errors over ' || attempts || ' attempts'"
 _TRIPPED = """i AS (SELECT *, sum(CASE WHEN outcome = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY provider ORDER BY seq) AS island FROM attempts),
 u AS (SELECT provider, sum(CASE WHEN outcome = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY provider, island ORDER BY seq) AS run FROM i), b AS (SELECT provider FROM u GROUP BY provider HAVING max(run) >= 8)"""
 
 
-@query(f"""WITH {_STATS}, {_OUTCOME.removeprefix(t.ATTEMPTS + ", ")}, {_TIER}, {_TRIPPED},
-s AS (SELECT *, attempted > errors AS success FROM o),
-y AS (SELECT count(*) AS n, count(*) FILTER (success) AS ok, CAST(sum(found) AS BIGINT) AS found, 100 * sum(busy_ms) / 4800000 AS busy, 100 * sum(waited_ms) / 4800000 AS queued FROM s),
+@query(f"""WITH {_ROWS}, {_STATS}, {_OUTCOME.removeprefix(t.ATTEMPTS + ", ")}, {_TIER}, {_TRIPPED},
+s AS (SELECT o.*, attempted > errors AS success, coalesce(written, 0) AS written, coalesce(new, 0) AS new, coalesce(sum(floor(busy_ms)) OVER (ORDER BY o.series ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) >= {_BUDGET} AS late FROM o LEFT JOIN rows_of r ON r.series = o.series),
+y AS (SELECT count(*) AS n, count(*) FILTER (late) AS late, count(*) FILTER (success) AS ok, CAST(sum(found) AS BIGINT) AS found, CAST(sum(written) AS BIGINT) AS written, CAST(sum(new) AS BIGINT) AS new, 100 * sum(busy_ms) / 4800000 AS busy, 100 * sum(waited_ms) / 4800000 AS queued FROM s),
 al AS (SELECT provider, {_ALERT} AS alert FROM stats WHERE attempts >= 50 AND errors / attempts > 0.3),
 tier AS (SELECT tier, count(*) AS n, CASE tier WHEN 'active' THEN 1 WHEN 'slow' THEN 2 ELSE 3 END AS p FROM g GROUP BY tier),
 l(sec, sub, text) AS (
@@ -349,8 +378,8 @@ l(sec, sub, text) AS (
   UNION ALL SELECT 1, 0, '> **Alerts**' WHERE (SELECT count(*) FROM al) > 0 UNION ALL SELECT 1, row_number() OVER (ORDER BY provider), '> - ' || alert FROM al UNION ALL SELECT 1, 999, '' WHERE (SELECT count(*) FROM al) > 0
   UNION ALL SELECT 2, 0, '> **Circuit breaker opened** for: ' || string_agg(provider, ', ' ORDER BY provider) FROM b HAVING count(*) > 0 UNION ALL SELECT 2, 1, '' WHERE (SELECT count(*) FROM b) > 0
   UNION ALL SELECT 3, 0, '| Metric | Value |' UNION ALL SELECT 3, 1, '|---|---|' UNION ALL SELECT 3, 2, '| Series with chapters | ' || count(DISTINCT o_custkey) || ' |' FROM orders
-  UNION ALL SELECT 3, 3, '| Due (cadence by tier) | ' || n || ' |' FROM y UNION ALL SELECT 3, 4, '| Processed | ' || n || ' (3 left for the next run: deadline) |' FROM y
-  UNION ALL SELECT 3, 5, '| Updated | ' || ok || ' / ' || n || ' |' FROM y UNION ALL SELECT 3, 6, '| Rows found | ' || found || ' |' FROM y UNION ALL SELECT 3, 7, '| Rows written | ' || found || ' (7 new) |' FROM y
+  UNION ALL SELECT 3, 3, '| Due (cadence by tier) | ' || n || ' |' FROM y UNION ALL SELECT 3, 4, '| Processed | ' || n || CASE WHEN late > 0 THEN ' (' || late || ' left for the next run: deadline)' ELSE '' END || ' |' FROM y
+  UNION ALL SELECT 3, 5, '| Updated | ' || ok || ' / ' || n || ' |' FROM y UNION ALL SELECT 3, 6, '| Rows found | ' || found || ' |' FROM y UNION ALL SELECT 3, 7, '| Rows written | ' || written || ' (' || new || ' new) |' FROM y
   UNION ALL SELECT 3, 8, '| Duration | 10m00s |' UNION ALL SELECT 3, 9, '| Concurrency | 8 series, 4 a source, 300ms apart |'
   UNION ALL SELECT 3, 10, '| Pool time scraping | ' || CAST(floor(busy + 0.5) AS BIGINT) || '% |' FROM y UNION ALL SELECT 3, 11, '| Pool time queued | ' || CAST(floor(queued + 0.5) AS BIGINT) || '% |' FROM y UNION ALL SELECT 3, 12, ''
   UNION ALL SELECT 4, 0, '| Tier | Interval | Candidates |' UNION ALL SELECT 4, 1, '|---|---:|---:|' UNION ALL SELECT 4, 1 + p, '| ' || tier || ' | ' || CASE p WHEN 1 THEN 2 WHEN 2 THEN 6 ELSE 24 END || 'h | ' || n || ' |' FROM tier UNION ALL SELECT 4, 9, ''
@@ -364,12 +393,13 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = t.attempts(spark, sf_dir)
     stats = telemetry.provider_stats(a)
     rows = stats.collect()  # one row a provider
-    outcomes = telemetry.series_outcome(a)
+    outcomes = telemetry.with_rows(telemetry.series_outcome(a), _counters(spark, sf_dir))
+    late = cadence.admitted(outcomes, F.floor("busy_ms"), _BUDGET, [F.col("series")]).filter("NOT admitted").count()
     totals = telemetry.run_totals(outcomes, 600_000, 8).first()
     alerts = telemetry.provider_alerts(stats, error_rate=0.3).orderBy("provider").collect()
     active = cadence.activity(t.activity_rows(spark, sf_dir))
     tiers = cadence.tier_histogram(active, _now()).collect()
     tripped = [r.provider for r in telemetry.breaker(a, 8).filter("tripped_at IS NOT NULL").orderBy("provider").collect()]
-    run = telemetry.Run(600_000, 8, with_chapters=active.count(), due=totals.processed, left=3, written=totals.found, new=7, source_concurrency=4, delay_ms=300)
+    run = telemetry.Run(600_000, 8, with_chapters=active.count(), due=totals.processed, left=late, source_concurrency=4, delay_ms=300)
     lines = telemetry.report(totals, rows, alerts, tiers, tripped, run, telemetry.series_times(outcomes))
     return spark.createDataFrame(list(enumerate(lines)), "line int, text string")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import selection, telemetry
 from tidemark.functions import text
-from tidemark.sources import extract, plugin, searches
+from tidemark.operators import selection, telemetry
+from tidemark.session import scratch
+from tidemark.sources import captures, extract, plugin, searches
 from tidemark.sources import html as h
 from tidemark.sources import tables as t
 
@@ -196,6 +199,28 @@ def source_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attempts.select("page_id", "provider", "outcome", "chapters")
 
 
+def _read(html: str, url: str):
+    """Chapters by a function of a page; what it can't stand raises."""
+    for n in re.findall('<a href="/c/([^"]*)">', html):
+        yield float(n), f"{BASE}/c/{n}", None
+
+
+@query(f"""WITH {KEYS}, p AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'error' WHEN page_id % 5 = 1 THEN 'empty' WHEN page_id % 7 = 0 THEN 'error' ELSE 'chapters' END AS outcome FROM k WHERE page_id BETWEEN 20 AND 900 AND page_id % 2 = 0)
+SELECT page_id, 'Even' AS provider, outcome, CAST(CASE WHEN outcome = 'chapters' THEN 2 ELSE 0 END AS BIGINT) AS chapters FROM p""")
+def captured_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of two sources written as capture files in two turns, and one source's range of them read by a function that raises on some."""
+    captures.register(spark)
+    broken = F.when(F.col("page_id") % 7 == 0, '<a href="/c/none">').otherwise("")
+    pages = _pages(spark, sf_dir, F.when(F.col("page_id") % 5 == 1, "").otherwise(F.lit('<a href="/c/{n}">x</a><a href="/c/{n+1}">')), F.when(F.col("page_id") % 5 != 1, broken).otherwise(""))
+    pages = pages.select(F.when(F.col("page_id") % 2 == 0, "Even").otherwise("Odd: 1/2").alias("source"), "page_id", "url", F.when(F.col("page_id") % 5 == 0, 503).otherwise(200).alias("status"), "html")
+    folder = scratch(spark, "captures")
+    for turn in (0, 1):
+        captures.write(pages.filter(F.col("page_id") % 3 == 0 if turn == 0 else F.col("page_id") % 3 > 0), folder, turn)
+    held = spark.read.format("captures").load(folder).filter("source = 'Even' AND page_id >= 20 AND page_id <= 900")
+    attempts, _ = plugin.scrape(plugin.page_site("Even", _read), held, _now())
+    return attempts.select("page_id", "provider", "outcome", "chapters")
+
+
 @query(f"""WITH {KEYS} SELECT page_id, CAST(NULL AS DOUBLE) AS chapter_number, CASE page_id % 4 WHEN 3 THEN 'chapters' WHEN 2 THEN 'empty' ELSE 'error' END AS link, CAST(NULL AS TIMESTAMP) AS release_date FROM k
 UNION ALL SELECT page_id, n, '{BASE}/chapter/b', TIMESTAMP '2024-01-01' FROM k WHERE page_id % 4 = 3 UNION ALL SELECT page_id, n + 1, '{BASE}/chapter/c', TIMESTAMP '2024-01-01' FROM k WHERE page_id % 4 = 3""")
 def chapter_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -430,11 +430,11 @@ def island_chapters(islands: DataFrame) -> DataFrame:
 
 
 def outcomes(payloads: DataFrame, rows: DataFrame, key: str = "page_id", blank_below: int = 5000) -> DataFrame:
-    """payloads (key, status, html) with outcome and blank: `error` for a bad status or a page that is a challenge, else `chapters` or `empty`. No payload is lost."""
+    """payloads (key, status, html) with outcome and blank: `error` for a bad status, none, or a page that is a challenge, else `chapters` or `empty`. No payload is lost."""
     n = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     met = payloads.join(n, key, "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
     low = F.lower(F.coalesce("html", F.lit("")))
     challenge = low.rlike(r"<title>\s*just a moment") | F.contains(F.coalesce("html", F.lit("")), F.lit("cf-browser-verification"))
-    bad = ~F.col("status").between(200, 299) | F.coalesce(challenge, F.lit(False))
+    bad = ~F.coalesce(F.col("status").between(200, 299), F.lit(False)) | F.coalesce(challenge, F.lit(False))
     out = met.withColumn("outcome", F.when(bad, "error").when(F.col("rows") > 0, "chapters").otherwise("empty"))
     return out.withColumn("blank", (F.col("rows") == 0) & (F.length(F.coalesce("html", F.lit(""))) < blank_below))

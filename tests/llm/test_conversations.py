@@ -98,7 +98,7 @@ def test_the_cheapest_edits_are_found(talks, block):
     want = expected(rows)
     want[-3] = (2**63 - 1, *want[-3][1:])  # at most the largest long
     assert got(cr.repair(table, block=block)) == want
-    assert {x for w in want.values() for x in w[6]} == set("DIKR")
+    assert {x for w in want.values() for x in w[6]} == set("DKR")  # an insertion never pays: what it would pair with goes for less
 
 
 def test_blocks_of_a_long_conversation_give_what_one_search_gives():
@@ -108,13 +108,58 @@ def test_blocks_of_a_long_conversation_give_what_one_search_gives():
         want = min(cr.search(rows, [(0, "", cr.START)], True).values())
         for block in (1, 5, 64, 512):
             talk = cr.Conversation(1, block)
+            talk.seen.add(b"same")
             for k, (initial, fault) in enumerate(rows):
                 talk.code(k, initial, fault == "b", fault == "t", b"same" if fault == "d" else bytes(str(k), "ascii"))
-                talk.seen.add(b"same")
             talk.finish()
             assert (talk.cost, talk.audit) == want
 
 
+def test_insertions_are_tried_where_deleting_is_dear(monkeypatch):
+    """With other costs, insertions win; blocks agree with brute force there, too."""
+    monkeypatch.setattr(cr, "INSERT", 1)
+    draw = np.random.default_rng(2)
+    seen = set()
+    for _ in range(60):
+        rows = [("sua"[draw.integers(3)], ["", "", "t", "b"][draw.integers(4)]) for _ in range(int(draw.integers(0, 7)))]
+        want = min(cr.search(rows, [(0, "", cr.START)], True).values())
+        best = min(every_way(rows))
+        assert want == best
+        seen |= set(want[1])
+        for block in (1, 2, 3):
+            talk = cr.Conversation(1, block)
+            for k, (initial, fault) in enumerate(rows):
+                talk.code(k, initial, fault == "b", fault == "t", bytes([k]))
+            talk.finish()
+            assert (talk.cost, talk.audit) == want
+    assert "I" in seen
+
+
+def every_way(rows):
+    """(cost, audit) of all edits with at most two insertions of cost 1 at a place."""
+    out = [(0, "", "")]
+    for initial, fault in [*rows, (None, None)]:
+        step = []
+        for cost, audit, made in out:
+            for fill in ("", "u", "a", "ua", "au"):
+                c, a, m = cost + len(fill), audit + "I" * len(fill), made + fill
+                if initial is None:
+                    if re.fullmatch("(s?(ua)+)?", m):
+                        step.append((c, a, m))
+                    continue
+                step.append((c + 2, a + "D", m))
+                if fault != "b":
+                    more = 5 if fault else 0
+                    step += [(c + more, a + "K", m + initial), (c + more + 1, a + "R", m + "u"), (c + more + 1, a + "R", m + "a")]
+        best = {}
+        for c, a, m in step:
+            if re.fullmatch("(s?(ua)*u?)?", m):
+                state = (m[-1:], m == "s")
+                best[state] = min(best.get(state, (c, a, m)), (c, a, m))
+        out = list(best.values())
+    return [(c, a) for c, a, _ in out]
+
+
 def test_a_search_settles_each_state_once_and_never_overestimates():
     rows = [("u", ""), ("u", "t"), ("a", "b"), ("s", ""), ("a", "t"), ("u", "d")]
     every = cr.search(rows, [(0, "", cr.START)], False)

@@ -394,3 +394,19 @@ def test_components_of_links(spark):
     got = {x.id: x.label for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
     loops = {a for a, b in links if a == b} - {x for a, b in links if a != b for x in (a, b)}
     assert got == {i: find(i) for i in list(root) if i not in loops}
+
+
+def test_the_model_is_the_same_however_rows_are_dealt(spark, small):
+    """Labelled doc_ids repeat with other texts; of each, one row counts, whatever the partitions."""
+    docs = queries.documents(spark, small).select("doc_id", "text")
+    again = docs.selectExpr("doc_id", "concat(reverse(text), ' other words') AS text")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    models = [quality_classifier.fit(docs.unionByName(again).repartition(n), labels) for n in (3, 7)]
+    assert all(np.array_equal(a, b) for a, b in zip(*(vars(m).values() for m in models), strict=True))
+
+
+def test_copies_are_sampled_in_proportion(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'one text that stands in a third of all rows' ELSE concat('text ', id) END AS text")
+    seen = [quality_rules.order_rules(docs, sample=300, seed=s) for s in range(2)]
+    assert all(len(o) == len(quality_rules.BASE + quality_rules.RULES) for o in seen)
+    assert quality_rules.order_rules(docs.select("text"), sample=300)

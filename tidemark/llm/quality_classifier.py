@@ -122,16 +122,18 @@ def _vectors(batches) -> Iterator:
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, ridge: float = 10.0, rounds: int = 12) -> Model:
     """A ridge logistic regression by Newton steps, fitted on at most `most` labelled documents (rows that lack a label don't count).
 
-    What comes to the driver is one vector of 2 KB a labelled row, 2 * most of
-    them at most, even where doc_ids repeat; of rows with one doc_id one counts.
+    What comes to the driver is one vector of 2 KB a labelled doc_id, `most` of
+    them at most; of rows with one doc_id, the one whose text has the smallest
+    hash counts, so the same rows give the same model however they are dealt.
     With labels of one kind only, or none, the model is that kind's smoothed
     log-odds.
     """
     ship(docs.sparkSession)
     chosen = labels.select("doc_id", F.col("quality").cast("double").alias("_y")).where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")).select(F.col("doc_id").alias("_id"), "_y", "text", *FEATURES)
-    found = rows.mapInArrow(_vectors, "_id long, _y double, x binary").limit(2 * most).collect()
-    once = {r._id: (r._y, bytes(r.x)) for r in sorted(found, key=lambda r: (r._id, bytes(r.x)))}
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("_y").alias("_y"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("r"))
+    rows = features(met.select("doc_id", "_y", "r.text")).select(F.col("doc_id").alias("_id"), "_y", "text", *FEATURES)
+    found = rows.mapInArrow(_vectors, "_id long, _y double, x binary").collect()
+    once = {r._id: (r._y, bytes(r.x)) for r in sorted(found, key=lambda r: r._id)}
     width = WORDS + TRIGRAMS + len(FEATURES)
     y = np.array([v[0] for v in once.values()])
     if len(set(y.tolist())) < 2:

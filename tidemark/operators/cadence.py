@@ -7,7 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize, tidy
+
 from .ranges import numbered
+from .versions import Table
 
 
 @dataclass(frozen=True)
@@ -58,6 +61,24 @@ def activity(rows: DataFrame, complete: bool = True) -> DataFrame:
     return rows.groupBy("manga_id").agg(F.max("created_at").alias("last_chapter_at"))
 
 
+def keep_activity(table: Table, rows: DataFrame, batch: tuple[str, int] | None = None) -> int | None:
+    """Adds a batch of new chapter rows (manga_id, created_at) to a table (key manga_id) of manga_id, last_chapter_at and chapters.
+
+    The table then holds what activity() gives for all batches so far, without
+    reading their rows again: a batch is reduced to a row a series, and only
+    the buckets of its series are read and written. A batch that was counted
+    before changes nothing. Late rows change nothing but the count.
+    """
+    with tidy(rows.sparkSession):
+        new = materialize(rows.groupBy("manga_id").agg(F.max("created_at").alias("last_chapter_at"), F.count(F.lit(1)).alias("chapters")), "batch")
+
+        def merge(stored: DataFrame | None, new: DataFrame) -> DataFrame:
+            both = new if stored is None else stored.unionByName(new)
+            return both.groupBy("manga_id").agg(F.max("last_chapter_at").alias("last_chapter_at"), F.sum("chapters").alias("chapters"))
+
+        return table.update(new, merge, batch)
+
+
 def tier_histogram(active: DataFrame, now: Column, tiers: tuple[Tier, ...] = DEFAULT_TIERS) -> DataFrame:
     """Candidates by tier, before the staleness filter; empty tiers don't show. position keeps the tiers' order."""
     position = F.array_position(F.array(*[F.lit(t.label) for t in tiers]), F.col("tier")).cast("long")

@@ -51,6 +51,16 @@ def chapters_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.page(t.chapters(spark, sf_dir), t.providers(spark, sf_dir), 7, number=2, size=20)
 
 
+@query(f"""WITH {t.CHAPTERS}, {t.PROVIDERS}, r AS (SELECT manga_id, name AS provider_name, chapter_number, link, created_at, row_number() OVER (PARTITION BY manga_id ORDER BY chapter_number DESC, provider_id) - 1 AS rank
+FROM chapters JOIN providers ON id = provider_id WHERE enabled) SELECT * FROM r WHERE rank >= 10 AND rank < 20""")
+def second_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page of ten of every series, from the table that is laid out by rank."""
+    path = scratch(spark, "ranked")
+    reads.write_ranked(t.chapters(spark, sf_dir), t.providers(spark, sf_dir), path)
+    rows = spark.read.parquet(path).filter("rank >= 10 AND rank < 20")
+    return rows.select("manga_id", "provider_name", "chapter_number", "link", "created_at", "rank")
+
+
 @query(f"WITH {t.CHAPTERS}, {t.PROVIDERS} SELECT manga_id, count(*) AS total FROM chapters JOIN providers ON id = provider_id WHERE enabled GROUP BY 1")
 def chapters_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.totals(t.chapters(spark, sf_dir), t.providers(spark, sf_dir))
@@ -109,6 +119,15 @@ def series_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cadence.activity(t.activity_rows(spark, sf_dir))
 
 
+@query("SELECT o_custkey AS manga_id, max(o_orderdate) AS last_chapter_at, count(*) AS chapters FROM orders GROUP BY 1")
+def kept_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity added up batch by batch; the last batch comes twice."""
+    table, rows = Table(spark, scratch(spark, "activity"), ["manga_id"], 8), t.table(spark, sf_dir, "orders")
+    for k in (0, 1, 2, 2):
+        cadence.keep_activity(table, rows.filter(F.col("o_orderkey") % 3 == k).select(F.col("o_custkey").alias("manga_id"), F.col("o_orderdate").alias("created_at")), ("orders", k))
+    return table.read()
+
+
 @query("SELECT DISTINCT o_custkey AS manga_id, CAST(NULL AS TIMESTAMP) AS last_chapter_at FROM orders")
 def series_activity_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cadence.activity(t.activity_rows(spark, sf_dir), complete=False)

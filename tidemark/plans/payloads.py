@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import dates, numbers
+from tidemark.functions import dates, numbers, tables
 from tidemark.sources import extract
 from tidemark.sources import html as h
 from tidemark.sources.tables import table
@@ -37,6 +37,26 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.elements(table(spark, sf_dir, "pages"), ("title",)).select("page_id", F.col("text").alias("title"))
 
 
+@query("""WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]+)"', 1)) AS href FROM pages)
+SELECT page_id, count(*) AS links, count(DISTINCT replace(replace(href, '&quot;', '"'), '&amp;', '&')) AS targets FROM l GROUP BY page_id""")
+def sql_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of pages in plain SQL, by a table function."""
+    tables.register(spark)
+    table(spark, sf_dir, "pages").createOrReplaceTempView("captured_pages")
+    return spark.sql("SELECT p.page_id, count(*) AS links, count(DISTINCT e.attrs['href']) AS targets FROM captured_pages p, LATERAL html_elements(p.html, 'a[href]') e WHERE e.attrs['href'] <> '' GROUP BY p.page_id")
+
+
+@query("""SELECT event_id, CAST(0 AS INTEGER) AS place, CAST(NULL AS VARCHAR) AS type, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE event_id % 2 = 0
+UNION ALL SELECT event_id, 1, 'Chapter', event_id FROM events WHERE event_id % 2 = 0""")
+def sql_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects inside the JSON of every event, in plain SQL; every second one's is broken off."""
+    tables.register(spark)
+    e = table(spark, sf_dir, "events")
+    inner = F.concat(F.expr("left(props, length(props) - 1)"), F.lit(', "in": [1, {"@type": "Chapter", "k": '), F.col("event_id").cast("string"), F.when(F.col("event_id") % 2 == 0, "}]}").otherwise("}]"))
+    e.select("event_id", inner.alias("body")).createOrReplaceTempView("event_bodies")
+    return spark.sql("SELECT b.event_id, o.at AS place, o.type, CAST(get_json_object(o.value, '$.k') AS BIGINT) AS k FROM event_bodies b, LATERAL json_objects(b.body) o")
+
+
 @query("""SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 def props_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "map<string,string>")["k"].try_cast("bigint").alias("k"))

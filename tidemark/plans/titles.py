@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import matching, text
+from tidemark.operators.ranges import numbered
 from tidemark.sources.tables import table
 
 QUERIES: dict = {}
@@ -166,7 +167,7 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple:
     p = table(spark, sf_dir, "part")
     q = p.select(F.col("p_name").alias("title")).union(spark.createDataFrame([(x,) for x in _EXTRA_Q], "title string")).distinct().withColumn("query", F.col("title"))
     c = p.select(F.concat("p_name", F.lit(" "), "p_type").alias("cand_title")).union(spark.createDataFrame([(x,) for x in _EXTRA_C], "cand_title string")).distinct()
-    c = c.withColumn("pos", F.row_number().over(Window.orderBy("cand_title")).cast("long"))  # a few hundred distinct names: the fixture's result order
+    c = numbered(c, ["cand_title"]).withColumn("pos", F.col("_at") + 1).drop("_at")
     return q, c.withColumn("slug", F.lower(F.replace(F.col("cand_title"), F.lit(" "), F.lit("-"))))
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, numbers, text
-from tidemark.session import materialize
+from tidemark.session import materialize, ship
 
 from . import html as h
 
@@ -21,15 +23,31 @@ def first_by(rows: DataFrame, *key: str, order: tuple[str, ...] = ("pos",)) -> D
 def url_then_number(rows: DataFrame) -> DataFrame:
     """Document order: a row goes if its link or its number was accepted before; a rejected row leaves no trace.
 
-    Both `link` and `chapter_number` are functions of one row, so only rows
-    that share a link and differ in number (or the other way round) need the
-    order: they are resolved by replaying a page's rows inside one array.
+    What a row's fate is depends on those of all before it, so a page's rows
+    are replayed in order, in time that grows with their number.
     """
-    item = F.struct("pos", "link", "chapter_number", "release_date")
-    pages = rows.groupBy("page_id").agg(F.array_sort(F.collect_list(item)).alias("x"))  # the rows of one page
-    start = F.expr("cast(array() as array<struct<pos:int,link:string,chapter_number:double,release_date:timestamp_ntz>>)")
-    kept = F.aggregate("x", start, lambda a, r: F.when(F.exists(a, lambda b: (b["link"] == r["link"]) | (b["chapter_number"] == r["chapter_number"])), a).otherwise(F.concat(a, F.array(r))))
-    return pages.select("page_id", F.explode(kept).alias("r")).select("page_id", "r.pos", "r.chapter_number", "r.link", "r.release_date")
+    ship(rows.sparkSession)
+    pages = rows.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("pos", "link", "chapter_number", "release_date"))).alias("x"))  # the rows of one page
+
+    def replay(batches) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            page, at = [], []
+            flat, ends = batch.column("x").flatten(), batch.column("x").offsets.to_pylist()
+            links, numbers_ = flat.field("link").to_pylist(), flat.field("chapter_number").to_pylist()
+            for ident, a, b in zip(batch.column("page_id").to_pylist(), ends, ends[1:], strict=False):
+                seen: set = set()
+                for i in range(a - ends[0], b - ends[0]):
+                    mine = [v for v in (links[i], numbers_[i]) if v is not None]
+                    if seen.isdisjoint(mine):
+                        seen.update(mine)
+                        page.append(ident)
+                        at.append(i)
+            kept = flat.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(page, pa.int64()), *(kept.field(c) for c in ("pos", "chapter_number", "link", "release_date"))], names=["page_id", "pos", "chapter_number", "link", "release_date"])
+
+    return pages.mapInArrow(replay, "page_id long, pos int, chapter_number double, link string, release_date timestamp_ntz")
 
 
 def islands(pages: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:

@@ -2,8 +2,9 @@ import pytest
 
 from tidemark.operators import telemetry
 from tidemark.operators.cadence import DEFAULT_TIERS
-from tidemark.settings import Remembered, Settings, limit, or_default
+from tidemark.settings import Settings, limit, or_default
 from tidemark.sources import plugin
+from tidemark.sources.snapshot import Memo
 
 
 @pytest.mark.parametrize("value,want", [(None, 8), ("", 8), ("0", 8), ("x", 8), ("12", 12), (" 3 ", 3), ("0x10", 16), ("-1", -1), ("1e2", 100), ("0.5", 0.5)])
@@ -32,7 +33,7 @@ def test_a_failed_load_waits():
             raise OSError
         return "loaded"
 
-    r = Remembered(load, "default", 60)
+    r = Memo(load, "default", 60)
     assert [r.get(t) for t in (0, 30, 59, 60, 61)] == ["default", "default", "default", "loaded", "loaded"] and len(calls) == 2
 
 

@@ -65,19 +65,3 @@ class Settings:
             (parse_tiers(get("CRON_TIERS") or "") if get("CRON_TIERS") else None) or DEFAULT_TIERS, or_default(get("CRON_CONCURRENCY"), 8), limit(get("CRON_SOURCE_CONCURRENCY"), 4), or_default(get("CRON_BATCH_DELAY"), 300),
             or_default(get("CRON_MAX_RUN_MS"), 45 * 60 * 1000), or_default(get("CRON_FLUSH_EVERY"), 200), or_default(get("CRON_BREAKER_THRESHOLD"), 10), or_default(get("CHAPTER_REFRESH_WINDOW"), 5), switch(get("CHAPTER_DELTA_UPSERT")),
         )
-
-
-class Remembered:
-    """A value loaded once: load() runs until it succeeds, but after a failure not again within `cooldown` seconds; until then default serves."""
-
-    def __init__(self, load, default, cooldown: float = 60):
-        self.load, self.value, self.cooldown = load, default, cooldown
-        self.done, self.after = False, -math.inf
-
-    def get(self, now: float):
-        if not self.done and now >= self.after:
-            try:
-                self.value, self.done = self.load(), True
-            except Exception:  # noqa: BLE001  whatever fails, the default serves and a later call tries again
-                self.after = now + self.cooldown
-        return self.value

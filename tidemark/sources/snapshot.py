@@ -56,7 +56,7 @@ class Snapshots:
 
 
 class Memo:
-    """A value that is made once, on the driver. While making it fails, the default serves, and it is tried again `cooldown` seconds after the last failure at the earliest."""
+    """A value that is made once, on the driver. While making it fails, whatever fails, the default serves, and it is tried again `cooldown` seconds after the last failure at the earliest."""
 
     def __init__(self, make: Callable[[], T], default: T, cooldown: float = 60):
         self.make, self.default, self.cooldown = make, default, cooldown
@@ -66,6 +66,6 @@ class Memo:
         if not self.done and (self.failed_at is None or now >= self.failed_at + self.cooldown):
             try:
                 self.value, self.done = self.make(), True
-            except (AnalysisException, OSError, RuntimeError):
+            except Exception:  # noqa: BLE001  the default serves, and a later call tries again
                 self.failed_at = now
         return self.value

@@ -1,8 +1,10 @@
 import datetime as dt
 import json
+import random
 
 from pyspark.sql import functions as F
 
+from tidemark.plans import registry
 from tidemark.sources import extract, searches
 from tidemark.sources import html as h
 
@@ -141,3 +143,63 @@ def test_rendered_titles(spark):
     wp = json.dumps([{"link": "l", "slug": str(i), "title": {"rendered": t}} for i, t in enumerate(["&hearts; <em>A</em> &#x26; &eacute;&nbsp;", "1 < 2 &amp;lt;", "", "&unknown; &copy"])] + [{"link": "l", "slug": "4", "title": None}])
     got = extract.rest_search(spark.createDataFrame([(1, wp)], "page_id long, body string")).orderBy("pos").collect()
     assert [r.title for r in got] == ["\u2665 A & \u00e9", "1 < 2 &lt;", "", "&unknown; \u00a9", ""]
+
+
+# ---- the grid by a slow search over all elements
+
+
+def slow_grid(page, base="https://g.example", most=10):
+    nodes = h.parse(page)
+    by = {n[0]: n for n in nodes}
+
+    def above(n, grid):
+        while n[2] in by:
+            n = by[n[2]]
+            if grid(n[5].get("class", "")):
+                return True
+        return False
+
+    kinds = [lambda c: {"grid", "grid-cols-2"} <= set(c.split()), lambda c: "grid" in c.split(), lambda c: "grid" in c]
+    grid = next((g for g in kinds if any(g(n[5].get("class", "")) for n in nodes)), None)
+    links = [n for n in nodes if n[4] == "a" and "comics/" in n[5].get("href", "") and "/chapter/" not in n[5]["href"] and (grid is None or above(n, grid))]
+    out, seen = [], set()
+    for a, after in zip(links, [n[0] for n in links[1:]] + [len(nodes)], strict=False):
+        inner = [n for n in nodes if a[0] < n[0] < min(a[1], after)]
+        bold = "".join(n[7] for n in inner if n[4] == "span" and {"block", "font-bold"} <= set(n[5].get("class", "").split())).strip()
+        img = next((n[5] for n in inner if n[4] == "img"), {})
+        title = next((t for t in (a[5].get("title"), bold, img.get("alt"), img.get("title")) if t), a[7])
+        title = " ".join(title.split())
+        href = a[5]["href"]
+        link = href if href.startswith("http") else base + ("" if href.startswith("/") else "/") + href
+        if title and len(title) < 200 and link not in seen and len(out) < most:
+            seen.add(link)
+            out.append((a[0], title, link))
+    return out
+
+
+def test_the_grid_is_what_a_slow_search_finds(spark):
+    some = random.Random(3)
+    parts = ['<div class="grid">', '<div class="a grid grid-cols-2">', "<div class='my-grid'>", "<div>", "</div>", "</div>", "<table><tr><td>", "</table>", "</a>", "</span>", "x", " \n y ", " ", '<span class="block font-bold">', '<SPAN CLASS="font-bold  block k">', "<img alt='Alt'>", '<img alt="" title=" T  1 ">', "<img>"]
+    parts += [f'<a href="{x}comics/{n}"{t}>' for x in ("/", "", "https://o.example/") for n in (1, 2, "1/chapter/3") for t in ("", ' title=" A\tb "', f' title="{"z" * 200}"')] + ['<a href="/other">', "<a>"]
+    many = "".join(f'<a href="/comics/{i % 13}" title="{i}"></a>' for i in range(40))
+    html = ["".join(some.choices(parts, k=some.randint(1, 40))) for _ in range(400)] + [many, f'<p class="grid">{many}', None, ""]
+    want = [(i, *r) for i, page in enumerate(html) for r in slow_grid(page)]
+    got = searches.grid_search(pages(spark, *html), "https://g.example").select("page_id", "pos", "title", "link").collect()
+    assert sorted(map(tuple, got)) == want and len(want) > 200 and max(i for i, *_ in want) == 401
+
+
+def test_a_grid_is_worked_out_where_its_page_is(spark, small):
+    """Pages are dealt out before they are made, however few files hold their keys, and nothing is shuffled after that."""
+    found = registry.QUERIES["grid_search"](spark, small)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("MapInArrow") < plan.index("Exchange")
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_tags_are_remembered_within_bounds():
+    marks = {"a": "a[href^='/1']"}
+    page = "".join(f'<a href="/{i}">' for i in range(3 * h.Plan.MOST)) + f'<a href="/1{"x" * 1000}">'
+    once, again = h.parse(page, marks), h.parse(page, marks)
+    assert once == again and len(once) == 1 + sum(str(i).startswith("1") for i in range(3 * h.Plan.MOST))
+    known = h._plan(tuple(marks.items())).tags
+    assert len(known) <= h.Plan.MOST and max(map(len, known)) <= h.Plan.LONGEST

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text
 from tidemark.operators import selection, telemetry
-from tidemark.session import scratch
+from tidemark.session import partitions, scratch
 from tidemark.sources import captures, extract, plugin, searches
 from tidemark.sources import html as h
 from tidemark.sources import tables as t
@@ -50,7 +50,9 @@ AFTER = "<p>end<b><i>of<P>page"
 
 
 def _pages(spark: SparkSession, sf_dir: str, *parts: str | Column) -> DataFrame:
-    return _keys(spark, sf_dir).select("page_id", "n", F.lit(f"{BASE}/page").alias("url"), _write(BEFORE, *parts, AFTER).alias("html"))
+    """The pages; their keys are few bytes in few files, so they are dealt out before they become pages."""
+    keys = _keys(spark, sf_dir).repartition(max(partitions(spark), spark.sparkContext.defaultParallelism), "page_id")
+    return keys.select("page_id", "n", F.lit(f"{BASE}/page").alias("url"), _write(BEFORE, *parts, AFTER).alias("html"))
 
 
 def _now() -> Column:

@@ -2,11 +2,14 @@
 
 Every page is parsed once; which elements count, where a title stands and
 which repeats go are column expressions over its elements. All windows and
-groups are by page, so one exchange serves a whole search.
+groups are by page, so one exchange serves a whole search; the grid, with most
+links a page, is worked out within each page's row and needs none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,16 +23,25 @@ def _attr(name: str) -> Column:
     return F.coalesce(F.col("attrs")[name], F.lit(""))
 
 
+def _bare(t: Column) -> Column:
+    """Without white space at the edges, as browsers trim."""
+    return F.regexp_replace(text.plain_spaces(t), r"^\s+|\s+$", "")
+
+
 def _trimmed(t: Column) -> Column:
-    """Without white space at the edges, as browsers trim; null if nothing is left."""
-    t = F.regexp_replace(text.plain_spaces(t), r"^\s+|\s+$", "")
-    return F.nullif(t, F.lit(""))
+    """_bare(); null if nothing is left."""
+    return F.nullif(_bare(t), F.lit(""))
 
 
 def _squeezed(t: Column) -> Column:
     return F.regexp_replace(text.plain_spaces(t), r"\s+", " ")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _inner(where: Column) -> Column:
     return where & (F.col("pos") != F.col("box"))
 
@@ -61,23 +73,39 @@ def grid_search(pages: DataFrame, base: str, most: int = 10) -> DataFrame:
     """Links to comics, not to chapters, inside the page's grid: two columns wide if there is such, else any grid, else the whole page. Titles have 1 to 199 characters; the first of each link, at most `most` a page."""
     grids = (".grid.grid-cols-2", ".grid", "[class*='grid']")
     marks = {"link": "a[href*='comics/']", "bold": "span.block.font-bold", "img": "img"} | {f"grid{i}": g for i, g in enumerate(grids)} | {f"in{i}": f"{g} a[href*='comics/']" for i, g in enumerate(grids)}
-    e = h.elements(pages, marks=marks, texts=("link", "bold"))
-    page = Window.partitionBy("page_id")
-    level = F.coalesce(*[F.when(F.max(h.marked(f"grid{i}")).over(page), i) for i in range(len(grids))], F.lit(len(grids)))
-    e = e.withColumn("_level", level)
-    within = F.col("_level") == len(grids)
-    for i in range(len(grids)):
-        within = within | ((F.col("_level") == i) & h.marked(f"in{i}"))
-    href = _attr("href")
-    link = h.marked("link") & ~F.contains(href, F.lit("/chapter/")) & within
-    bold = _joined(h.marked("bold"))
-    img = _first(h.marked("img"), F.col("attrs")["alt"].alias("alt"), F.col("attrs")["title"].alias("given"))
-    a = by_box(e, link, a=own(href.alias("href"), _attr("title").alias("given"), "text"), bold=bold, img=img)
-    given = [F.nullif(F.col(c), F.lit("")) for c in ("a.given", "bold", "img.alt", "img.given")]
-    title = _trimmed(_squeezed(F.coalesce(*given, F.col("a.text"))))
-    rows = a.select("page_id", "pos", title.alias("title"), text.absolute(F.col("a.href"), F.lit(base)).alias("link")).filter("length(title) < 200")
-    rank = F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))
-    return first_by(rows, "link").withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
+    e = h.by_page(pages, ("href", "title", "alt"), marks=marks, texts=("link", "bold"))
+    all_ = F.aggregate("e", F.lit(0).cast("long"), lambda bits, x: bits.bitwiseOR(x["marks"]))
+
+    def is_link(x: Column, all_: Column) -> Column:
+        within = h.met(x["marks"], marks, "link")
+        for i in reversed(range(len(grids))):
+            within = F.when(h.met(all_, marks, f"grid{i}"), h.met(x["marks"], marks, f"in{i}")).otherwise(within)
+        return within & ~F.contains(x["href"], F.lit("/chapter/"))
+
+    def titled(b: Column) -> Column:
+        img = F.get(b["imgs"], F.lit(0))
+        given = [F.when(t != "", t) for t in (b["a"]["title"], b["bold"], img["alt"], img["title"])]
+        title = F.trim(_squeezed(F.coalesce(*given, b["a"]["text"])))
+        return F.struct(b["a"]["pos"].alias("pos"), title.alias("title"), text.absolute(b["a"]["href"], F.lit(base)).alias("link"))
+
+    def parts(a: Column, inner: Column) -> Column:
+        bold = F.transform(F.filter(inner, lambda x: h.met(x["marks"], marks, "bold")), lambda x: x["text"])
+        return F.struct(a.alias("a"), _let(bold, lambda t: F.when(F.size(t) > 0, _bare(F.array_join(t, "")))).alias("bold"), F.filter(inner, lambda x: h.met(x["marks"], marks, "img")).alias("imgs"))
+
+    def boxes(e: Column, at: Column) -> Column:
+        """The links at these places, each with what stands in it, up to the next one."""
+        cut = F.transform(at, lambda i, k: F.struct(F.get(e, i).alias("a"), F.slice(e, i + 2, F.coalesce(F.get(at, k + 1), F.size(e)) - i - 1).alias("after")))
+        return F.transform(cut, lambda b: parts(b["a"], F.filter(b["after"], lambda x: x["pos"] < b["a"]["end"])))
+
+    def add(kept: Column, r: Column) -> Column:
+        new = F.length(r["title"]).between(1, 199) & ~F.exists(kept, lambda x: x["link"] == r["link"])
+        return F.when(new, F.concat(kept, F.array(r))).otherwise(kept)
+
+    none = F.array().cast("array<struct<pos:int,title:string,link:string>>")
+    at = _let(all_, lambda all_: F.filter(F.transform("e", lambda x, i: F.when(is_link(x, all_), i)), lambda i: i.isNotNull()))
+    found = _let(F.struct("e", at.alias("at")), lambda x: boxes(x["e"], x["at"]))
+    rows = F.aggregate(found, none, lambda kept, b: F.when(F.size(kept) >= most, kept).otherwise(_let(titled(b), lambda r: add(kept, r))))
+    return e.select("page_id", F.inline(rows))
 
 
 def row_search(pages: DataFrame, base: str) -> DataFrame:
